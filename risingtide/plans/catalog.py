@@ -7,13 +7,17 @@ whole tables.  No query collects; the caller decides the action.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from risingtide.operators import momentum
+from risingtide.operators import enrich, momentum
+from risingtide.operators import sectors as sector_ops
 from risingtide.params import DRIVER_PARAMS as P
-from risingtide.sources import driver
+from risingtide.plans import alert
+from risingtide.sources import bars, driver, lookups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +30,177 @@ def register(name: str):
     return deco
 
 
+# ---------------------------------------------------------------- sources
+
+@register("universe_scan")
+def q_universe_scan(spark, sf):
+    return driver.exchange_listing(spark, sf, "NYSE")
+
+
+@register("universe_union")
+def q_universe_union(spark, sf):
+    return driver.universe(spark, sf)
+
+
+@register("price_window_scan")
+def q_price_window_scan(spark, sf):
+    return driver.prices(spark, sf, P)
+
+
+@register("price_scan_for_universe")
+def q_price_scan_for_universe(spark, sf):
+    return bars.price_scan_for_universe(driver.prices(spark, sf, P), driver.universe(spark, sf))
+
+
+@register("bars_union")
+def q_bars_union(spark, sf):
+    """Two bar sources, the second with an extra tick-count column."""
+    mid = P.start_date + _dt.timedelta(days=5)
+    t = driver.ticks(spark, sf)
+    first = bars.daily_bars(bars.ticks_in_window(t, P.start_date, mid))
+    t2 = bars.ticks_in_window(t, mid + _dt.timedelta(days=1), P.end_date)
+    second = (t2.groupBy(F.col("user_id").alias("symbol"), F.col("ts").cast("date").alias("date"))
+              .agg(F.max_by("value", "ts").alias("close"), F.count(F.lit(1)).alias("n_ticks")))
+    return bars.bars_union([first, second])
+
+
+@register("parse_date")
+def q_parse_date(spark, sf):
+    raw = driver.table(spark, sf, "events").select(
+        "event_id", F.substring(F.col("ts").cast("string"), 1, 10).alias("date"))
+    return bars.parse_bar_dates(raw)
+
+
+@register("fundamentals_lookup")
+def q_fundamentals_lookup(spark, sf):
+    per_symbol = momentum.screened_symbols(
+        momentum.momentum_screen(driver.prices(spark, sf, P), P))
+    return lookups.fundamentals_lookup(
+        lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), per_symbol, P)
+
+
+@register("cap_filter")
+def q_cap_filter(spark, sf):
+    return lookups.cap_filter(lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), P)
+
+
+@register("json_defaults")
+def q_json_defaults(spark, sf):
+    raw = driver.table(spark, sf, "events").select("event_id", F.col("props").alias("body"))
+    return lookups.fundamentals_from_json(raw, key="event_id", cap_path="$.k")
+
+
+@register("news_top3")
+def q_news_top3(spark, sf):
+    return lookups.news_top(driver.news(spark, sf), P)
+
+
+# ---------------------------------------------------------------- momentum
+
+@register("pct_change")
+def q_pct_change(spark, sf):
+    return momentum.with_percent(momentum.clean_bars(driver.prices(spark, sf, P), P))
+
+
+@register("start_end_percent")
+def q_start_end_percent(spark, sf):
+    return momentum.scored_bars(driver.prices(spark, sf, P), P).select(
+        "symbol", "date", "close", "start_end_percent")
+
+
+@register("last_values")
+def q_last_values(spark, sf):
+    return momentum.scored_bars(driver.prices(spark, sf, P), P).select(
+        "symbol", "date", "last_price", "last_percent")
+
+
+@register("up_days")
+def q_up_days(spark, sf):
+    return momentum.up_days(driver.prices(spark, sf, P), P)
+
+
+@register("upside_counts")
+def q_upside_counts(spark, sf):
+    return momentum.upside_counts(driver.prices(spark, sf, P), P)
+
+
+@register("repetitive_up_days")
+def q_repetitive_up_days(spark, sf):
+    return momentum.repetitive_up_days(driver.prices(spark, sf, P), P)
+
+
 @register("momentum_screen")
-def q_momentum_screen(spark: SparkSession, sf: str) -> DataFrame:
+def q_momentum_screen(spark, sf):
     return momentum.momentum_screen(driver.prices(spark, sf, P), P)
+
+
+@register("latest_day_screen")
+def q_latest_day_screen(spark, sf):
+    return momentum.latest_day_screen(driver.prices(spark, sf, P), P)
+
+
+@register("distinct_symbols")
+def q_distinct_symbols(spark, sf):
+    return momentum.momentum_screen(driver.prices(spark, sf, P), P).select("symbol").distinct()
+
+
+# ---------------------------------------------------------------- sectors / joins
+
+def _survivor_inputs(spark, sf):
+    """(per-symbol screen, cap-passing overview, their sectors)."""
+    per_symbol = momentum.screened_symbols(
+        momentum.momentum_screen(driver.prices(spark, sf, P), P))
+    overview = lookups.fundamentals_lookup(
+        lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), per_symbol, P)
+    sec = driver.sectors(spark, sf).join(overview.select("symbol"), "symbol", "left_semi")
+    return per_symbol, overview, sec
+
+
+@register("sector_nunique")
+def q_sector_nunique(spark, sf):
+    return sector_ops.sector_nunique(driver.sectors(spark, sf))
+
+
+@register("shared_sectors")
+def q_shared_sectors(spark, sf):
+    _, _, sec = _survivor_inputs(spark, sf)
+    return sector_ops.shared_sectors(sec)
+
+
+@register("future_sectors")
+def q_future_sectors(spark, sf):
+    segs = driver.sectors(spark, sf).select("core_focus").distinct()
+    return sector_ops.future_sectors(driver.sector_facts(segs))
+
+
+@register("sector_join")
+def q_sector_join(spark, sf):
+    _, _, sec = _survivor_inputs(spark, sf)
+    return sector_ops.sector_join(sec, driver.sector_facts(sector_ops.shared_sectors(sec)))
+
+
+@register("news_left_join")
+def q_news_left_join(spark, sf):
+    _, overview, _ = _survivor_inputs(spark, sf)
+    top = lookups.news_top(driver.news(spark, sf), P, symbols=overview.select("symbol"))
+    return enrich.news_left_join(overview, top)
+
+
+@register("enriched_rows")
+def q_enriched_rows(spark, sf):
+    per_symbol, overview, sec = _survivor_inputs(spark, sf)
+    facts = driver.sector_facts(sector_ops.shared_sectors(sec))
+    return enrich.enriched_rows(sec, facts, overview, per_symbol)
+
+
+@register("news_concat")
+def q_news_concat(spark, sf):
+    return enrich.news_per_symbol(lookups.news_top(driver.news(spark, sf), P))
+
+
+@register("alert_report")
+def q_alert_report(spark, sf):
+    return alert.alert_report(
+        driver.prices(spark, sf, P),
+        lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)),
+        driver.sectors(spark, sf), driver.news(spark, sf), driver.sector_facts, P)

@@ -73,3 +73,139 @@ def with_(*ctes: str) -> str:
 SQL: dict[str, str] = {}
 
 SQL["momentum_screen"] = with_(bars_cte(), scored_cte(), screen_cte()) + "SELECT * FROM screen"
+
+# ------------------------------------------------------------------ sources
+
+NEWS = """news AS (
+  SELECT CAST(floor(page_id / 6) AS BIGINT) AS symbol, page_id AS article_id,
+         CAST(DATE '2024-01-15' + CAST((page_id % 6) * 3 AS INTEGER) AS DATE) AS published,
+         nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
+         url AS article_url
+  FROM pages)"""
+
+
+def top_cte(p: ScreenParams = P, symbols: str | None = None) -> str:
+    semi = f" AND symbol IN (SELECT symbol FROM {symbols})" if symbols else ""
+    return f"""top3 AS (
+  SELECT symbol, article_id, published, news_rank, title AS news_data,
+         article_url AS news_source
+  FROM (SELECT *, CAST(row_number() OVER (PARTITION BY symbol
+                     ORDER BY published DESC, article_id) AS INTEGER) AS news_rank
+        FROM news
+        WHERE published BETWEEN {_d(p.start_date)} AND {_d(p.end_date)}{semi}) r
+  WHERE news_rank <= {p.news_per_symbol})"""
+
+
+FUND = """fund AS (
+  SELECT c_custkey AS symbol, coalesce(c_name, '') AS company_overview,
+         CAST(round_even(coalesce(c_acctbal, 0.0), 0) AS BIGINT) AS marketCap
+  FROM customer)"""
+
+SQL["universe_scan"] = "SELECT c_custkey AS symbol FROM customer WHERE c_nationkey < 15"
+SQL["universe_union"] = ("SELECT c_custkey AS symbol FROM customer WHERE c_nationkey < 15 "
+                         "UNION ALL SELECT c_custkey AS symbol FROM customer WHERE c_nationkey >= 10")
+SQL["price_window_scan"] = with_(bars_cte()) + "SELECT * FROM bars"
+SQL["price_scan_for_universe"] = with_(bars_cte()) + """SELECT * FROM bars
+WHERE symbol IN (SELECT c_custkey FROM customer WHERE c_nationkey < 15
+                 UNION ALL SELECT c_custkey FROM customer WHERE c_nationkey >= 10)"""
+SQL["bars_union"] = """SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, ts) AS close,
+       CAST(NULL AS BIGINT) AS n_ticks
+FROM events WHERE user_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-20 00:00:00'
+  AND ts < TIMESTAMP '2024-01-26 00:00:00'
+GROUP BY 1, 2
+UNION ALL
+SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, ts) AS close, count(*) AS n_ticks
+FROM events WHERE ts >= TIMESTAMP '2024-01-26 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
+GROUP BY 1, 2"""
+SQL["parse_date"] = ("SELECT event_id, TRY_CAST(substr(CAST(ts AS VARCHAR), 1, 10) AS DATE) AS date "
+                     "FROM events")
+SQL["cap_filter"] = with_(FUND) + f"SELECT * FROM fund WHERE coalesce(marketCap, 0) > {P.min_market_cap}"
+SQL["json_defaults"] = """SELECT event_id,
+  coalesce(json_extract_string(props, '$.results.description'), '') AS company_overview,
+  CAST(round_even(coalesce(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.0), 0) AS BIGINT)
+    AS marketCap
+FROM events"""
+SQL["news_top3"] = with_(NEWS, top_cte()) + "SELECT * FROM top3"
+
+# ------------------------------------------------------------------ momentum
+
+_M = with_(bars_cte(), scored_cte())
+SQL["pct_change"] = _M + "SELECT symbol, date, close, percent FROM pct"
+SQL["start_end_percent"] = _M + "SELECT symbol, date, close, start_end_percent FROM scored"
+SQL["last_values"] = _M + "SELECT symbol, date, last_price, last_percent FROM scored"
+SQL["up_days"] = _M + f"SELECT symbol, date, close, percent FROM pct WHERE percent > {P.up_day_percent}"
+SQL["upside_counts"] = _M + f"""SELECT symbol, count(*) AS up_days FROM pct
+WHERE percent > {P.up_day_percent} GROUP BY symbol HAVING count(*) >= {P.min_up_days}"""
+SQL["repetitive_up_days"] = _M + f"""SELECT symbol, date, close, percent, up_days FROM scored
+WHERE percent > {P.up_day_percent} AND up_days >= {P.min_up_days}"""
+SQL["latest_day_screen"] = _M + f"""SELECT symbol, date, close, percent, last_price, last_percent,
+       start_end_percent FROM scored WHERE last_percent > {P.up_day_percent}"""
+SQL["distinct_symbols"] = with_(bars_cte(), scored_cte(), screen_cte()) + \
+    "SELECT DISTINCT symbol FROM screen"
+
+# ------------------------------------------------------------------ sectors / joins
+
+SURVIVORS = [bars_cte(), scored_cte(), screen_cte(), FUND,
+             "per_symbol AS (SELECT DISTINCT * FROM screen)",
+             f"""ov AS (SELECT * FROM fund WHERE symbol IN (SELECT symbol FROM per_symbol)
+                 AND coalesce(marketCap, 0) > {P.min_market_cap})""",
+             """sec AS (SELECT DISTINCT c_custkey AS symbol, c_mktsegment AS core_focus FROM customer
+                  WHERE c_custkey IN (SELECT symbol FROM ov))""",
+             """shared AS (SELECT core_focus FROM sec
+                  WHERE symbol IS NOT NULL AND core_focus IS NOT NULL
+                  GROUP BY core_focus HAVING count(DISTINCT symbol) >= 2)"""]
+
+
+def facts_cte(source: str = "shared") -> str:
+    return f"""facts AS (
+  SELECT core_focus,
+         'Companies selling mainly to the ' || lower(core_focus) || ' segment' AS core_focus_overview,
+         core_focus <> 'HOUSEHOLD' AS is_core_focus_future_potential,
+         'Demand in the ' || lower(core_focus) || ' segment keeps growing'
+           AS core_focus_future_potential_overview
+  FROM {source})"""
+
+
+ROWS = """rows AS (
+  SELECT sec.symbol, sec.core_focus, f.core_focus_overview, f.is_core_focus_future_potential,
+         f.core_focus_future_potential_overview, ov.company_overview, ov.marketCap,
+         p.last_price, p.last_percent, p.start_end_percent
+  FROM sec JOIN facts f ON sec.core_focus = f.core_focus
+  JOIN ov ON ov.symbol = sec.symbol JOIN per_symbol p ON p.symbol = sec.symbol
+  WHERE f.is_core_focus_future_potential = TRUE)"""
+
+NEWS_AGG = """news_agg AS (
+  SELECT symbol, string_agg(d, '***' ORDER BY r) AS news_data,
+         string_agg(s, '***' ORDER BY r) AS news_source
+  FROM (SELECT symbol, coalesce(news_data, 'no data') AS d,
+               coalesce(news_source, 'no data') AS s, min(news_rank) AS r
+        FROM top3 GROUP BY 1, 2, 3) q
+  GROUP BY symbol)"""
+
+SQL["sector_nunique"] = """SELECT s.core_focus, s.symbol, c.core_focus_count
+FROM (SELECT c_custkey AS symbol, c_mktsegment AS core_focus FROM customer) s
+JOIN (SELECT c_mktsegment AS core_focus, count(DISTINCT c_custkey) AS core_focus_count FROM customer
+      WHERE c_custkey IS NOT NULL AND c_mktsegment IS NOT NULL GROUP BY 1) c
+  ON s.core_focus = c.core_focus"""
+SQL["shared_sectors"] = with_(*SURVIVORS) + "SELECT core_focus FROM shared"
+SQL["future_sectors"] = with_("segs AS (SELECT DISTINCT c_mktsegment AS core_focus FROM customer)",
+                              facts_cte("segs")) + \
+    "SELECT * FROM facts WHERE is_core_focus_future_potential = TRUE"
+SQL["sector_join"] = with_(*SURVIVORS, facts_cte()) + """SELECT sec.core_focus, sec.symbol,
+  f.core_focus_overview, f.is_core_focus_future_potential, f.core_focus_future_potential_overview
+FROM sec JOIN facts f ON sec.core_focus = f.core_focus WHERE f.is_core_focus_future_potential = TRUE"""
+SQL["news_left_join"] = with_(*SURVIVORS, NEWS, top_cte(symbols="ov")) + f"""
+SELECT ov.symbol, coalesce(ov.company_overview, '{MISSING_TEXT}') AS company_overview, ov.marketCap,
+       t.news_rank, coalesce(t.news_data, '{MISSING_TEXT}') AS news_data,
+       coalesce(t.news_source, '{MISSING_TEXT}') AS news_source
+FROM ov LEFT JOIN top3 t ON ov.symbol = t.symbol"""
+SQL["enriched_rows"] = with_(*SURVIVORS, facts_cte(), ROWS) + "SELECT * FROM rows"
+SQL["news_concat"] = with_(NEWS, top_cte(), NEWS_AGG) + "SELECT * FROM news_agg"
+SQL["alert_report"] = with_(*SURVIVORS, facts_cte(), ROWS, NEWS, top_cte(symbols="ov"), NEWS_AGG) + f"""
+SELECT r.symbol, coalesce(n.news_source, '{MISSING_TEXT}') AS news_source,
+       coalesce(n.news_data, '{MISSING_TEXT}') AS news_data, r.core_focus,
+       r.core_focus_overview, r.is_core_focus_future_potential,
+       r.core_focus_future_potential_overview, r.company_overview, r.marketCap,
+       r.last_price, r.last_percent, r.start_end_percent
+FROM rows r LEFT JOIN news_agg n ON r.symbol = n.symbol"""
+SQL["fundamentals_lookup"] = with_(*SURVIVORS) + "SELECT * FROM ov"

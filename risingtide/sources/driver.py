@@ -101,3 +101,21 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
                    ).alias("published"),
         F.nullif(F.regexp_extract("html", TITLE_PATTERN, 1), F.lit("")).alias("title"),
         F.col("url").alias("article_url"))
+
+
+# Stand-in for the model's sector description: fixed text per segment and a
+# fixed flag rule (every segment but HOUSEHOLD is "future potential").
+NOT_FUTURE_SEGMENT = "HOUSEHOLD"
+
+
+def sector_facts(shared: DataFrame) -> DataFrame:
+    """``(core_focus, core_focus_overview, is_core_focus_future_potential,
+    core_focus_future_potential_overview)`` for the given sectors."""
+    seg = F.lower(F.col("core_focus"))
+    return shared.select(
+        "core_focus",
+        F.concat(F.lit("Companies selling mainly to the "), seg, F.lit(" segment")
+                 ).alias("core_focus_overview"),
+        (F.col("core_focus") != F.lit(NOT_FUTURE_SEGMENT)).alias("is_core_focus_future_potential"),
+        F.concat(F.lit("Demand in the "), seg, F.lit(" segment keeps growing")
+                 ).alias("core_focus_future_potential_overview"))
