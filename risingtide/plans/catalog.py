@@ -204,3 +204,144 @@ def q_alert_report(spark, sf):
         driver.prices(spark, sf, P),
         lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)),
         driver.sectors(spark, sf), driver.news(spark, sf), driver.sector_facts, P)
+
+
+# ---------------------------------------------------------------- text, inference, labels
+
+from pyspark.sql import types as T  # noqa: E402
+
+from risingtide.functions.text import JSON_ARRAY_PATTERN  # noqa: E402,F401
+from risingtide.operators import inference, labels, localize, report  # noqa: E402
+from risingtide.session import checkpoint_dir  # noqa: E402
+from risingtide.sources import records, sinks  # noqa: E402
+
+REPLY_BATCH = 100  # records per model call in the SQL-checked bindings
+
+
+@register("bad_record_split")
+def q_bad_record_split(spark, sf):
+    ev = driver.table(spark, sf, "events").select(
+        F.lit("events").alias("source"), F.col("event_id").alias("record_id"),
+        F.lit(0).cast("bigint").alias("part"), F.col("props").alias("body"))
+    conv = driver.table(spark, sf, "conversations").select(
+        F.lit("conversations").alias("source"), F.col("conv_id").alias("record_id"),
+        F.col("turn").alias("part"), F.col("text").alias("body"))
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    return records.tag_bad_records(ev.unionByName(conv), "body", schema)
+
+
+@register("classify_batches")
+def q_classify_batches(spark, sf):
+    docs = driver.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("symbol"), "text")
+    rows, _ = inference.classify(docs)
+    return rows
+
+
+@register("prompt_batches")
+def q_prompt_batches(spark, sf):
+    fund = lookups.cap_filter(lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), P)
+    # symbols are unique, so an integer range of REPLY_BATCH keys bounds a batch
+    b = fund.withColumn("batch_id", F.floor(F.col("symbol") / REPLY_BATCH).cast("bigint"))
+    return inference.prompt_documents(b, ["batch_id"], ["symbol", "company_overview"], "symbol")
+
+
+def _sector_replies(spark, sf):
+    """Model-like replies for the sector labels: JSON arrays inside free text,
+    one per batch of customers, plus conversation turns as replies that hold
+    no array at all."""
+    sec = driver.sectors(spark, sf).withColumn(
+        "batch_id", F.floor(F.col("symbol") / REPLY_BATCH).cast("bigint"))
+    good = (sec.groupBy("batch_id")
+            .agg(F.to_json(F.collect_list(F.struct("symbol", "core_focus"))).alias("arr"))
+            .select(F.col("batch_id").cast("string").alias("batch_key"),
+                    F.concat(F.lit("Sure. Here are the labels:\n"), F.col("arr"),
+                             F.lit("\nLet me know [if] you need more.")).alias("reply")))
+    noise = driver.table(spark, sf, "conversations").select(
+        F.concat_ws(":", "conv_id", "turn").alias("batch_key"), F.col("text").alias("reply"))
+    return good.unionByName(noise)
+
+
+@register("extract_json_array")
+def q_extract_json_array(spark, sf):
+    rows, _ = inference.parse_replies(_sector_replies(spark, sf), inference.SECTOR_ELEMENT)
+    return rows
+
+
+def _words(spark, sf):
+    """Every word of every document (whole texts), punctuation stripped."""
+    d = driver.table(spark, sf, "documents").select("doc_id", "text")
+    w = d.select(F.explode(F.split(F.col("text"), r"\s+")).alias("w"))
+    return (w.select(F.regexp_replace("w", r"[.,;:!?()\"]", "").alias("core_focus"))
+            .where(F.col("core_focus") != ""))
+
+
+@register("canonical_labels")
+def q_canonical_labels(spark, sf):
+    return labels.canonical_label_map(_words(spark, sf))
+
+
+@register("label_quality")
+def q_label_quality(spark, sf):
+    c = driver.table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return labels.label_quality(c, "text").select("conv_id", "turn", "n_words", "within_limit")
+
+
+# ---------------------------------------------------------------- report
+
+def _alert(spark, sf):
+    return q_alert_report(spark, sf)
+
+
+@register("localize_report")
+def q_localize_report(spark, sf):
+    rows = _alert(spark, sf).select("symbol", "core_focus", "news_data", "news_source")
+    return localize.localize_with_map(
+        rows, {"core_focus": "core_focus_local", "news_data": "news_data_local"}, localize.HEBREW)
+
+
+@register("translate_groups")
+def q_translate_groups(spark, sf):
+    import pandas as pd
+
+    table = dict(localize.HEBREW)
+
+    def translate(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf.copy()
+        out["core_focus_local"] = out["core_focus"].map(lambda x: table.get(x, x))
+        out["news_data_local"] = out["news_data"].map(lambda x: table.get(x, x))
+        return out
+
+    rows = _alert(spark, sf).select("symbol", "core_focus", "news_data")
+    return inference.apply_per_group(
+        rows, "core_focus", "symbol", translate,
+        "symbol bigint, core_focus string, core_focus_local string, news_data_local string")
+
+
+@register("report_sections")
+def q_report_sections(spark, sf):
+    return report.report_sections(_alert(spark, sf), P.end_date)
+
+
+@register("report_items")
+def q_report_items(spark, sf):
+    return report.report_items(_alert(spark, sf))
+
+
+@register("report_html")
+def q_report_html(spark, sf):
+    return report.report_fragments(_alert(spark, sf), P.end_date)
+
+
+@register("report_write")
+def q_report_write(spark, sf):
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    sinks.write_report(report.report_fragments(_alert(spark, sf), P.end_date), path, P.end_date)
+    return sinks.read_report(spark, path)
+
+
+@register("run_status")
+def q_run_status(spark, sf):
+    return sinks.run_status(spark, _alert(spark, sf), P.end_date)

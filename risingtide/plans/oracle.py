@@ -209,3 +209,95 @@ SELECT r.symbol, coalesce(n.news_source, '{MISSING_TEXT}') AS news_source,
        r.last_price, r.last_percent, r.start_end_percent
 FROM rows r LEFT JOIN news_agg n ON r.symbol = n.symbol"""
 SQL["fundamentals_lookup"] = with_(*SURVIVORS) + "SELECT * FROM ov"
+
+# ------------------------------------------------------------------ text, labels, report
+
+SQL["bad_record_split"] = """
+SELECT 'events' AS source, event_id AS record_id, CAST(0 AS BIGINT) AS part,
+       CASE WHEN json_valid(props) AND json_type(props) = 'OBJECT' THEN 'ok' ELSE 'rejected' END AS status
+FROM events
+UNION ALL
+SELECT 'conversations', conv_id, turn,
+       CASE WHEN json_valid(text) AND json_type(text) = 'OBJECT' THEN 'ok' ELSE 'rejected' END
+FROM conversations"""
+SQL["prompt_batches"] = with_(FUND) + f"""
+SELECT CAST(floor(symbol / 100) AS BIGINT) AS batch_id, count(*) AS n_records,
+       to_json(list({{'symbol': symbol, 'company_overview': company_overview}} ORDER BY symbol))
+         AS document
+FROM fund WHERE coalesce(marketCap, 0) > {P.min_market_cap}
+GROUP BY 1"""
+SQL["extract_json_array"] = "SELECT c_custkey AS symbol, c_mktsegment AS core_focus FROM customer"
+SQL["canonical_labels"] = r"""WITH words AS (
+  SELECT regexp_replace(w, '[.,;:!?()"]', '', 'g') AS label
+  FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS w FROM documents) t),
+per_label AS (
+  SELECT label, count(*) AS label_count,
+         lower(regexp_replace(regexp_replace(trim(label), '\s*-\s*', '-', 'g'), '\s+', ' ', 'g')) AS k
+  FROM words WHERE label <> '' GROUP BY label),
+canon AS (SELECT k, arg_min(label, (-label_count, label)) AS canonical_label FROM per_label GROUP BY k)
+SELECT p.label, c.canonical_label, p.label_count FROM per_label p JOIN canon c ON p.k = c.k"""
+SQL["label_quality"] = r"""SELECT conv_id, turn, n_words, n_words <= 3 AS within_limit
+FROM (SELECT conv_id, turn,
+             CASE WHEN trim(text) = '' THEN 0
+                  ELSE len(regexp_split_to_array(trim(text), '\s+')) END AS n_words
+      FROM conversations) t"""
+
+_ALERT = with_(*SURVIVORS, facts_cte(), ROWS, NEWS, top_cte(symbols="ov"), NEWS_AGG) + \
+    f""", alert AS (
+SELECT r.symbol, coalesce(n.news_source, '{MISSING_TEXT}') AS news_source,
+       coalesce(n.news_data, '{MISSING_TEXT}') AS news_data, r.core_focus,
+       r.core_focus_overview, r.is_core_focus_future_potential,
+       r.core_focus_future_potential_overview, r.company_overview, r.marketCap,
+       r.last_price, r.last_percent, r.start_end_percent
+FROM rows r LEFT JOIN news_agg n ON r.symbol = n.symbol)
+"""
+_DICT = ("(VALUES ('AUTOMOBILE', 'רכב'), ('BUILDING', 'בנייה'), ('FURNITURE', 'ריהוט'), "
+         "('HOUSEHOLD', 'משק בית'), ('MACHINERY', 'מכונות'), ('no data', 'אין נתונים')) AS d(src, dst)")
+SQL["localize_report"] = _ALERT + f"""
+SELECT a.symbol, a.core_focus, a.news_data, a.news_source,
+       coalesce((SELECT dst FROM {_DICT} WHERE src = a.core_focus), a.core_focus) AS core_focus_local,
+       coalesce((SELECT dst FROM {_DICT} WHERE src = a.news_data), a.news_data) AS news_data_local
+FROM alert a"""
+SQL["report_sections"] = _ALERT + f"""
+SELECT core_focus, arg_min(core_focus_overview, symbol) AS core_focus_overview,
+       arg_min(is_core_focus_future_potential, symbol) AS is_core_focus_future_potential,
+       arg_min(core_focus_future_potential_overview, symbol) AS core_focus_future_potential_overview,
+       count(*) AS n_stocks, '{P.end_date.isoformat()}' AS report_date
+FROM alert GROUP BY core_focus"""
+_ITEMS = """, parts AS (
+  SELECT symbol, string_split(news_data, '***') AS ds, string_split(news_source, '***') AS ss FROM alert),
+pairs AS (
+  SELECT symbol, i, trim(ds[i]) AS d, trim(ss[i]) AS s
+  FROM parts, LATERAL (SELECT unnest(range(1, least(len(ds), len(ss)) + 1)) AS i) r),
+dedup AS (SELECT symbol, d, s, min(i) AS i FROM pairs GROUP BY symbol, d, s),
+news_html AS (
+  SELECT symbol, count(*) AS n_news,
+         string_agg('<li>' || d || ' (<a href=''' || s || '''>source</a>)</li>', '' ORDER BY i) AS news_html
+  FROM dedup GROUP BY symbol),
+items AS (
+  SELECT a.symbol, a.core_focus, a.company_overview, format('{:,}', a.marketCap) AS market_cap_text,
+         a.last_price, round(a.last_percent, 2) AS last_percent_2,
+         round(a.start_end_percent, 2) AS start_end_percent_2,
+         CAST(coalesce(h.n_news, 0) AS INTEGER) AS n_news, coalesce(h.news_html, '') AS news_html
+  FROM alert a LEFT JOIN news_html h ON a.symbol = h.symbol)
+"""
+SQL["report_items"] = _ALERT + _ITEMS + "SELECT * FROM items"
+
+
+def _num(x: str) -> str:
+    return f"coalesce(format('{{:,.2f}}', {x}), '{MISSING_TEXT}')"
+
+
+SQL["report_html"] = _ALERT + _ITEMS + f"""
+SELECT core_focus, 0 AS part, CAST(NULL AS BIGINT) AS symbol,
+       '<h2>' || core_focus || '</h2><p>' || arg_min(core_focus_overview, symbol) || '</p><p>' ||
+       arg_min(core_focus_future_potential_overview, symbol) || '</p>' AS html
+FROM alert GROUP BY core_focus
+UNION ALL
+SELECT core_focus, 1, symbol,
+       '<h3>' || CAST(symbol AS VARCHAR) || '</h3><p>Market cap: ' || market_cap_text || ' $</p>' ||
+       '<p>Price: ' || {_num('last_price')} || '$</p>' ||
+       '<p>Daily change: ' || {_num('last_percent_2')} || '%</p>' ||
+       '<p>Window change: ' || {_num('start_end_percent_2')} || '%</p>' ||
+       '<p>' || company_overview || '</p><ul>' || news_html || '</ul>'
+FROM items"""
