@@ -345,3 +345,28 @@ def q_report_write(spark, sf):
 @register("run_status")
 def q_run_status(spark, sf):
     return sinks.run_status(spark, _alert(spark, sf), P.end_date)
+
+
+# ---------------------------------------------------------------- streaming
+
+def _scratch(spark, name):
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+@register("stream_daily_bars")
+def q_stream_daily_bars(spark, sf):
+    from risingtide.streaming import daily
+
+    base = _scratch(spark, "stream_daily_bars")
+    daily.stream_daily_bars(spark, sf, f"{base}/out", P, f"{base}/chk")
+    return daily.read_stream_bars(spark, f"{base}/out")
+
+
+@register("stream_daily_screen")
+def q_stream_daily_screen(spark, sf):
+    from risingtide.streaming import daily
+
+    base = _scratch(spark, "stream_daily_screen")
+    return daily.incremental_screen(spark, sf, f"{base}/store", P, f"{base}/chk")

@@ -301,3 +301,6 @@ SELECT core_focus, 1, symbol,
        '<p>Window change: ' || {_num('start_end_percent_2')} || '%</p>' ||
        '<p>' || company_overview || '</p><ul>' || news_html || '</ul>'
 FROM items"""
+# The streaming queries produce the same rows as their batch counterparts.
+SQL["stream_daily_bars"] = SQL["price_window_scan"]
+SQL["stream_daily_screen"] = SQL["momentum_screen"]
