@@ -55,10 +55,12 @@ def news_per_symbol(news_top: DataFrame, sep: str = NEWS_SEPARATOR) -> DataFrame
 def enriched_rows(sectors: DataFrame, facts: DataFrame, overview: DataFrame,
                   screened_per_symbol: DataFrame) -> DataFrame:
     """JN2 + JN4 + JN5 + A5: one row per (symbol, future sector) with the
-    sector facts, the company overview and the screen values."""
+    sector facts, the company overview and the screen values.  ``overview``
+    and ``screened_per_symbol`` must have one row per symbol (the survivor
+    table guarantees it)."""
     sec = sectors.select("symbol", "core_focus").distinct()
     return (sector_join(sec, facts.distinct())
-            .join(overview.select("symbol", "company_overview", "marketCap").distinct(), "symbol")
+            .join(overview.select("symbol", "company_overview", "marketCap"), "symbol")
             .join(screened_per_symbol, "symbol"))
 
 

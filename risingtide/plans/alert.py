@@ -1,11 +1,16 @@
 """The flagship composite: screen -> lookups -> sectors -> one row per stock.
 
-Physical plan (see ``tests/test_plans.py``): one Exchange on ``symbol`` for
-the bar windows, reused by the per-symbol distinct; fundamentals and news
-are semi-joined with the survivor set, which AQE broadcasts at run time
+Plan shape: the bar screen is the only large input.  It runs once -- one
+Exchange on ``symbol`` for all bar windows, plus the partial-aggregated
+tick roll-up before it -- and its per-symbol result is joined with the
+fundamentals and cap-filtered into the *survivor* table, which has at most
+one row per symbol.  That table is materialised (reliable checkpoint in
+``spark.checkpoint.dir``) because four branches use it: sector lookup,
+shared-sector counts, news lookup and the final join.  Without it every
+branch would re-scan and re-window the bars.  Every other input is
+semi-joined with the survivors first, so AQE broadcasts the survivor side
 when its measured size is under the threshold; sector counts shuffle by
-(sector, symbol) then by sector with partial counts, so a hot sector is
-spread out.
+(sector, symbol) and then by sector with partial counts.
 """
 
 from __future__ import annotations
@@ -17,12 +22,27 @@ from pyspark.sql import DataFrame
 from risingtide.operators import enrich, momentum
 from risingtide.operators import sectors as sector_ops
 from risingtide.params import ScreenParams
+from risingtide.session import broadcast_if_small, materialize
 from risingtide.sources import lookups
 
 
+def survivors(prices: DataFrame, fundamentals: DataFrame, params: ScreenParams,
+              checkpoint: bool = True) -> DataFrame:
+    """Screened symbols whose market cap passes, one row per symbol:
+    ``(symbol, company_overview, marketCap, last_price, last_percent,
+    start_end_percent)``.
+
+    ``fundamentals`` is keyed by symbol and the per-symbol screen is
+    distinct, so the inner join equals the reference's lookup-then-merge.
+    """
+    per_symbol = momentum.screened_symbols(momentum.momentum_screen(prices, params))
+    out = lookups.cap_filter(fundamentals.join(per_symbol, "symbol"), params).dropDuplicates()
+    return materialize(out) if checkpoint else out
+
+
 def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
                  news: DataFrame, facts_for: Callable[[DataFrame], DataFrame],
-                 params: ScreenParams) -> DataFrame:
+                 params: ScreenParams, checkpoint: bool = True) -> DataFrame:
     """One row per screened stock in a shared, future-potential sector.
 
     ``fundamentals`` is ``(symbol, company_overview, marketCap)``;
@@ -31,11 +51,16 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
     sector describer); ``news`` is ``(symbol, article_id, published, title,
     article_url)``.
     """
-    per_symbol = momentum.screened_symbols(momentum.momentum_screen(prices, params))
-    overview = lookups.fundamentals_lookup(fundamentals, per_symbol, params)
-    kept = overview.select("symbol")
+    surv = survivors(prices, fundamentals, params, checkpoint)
+    kept = surv.select("symbol")
+    if checkpoint:
+        # size-checked static broadcast: the large sector and news tables are
+        # filtered map-side without being shuffled
+        kept = broadcast_if_small(kept)
     sec = sectors.join(kept, "symbol", "left_semi")
     facts = facts_for(sector_ops.shared_sectors(sec))
     news_top = lookups.news_top(news, params, symbols=kept)
-    rows = enrich.enriched_rows(sec, facts, overview, per_symbol)
+    rows = enrich.enriched_rows(
+        sec, facts, surv.select("symbol", "company_overview", "marketCap"),
+        surv.select("symbol", *momentum.SCREEN_COLUMNS[1:]))
     return enrich.alert_rows(rows, news_top)

@@ -147,12 +147,14 @@ def q_distinct_symbols(spark, sf):
 # ---------------------------------------------------------------- sectors / joins
 
 def _survivor_inputs(spark, sf):
-    """(per-symbol screen, cap-passing overview, their sectors)."""
-    per_symbol = momentum.screened_symbols(
-        momentum.momentum_screen(driver.prices(spark, sf, P), P))
-    overview = lookups.fundamentals_lookup(
-        lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), per_symbol, P)
-    sec = driver.sectors(spark, sf).join(overview.select("symbol"), "symbol", "left_semi")
+    """(per-symbol screen, cap-passing overview, their sectors), all from one
+    materialised survivor table."""
+    surv = alert.survivors(driver.prices(spark, sf, P),
+                           lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), P)
+    per_symbol = surv.select("symbol", *momentum.SCREEN_COLUMNS[1:])
+    overview = surv.select("symbol", "company_overview", "marketCap")
+    kept = broadcast_if_small(overview.select("symbol"))
+    sec = driver.sectors(spark, sf).join(kept, "symbol", "left_semi")
     return per_symbol, overview, sec
 
 
@@ -182,7 +184,8 @@ def q_sector_join(spark, sf):
 @register("news_left_join")
 def q_news_left_join(spark, sf):
     _, overview, _ = _survivor_inputs(spark, sf)
-    top = lookups.news_top(driver.news(spark, sf), P, symbols=overview.select("symbol"))
+    top = lookups.news_top(driver.news(spark, sf), P,
+                           symbols=broadcast_if_small(overview.select("symbol")))
     return enrich.news_left_join(overview, top)
 
 
@@ -212,7 +215,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from risingtide.functions.text import JSON_ARRAY_PATTERN  # noqa: E402,F401
 from risingtide.operators import inference, labels, localize, report  # noqa: E402
-from risingtide.session import checkpoint_dir  # noqa: E402
+from risingtide.session import broadcast_if_small, checkpoint_dir, materialize  # noqa: E402
 from risingtide.sources import records, sinks  # noqa: E402
 
 REPLY_BATCH = 100  # records per model call in the SQL-checked bindings
@@ -269,10 +272,11 @@ def q_extract_json_array(spark, sf):
 
 
 def _words(spark, sf):
-    """Every word of every document (whole texts), punctuation stripped."""
-    d = driver.table(spark, sf, "documents").select("doc_id", "text")
-    w = d.select(F.explode(F.split(F.col("text"), r"\s+")).alias("w"))
-    return (w.select(F.regexp_replace("w", r"[.,;:!?()\"]", "").alias("core_focus"))
+    """Every word of every document (whole texts), punctuation stripped --
+    one regex pass per text, then a split on blanks."""
+    d = driver.table(spark, sf, "documents").select("text")
+    clean = F.regexp_replace(F.col("text"), r"[.,;:!?()\"]", "")
+    return (d.select(F.explode(F.split(clean, r"\s+")).alias("core_focus"))
             .where(F.col("core_focus") != ""))
 
 
@@ -290,7 +294,9 @@ def q_label_quality(spark, sf):
 # ---------------------------------------------------------------- report
 
 def _alert(spark, sf):
-    return q_alert_report(spark, sf)
+    """The alert rows, materialised: the report queries read them twice
+    (sector sections and stock items) and they are one row per stock."""
+    return materialize(q_alert_report(spark, sf))
 
 
 @register("localize_report")

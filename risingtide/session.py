@@ -64,3 +64,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="risingtide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def materialize(df):
+    """Cut lineage of a small, reused intermediate result: a reliable
+    checkpoint written to the shared ``spark.checkpoint.dir``.  Downstream
+    plans read it instead of recomputing the upstream scan, and a lost
+    executor does not force a recomputation either."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+# A key-only side up to this many rows is broadcast (8-byte keys: ~16 MB).
+BROADCAST_MAX_KEYS = 2_000_000
+
+
+def broadcast_if_small(keys, max_rows: int = BROADCAST_MAX_KEYS):
+    """Broadcast hint for ``keys`` only after checking its row count.
+
+    Meant for materialised (checkpointed) key sets, where ``count`` just
+    reads the checkpoint files.  Above the bound the frame is returned as
+    is and Spark plans a shuffle join (AQE may still switch at run time).
+    """
+    from pyspark.sql import functions as F
+
+    return F.broadcast(keys) if keys.count() <= max_rows else keys
