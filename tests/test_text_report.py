@@ -1,0 +1,95 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from risingtide.functions import text
+from risingtide.operators import inference, labels, localize, report
+
+
+def one(spark, expr, value, ddl="x string"):
+    return spark.createDataFrame([(value,)], ddl).select(expr.alias("v")).first().v
+
+
+def test_extract_json_array(spark):
+    assert one(spark, text.extract_json_array(F.col("x")), 'a [1, [2]] b ] c') == '[1, [2]] b ]'
+    assert one(spark, text.extract_json_array(F.col("x")), "no array") is None
+    parsed = one(spark, text.parse_json_rows(F.col("x"), "symbol bigint, core_focus string"),
+                 'Sure!\n[{"symbol": 1, "core_focus": "ai"}]\nbye')
+    assert [(r.symbol, r.core_focus) for r in parsed] == [(1, "ai")]
+    assert one(spark, text.parse_json_rows(F.col("x"), "a int"), "[{bad json}]") is None
+
+
+def test_split_and_zip(spark):
+    assert one(spark, text.split_joined(F.col("x")), " a *** b***c ") == ["a", "b", "c"]
+    z = one(spark, text.zip_shortest(F.split(F.col("x"), ","), F.split(F.lit("1,2"), ","),
+                                     "d", "s"), "a,b,c")
+    assert [(p.d, p.s) for p in z] == [("a", "1"), ("b", "2")]
+    z0 = one(spark, text.zip_shortest(F.array().cast("array<string>"),
+                                      F.split(F.col("x"), ","), "d", "s"), "a")
+    assert z0 == []
+
+
+def test_label_canonicalisation(spark):
+    df = spark.createDataFrame(
+        [("Nuclear Energy",), ("nuclear energy",), ("nuclear  energy ",), ("Nuclear Energy",),
+         ("Semi - Conductors",), ("semi-conductors",), ("Solar",)], "core_focus string")
+    m = {r.label: r.canonical_label for r in labels.canonical_label_map(df).collect()}
+    assert m["nuclear energy"] == "Nuclear Energy" and m["nuclear  energy "] == "Nuclear Energy"
+    assert m["Semi - Conductors"] == m["semi-conductors"] == "Semi - Conductors"
+    assert m["Solar"] == "Solar"
+    fixed = {r.core_focus for r in labels.canonicalize(df).collect()}
+    assert fixed == {"Nuclear Energy", "Semi - Conductors", "Solar"}
+    q = {r.core_focus: r.within_limit for r in labels.label_quality(df, "core_focus").collect()}
+    assert q["Semi - Conductors"] is True  # 3 words
+
+
+def test_localize(spark):
+    df = spark.createDataFrame([("MACHINERY", "no data"), ("OTHER", "x")], "a string, b string")
+    out = localize.localize_with_map(df, {"a": "a_l", "b": "b_l"}, localize.HEBREW).collect()
+    assert out[0].a_l == localize.HEBREW["MACHINERY"] and out[0].b_l == localize.HEBREW["no data"]
+    assert out[1].a_l == "OTHER" and out[1].b_l == "x"
+    d = spark.createDataFrame(list(localize.HEBREW.items()), "source_text string, target_text string")
+    out2 = localize.localize_with_table(df, {"a": "a_l"}, d).orderBy("a").collect()
+    assert [r.a_l for r in out2] == [localize.HEBREW["MACHINERY"], "OTHER"]
+
+
+def alert_frame(spark):
+    return spark.createDataFrame(
+        [(2, "u1***u1***u2", "t1***t1***t2", "ai", "o2", True, "p2", "co2", 1234567, 10.5, 6.127, 25.0),
+         (1, "no data", "no data", "ai", "o1", True, "p1", "co1", 5000, 3.0, None, 21.5),
+         (3, "u", "t", "ev", "o3", True, "p3", "co3", 2000, 1.0, 7.0, 30.0)],
+        "symbol bigint, news_source string, news_data string, core_focus string, "
+        "core_focus_overview string, is_core_focus_future_potential boolean, "
+        "core_focus_future_potential_overview string, company_overview string, marketCap bigint, "
+        "last_price double, last_percent double, start_end_percent double")
+
+
+def test_report(spark):
+    rows = alert_frame(spark)
+    sec = {r.core_focus: r for r in report.report_sections(rows, dt.date(2024, 1, 30)).collect()}
+    assert sec["ai"].core_focus_overview == "o1" and sec["ai"].n_stocks == 2
+    assert sec["ai"].report_date == "2024-01-30"
+    items = {r.symbol: r for r in report.report_items(rows).collect()}
+    assert items[2].market_cap_text == "1,234,567" and items[2].n_news == 2
+    assert items[2].news_html.count("<li>") == 2 and "t2 (<a href='u2'>" in items[2].news_html
+    assert items[2].last_percent_2 == 6.13
+    frags = report.report_fragments(rows, dt.date(2024, 1, 30)).orderBy("core_focus", "part", "symbol")
+    parts = [(r.core_focus, r.part, r.symbol) for r in frags.collect()]
+    assert parts == [("ai", 0, None), ("ai", 1, 1), ("ai", 1, 2), ("ev", 0, None), ("ev", 1, 3)]
+
+
+def test_inference_batches(spark):
+    docs = spark.createDataFrame([(i, f"Word{i} alpha beta") for i in range(50)],
+                                 "symbol bigint, text string")
+    rows, rejects = inference.classify(docs)
+    got = {r.symbol: r.core_focus for r in rows.collect()}
+    assert len(got) == 50 and got[7] == "word" and rejects.count() == 0
+    grp = docs.withColumn("g", F.when(F.col("symbol") < 45, "hot").otherwise("cold"))
+    b = inference.bounded_batches(grp, "symbol", 10, ["g"])
+    sizes = b.groupBy("g", "batch_id").count().collect()
+    assert max(r["count"] for r in sizes) <= 10 and sum(r["count"] for r in sizes) == 50
+    out = inference.apply_per_group(grp, "g", "symbol", lambda pdf: pdf.assign(n=len(pdf)),
+                                    "symbol bigint, g string, n long", max_rows=10)
+    assert out.count() == 50 and max(r.n for r in out.collect()) <= 10
+    facts, _ = inference.describe_sectors(spark.createDataFrame([("ai",)], "core_focus string"))
+    assert facts.first().is_core_focus_future_potential is True
