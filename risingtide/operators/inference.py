@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -38,13 +39,15 @@ _WORD = re.compile(r"[^\W\d_]{4,}")
 
 
 def keyword_sector_predict(records: list[dict]) -> str:
-    """Default classifier: the sector of a record is the first word of four
-    or more letters in its text, lower-cased (``"other"`` if none).  Returns
-    a model-like reply with the JSON array inside free text."""
+    """Default classifier: the sector of a record is the most frequent word
+    of four or more letters in its whole text, lower-cased, ties to the
+    alphabetically smallest (``"other"`` if none).  Returns a model-like
+    reply with the JSON array inside free text."""
     out = []
     for r in records:
-        m = _WORD.search(str(r.get("text") or ""))
-        out.append({"symbol": r["symbol"], "core_focus": m.group(0).lower() if m else "other"})
+        counts = Counter(w.lower() for w in _WORD.findall(str(r.get("text") or "")))
+        label = min(counts.items(), key=lambda kv: (-kv[1], kv[0]))[0] if counts else "other"
+        out.append({"symbol": r["symbol"], "core_focus": label})
     return "Here is the result:\n" + json.dumps(out, ensure_ascii=False) + "\nDone."
 
 

@@ -64,3 +64,32 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
         sec, facts, surv.select("symbol", "company_overview", "marketCap"),
         surv.select("symbol", *momentum.SCREEN_COLUMNS[1:]))
     return enrich.alert_rows(rows, news_top)
+
+
+def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame, news: DataFrame,
+                          params: ScreenParams, classify_predict=None, describe_predict=None
+                          ) -> DataFrame:
+    """The reference's own flow: the sector of each survivor comes from the
+    classifier (U1) over its company overview, labels are canonicalised
+    (T2), shared sectors are described by a second model call (U1), then
+    the same joins as ``alert_report``.  Replies that do not parse are
+    dropped (see ``inference.parse_replies`` for the reject frame)."""
+    from risingtide.operators import inference, labels
+
+    surv = survivors(prices, fundamentals, params, checkpoint=True)
+    kept = broadcast_if_small(surv.select("symbol"))
+    cls_kw = {"predict": classify_predict} if classify_predict else {}
+    sec, _ = inference.classify(surv, key="symbol", text="company_overview", **cls_kw)
+    sec = materialize(labels.canonicalize(sec))
+
+    def facts_for(shared: DataFrame) -> DataFrame:
+        kw = {"predict": describe_predict} if describe_predict else {}
+        facts, _ = inference.describe_sectors(shared, **kw)
+        return facts
+
+    facts = facts_for(sector_ops.shared_sectors(sec))
+    news_top = lookups.news_top(news, params, symbols=kept)
+    rows = enrich.enriched_rows(
+        sec, facts, surv.select("symbol", "company_overview", "marketCap"),
+        surv.select("symbol", *momentum.SCREEN_COLUMNS[1:]))
+    return enrich.alert_rows(rows, news_top)

@@ -376,3 +376,24 @@ def q_stream_daily_screen(spark, sf):
 
     base = _scratch(spark, "stream_daily_screen")
     return daily.incremental_screen(spark, sf, f"{base}/store", P, f"{base}/chk")
+
+
+# ---------------------------------------------------------------- model-driven flow
+
+@register("alert_report_inferred")
+def q_alert_report_inferred(spark, sf):
+    """Sectors from the (default, keyword) classifier over each survivor's
+    company text -- the document with the symbol's id -- instead of the
+    bound segment column."""
+    docs = driver.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("symbol"), F.col("text").alias("description"))
+    raw = driver.fundamentals_raw(spark, sf).drop("description").join(docs, "symbol", "left")
+    return alert.alert_report_inferred(driver.prices(spark, sf, P),
+                                       lookups.fundamentals_table(raw), driver.news(spark, sf), P)
+
+
+@register("daily_job_status")
+def q_daily_job_status(spark, sf):
+    from risingtide.plans import job
+
+    return job.run_daily(spark, sf, _scratch(spark, "daily_job"), P)
