@@ -10,7 +10,7 @@ group-bys with partial aggregation; no pairwise comparison of labels.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from risingtide.functions.text import label_key, word_count
@@ -20,15 +20,19 @@ MAX_LABEL_WORDS = 3  # "core focus in at most 3 words"
 
 def canonical_label_map(labels: DataFrame, col: str = "core_focus") -> DataFrame:
     """``(label, canonical_label, label_count)``: one row per distinct raw
-    label."""
+    label.
+
+    Counts per label are a partial aggregate (a frequent label is combined
+    map-side); the canonical spelling is then a window over the key, whose
+    partitions hold only the spellings of one key -- a handful of rows.
+    """
     per_label = (labels.where(F.col(col).isNotNull())
                  .groupBy(F.col(col).alias("label"))
-                 .agg(F.count(F.lit(1)).alias("label_count"))
-                 .withColumn("_key", label_key(F.col("label"))))
-    canon = (per_label.groupBy("_key")
-             .agg(F.min_by("label", F.struct((-F.col("label_count")).alias("c"),
-                                             F.col("label").alias("l"))).alias("canonical_label")))
-    return per_label.join(canon, "_key").select("label", "canonical_label", "label_count")
+                 .agg(F.count(F.lit(1)).alias("label_count")))
+    w = Window.partitionBy(label_key(F.col("label")))
+    best = F.min_by(F.col("label"), F.struct((-F.col("label_count")).alias("c"),
+                                             F.col("label").alias("l")))
+    return per_label.select("label", best.over(w).alias("canonical_label"), "label_count")
 
 
 def canonicalize(df: DataFrame, col: str = "core_focus") -> DataFrame:
