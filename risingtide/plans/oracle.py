@@ -53,7 +53,7 @@ scored AS (
   FROM (SELECT *, first_value(close) OVER w AS first_close,
                last_value(close) OVER w AS last_price,
                last_value(percent) OVER w AS last_percent,
-               count_if(percent > {p.up_day_percent}) OVER w AS up_days
+               CAST(count_if(percent > {p.up_day_percent}) OVER w AS BIGINT) AS up_days
         FROM pct
         WINDOW w AS (PARTITION BY symbol ORDER BY date
                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) s)"""
@@ -222,8 +222,8 @@ SELECT 'conversations', conv_id, turn,
 FROM conversations"""
 SQL["prompt_batches"] = with_(FUND) + f"""
 SELECT CAST(floor(symbol / 100) AS BIGINT) AS batch_id, count(*) AS n_records,
-       to_json(list({{'symbol': symbol, 'company_overview': company_overview}} ORDER BY symbol))
-         AS document
+       CAST(to_json(list({{'symbol': symbol, 'company_overview': company_overview}}
+                          ORDER BY symbol)) AS VARCHAR) AS document
 FROM fund WHERE coalesce(marketCap, 0) > {P.min_market_cap}
 GROUP BY 1"""
 SQL["extract_json_array"] = "SELECT c_custkey AS symbol, c_mktsegment AS core_focus FROM customer"
@@ -238,8 +238,8 @@ canon AS (SELECT k, arg_min(label, (-label_count, label)) AS canonical_label FRO
 SELECT p.label, c.canonical_label, p.label_count FROM per_label p JOIN canon c ON p.k = c.k"""
 SQL["label_quality"] = r"""SELECT conv_id, turn, n_words, n_words <= 3 AS within_limit
 FROM (SELECT conv_id, turn,
-             CASE WHEN trim(text) = '' THEN 0
-                  ELSE len(regexp_split_to_array(trim(text), '\s+')) END AS n_words
+             CAST(CASE WHEN trim(text) = '' THEN 0
+                       ELSE len(regexp_split_to_array(trim(text), '\s+')) END AS INTEGER) AS n_words
       FROM conversations) t"""
 
 _ALERT = with_(*SURVIVORS, facts_cte(), ROWS, NEWS, top_cte(symbols="ov"), NEWS_AGG) + \
