@@ -12,12 +12,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from risingtide.operators import enrich, momentum
+from risingtide.operators import enrich, inference, labels, localize, momentum, report
 from risingtide.operators import sectors as sector_ops
 from risingtide.params import DRIVER_PARAMS as P
 from risingtide.plans import alert
-from risingtide.sources import bars, driver, lookups
+from risingtide.session import broadcast_if_small, checkpoint_dir, materialize
+from risingtide.sources import bars, driver, lookups, records, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -211,13 +213,6 @@ def q_alert_report(spark, sf):
 
 # ---------------------------------------------------------------- text, inference, labels
 
-from pyspark.sql import types as T  # noqa: E402
-
-from risingtide.functions.text import JSON_ARRAY_PATTERN  # noqa: E402,F401
-from risingtide.operators import inference, labels, localize, report  # noqa: E402
-from risingtide.session import broadcast_if_small, checkpoint_dir, materialize  # noqa: E402
-from risingtide.sources import records, sinks  # noqa: E402
-
 REPLY_BATCH = 100  # records per model call in the SQL-checked bindings
 
 

@@ -21,11 +21,10 @@ STATUS_SCHEMA = "run_date string, status string, message string, n_rows bigint"
 
 
 def write_report(fragments: DataFrame, path: str, run_date: _dt.date, fmt: str = "json") -> None:
-    spark = fragments.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (fragments.withColumn("run_date", F.lit(run_date.isoformat()))
      .orderBy("core_focus", "part", "symbol")
-     .write.mode("overwrite").partitionBy("run_date").format(fmt).save(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date").format(fmt).save(path))
 
 
 def read_report(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

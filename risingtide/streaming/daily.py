@@ -102,8 +102,8 @@ def merge_into_store(batch: DataFrame, store_path: str) -> None:
               .select("symbol", F.col("b.close").alias("close"), F.col("b.last_ts").alias("last_ts"),
                       "date")
               .checkpoint(eager=True))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    merged.write.mode("overwrite").partitionBy("date").parquet(store_path)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(store_path))
 
 
 def incremental_screen(spark: SparkSession, folder: str, store_path: str, params: ScreenParams,
