@@ -103,29 +103,35 @@ def prompt_documents(df: DataFrame, batch_cols: list[str], record_cols: list[str
                  F.to_json(F.array_sort(F.collect_list(rec))).alias("document")))
 
 
-def call_model(df: DataFrame, predict: Predictor, batch_col: str | None = None) -> DataFrame:
+MAX_RECORDS_PER_CALL = 100
+
+
+def call_model(df: DataFrame, predict: Predictor, batch_col: str | None = None,
+               max_records: int = MAX_RECORDS_PER_CALL) -> DataFrame:
     """One ``predict`` call per batch of records, inside Python workers.
 
-    Without ``batch_col`` a batch is one Arrow record batch of a partition
-    (at most ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows); with it,
-    rows are grouped by that (bounded) column.  Output:
+    Without ``batch_col`` the records of each Arrow batch of a partition are
+    cut into calls of at most ``max_records``; with it, rows are grouped by
+    that (already bounded) column and each group is one call.  Output:
     ``(batch_key, n_records, reply)``.
     """
     cols = df.columns
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        recs = pdf[cols].to_dict("records")
-        key = str(pdf[batch_col].iloc[0]) if batch_col else ""
-        return pd.DataFrame({"batch_key": [key], "n_records": [len(recs)],
-                             "reply": [predict(recs)]})
+    def reply(recs: list[dict], key: str) -> dict:
+        return {"batch_key": key, "n_records": len(recs), "reply": predict(recs)}
 
     if batch_col:
-        return df.groupBy(batch_col).applyInPandas(run, REPLY_SCHEMA)
+        def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame([reply(pdf[cols].to_dict("records"),
+                                       str(pdf[batch_col].iloc[0]))])
+        return df.groupBy(batch_col).applyInPandas(per_group, REPLY_SCHEMA)
 
     def per_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            if len(pdf):
-                yield run(pdf)
+            recs = pdf[cols].to_dict("records")
+            out = [reply(recs[i:i + max_records], "") for i in range(0, len(recs), max_records)]
+            if out:
+                yield pd.DataFrame(out)
 
     return df.mapInPandas(per_partition, REPLY_SCHEMA)
 

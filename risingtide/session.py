@@ -23,6 +23,23 @@ SQL_CONF = {
 }
 
 
+# Starting point for the target cluster (~100 TB of ticks, 1000 executors).
+# The largest shuffle is the partial tick -> daily bar aggregate; at 256 MB per
+# partition it needs on the order of 16k partitions, and AQE coalesces the
+# later, much smaller stages (bars in the window, survivors, reports) down
+# to the advisory size.  Input splits of 256 MB keep scan tasks in the low
+# hundreds of thousands.  Set spark.checkpoint.dir to a shared folder.
+CLUSTER_CONF = {
+    **SQL_CONF,
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "risingtide") -> SparkSession:
     builder = (
