@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from risingtide.functions.text import parse_json_rows
+from risingtide.session import checked_broadcast
 
 Predictor = Callable[[list[dict]], str]
 
@@ -68,7 +69,8 @@ def bounded_batches(df: DataFrame, key: str, max_rows: int,
     ``max_rows`` rows, without a global sort and without a window over a
     whole group.
 
-    1. per-group row counts (partial aggregate, tiny result);
+    1. per-group row counts (partial aggregate, tiny result), materialised
+       and broadcast after a size check, so no group is shuffled whole;
     2. ``bucket = pmod(xxhash64(key), ceil(n / max_rows))`` spreads a group
        over about ``n / max_rows`` buckets, so a hot group is split;
     3. ``row_number`` inside (group, bucket) -- a partition of about
@@ -79,7 +81,7 @@ def bounded_batches(df: DataFrame, key: str, max_rows: int,
     if not groups:
         raise ValueError("bounded_batches needs group columns; without groups use "
                          "call_model's Arrow batches, which are bounded already")
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    counts = checked_broadcast(df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")))
     joined = df.join(counts, groups, "inner")
     nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_rows))).cast("long")
     with_bucket = joined.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), nb))

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from risingtide.session import checked_broadcast
+
 FACT_COLUMNS = ["core_focus_overview", "is_core_focus_future_potential",
                 "core_focus_future_potential_overview"]
 
@@ -30,11 +32,12 @@ def sector_member_counts(sectors: DataFrame) -> DataFrame:
 def sector_nunique(sectors: DataFrame) -> DataFrame:
     """Every row with the distinct-symbol count of its sector.
 
-    The counts side has one row per sector; AQE broadcasts it when the
-    measured size is under the threshold, otherwise skew-join handling
-    splits a hot sector's partition.
+    The counts have one row per sector.  They are materialised and, after a
+    row-count check, broadcast, so the rows of a hot sector are never
+    shuffled to one task; above the bound a shuffle join (with AQE skew
+    splitting) remains.
     """
-    return sectors.join(sector_member_counts(sectors), "core_focus")
+    return sectors.join(checked_broadcast(sector_member_counts(sectors)), "core_focus")
 
 
 def shared_sectors(sectors: DataFrame, min_members: int = 2) -> DataFrame:

@@ -109,3 +109,19 @@ def broadcast_if_small(keys, max_rows: int = BROADCAST_MAX_KEYS):
     from pyspark.sql import functions as F
 
     return F.broadcast(keys) if keys.count() <= max_rows else keys
+
+
+# A materialised per-group table (key + a few numbers) up to this many rows
+# is broadcast.
+BROADCAST_MAX_GROUPS = 1_000_000
+
+
+def checked_broadcast(df, max_rows: int = BROADCAST_MAX_GROUPS):
+    """Materialise a small derived table (e.g. per-group counts) and
+    broadcast it when its row count is within ``max_rows``.
+
+    Joining such a table back to a large one on a group key would otherwise
+    be planned as a shuffle join, which sends every row of a hot group to
+    one task; the broadcast keeps the large side where it is.
+    """
+    return broadcast_if_small(materialize(df), max_rows)
