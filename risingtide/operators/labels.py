@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from risingtide.functions.text import label_key, word_count
+from risingtide.session import checked_broadcast
 
 MAX_LABEL_WORDS = 3  # "core focus in at most 3 words"
 
@@ -36,8 +37,11 @@ def canonical_label_map(labels: DataFrame, col: str = "core_focus") -> DataFrame
 
 
 def canonicalize(df: DataFrame, col: str = "core_focus") -> DataFrame:
-    """Replace ``col`` by its canonical spelling."""
-    m = canonical_label_map(df, col).select(F.col("label").alias(col), "canonical_label")
+    """Replace ``col`` by its canonical spelling.  The label map (one row per
+    distinct label) is broadcast after a size check, so the rows of a very
+    frequent label are not shuffled to one task."""
+    m = checked_broadcast(canonical_label_map(df, col)
+                          .select(F.col("label").alias(col), "canonical_label"))
     return (df.join(m, col, "left")
             .withColumn(col, F.coalesce(F.col("canonical_label"), F.col(col)))
             .drop("canonical_label"))

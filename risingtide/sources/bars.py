@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from risingtide.functions.numeric import nan_to_null
+from risingtide.session import BROADCAST_MAX_KEYS, checked_broadcast
 
 BAR_SCHEMA = T.StructType([
     T.StructField("symbol", T.LongType(), True),
@@ -69,12 +70,12 @@ def price_scan_for_universe(bars: DataFrame, universe: DataFrame) -> DataFrame:
     """S3: bars of the listed symbols only.
 
     A left-semi join keeps each bar once even when a symbol is listed on two
-    exchanges (the reference fetched it twice, H8).  The universe side is
-    small after projection; AQE turns the join into a broadcast at run time
-    when the measured side is under the broadcast threshold, else keeps a
-    shuffle join.
+    exchanges (the reference fetched it twice, H8).  The distinct symbol
+    list is materialised and broadcast after a row-count check, so the bars
+    are filtered where they are read; above the bound it is a shuffle join.
     """
-    return bars.join(universe.select("symbol"), "symbol", "left_semi")
+    keys = checked_broadcast(universe.select("symbol").distinct(), BROADCAST_MAX_KEYS)
+    return bars.join(keys, "symbol", "left_semi")
 
 
 def bars_union(frames: list[DataFrame]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from risingtide.functions.numeric import round_half_even_long
 from risingtide.params import ScreenParams
+from risingtide.session import BROADCAST_MAX_KEYS, checked_broadcast
 
 
 def json_with_default(json_col: Column, path: str, default, dtype: str) -> Column:
@@ -52,9 +53,10 @@ def cap_filter(fundamentals: DataFrame, params: ScreenParams) -> DataFrame:
 
 def fundamentals_lookup(fundamentals: DataFrame, symbols: DataFrame,
                         params: ScreenParams) -> DataFrame:
-    """JN7 + S5 + F4: fundamentals of the given symbols whose cap passes."""
-    return cap_filter(fundamentals.join(symbols.select("symbol").distinct(), "symbol", "left_semi"),
-                      params)
+    """JN7 + S5 + F4: fundamentals of the given symbols whose cap passes.
+    The symbol set is materialised and broadcast after a row-count check."""
+    keys = checked_broadcast(symbols.select("symbol").distinct(), BROADCAST_MAX_KEYS)
+    return cap_filter(fundamentals.join(keys, "symbol", "left_semi"), params)
 
 
 def news_in_window(news: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:
