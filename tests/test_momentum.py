@@ -96,3 +96,24 @@ def test_tick_rollup_and_pushdown(spark):
     got = {(r.symbol, r.date): r.close for r in bars_src.daily_bars(
         bars_src.ticks_in_window(ticks, P.start_date, P.end_date)).collect()}
     assert got == {(1, dt.date(2024, 1, 5)): 11.0, (1, dt.date(2024, 1, 6)): 12.0}
+
+
+def test_nan_close_is_null(spark):
+    ticks = spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 5, 9), float("nan")), (1, dt.datetime(2024, 1, 6, 9), 2.0),
+         (1, dt.datetime(2024, 1, 7, 9), 3.0)],
+        "user_id bigint, ts timestamp_ntz, value double")
+    bars = bars_src.daily_bars(ticks)
+    got = {r.date: (r.close, r.percent) for r in momentum.with_percent(bars).collect()}
+    assert got[dt.date(2024, 1, 5)] == (None, None)
+    assert got[dt.date(2024, 1, 6)][1] is None          # NaN never counts as an up-day
+    assert math.isclose(got[dt.date(2024, 1, 7)][1], 50.0)
+
+
+def test_rounding_rules(spark):
+    from pyspark.sql import functions as F
+
+    from risingtide.functions.numeric import round_half_even_long
+    df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-2.5,), (1000.4999,)], "x double")
+    got = [r.v for r in df.select(round_half_even_long(F.col("x")).alias("v")).collect()]
+    assert got == [0, 2, 2, -2, 1000]
