@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from risingtide.operators import enrich, momentum
 from risingtide.operators import sectors as sector_ops
@@ -40,6 +41,23 @@ def survivors(prices: DataFrame, fundamentals: DataFrame, params: ScreenParams,
     return materialize(out) if checkpoint else out
 
 
+def report_from_lookups(screened: DataFrame, overview: DataFrame, news_top: DataFrame,
+                        sectors: DataFrame, facts: DataFrame) -> DataFrame:
+    """The enrichment stage on its own, from already looked-up inputs (the
+    reference's in-memory entry): ``screened`` may hold one row per up-day,
+    ``overview`` the cap-passed fundamentals, ``news_top`` ranked articles
+    ``(symbol, news_rank, news_data, news_source)``, ``sectors`` the
+    classifier output and ``facts`` the sector description.  Sectors with a
+    single member are dropped here too (facts exist only for shared ones)."""
+    per_symbol = momentum.screened_symbols(screened)
+    shared = sector_ops.shared_sectors(sectors)
+    facts_shared = facts.join(shared, "core_focus", "left_semi")
+    if "article_id" not in news_top.columns:
+        news_top = news_top.withColumn("article_id", F.lit(None).cast("bigint"))
+    rows = enrich.enriched_rows(sectors, facts_shared, overview, per_symbol)
+    return enrich.alert_rows(rows, news_top)
+
+
 def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
                  news: DataFrame, facts_for: Callable[[DataFrame], DataFrame],
                  params: ScreenParams, checkpoint: bool = True) -> DataFrame:
