@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from risingtide.functions.text import parse_json_rows
-from risingtide.session import checked_broadcast
+from risingtide.session import checked_broadcast, spread_input
 
 Predictor = Callable[[list[dict]], str]
 
@@ -149,8 +149,10 @@ def parse_replies(replies: DataFrame, element_ddl: str) -> tuple[DataFrame, Data
 
 def classify(df: DataFrame, predict: Predictor = keyword_sector_predict,
              key: str = "symbol", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """U1 + S7 + J1: ``(symbol, core_focus)`` per input record, plus rejects."""
-    inp = df.select(F.col(key).alias("symbol"), F.col(text).alias("text"))
+    """U1 + S7 + J1: ``(symbol, core_focus)`` per input record, plus rejects.
+    A model call costs far more than moving its record, so an input that
+    arrives in fewer splits than there are task slots is spread first."""
+    inp = spread_input(df.select(F.col(key).alias("symbol"), F.col(text).alias("text")), "symbol")
     return parse_replies(call_model(inp, predict), SECTOR_ELEMENT)
 
 

@@ -18,7 +18,7 @@ from risingtide.operators import enrich, inference, labels, localize, momentum,
 from risingtide.operators import sectors as sector_ops
 from risingtide.params import DRIVER_PARAMS as P
 from risingtide.plans import alert
-from risingtide.session import broadcast_if_small, checkpoint_dir, materialize
+from risingtide.session import broadcast_if_small, checkpoint_dir, materialize, spread_input
 from risingtide.sources import bars, driver, lookups, records, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -269,7 +269,7 @@ def q_extract_json_array(spark, sf):
 def _words(spark, sf):
     """Every word of every document (whole texts), punctuation stripped --
     one regex pass per text, then a split on blanks."""
-    d = driver.table(spark, sf, "documents").select("text")
+    d = spread_input(driver.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     clean = F.regexp_replace(F.col("text"), r"[.,;:!?()\"]", "")
     return (d.select(F.explode(F.split(clean, r"\s+")).alias("core_focus"))
             .where(F.col("core_focus") != ""))

@@ -95,6 +95,27 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def spread_input(df, *keys):
+    """Hash-repartition a scan by ``keys`` when it arrives in fewer splits
+    than the session has task slots; otherwise return it unchanged.
+
+    For per-row work that is expensive compared with moving the row
+    (regex passes over whole texts, model calls).  A table stored as one
+    parquet row group is read by a single task however many cores there
+    are; spreading it first lets every core work.  On a cluster a large
+    table has far more splits than slots, so nothing is added and the
+    partial aggregates after the text work still run map-side before any
+    shuffle.  Hash partitioning is deterministic, so a retried task sees
+    the same rows.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(slots, *keys) if splits < slots else df
+
+
 # A key-only side up to this many rows is broadcast (8-byte keys: ~16 MB).
 BROADCAST_MAX_KEYS = 2_000_000
 

@@ -35,8 +35,26 @@ NEWS_STEP_DAYS = 3
 TITLE_PATTERN = r"<title>([^<]*)</title>"
 
 
+# Declared schemas of the tables the bindings read.  Reading with a schema
+# skips footer inference (a Spark job per read) and fails loudly on a type
+# change instead of silently re-typing a column; columns a query does not
+# select are pruned from the scan as usual.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,8 +34,9 @@ from risingtide.functions.numeric import nan_to_null
 from risingtide.operators import momentum
 from risingtide.params import ScreenParams
 from risingtide.session import checkpoint_dir
+from risingtide.sources.driver import TABLE_SCHEMAS
 
-TICK_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+TICK_SCHEMA = TABLE_SCHEMAS["events"]
 BAR_STORE_SCHEMA = "symbol bigint, close double, last_ts timestamp, date date"
 
 

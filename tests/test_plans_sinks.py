@@ -74,3 +74,26 @@ def test_incremental_store_is_idempotent(spark, tmp_path):
     assert sorted(tuple(r) for r in again.collect()) == a
     batch = catalog.QUERIES["momentum_screen"](spark, SF_SMALL)
     assert sorted(tuple(r) for r in batch.collect()) == a
+
+
+def test_spread_input_only_below_task_slots(spark):
+    from risingtide.session import spread_input
+
+    slots = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    spread = spread_input(one, "id")
+    assert spread.rdd.getNumPartitions() == slots
+    assert "hashpartitioning(id" in spread._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in spread.collect()) == list(range(100))
+    wide = spark.range(0, 100, 1, slots * 2)
+    assert spread_input(wide, "id") is wide
+
+
+def test_declared_driver_schemas_match_the_files(spark):
+    from pyspark.sql.types import StructType
+
+    for name, ddl in driver.TABLE_SCHEMAS.items():
+        inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
+        declared = StructType.fromDDL(ddl)
+        assert [(f.name, f.dataType) for f in declared] == \
+               [(f.name, f.dataType) for f in inferred], name
