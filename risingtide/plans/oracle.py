@@ -304,3 +304,70 @@ FROM items"""
 # The streaming queries produce the same rows as their batch counterparts.
 SQL["stream_daily_bars"] = SQL["price_window_scan"]
 SQL["stream_daily_screen"] = SQL["momentum_screen"]
+
+# ------------------------------------------------------------------ inference, sinks, status
+
+# The default keyword classifier: the most frequent run of 4+ letters of the
+# whole text, lower-cased, ties to the smallest; "other" when there is none.
+KEYWORD_SECTOR = r"""kw_words AS (
+  SELECT doc_id, lower(w) AS word
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '\pL{4,}')) AS w
+        FROM kw_input) t),
+kw_best AS (
+  SELECT doc_id, arg_min(word, (-n, word)) AS core_focus
+  FROM (SELECT doc_id, word, count(*) AS n FROM kw_words GROUP BY 1, 2) c GROUP BY doc_id),
+kw_labels AS (
+  SELECT i.doc_id AS symbol, coalesce(b.core_focus, 'other') AS core_focus
+  FROM kw_input i LEFT JOIN kw_best b ON i.doc_id = b.doc_id)"""
+
+SQL["classify_batches"] = with_("kw_input AS (SELECT doc_id, text FROM documents)",
+                                KEYWORD_SECTOR) + "SELECT * FROM kw_labels"
+SQL["translate_groups"] = _ALERT + f"""
+SELECT a.symbol, a.core_focus,
+       coalesce((SELECT dst FROM {_DICT} WHERE src = a.core_focus), a.core_focus) AS core_focus_local,
+       coalesce((SELECT dst FROM {_DICT} WHERE src = a.news_data), a.news_data) AS news_data_local
+FROM alert a"""
+SQL["report_write"] = f"""SELECT *, '{P.end_date.isoformat()}' AS run_date
+FROM ({SQL["report_html"]}) h"""
+SQL["run_status"] = _ALERT + f"""
+SELECT '{P.end_date.isoformat()}' AS run_date,
+       CASE WHEN count(*) = 0 THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN count(*) = 0 THEN 'no relevant sectors' ELSE 'report written' END AS message,
+       count(*) AS n_rows
+FROM alert"""
+SQL["daily_job_status"] = SQL["run_status"]
+
+# The model-driven flow with the default predictors: the survivor's company
+# text is the document with its id; sectors come from the keyword
+# classifier, are canonicalised (T2), and shared ones get the describer's
+# fixed facts (always future potential).
+_INFERRED = [bars_cte(), scored_cte(), screen_cte(),
+             """fund AS (
+  SELECT c.c_custkey AS symbol, coalesce(d.text, '') AS company_overview,
+         CAST(round_even(coalesce(c.c_acctbal, 0.0), 0) AS BIGINT) AS marketCap
+  FROM customer c LEFT JOIN documents d ON d.doc_id = c.c_custkey)""",
+             SURVIVORS[4], SURVIVORS[5],
+             "kw_input AS (SELECT symbol AS doc_id, company_overview AS text FROM ov)",
+             KEYWORD_SECTOR,
+             r"""kw_canon AS (
+  SELECT label, arg_min(label, (-n, label)) OVER (PARTITION BY k) AS canonical_label
+  FROM (SELECT core_focus AS label, count(*) AS n,
+               lower(regexp_replace(regexp_replace(trim(core_focus), '\s*-\s*', '-', 'g'),
+                                    '\s+', ' ', 'g')) AS k
+        FROM kw_labels WHERE core_focus IS NOT NULL GROUP BY core_focus) p)""",
+             """sec AS (SELECT DISTINCT l.symbol, coalesce(c.canonical_label, l.core_focus) AS core_focus
+  FROM kw_labels l LEFT JOIN kw_canon c ON l.core_focus = c.label)""",
+             SURVIVORS[7],
+             """facts AS (
+  SELECT core_focus, 'Companies whose main business is ' || core_focus AS core_focus_overview,
+         TRUE AS is_core_focus_future_potential,
+         core_focus || ' keeps growing' AS core_focus_future_potential_overview
+  FROM shared)""",
+             ROWS, NEWS, top_cte(symbols="ov"), NEWS_AGG]
+SQL["alert_report_inferred"] = with_(*_INFERRED) + f"""
+SELECT r.symbol, coalesce(n.news_source, '{MISSING_TEXT}') AS news_source,
+       coalesce(n.news_data, '{MISSING_TEXT}') AS news_data, r.core_focus,
+       r.core_focus_overview, r.is_core_focus_future_potential,
+       r.core_focus_future_potential_overview, r.company_overview, r.marketCap,
+       r.last_price, r.last_percent, r.start_end_percent
+FROM rows r LEFT JOIN news_agg n ON r.symbol = n.symbol"""
