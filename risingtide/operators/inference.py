@@ -71,21 +71,26 @@ def bounded_batches(df: DataFrame, key: str, max_rows: int,
 
     1. per-group row counts (partial aggregate, tiny result), materialised
        and broadcast after a size check, so no group is shuffled whole;
-    2. ``bucket = pmod(xxhash64(key), ceil(n / max_rows))`` spreads a group
-       over about ``n / max_rows`` buckets, so a hot group is split;
+    2. ``bucket = pmod(xxhash64(record), ceil(n / max_rows))`` spreads a
+       group over about ``n / max_rows`` buckets, so a hot group is split.
+       The hash covers the whole record (``key`` first), so a key value
+       repeated in many rows of a group is spread too; only identical
+       records share a bucket for certain;
     3. ``row_number`` inside (group, bucket) -- a partition of about
-       ``max_rows`` rows -- then ``batch = (bucket, (rn - 1) div max_rows)``
+       ``max_rows`` rows -- ordered by the whole record, so a re-run gives
+       the same batches; then ``batch = (bucket, (rn - 1) div max_rows)``
        caps every batch at exactly ``max_rows``.
     """
     groups = list(group_cols)
     if not groups:
         raise ValueError("bounded_batches needs group columns; without groups use "
                          "call_model's Arrow batches, which are bounded already")
+    record = [key] + [c for c in df.columns if c != key and c not in groups]
     counts = checked_broadcast(df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")))
     joined = df.join(counts, groups, "inner")
     nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_rows))).cast("long")
-    with_bucket = joined.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), nb))
-    w = Window.partitionBy(*groups, "_bucket").orderBy(key)
+    with_bucket = joined.withColumn("_bucket", F.pmod(F.xxhash64(*record), nb))
+    w = Window.partitionBy(*groups, "_bucket").orderBy(*record)
     return (with_bucket.withColumn("_rn", F.row_number().over(w))
             .withColumn("batch_id", F.concat_ws(
                 ":", F.col("_bucket").cast("string"),

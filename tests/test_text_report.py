@@ -93,3 +93,18 @@ def test_inference_batches(spark):
     assert out.count() == 50 and max(r.n for r in out.collect()) <= 10
     facts, _ = inference.describe_sectors(spark.createDataFrame([("ai",)], "core_focus string"))
     assert facts.first().is_core_focus_future_potential is True
+
+
+def test_bounded_batches_spread_a_repeated_key(spark):
+    # one group, one key value in every row: the record hash still spreads
+    # the rows over ceil(n / max_rows) buckets and every batch is capped
+    rows = spark.createDataFrame([("hot", 1, f"text {i}") for i in range(200)],
+                                 "g string, symbol bigint, text string")
+    b = inference.bounded_batches(rows, "symbol", 10, ["g"])
+    sizes = [r["count"] for r in b.groupBy("batch_id").count().collect()]
+    assert max(sizes) <= 10 and sum(sizes) == 200
+    buckets = {r.batch_id.split(":")[0] for r in b.select("batch_id").collect()}
+    assert len(buckets) > 10
+    again = inference.bounded_batches(rows, "symbol", 10, ["g"])
+    assert sorted((r.text, r.batch_id) for r in b.collect()) == \
+        sorted((r.text, r.batch_id) for r in again.collect())
