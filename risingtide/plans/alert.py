@@ -85,20 +85,36 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
 
 
 def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame, news: DataFrame,
-                          params: ScreenParams, classify_predict=None, describe_predict=None
-                          ) -> DataFrame:
+                          params: ScreenParams, classify_predict=None, describe_predict=None,
+                          descriptions: DataFrame | None = None) -> DataFrame:
     """The reference's own flow: the sector of each survivor comes from the
     classifier (U1) over its company overview, labels are canonicalised
     (T2), shared sectors are described by a second model call (U1), then
     the same joins as ``alert_report``.  Replies that do not parse are
-    dropped (see ``inference.parse_replies`` for the reject frame)."""
+    dropped (see ``inference.parse_replies`` for the reject frame).
+
+    ``descriptions`` ``(symbol, description)``, when given, supplies the
+    company text instead of ``fundamentals.company_overview`` (missing text
+    reads ``""``).  It is looked up for the survivors only -- a semi-join
+    with the size-checked survivor keys -- so a large text table is filtered
+    where it is read instead of being joined whole to the fundamentals.
+    """
     from risingtide.operators import inference, labels
 
     surv = survivors(prices, fundamentals, params, checkpoint=True)
     kept = broadcast_if_small(surv.select("symbol"))
+    if descriptions is not None:
+        text = descriptions.join(kept, "symbol", "left_semi").select(
+            "symbol", F.col("description").alias("_text"))
+        surv = materialize(
+            surv.join(text, "symbol", "left")
+            .withColumn("company_overview", F.coalesce(F.col("_text"), F.lit("")))
+            .select(*surv.columns).dropDuplicates())
     cls_kw = {"predict": classify_predict} if classify_predict else {}
-    sec, _ = inference.classify(surv, key="symbol", text="company_overview", **cls_kw)
-    sec = materialize(labels.canonicalize(sec))
+    raw_sec, _ = inference.classify(surv, key="symbol", text="company_overview", **cls_kw)
+    # the model runs once per record: its output is materialised before the
+    # label map and the join of canonicalize both read it
+    sec = labels.canonicalize(materialize(raw_sec))
 
     def facts_for(shared: DataFrame) -> DataFrame:
         kw = {"predict": describe_predict} if describe_predict else {}

@@ -379,12 +379,12 @@ def q_stream_daily_screen(spark, sf):
 def q_alert_report_inferred(spark, sf):
     """Sectors from the (default, keyword) classifier over each survivor's
     company text -- the document with the symbol's id -- instead of the
-    bound segment column."""
+    bound segment column.  The text is looked up for the survivors only."""
     docs = driver.table(spark, sf, "documents").select(
         F.col("doc_id").alias("symbol"), F.col("text").alias("description"))
-    raw = driver.fundamentals_raw(spark, sf).drop("description").join(docs, "symbol", "left")
-    return alert.alert_report_inferred(driver.prices(spark, sf, P),
-                                       lookups.fundamentals_table(raw), driver.news(spark, sf), P)
+    return alert.alert_report_inferred(
+        driver.prices(spark, sf, P), lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)),
+        driver.news(spark, sf), P, descriptions=docs)
 
 
 @register("daily_job_status")

@@ -36,3 +36,27 @@ def test_report_from_lookups(spark):
     assert out["BBB"].news_data == "no data" and out["BBB"].news_source == "https://n/3"
     assert out["BBB"].marketCap == 300_000_000 and out["BBB"].last_price == 30.0
     assert len(out["AAA"]) == 12
+
+
+def test_inferred_flow_calls_the_model_once_per_survivor(spark):
+    from conftest import SF_SMALL
+    from risingtide.operators import inference
+    from risingtide.params import DRIVER_PARAMS as P
+    from risingtide.sources import driver, lookups
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def predict(records):
+        calls.add(len(records))
+        return inference.keyword_sector_predict(records)
+
+    fund = lookups.fundamentals_table(driver.fundamentals_raw(spark, SF_SMALL))
+    docs = driver.table(spark, SF_SMALL, "documents").selectExpr(
+        "doc_id AS symbol", "text AS description")
+    out = alert.alert_report_inferred(driver.prices(spark, SF_SMALL, P), fund,
+                                      driver.news(spark, SF_SMALL), P,
+                                      classify_predict=predict, descriptions=docs)
+    out.collect()
+    out.count()
+    n = alert.survivors(driver.prices(spark, SF_SMALL, P), fund, P, checkpoint=False).count()
+    assert n > 0 and calls.value == n
