@@ -172,7 +172,8 @@ def apply_per_group(df: DataFrame, group_col: str, key: str, fn: Callable[[pd.Da
                     schema: str, max_rows: int = 200) -> DataFrame:
     """``fn`` on the rows of each group (e.g. translate one sector's
     rows in one call), in bounded batches so a hot group is split over
-    several calls and tasks."""
+    several calls and tasks.  ``df`` is read twice (group counts, then the
+    rows): pass a materialised frame when it is costly to compute."""
     b = bounded_batches(df, key, max_rows, [group_col])
     out_cols = [f.split()[0] for f in schema.split(",")]
 

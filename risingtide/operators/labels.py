@@ -39,7 +39,9 @@ def canonical_label_map(labels: DataFrame, col: str = "core_focus") -> DataFrame
 def canonicalize(df: DataFrame, col: str = "core_focus") -> DataFrame:
     """Replace ``col`` by its canonical spelling.  The label map (one row per
     distinct label) is broadcast after a size check, so the rows of a very
-    frequent label are not shuffled to one task."""
+    frequent label are not shuffled to one task.  ``df`` is read twice (the
+    map and the join): pass a materialised frame when it is costly to
+    compute, e.g. model output."""
     m = checked_broadcast(canonical_label_map(df, col)
                           .select(F.col("label").alias(col), "canonical_label"))
     return (df.join(m, col, "left")
