@@ -5,8 +5,9 @@ ticks arriving as files, the same screen runs incrementally:
 
 * ``stream_daily_bars`` (SS2) rolls ticks up to daily bars with an
   event-time tumbling window and a watermark; in update mode each trigger
-  emits the bars it changed, and ``foreachBatch`` appends them with the
-  batch id, so the latest version of a bar is ``max_by(..., batch_id)``.
+  emits the bars it changed, and ``foreachBatch`` writes them as the
+  partition of its batch id (replaced if the batch is replayed), so the
+  latest version of a bar is ``max_by(..., batch_id)``.
 * ``incremental_screen`` (SS1) keeps a bar store partitioned by ``date``.
   Each micro-batch merges its partial bars into the touched dates -- the
   existing rows of those dates plus the new partials, reduced to one bar
@@ -38,6 +39,7 @@ from risingtide.sources.driver import TABLE_SCHEMAS
 
 TICK_SCHEMA = TABLE_SCHEMAS["events"]
 BAR_STORE_SCHEMA = "symbol bigint, close double, last_ts timestamp, date date"
+STREAM_BARS_SCHEMA = "symbol bigint, date date, close double, last_ts timestamp, batch_id bigint"
 
 
 def tick_stream(spark: SparkSession, folder: str, file_glob: str = "events.parquet",
@@ -70,16 +72,24 @@ def stream_daily_bars(spark: SparkSession, folder: str, out_path: str, params: S
             .select("symbol", F.to_date(F.col("w.start")).alias("date"), "close", "last_ts"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
+        write_bar_batch(batch, batch_id, out_path)
 
     q = (bars.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def write_bar_batch(batch: DataFrame, batch_id: int, out_path: str) -> None:
+    """One partition per micro-batch, replaced when the same batch is
+    replayed after a failure, so each batch's bars are stored once."""
+    (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(out_path))
+
+
 def read_stream_bars(spark: SparkSession, out_path: str) -> DataFrame:
     """The latest emitted version of every bar."""
-    raw = spark.read.parquet(out_path)
+    raw = spark.read.schema(STREAM_BARS_SCHEMA).parquet(out_path)
     return (raw.groupBy("symbol", "date")
             .agg(F.max_by(F.struct("close", "last_ts"), "batch_id").alias("b"))
             .select("symbol", "date", F.col("b.close").alias("close")))

@@ -97,3 +97,21 @@ def test_declared_driver_schemas_match_the_files(spark):
         declared = StructType.fromDDL(ddl)
         assert [(f.name, f.dataType) for f in declared] == \
                [(f.name, f.dataType) for f in inferred], name
+
+
+def test_stream_bar_batch_replay_is_written_once(spark, tmp_path):
+    from risingtide.streaming import daily
+
+    out = str(tmp_path / "bars")
+    rows = [(1, dt.date(2024, 1, 29), 10.0, dt.datetime(2024, 1, 29, 12)),
+            (2, dt.date(2024, 1, 29), 20.0, dt.datetime(2024, 1, 29, 13))]
+    first = spark.createDataFrame(rows, "symbol bigint, date date, close double, last_ts timestamp")
+    later = spark.createDataFrame([(1, dt.date(2024, 1, 29), 11.0, dt.datetime(2024, 1, 29, 15))],
+                                  "symbol bigint, date date, close double, last_ts timestamp")
+    daily.write_bar_batch(first, 0, out)
+    daily.write_bar_batch(later, 1, out)
+    daily.write_bar_batch(first, 0, out)  # batch 0 replayed after a failure
+    raw = spark.read.schema(daily.STREAM_BARS_SCHEMA).parquet(out)
+    assert raw.count() == 3
+    got = {(r.symbol, r.close) for r in daily.read_stream_bars(spark, out).collect()}
+    assert got == {(1, 11.0), (2, 20.0)}
