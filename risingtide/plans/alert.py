@@ -59,7 +59,8 @@ def report_from_lookups(screened: DataFrame, overview: DataFrame, news_top: Data
 
 
 def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
-                 news: DataFrame, facts_for: Callable[[DataFrame], DataFrame],
+                 news: DataFrame | Callable[[DataFrame], DataFrame],
+                 facts_for: Callable[[DataFrame], DataFrame],
                  params: ScreenParams, checkpoint: bool = True) -> DataFrame:
     """One row per screened stock in a shared, future-potential sector.
 
@@ -84,7 +85,8 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
     return enrich.alert_rows(rows, news_top)
 
 
-def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame, news: DataFrame,
+def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame,
+                          news: DataFrame | Callable[[DataFrame], DataFrame],
                           params: ScreenParams, classify_predict=None, describe_predict=None,
                           descriptions: DataFrame | None = None) -> DataFrame:
     """The reference's own flow: the sector of each survivor comes from the

@@ -186,7 +186,7 @@ def q_sector_join(spark, sf):
 @register("news_left_join")
 def q_news_left_join(spark, sf):
     _, overview, _ = _survivor_inputs(spark, sf)
-    top = lookups.news_top(driver.news(spark, sf), P,
+    top = lookups.news_top(driver.news_source(spark, sf), P,
                            symbols=broadcast_if_small(overview.select("symbol")))
     return enrich.news_left_join(overview, top)
 
@@ -208,7 +208,7 @@ def q_alert_report(spark, sf):
     return alert.alert_report(
         driver.prices(spark, sf, P),
         lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)),
-        driver.sectors(spark, sf), driver.news(spark, sf), driver.sector_facts, P)
+        driver.sectors(spark, sf), driver.news_source(spark, sf), driver.sector_facts, P)
 
 
 # ---------------------------------------------------------------- text, inference, labels
@@ -384,7 +384,7 @@ def q_alert_report_inferred(spark, sf):
         F.col("doc_id").alias("symbol"), F.col("text").alias("description"))
     return alert.alert_report_inferred(
         driver.prices(spark, sf, P), lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)),
-        driver.news(spark, sf), P, descriptions=docs)
+        driver.news_source(spark, sf), P, descriptions=docs)
 
 
 @register("daily_job_status")

@@ -29,7 +29,7 @@ def run_daily(spark: SparkSession, tables: str, out: str, params: ScreenParams)
     rows = materialize(alert.alert_report(
         driver.prices(spark, tables, params),
         lookups.fundamentals_table(driver.fundamentals_raw(spark, tables)),
-        driver.sectors(spark, tables), driver.news(spark, tables), driver.sector_facts, params))
+        driver.sectors(spark, tables), driver.news_source(spark, tables), driver.sector_facts, params))
     status = sinks.run_status(spark, rows, params.end_date)
     if status.first()["status"] == "ok":
         sinks.write_report(report.report_fragments(rows, params.end_date),

@@ -104,15 +104,22 @@ def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("symbol"), F.col("c_mktsegment").alias("core_focus"))
 
 
-def news(spark: SparkSession, sf_dir: str) -> DataFrame:
+def news(spark: SparkSession, sf_dir: str, symbols: DataFrame | None = None) -> DataFrame:
     """``(symbol, article_id, published, title, article_url)``.
 
     A page with no ``<title>`` gives a NULL title (the provider omitting the
-    key, H10).
+    key, H10).  ``symbols`` keeps only the pages of those symbols, and the
+    semi-join is placed before the title is cut out of the html, so the
+    regex runs on the looked-up symbols' pages only (Catalyst does not move
+    a semi-join below that projection by itself).
     """
-    p = table(spark, sf_dir, "pages")
-    return p.select(
+    p = table(spark, sf_dir, "pages").select(
         F.floor(F.col("page_id") / ARTICLES_PER_PAGE_GROUP).cast("bigint").alias("symbol"),
+        "page_id", "url", "html")
+    if symbols is not None:
+        p = p.join(symbols.select("symbol"), "symbol", "left_semi")
+    return p.select(
+        "symbol",
         F.col("page_id").alias("article_id"),
         F.date_add(F.lit(NEWS_EPOCH),
                    (F.col("page_id") % ARTICLES_PER_PAGE_GROUP * NEWS_STEP_DAYS).cast("int")
@@ -121,6 +128,12 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("url").alias("article_url"))
 
 
+def news_source(spark: SparkSession, sf_dir: str):
+    """The news table as a function of the symbol set (see
+    ``lookups.news_top``)."""
+    return lambda symbols=None: news(spark, sf_dir, symbols)
+
+
 # Stand-in for the model's sector description: fixed text per segment and a
 # fixed flag rule (every segment but HOUSEHOLD is "future potential").
 NOT_FUTURE_SEGMENT = "HOUSEHOLD"

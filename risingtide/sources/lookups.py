@@ -63,18 +63,25 @@ def news_in_window(news: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame
     return news.where(F.col("published").between(F.lit(start), F.lit(end)))
 
 
-def news_top(news: DataFrame, params: ScreenParams, symbols: DataFrame | None = None) -> DataFrame:
+def news_top(news, params: ScreenParams, symbols: DataFrame | None = None) -> DataFrame:
     """S6 + K1 + P5: the newest ``news_per_symbol`` articles per symbol with
     ``start <= published <= end``; ties broken by article id.
 
+    ``news`` is the news table, or a function of the symbol set (``None``
+    for all) that restricts its own scan; the latter lets a source whose
+    columns are costly to derive (a title cut out of a whole page) do that
+    work only for the looked-up symbols.
+
     ``row_number() <= k`` over a per-symbol window lets Catalyst insert a
     WindowGroupLimit, which keeps only k rows per symbol on the map side,
     so even a symbol with a huge number of articles ships at most k rows
     per map task through the shuffle.
     """
-    n = news_in_window(news, params.start_date, params.end_date)
-    if symbols is not None:
-        n = n.join(symbols.select("symbol"), "symbol", "left_semi")
+    if callable(news):
+        n = news(symbols)
+    else:
+        n = news if symbols is None else news.join(symbols.select("symbol"), "symbol", "left_semi")
+    n = news_in_window(n, params.start_date, params.end_date)
     w = Window.partitionBy("symbol").orderBy(F.col("published").desc(), F.col("article_id"))
     return (n.withColumn("news_rank", F.row_number().over(w))
             .where(F.col("news_rank") <= params.news_per_symbol)

@@ -115,3 +115,12 @@ def test_stream_bar_batch_replay_is_written_once(spark, tmp_path):
     assert raw.count() == 3
     got = {(r.symbol, r.close) for r in daily.read_stream_bars(spark, out).collect()}
     assert got == {(1, 11.0), (2, 20.0)}
+
+
+def test_news_title_is_cut_after_the_survivor_semi_join(spark):
+    # in the tree string a parent comes before its children: the title
+    # regex sits above the semi-join, which sits above the pages scan
+    lines = executed(catalog.QUERIES["alert_report"](spark, SF_SMALL)).splitlines()
+    rx = next(i for i, l in enumerate(lines) if "regexp_extract(html" in l)
+    scan = next(i for i, l in enumerate(lines) if "pages.parquet" in l)
+    assert any("LeftSemi" in l for l in lines[rx:scan])
