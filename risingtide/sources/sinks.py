@@ -34,9 +34,10 @@ def read_report(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
 
 def run_status(spark: SparkSession, report: DataFrame, run_date: _dt.date) -> DataFrame:
     """S9 + F9: one status row.  An empty report is an error ("no relevant
-    sectors", as the reference raised); ``isEmpty`` stops at the first row."""
-    empty = report.isEmpty()
-    n = 0 if empty else report.count()
+    sectors", as the reference raised).  One count: the report is the
+    materialised per-stock table, so this reads its stored rows once."""
+    n = report.count()
+    empty = n == 0
     row = (run_date.isoformat(), "error" if empty else "ok",
            "no relevant sectors" if empty else "report written", n)
     return spark.createDataFrame([row], STATUS_SCHEMA)
