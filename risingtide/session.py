@@ -118,18 +118,53 @@ def spread_input(df, *keys):
 
 # A key-only side up to this many rows is broadcast (8-byte keys: ~16 MB).
 BROADCAST_MAX_KEYS = 2_000_000
+# ... and never more than this many bytes of data, whatever the row count.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(keys, max_rows: int = BROADCAST_MAX_KEYS):
-    """Broadcast hint for ``keys`` only after checking its row count.
-
-    Meant for materialised (checkpointed) key sets, where ``count`` just
-    reads the checkpoint files.  Above the bound the frame is returned as
-    is and Spark plans a shuffle join (AQE may still switch at run time).
+def data_size(df):
+    """``(rows, bytes)`` of ``df`` in one aggregate job: string and binary
+    values count their byte length, fixed-width values their width, nested
+    values their JSON text, NULLs nothing.  Meant for materialised tables, where the job is a
+    read of the stored rows."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    fixed = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4,
+             T.FloatType: 4, T.DateType: 4, T.LongType: 8, T.DoubleType: 8,
+             T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
+    widths = [F.lit(0)]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = F.octet_length(c)
+        elif type(f.dataType) in fixed:
+            width = F.when(c.isNotNull(), F.lit(fixed[type(f.dataType)]))
+        else:  # nested values: their JSON text as a stand-in
+            width = F.octet_length(F.to_json(F.struct(c)))
+        widths.append(F.coalesce(width, F.lit(0)))
+    row_bytes = widths[0]
+    for w in widths[1:]:
+        row_bytes = row_bytes + w
+    r = df.agg(F.count(F.lit(1)).alias("n"),
+               F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("b")).first()
+    return r["n"], r["b"]
+
+
+def broadcast_if_small(keys, max_rows: int = BROADCAST_MAX_KEYS,
+                       max_bytes: int = BROADCAST_MAX_BYTES):
+    """Broadcast hint for ``keys`` only after measuring it: at most
+    ``max_rows`` rows and ``max_bytes`` bytes of data.
+
+    Meant for materialised (checkpointed) tables, where the measurement
+    just reads the stored rows.  Above either bound the frame is returned
+    as is and Spark plans a shuffle join (AQE may still switch at run
+    time, from measured shuffle sizes).
     """
     from pyspark.sql import functions as F
 
-    return F.broadcast(keys) if keys.count() <= max_rows else keys
+    n, size = data_size(keys)
+    return F.broadcast(keys) if n <= max_rows and size <= max_bytes else keys
 
 
 # A materialised per-group table (key + a few numbers) up to this many rows
@@ -139,7 +174,8 @@ BROADCAST_MAX_GROUPS = 1_000_000
 
 def checked_broadcast(df, max_rows: int = BROADCAST_MAX_GROUPS):
     """Materialise a small derived table (e.g. per-group counts) and
-    broadcast it when its row count is within ``max_rows``.
+    broadcast it when its row count is within ``max_rows`` and its data
+    within ``BROADCAST_MAX_BYTES``.
 
     Joining such a table back to a large one on a group key would otherwise
     be planned as a shuffle join, which sends every row of a hot group to

@@ -124,3 +124,17 @@ def test_news_title_is_cut_after_the_survivor_semi_join(spark):
     rx = next(i for i, l in enumerate(lines) if "regexp_extract(html" in l)
     scan = next(i for i, l in enumerate(lines) if "pages.parquet" in l)
     assert any("LeftSemi" in l for l in lines[rx:scan])
+
+
+def test_broadcast_only_within_rows_and_bytes(spark):
+    from risingtide.session import broadcast_if_small, data_size
+
+    df = spark.createDataFrame([(1, "ab"), (2, None), (None, "xyz")], "k bigint, s string")
+    assert data_size(df) == (3, 8 + 2 + 8 + 3)
+
+    def hinted(x):
+        return "broadcast" in x._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(broadcast_if_small(df))
+    assert not hinted(broadcast_if_small(df, max_rows=2))
+    assert not hinted(broadcast_if_small(df, max_bytes=20))
