@@ -108,3 +108,76 @@ def test_hot_sector_counts(spark):
     plan = sectors.sector_member_counts(sec)._jdf.queryExecution().executedPlan().toString()
     # distinct by (sector, symbol) first, then partial counts by sector
     assert "hashpartitioning(core_focus" in plan and "partial_count" in plan
+
+
+def test_news_top_and_concat_equal_brute_force(spark):
+    from risingtide.operators import enrich
+    from risingtide.sources import lookups
+
+    p = ScreenParams(end_date=dt.date(2024, 1, 30), window_days=10, news_per_symbol=3)
+    rnd = random.Random(7)
+    rows = []
+    for a in range(3000):
+        # symbol 0 holds a third of all articles; dates tie often
+        s = 0 if a % 3 == 0 else rnd.randint(1, 300)
+        day = dt.date(2024, 1, 15) + dt.timedelta(days=rnd.randint(0, 20))
+        title = None if rnd.random() < 0.1 else f"t{rnd.randint(0, 40)}"
+        url = None if rnd.random() < 0.1 else f"u{rnd.randint(0, 40)}"
+        rows.append((s, a, day, title, url))
+    news = spark.createDataFrame(
+        rows, "symbol bigint, article_id bigint, published date, title string, article_url string")
+    top = lookups.news_top(news, p)
+    got = sorted((r.symbol, r.article_id, r.news_rank) for r in top.collect())
+
+    by = {}
+    for s, a, day, t, u in rows:
+        if p.start_date <= day <= p.end_date:
+            by.setdefault(s, []).append((day, a, t, u))
+    want, joined = [], {}
+    for s, items in by.items():
+        items.sort(key=lambda x: (-x[0].toordinal(), x[1]))
+        pairs = []
+        for rank, (_, a, t, u) in enumerate(items[:3], start=1):
+            want.append((s, a, rank))
+            pair = (t if t is not None else "no data", u if u is not None else "no data")
+            if pair not in pairs:
+                pairs.append(pair)
+        joined[s] = ("***".join(d for d, _ in pairs), "***".join(x for _, x in pairs))
+    assert got == sorted(want)
+    agg = {r.symbol: (r.news_data, r.news_source) for r in enrich.news_per_symbol(top).collect()}
+    assert agg == joined
+
+
+def test_canonical_labels_equal_brute_force(spark):
+    import re
+
+    from risingtide.operators import labels
+
+    rnd = random.Random(11)
+    bases = ["solar energy", "ai - chips", "ev batteries", "cloud", "bio tech"]
+
+    def variant(b):
+        v = b.upper() if rnd.random() < 0.3 else b
+        v = v.replace(" - ", rnd.choice(["-", " -", "- ", " - "]))
+        v = v.replace(" ", rnd.choice([" ", "  "]), 1)
+        return rnd.choice(["", " "]) + v + rnd.choice(["", " "])
+
+    words = [variant(rnd.choice(bases)) for _ in range(2000)]
+    df = spark.createDataFrame([(w,) for w in words], "core_focus string")
+    got = {r.label: (r.canonical_label, r.label_count)
+           for r in labels.canonical_label_map(df).collect()}
+
+    counts = {}
+    for w in words:
+        counts[w] = counts.get(w, 0) + 1
+
+    def key(x):
+        x = re.sub(r"\s*-\s*", "-", x.strip(" "))
+        return re.sub(r"\s+", " ", x).lower()
+
+    groups = {}
+    for w, n in counts.items():
+        groups.setdefault(key(w), []).append((-n, w))
+    want = {w: (min(groups[key(w)])[1], n) for w, n in counts.items()}
+    assert got == want
+    assert len({c for c, _ in got.values()}) == len(bases)
