@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from risingtide.operators.sectors import FACT_COLUMNS, sector_join
 from risingtide.params import MISSING_TEXT, NEWS_SEPARATOR
 
+SCREEN_VALUES = ["last_price", "last_percent", "start_end_percent"]
 REPORT_COLUMNS = ["symbol", "news_source", "news_data", "core_focus", *FACT_COLUMNS,
                   "company_overview", "marketCap", "last_price", "last_percent",
                   "start_end_percent"]
@@ -53,15 +54,17 @@ def news_per_symbol(news_top: DataFrame, sep: str = NEWS_SEPARATOR) -> DataFrame
 
 
 def enriched_rows(sectors: DataFrame, facts: DataFrame, overview: DataFrame,
-                  screened_per_symbol: DataFrame) -> DataFrame:
+                  screened_per_symbol: DataFrame | None = None) -> DataFrame:
     """JN2 + JN4 + JN5 + A5: one row per (symbol, future sector) with the
     sector facts, the company overview and the screen values.  ``overview``
     and ``screened_per_symbol`` must have one row per symbol (the survivor
-    table guarantees it)."""
+    table guarantees it).  When both come from one per-symbol table (the
+    survivors), pass it as ``overview`` alone: one join instead of two."""
     sec = sectors.select("symbol", "core_focus").distinct()
-    return (sector_join(sec, facts.distinct())
-            .join(overview.select("symbol", "company_overview", "marketCap"), "symbol")
-            .join(screened_per_symbol, "symbol"))
+    per_symbol = overview.select("symbol", "company_overview", "marketCap",
+                                 *([] if screened_per_symbol is not None else SCREEN_VALUES))
+    rows = sector_join(sec, facts.distinct()).join(per_symbol, "symbol")
+    return rows if screened_per_symbol is None else rows.join(screened_per_symbol, "symbol")
 
 
 def news_left_join(rows: DataFrame, news_top: DataFrame) -> DataFrame:

@@ -76,12 +76,14 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
         # size-checked static broadcast: the large sector and news tables are
         # filtered map-side without being shuffled
         kept = broadcast_if_small(kept)
-    sec = sectors.join(kept, "symbol", "left_semi")
+    # the survivors' sector rows feed both the shared-sector count and the
+    # final join: materialised (survivor-sized), the sector table is read once
+    sec = sectors.join(kept, "symbol", "left_semi").select("symbol", "core_focus").distinct()
+    if checkpoint:
+        sec = materialize(sec)
     facts = facts_for(sector_ops.shared_sectors(sec))
     news_top = lookups.news_top(news, params, symbols=kept)
-    rows = enrich.enriched_rows(
-        sec, facts, surv.select("symbol", "company_overview", "marketCap"),
-        surv.select("symbol", *momentum.SCREEN_COLUMNS[1:]))
+    rows = enrich.enriched_rows(sec, facts, surv)
     return enrich.alert_rows(rows, news_top)
 
 
@@ -125,7 +127,5 @@ def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame,
 
     facts = facts_for(sector_ops.shared_sectors(sec))
     news_top = lookups.news_top(news, params, symbols=kept)
-    rows = enrich.enriched_rows(
-        sec, facts, surv.select("symbol", "company_overview", "marketCap"),
-        surv.select("symbol", *momentum.SCREEN_COLUMNS[1:]))
+    rows = enrich.enriched_rows(sec, facts, surv)
     return enrich.alert_rows(rows, news_top)
