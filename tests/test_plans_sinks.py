@@ -24,6 +24,9 @@ def test_alert_report_scans_bars_once(spark):
     # so the report plan itself does not touch the tick table
     plan = executed(catalog.QUERIES["alert_report"](spark, SF_SMALL))
     assert "events.parquet" not in plan
+    # the survivors' sector rows are materialised too: read once, not per branch
+    assert "customer.parquet" not in plan
+    assert "SortMergeJoin" not in plan.split("== Initial Plan ==")[0]
     assert "BroadcastHashJoin" in plan and "WindowGroupLimit" in plan
 
 
