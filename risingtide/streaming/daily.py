@@ -10,12 +10,13 @@ ticks arriving as files, the same screen runs incrementally:
   latest version of a bar is ``max_by(..., batch_id)``.
 * ``incremental_screen`` (SS1) keeps a bar store partitioned by ``date``.
   Each micro-batch merges its partial bars into the touched dates -- the
-  existing rows of those dates plus the new partials, reduced to one bar
-  per (symbol, date) by the latest tick -- and overwrites only those date
-  partitions (dynamic partition overwrite).  The merged frame is
-  checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) before the
-  overwrite, so the job never reads the files it replaces and a lost
-  executor recomputes from the checkpoint.  The window functions of the
+  existing rows of those dates (a read pruned to those partitions) plus the
+  new partials, reduced to one bar per (symbol, date) by the latest tick --
+  and overwrites only those date partitions (dynamic partition overwrite).
+  When existing rows were read, the merged frame is checkpointed (reliable
+  checkpoint in ``spark.checkpoint.dir``) before the overwrite, so the job
+  never reads the files it replaces and a lost executor recomputes from
+  the checkpoint.  The window functions of the
   screen are not allowed on a streaming frame, so the screen itself runs on
   the bar store.
 
@@ -98,23 +99,38 @@ def read_stream_bars(spark: SparkSession, out_path: str) -> DataFrame:
 # ----------------------------------------------------------------- SS1
 
 def merge_into_store(batch: DataFrame, store_path: str) -> None:
-    """Merge partial bars ``(symbol, date, close, last_ts)`` into the store."""
+    """Merge partial bars ``(symbol, date, close, last_ts)`` into the store.
+
+    Only the date partitions the batch touches are read and rewritten.
+    Their dates are collected first -- at most the days of the trailing
+    window, since older ticks are dropped before this point -- so the read
+    of the store is pruned to those partitions statically.  The merged rows
+    are checkpointed before the overwrite whenever existing files were read,
+    so the job never reads the files it replaces.  The batch is persisted
+    for the two passes over it (dates, merge)."""
     spark = batch.sparkSession
     checkpoint_dir(spark)
-    touched = batch.select("date").distinct()
+    batch = batch.persist()
     try:
-        existing = (spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
-                    .join(touched, "date", "left_semi"))
-        merged_in = batch.unionByName(existing)
-    except AnalysisException:  # first batch: no store yet
-        merged_in = batch
-    merged = (merged_in.groupBy("symbol", "date")
-              .agg(F.max_by(F.struct("close", "last_ts"), "last_ts").alias("b"))
-              .select("symbol", F.col("b.close").alias("close"), F.col("b.last_ts").alias("last_ts"),
-                      "date")
-              .checkpoint(eager=True))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date").parquet(store_path))
+        dates = [r["date"] for r in batch.select("date").distinct().collect()]
+        if not dates:
+            return
+        try:
+            existing = (spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
+                        .where(F.col("date").isin(dates)))
+            merged_in, reads_store = batch.unionByName(existing), True
+        except AnalysisException:  # first batch: no store yet
+            merged_in, reads_store = batch, False
+        merged = (merged_in.groupBy("symbol", "date")
+                  .agg(F.max_by(F.struct("close", "last_ts"), "last_ts").alias("b"))
+                  .select("symbol", F.col("b.close").alias("close"),
+                          F.col("b.last_ts").alias("last_ts"), "date"))
+        if reads_store:
+            merged = merged.checkpoint(eager=True)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date").parquet(store_path))
+    finally:
+        batch.unpersist()
 
 
 def incremental_screen(spark: SparkSession, folder: str, store_path: str, params: ScreenParams,

@@ -141,3 +141,21 @@ def test_broadcast_only_within_rows_and_bytes(spark):
     assert hinted(broadcast_if_small(df))
     assert not hinted(broadcast_if_small(df, max_rows=2))
     assert not hinted(broadcast_if_small(df, max_bytes=20))
+
+
+def test_merge_into_store_touches_only_batch_dates(spark, tmp_path):
+    from risingtide.streaming import daily
+
+    store = str(tmp_path / "store")
+    schema = "symbol bigint, date date, close double, last_ts timestamp"
+    d1, d2, d3 = dt.date(2024, 1, 20), dt.date(2024, 1, 21), dt.date(2024, 1, 22)
+    ts = lambda d, h: dt.datetime.combine(d, dt.time(h))
+    daily.merge_into_store(spark.createDataFrame(
+        [(1, d1, 10.0, ts(d1, 10)), (1, d2, 11.0, ts(d2, 10)), (2, d2, 5.0, ts(d2, 12))], schema), store)
+    # a later tick for (1, d2), an older one for (2, d2), and a new day
+    daily.merge_into_store(spark.createDataFrame(
+        [(1, d2, 12.0, ts(d2, 15)), (2, d2, 4.0, ts(d2, 9)), (1, d3, 13.0, ts(d3, 10))], schema), store)
+    daily.merge_into_store(spark.createDataFrame([], schema), store)  # empty batch: no change
+    got = {(r.symbol, r.date, r.close) for r in
+           spark.read.schema(daily.BAR_STORE_SCHEMA).parquet(store).collect()}
+    assert got == {(1, d1, 10.0), (1, d2, 12.0), (2, d2, 5.0), (1, d3, 13.0)}
