@@ -117,3 +117,20 @@ def test_rounding_rules(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-2.5,), (1000.4999,)], "x double")
     got = [r.v for r in df.select(round_half_even_long(F.col("x")).alias("v")).collect()]
     assert got == [0, 2, 2, -2, 1000]
+
+
+def test_percent_exactly_at_threshold_is_not_an_up_day(spark):
+    rows = series(1, [100.0, 105.0, 110.25, 115.7625, 121.550625])  # +5 % each day
+    pct = [r.percent for r in momentum.with_percent(frame(spark, rows)).orderBy("date").collect()]
+    assert pct[0] is None
+    assert all(math.isclose(p, 5.0) for p in pct[1:])
+    n_up = sum(1 for p in pct[1:] if p > 5.0)           # float noise decides, as in pandas
+    ups = momentum.up_days(frame(spark, rows), P).count()
+    assert ups == n_up
+
+
+def test_symbol_on_both_listings_keeps_its_bars_once(spark):
+    bars = frame(spark, series(1, [1.0, 2.0]) + series(2, [3.0]))
+    universe = spark.createDataFrame([(1,), (1,), (3,)], "symbol bigint")  # NYSE and NASDAQ
+    got = sorted((r.symbol, r.date) for r in bars_src.price_scan_for_universe(bars, universe).collect())
+    assert got == [(1, D[0]), (1, D[1])]
