@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from risingtide.operators import report
 from risingtide.params import DRIVER_PARAMS, ScreenParams
 from risingtide.plans import alert
-from risingtide.session import apply_sql_conf, materialize
+from risingtide.session import apply_cluster_conf, apply_sql_conf, materialize
 from risingtide.sources import driver, lookups, sinks
 
 
@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--end-date", default=DRIVER_PARAMS.end_date.isoformat())
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("risingtide-daily").getOrCreate()
+    apply_cluster_conf(spark)
     params = DRIVER_PARAMS.with_(end_date=_dt.date.fromisoformat(a.end_date))
     run_daily(spark, a.tables, a.out, params).show(truncate=False)
 

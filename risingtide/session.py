@@ -40,6 +40,15 @@ CLUSTER_CONF = {
 }
 
 
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """``CLUSTER_CONF`` for every key the submitter did not set (a value
+    given to spark-submit or the session builder wins)."""
+    given = spark.sparkContext.getConf()
+    for k, v in CLUSTER_CONF.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "risingtide") -> SparkSession:
     builder = (

@@ -159,3 +159,20 @@ def test_merge_into_store_touches_only_batch_dates(spark, tmp_path):
     got = {(r.symbol, r.date, r.close) for r in
            spark.read.schema(daily.BAR_STORE_SCHEMA).parquet(store).collect()}
     assert got == {(1, d1, 10.0), (1, d2, 12.0), (2, d2, 5.0), (1, d3, 13.0)}
+
+
+def test_cluster_conf_keeps_submitted_values(spark):
+    from risingtide.session import CLUSTER_CONF, apply_cluster_conf
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        apply_cluster_conf(spark)
+        # the test session was built with its own shuffle partitions: kept
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in (
+            CLUSTER_CONF["spark.sql.files.maxPartitionBytes"], str(256 * 1024 * 1024) + "b")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        for k in CLUSTER_CONF:
+            if k not in ("spark.sql.shuffle.partitions",) and not spark.sparkContext.getConf().contains(k):
+                spark.conf.unset(k)
