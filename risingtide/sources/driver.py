@@ -67,11 +67,6 @@ def prices(spark: SparkSession, sf_dir: str, params: ScreenParams) -> DataFrame:
     return _bars.daily_bars(t)
 
 
-def all_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars of every day in the tick table."""
-    return _bars.daily_bars(ticks(spark, sf_dir))
-
-
 def exchange_listing(spark: SparkSession, sf_dir: str, exchange: str) -> DataFrame:
     """The symbols one exchange lists, as ``(symbol)``."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")

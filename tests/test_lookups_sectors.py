@@ -98,3 +98,19 @@ def test_alert_rows_no_news_fills(spark):
     out = enrich.alert_rows(rows, empty).collect()
     assert len(out) == 1 and out[0].news_data == "no data" and out[0].news_source == "no data"
     assert out[0].marketCap == 5000
+
+
+def test_split_bad_records(spark):
+    from pyspark.sql import types as T
+
+    from risingtide.sources import records
+
+    raw = spark.createDataFrame(
+        [(1, '{"k": 5}'), (2, "not json"), (3, '{"k": "x"}'), (4, None), (5, "[1, 2]")],
+        "record_id bigint, body string")
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    good, rejects = records.split_bad_records(raw, "body", schema)
+    assert sorted((r.record_id, r.k) for r in good.collect()) == [(1, 5)]
+    assert sorted(r.record_id for r in rejects.collect()) == [2, 3, 4, 5]
+    tags = {r.record_id: r.status for r in records.tag_bad_records(raw, "body", schema).collect()}
+    assert tags == {1: "ok", 2: "rejected", 3: "rejected", 4: "rejected", 5: "rejected"}
