@@ -44,7 +44,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--end-date", default=DRIVER_PARAMS.end_date.isoformat())
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("risingtide-daily").getOrCreate()
+    # no web UI unless the submitter asks for one (--conf spark.ui.enabled=true)
+    spark = (SparkSession.builder.appName("risingtide-daily")
+             .config("spark.ui.enabled", "false").getOrCreate())
     apply_cluster_conf(spark)
     params = DRIVER_PARAMS.with_(end_date=_dt.date.fromisoformat(a.end_date))
     run_daily(spark, a.tables, a.out, params).show(truncate=False)
