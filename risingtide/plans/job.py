@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--end-date", default=DRIVER_PARAMS.end_date.isoformat())
     a = ap.parse_args(argv)
-    # no web UI unless the submitter asks for one (--conf spark.ui.enabled=true)
+    # the job runs without the web UI (no port is opened for it)
     spark = (SparkSession.builder.appName("risingtide-daily")
              .config("spark.ui.enabled", "false").getOrCreate())
     apply_cluster_conf(spark)
