@@ -26,10 +26,9 @@ BAR_SCHEMA = T.StructType([
 ])
 
 
-def _ts_literal(df: DataFrame, ts_col: str, value: _dt.datetime) -> Column:
+def _ts_literal(dtype: T.DataType, value: _dt.datetime) -> Column:
     """A timestamp literal of the column's own type, so the comparison is
     not wrapped in a cast and stays pushable to the scan."""
-    dtype = df.schema[ts_col].dataType
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast(dtype)
 
 
@@ -42,8 +41,9 @@ def ticks_in_window(ticks: DataFrame, start: _dt.date, end: _dt.date,
     """
     lo = _dt.datetime.combine(start, _dt.time())
     hi = _dt.datetime.combine(end + _dt.timedelta(days=1), _dt.time())
-    return ticks.where((F.col(ts_col) >= _ts_literal(ticks, ts_col, lo))
-                       & (F.col(ts_col) < _ts_literal(ticks, ts_col, hi)))
+    dtype = ticks.schema[ts_col].dataType
+    return ticks.where((F.col(ts_col) >= _ts_literal(dtype, lo))
+                       & (F.col(ts_col) < _ts_literal(dtype, hi)))
 
 
 def daily_bars(ticks: DataFrame, symbol_col: str = "user_id", ts_col: str = "ts",
