@@ -149,15 +149,22 @@ def q_distinct_symbols(spark, sf):
 # ---------------------------------------------------------------- sectors / joins
 
 def _survivor_inputs(spark, sf):
-    """(per-symbol screen, cap-passing overview, their sectors), all from one
-    materialised survivor table."""
+    """(per-symbol screen, cap-passing overview, measured survivor keys), all
+    from one materialised survivor table."""
     surv = alert.survivors(driver.prices(spark, sf, P),
                            lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), P)
     per_symbol = surv.select("symbol", *momentum.SCREEN_COLUMNS[1:])
     overview = surv.select("symbol", "company_overview", "marketCap")
-    kept = broadcast_if_small(overview.select("symbol"))
-    sec = driver.sectors(spark, sf).join(kept, "symbol", "left_semi")
-    return per_symbol, overview, sec
+    return per_symbol, overview, broadcast_if_small(overview.select("symbol"))
+
+
+def _survivor_sectors(spark, sf):
+    """The survivors' sector rows, materialised: the shared-sector count and
+    the join with the facts both read them, the sector table only once."""
+    per_symbol, overview, kept = _survivor_inputs(spark, sf)
+    sec = (driver.sectors(spark, sf).join(kept, "symbol", "left_semi")
+           .select("symbol", "core_focus").distinct())
+    return per_symbol, overview, materialize(sec)
 
 
 @register("sector_nunique")
@@ -167,7 +174,7 @@ def q_sector_nunique(spark, sf):
 
 @register("shared_sectors")
 def q_shared_sectors(spark, sf):
-    _, _, sec = _survivor_inputs(spark, sf)
+    _, _, sec = _survivor_sectors(spark, sf)
     return sector_ops.shared_sectors(sec)
 
 
@@ -179,21 +186,20 @@ def q_future_sectors(spark, sf):
 
 @register("sector_join")
 def q_sector_join(spark, sf):
-    _, _, sec = _survivor_inputs(spark, sf)
+    _, _, sec = _survivor_sectors(spark, sf)
     return sector_ops.sector_join(sec, driver.sector_facts(sector_ops.shared_sectors(sec)))
 
 
 @register("news_left_join")
 def q_news_left_join(spark, sf):
-    _, overview, _ = _survivor_inputs(spark, sf)
-    top = lookups.news_top(driver.news_source(spark, sf), P,
-                           symbols=broadcast_if_small(overview.select("symbol")))
+    _, overview, kept = _survivor_inputs(spark, sf)
+    top = lookups.news_top(driver.news_source(spark, sf), P, symbols=kept)
     return enrich.news_left_join(overview, top)
 
 
 @register("enriched_rows")
 def q_enriched_rows(spark, sf):
-    per_symbol, overview, sec = _survivor_inputs(spark, sf)
+    per_symbol, overview, sec = _survivor_sectors(spark, sf)
     facts = driver.sector_facts(sector_ops.shared_sectors(sec))
     return enrich.enriched_rows(sec, facts, overview, per_symbol)
 
