@@ -111,21 +111,52 @@ def prompt_documents(df: DataFrame, batch_cols: list[str], record_cols: list[str
 
 
 MAX_RECORDS_PER_CALL = 100
+# Fixed value: attempts per model call (the reference asked again when a
+# reply held no parsable JSON array, up to 3 times).
+MODEL_ATTEMPTS = 3
+
+
+def reply_has_array(text) -> bool:
+    """Whether the span from the first ``[`` to the last ``]`` of a reply is
+    a JSON array -- the same cut-out the JVM-side parse uses."""
+    if not isinstance(text, str):
+        return False
+    start, end = text.find("["), text.rfind("]")
+    if start < 0 or end < start:
+        return False
+    try:
+        return isinstance(json.loads(text[start:end + 1]), list)
+    except ValueError:
+        return False
 
 
 def call_model(df: DataFrame, predict: Predictor, batch_col: str | None = None,
-               max_records: int = MAX_RECORDS_PER_CALL) -> DataFrame:
+               max_records: int = MAX_RECORDS_PER_CALL,
+               attempts: int = MODEL_ATTEMPTS) -> DataFrame:
     """One ``predict`` call per batch of records, inside Python workers.
 
     Without ``batch_col`` the records of each Arrow batch of a partition are
     cut into calls of at most ``max_records``; with it, rows are grouped by
-    that (already bounded) column and each group is one call.  Output:
-    ``(batch_key, n_records, reply)``.
+    that (already bounded) column and each group is one call.  A call whose
+    reply holds no JSON array, or that raises, is made again, up to
+    ``attempts`` times; the last unparsable reply is kept (it ends in the
+    reject frame of ``parse_replies``), the last error fails the task.
+    Output: ``(batch_key, n_records, reply)``.
     """
     cols = df.columns
 
     def reply(recs: list[dict], key: str) -> dict:
-        return {"batch_key": key, "n_records": len(recs), "reply": predict(recs)}
+        text = None
+        for attempt in range(1, attempts + 1):
+            try:
+                text = predict(recs)
+            except Exception:
+                if attempt == attempts:
+                    raise
+                continue
+            if reply_has_array(text):
+                break
+        return {"batch_key": key, "n_records": len(recs), "reply": text}
 
     if batch_col:
         def per_group(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -108,3 +108,34 @@ def test_bounded_batches_spread_a_repeated_key(spark):
     again = inference.bounded_batches(rows, "symbol", 10, ["g"])
     assert sorted((r.text, r.batch_id) for r in b.collect()) == \
         sorted((r.text, r.batch_id) for r in again.collect())
+
+
+def test_model_call_is_retried_until_the_reply_parses(spark):
+    calls = spark.sparkContext.accumulator(0)
+    docs = spark.createDataFrame([(i, "alpha beta beta") for i in range(30)],
+                                 "symbol bigint, text string")
+
+    def flaky(records):
+        calls.add(1)
+        # the first attempt for a batch answers without an array
+        if not any(r.get("_seen") for r in records):
+            for r in records:
+                r["_seen"] = True
+            return "Sorry, I cannot help with that."
+        return inference.keyword_sector_predict(records)
+
+    rows, rejects = inference.classify(docs, predict=flaky)
+    got = {r.symbol: r.core_focus for r in rows.collect()}
+    assert len(got) == 30 and set(got.values()) == {"beta"} and rejects.count() == 0
+
+    tries = spark.sparkContext.accumulator(0)
+
+    def never(records):
+        tries.add(1)
+        return "no array here"
+
+    replies = inference.call_model(docs.select("symbol", "text").coalesce(1), never, max_records=10)
+    assert replies.count() == 3 and tries.value == 3 * inference.MODEL_ATTEMPTS
+    rows, rejects = inference.parse_replies(replies, inference.SECTOR_ELEMENT)
+    assert rows.count() == 0 and rejects.count() == 3
+    assert inference.reply_has_array('x [{"a": 1}] y') and not inference.reply_has_array("[oops")
