@@ -66,14 +66,15 @@ def _num(c, decimals: int = 2):
 def report_fragments(rows: DataFrame, report_date: _dt.date) -> DataFrame:
     """ST4 + F7 + O2: ``(core_focus, part, symbol, html)`` fragments.  Part 0
     is the sector header, part 1 one stock."""
+    symbol_type = rows.schema["symbol"].dataType  # ticker text or numeric id
     sections = report_sections(rows, report_date).select(
         "core_focus", F.lit(SECTION_PART).alias("part"),
-        F.lit(None).cast("bigint").alias("symbol"),
+        F.lit(None).cast(symbol_type).alias("symbol"),
         F.concat(F.lit("<h2>"), F.col("core_focus"), F.lit("</h2><p>"),
                  F.col("core_focus_overview"), F.lit("</p><p>"),
                  F.col("core_focus_future_potential_overview"), F.lit("</p>")).alias("html"))
     items = report_items(rows).select(
-        "core_focus", F.lit(STOCK_PART).alias("part"), F.col("symbol").cast("bigint"),
+        "core_focus", F.lit(STOCK_PART).alias("part"), "symbol",
         F.concat(F.lit("<h3>"), F.col("symbol").cast("string"), F.lit("</h3>"),
                  F.lit("<p>Market cap: "), F.col("market_cap_text"), F.lit(" $</p>"),
                  F.lit("<p>Price: "), _num(F.col("last_price")), F.lit("$</p>"),

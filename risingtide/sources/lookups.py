@@ -21,8 +21,10 @@ from risingtide.session import BROADCAST_MAX_KEYS, checked_broadcast
 
 def json_with_default(json_col: Column, path: str, default, dtype: str) -> Column:
     """A field of a JSON document, or ``default`` when the document or
-    the field is missing (``get_json_object`` gives NULL for both)."""
-    return F.coalesce(F.get_json_object(json_col, path).cast(dtype), F.lit(default).cast(dtype))
+    the field is missing (``get_json_object`` gives NULL for both) or holds
+    a value of another type (``try_cast``: NULL instead of an error)."""
+    return F.coalesce(F.get_json_object(json_col, path).try_cast(dtype),
+                      F.lit(default).cast(dtype))
 
 
 def fundamentals_from_json(raw: DataFrame, json_col: str = "body", key: str = "symbol",

@@ -27,8 +27,9 @@ def write_report(fragments: DataFrame, path: str, run_date: _dt.date, fmt: str =
      .partitionBy("run_date").format(fmt).save(path))
 
 
-def read_report(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    schema = "core_focus string, part int, symbol bigint, html string, run_date string"
+def read_report(spark: SparkSession, path: str, fmt: str = "json",
+                symbol_type: str = "bigint") -> DataFrame:
+    schema = f"core_focus string, part int, symbol {symbol_type}, html string, run_date string"
     return spark.read.schema(schema).format(fmt).load(path)
 
 

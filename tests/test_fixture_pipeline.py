@@ -60,3 +60,22 @@ def test_inferred_flow_calls_the_model_once_per_survivor(spark):
     out.count()
     n = alert.survivors(driver.prices(spark, SF_SMALL, P), fund, P, checkpoint=False).count()
     assert n > 0 and calls.value == n
+
+
+def test_report_fragments_keep_ticker_symbols(spark):
+    import datetime as dt
+
+    from risingtide.operators import report
+
+    screened = spark.createDataFrame(
+        SCREENED, "symbol string, last_price double, last_percent double, start_end_percent double")
+    overview = spark.createDataFrame(OVERVIEW, "symbol string, company_overview string, marketCap bigint")
+    news = spark.createDataFrame(NEWS, "symbol string, news_rank int, news_data string, news_source string")
+    sectors = spark.createDataFrame(SECTORS, "symbol string, core_focus string")
+    facts = spark.createDataFrame(
+        FACTS, "core_focus string, core_focus_overview string, is_core_focus_future_potential boolean, "
+               "core_focus_future_potential_overview string")
+    rows = alert.report_from_lookups(screened, overview, news, sectors, facts)
+    frags = report.report_fragments(rows, dt.date(2024, 1, 30)).orderBy("core_focus", "part", "symbol")
+    got = [(r.core_focus, r.part, r.symbol) for r in frags.collect()]
+    assert got == [("Nuclear Energy", 0, None), ("Nuclear Energy", 1, "AAA"), ("Nuclear Energy", 1, "BBB")]

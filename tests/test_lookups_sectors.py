@@ -114,3 +114,12 @@ def test_split_bad_records(spark):
     assert sorted(r.record_id for r in rejects.collect()) == [2, 3, 4, 5]
     tags = {r.record_id: r.status for r in records.tag_bad_records(raw, "body", schema).collect()}
     assert tags == {1: "ok", 2: "rejected", 3: "rejected", 4: "rejected", 5: "rejected"}
+
+
+def test_json_default_for_a_value_of_another_type(spark):
+    raw = spark.createDataFrame(
+        [("A", '{"results": {"description": "x", "market_cap": "n/a"}}'),
+         ("B", '{"results": {"market_cap": 1234.5}}')], "symbol string, body string")
+    got = {r.symbol: (r.company_overview, r.marketCap)
+           for r in lookups.fundamentals_from_json(raw).collect()}
+    assert got == {"A": ("x", 0), "B": ("", 1234)}
