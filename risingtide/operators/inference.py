@@ -186,10 +186,13 @@ def parse_replies(replies: DataFrame, element_ddl: str) -> tuple[DataFrame, Data
 def classify(df: DataFrame, predict: Predictor = keyword_sector_predict,
              key: str = "symbol", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """U1 + S7 + J1: ``(symbol, core_focus)`` per input record, plus rejects.
-    A model call costs far more than moving its record, so an input that
-    arrives in fewer splits than there are task slots is spread first."""
+    The reply's symbol is parsed with the key's own type (ticker text or a
+    numeric id).  A model call costs far more than moving its record, so an
+    input that arrives in fewer splits than there are task slots is spread
+    first."""
     inp = spread_input(df.select(F.col(key).alias("symbol"), F.col(text).alias("text")), "symbol")
-    return parse_replies(call_model(inp, predict), SECTOR_ELEMENT)
+    element = f"symbol {df.schema[key].dataType.simpleString()}, core_focus string"
+    return parse_replies(call_model(inp, predict), element)
 
 
 def describe_sectors(shared: DataFrame, predict: Predictor = describe_sectors_predict

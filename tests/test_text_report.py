@@ -139,3 +139,11 @@ def test_model_call_is_retried_until_the_reply_parses(spark):
     rows, rejects = inference.parse_replies(replies, inference.SECTOR_ELEMENT)
     assert rows.count() == 0 and rejects.count() == 3
     assert inference.reply_has_array('x [{"a": 1}] y') and not inference.reply_has_array("[oops")
+
+
+def test_classify_keeps_ticker_symbols(spark):
+    docs = spark.createDataFrame([("OKLO", "reactor reactor fuel"), ("SMR", "modular reactor reactor")],
+                                 "ticker string, body string")
+    rows, rejects = inference.classify(docs, key="ticker", text="body")
+    assert {(r.symbol, r.core_focus) for r in rows.collect()} == {("OKLO", "reactor"), ("SMR", "reactor")}
+    assert rejects.count() == 0
