@@ -79,3 +79,47 @@ def test_report_fragments_keep_ticker_symbols(spark):
     frags = report.report_fragments(rows, dt.date(2024, 1, 30)).orderBy("core_focus", "part", "symbol")
     got = [(r.core_focus, r.part, r.symbol) for r in frags.collect()]
     assert got == [("Nuclear Energy", 0, None), ("Nuclear Energy", 1, "AAA"), ("Nuclear Energy", 1, "BBB")]
+
+
+def test_alert_report_on_ticker_tables(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from risingtide.params import ScreenParams
+    from risingtide.sources import lookups
+
+    p = ScreenParams(end_date=dt.date(2024, 1, 10), window_days=10, min_market_cap=100_000_000)
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
+    closes = {
+        "OKLO": [10, 11, 12.1, 13.31, 13.31],        # 3 up-days (+10 %), gain 33 %
+        "SMR": [5, 5.5, 6.05, 6.655, 7.3205],        # 4 up-days, gain 46 %
+        "CLSK": [8, 8.8, 9.68, 9.68, 9.0],           # 2 up-days only
+        "NNE": [20, 22, 24.2, 26.62, 26.0],          # 3 up-days, but cap too small
+        "LONE": [1, 1.2, 1.44, 1.728, 1.8],          # passes, alone in its sector
+    }
+    bars = spark.createDataFrame([(s, day(i), float(c)) for s, cs in closes.items()
+                                  for i, c in enumerate(cs)], "symbol string, date date, close double")
+    fund = lookups.fundamentals_table(spark.createDataFrame(
+        [("OKLO", "fission", 2.5e9), ("SMR", "modules", 1.0e9), ("CLSK", "mining", 3.0e9),
+         ("NNE", "micro", 1.0e8), ("LONE", "other", 5.0e8)],
+        "symbol string, description string, market_cap double"))
+    sectors = spark.createDataFrame([("OKLO", "Nuclear"), ("SMR", "Nuclear"), ("CLSK", "Nuclear"),
+                                     ("NNE", "Nuclear"), ("LONE", "Solar")],
+                                    "symbol string, core_focus string")
+    news = spark.createDataFrame(
+        [("OKLO", 1, day(9), "OKLO wins", "u1"), ("OKLO", 2, day(8), "OKLO grows", None),
+         ("SMR", 3, dt.date(2023, 12, 1), "too old", "u3")],
+        "symbol string, article_id bigint, published date, title string, article_url string")
+
+    def facts_for(shared):
+        return shared.select("core_focus", F.lit("reactors").alias("core_focus_overview"),
+                             F.lit(True).alias("is_core_focus_future_potential"),
+                             F.lit("growing").alias("core_focus_future_potential_overview"))
+
+    out = {r.symbol: r for r in alert.alert_report(bars, fund, sectors, news, facts_for, p).collect()}
+    assert set(out) == {"OKLO", "SMR"}
+    assert out["OKLO"].news_data == "OKLO wins***OKLO grows"
+    assert out["OKLO"].news_source == "u1***no data"
+    assert out["SMR"].news_data == "no data" and out["SMR"].marketCap == 1_000_000_000
+    assert abs(out["SMR"].start_end_percent - 46.41) < 1e-9 and out["OKLO"].core_focus == "Nuclear"
