@@ -21,7 +21,10 @@ SCREEN_COLUMNS = ["symbol", "last_price", "last_percent", "start_end_percent"]
 
 
 def _ordered():
-    return Window.partitionBy("symbol").orderBy("date")
+    # ``close`` only breaks ties of a repeated (symbol, date) -- a bar table
+    # read from two sources -- so a recomputed task sees the same order
+    # (H15); bars from ``daily_bars`` are unique per day and unaffected
+    return Window.partitionBy("symbol").orderBy("date", "close")
 
 
 def _whole():

@@ -134,3 +134,16 @@ def test_symbol_on_both_listings_keeps_its_bars_once(spark):
     universe = spark.createDataFrame([(1,), (1,), (3,)], "symbol bigint")  # NYSE and NASDAQ
     got = sorted((r.symbol, r.date) for r in bars_src.price_scan_for_universe(bars, universe).collect())
     assert got == [(1, D[0]), (1, D[1])]
+
+
+def test_repeated_bar_is_ordered_deterministically(spark):
+    # the same day twice (two sources): the duplicate gives a 0 % change,
+    # as concatenated duplicates did in the reference, whatever the row order
+    rows = series(1, [10.0, 12.0]) + [(1, D[1], 12.0)] + [(1, D[2], 11.0), (1, D[2], 13.0)]
+    for order in (rows, list(reversed(rows))):
+        got = [(r.date, r.close, r.percent) for r in
+               momentum.with_percent(frame(spark, order)).orderBy("date", "close").collect()]
+        assert got[0][2] is None and got[2][2] == 0.0
+        assert math.isclose(got[1][2], (12.0 / 10.0 - 1) * 100)
+        assert math.isclose(got[3][2], (11.0 / 12.0 - 1) * 100)
+        assert math.isclose(got[4][2], (13.0 / 11.0 - 1) * 100)
