@@ -62,7 +62,8 @@ def q_bars_union(spark, sf):
     first = bars.daily_bars(bars.ticks_in_window(t, P.start_date, mid))
     t2 = bars.ticks_in_window(t, mid + _dt.timedelta(days=1), P.end_date)
     second = (t2.groupBy(F.col("user_id").alias("symbol"), F.col("ts").cast("date").alias("date"))
-              .agg(F.max_by("value", "ts").alias("close"), F.count(F.lit(1)).alias("n_ticks")))
+              .agg(bars.last_tick(F.col("value"), F.col("ts")).alias("close"),
+                   F.count(F.lit(1)).alias("n_ticks")))
     return bars.bars_union([first, second])
 
 

@@ -31,7 +31,7 @@ def bars_cte(p: ScreenParams = P, windowed: bool = True) -> str:
                   f" AND ts < TIMESTAMP '{hi_d.isoformat()} 00:00:00'")
     return f"""bars AS (
   SELECT symbol, date, CASE WHEN isnan(c) THEN NULL ELSE c END AS close
-  FROM (SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, ts) AS c
+  FROM (SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, value)) AS c
         FROM events WHERE {where}
         GROUP BY user_id, CAST(ts AS DATE)) g)"""
 
@@ -108,13 +108,13 @@ SQL["price_window_scan"] = with_(bars_cte()) + "SELECT * FROM bars"
 SQL["price_scan_for_universe"] = with_(bars_cte()) + """SELECT * FROM bars
 WHERE symbol IN (SELECT c_custkey FROM customer WHERE c_nationkey < 15
                  UNION ALL SELECT c_custkey FROM customer WHERE c_nationkey >= 10)"""
-SQL["bars_union"] = """SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, ts) AS close,
+SQL["bars_union"] = """SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, value)) AS close,
        CAST(NULL AS BIGINT) AS n_ticks
 FROM events WHERE user_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-20 00:00:00'
   AND ts < TIMESTAMP '2024-01-26 00:00:00'
 GROUP BY 1, 2
 UNION ALL
-SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, ts) AS close, count(*) AS n_ticks
+SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, value)) AS close, count(*) AS n_ticks
 FROM events WHERE ts >= TIMESTAMP '2024-01-26 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
 GROUP BY 1, 2"""
 SQL["parse_date"] = ("SELECT event_id, TRY_CAST(substr(CAST(ts AS VARCHAR), 1, 10) AS DATE) AS date "

@@ -46,10 +46,18 @@ def ticks_in_window(ticks: DataFrame, start: _dt.date, end: _dt.date,
                        & (F.col(ts_col) < _ts_literal(dtype, hi)))
 
 
+def last_tick(value: Column, ts: Column, order: Column | None = None) -> Column:
+    """``value`` of the latest tick by ``ts``; ticks with the same timestamp
+    are ordered by their price, so the pick does not depend on row order
+    and a recomputed task gives the same bar.  ``order`` is the price to
+    order by when ``value`` is a struct carrying more than the price."""
+    return F.max_by(value, F.struct(ts, value if order is None else order))
+
+
 def daily_bars(ticks: DataFrame, symbol_col: str = "user_id", ts_col: str = "ts",
                price_col: str = "value") -> DataFrame:
     """Roll ticks up to one bar per (symbol, day): the close is the price of
-    the day's last tick.
+    the day's last tick (ties in time broken by price).
 
     ``max_by`` is a partial aggregate, so a hot symbol is reduced map-side to
     one row per (symbol, day, map task) before the shuffle.
@@ -58,7 +66,7 @@ def daily_bars(ticks: DataFrame, symbol_col: str = "user_id", ts_col: str = "ts"
             .where(F.col(symbol_col).isNotNull())
             .groupBy(F.col(symbol_col).alias("symbol"),
                      F.col(ts_col).cast("date").alias("date"))
-            .agg(nan_to_null(F.max_by(F.col(price_col), F.col(ts_col))).alias("close")))
+            .agg(nan_to_null(last_tick(F.col(price_col), F.col(ts_col))).alias("close")))
 
 
 def price_window_scan(bars: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:

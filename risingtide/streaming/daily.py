@@ -36,6 +36,7 @@ from risingtide.functions.numeric import nan_to_null
 from risingtide.operators import momentum
 from risingtide.params import ScreenParams
 from risingtide.session import checkpoint_dir
+from risingtide.sources.bars import last_tick
 from risingtide.sources.driver import TABLE_SCHEMAS
 
 TICK_SCHEMA = TABLE_SCHEMAS["events"]
@@ -69,7 +70,8 @@ def stream_daily_bars(spark: SparkSession, folder: str, out_path: str, params: S
     ticks = _in_window(tick_stream(spark, folder), params)
     bars = (ticks.withWatermark("ts", watermark)
             .groupBy(F.window("ts", "1 day").alias("w"), F.col("user_id").alias("symbol"))
-            .agg(nan_to_null(F.max_by("value", "ts")).alias("close"), F.max("ts").alias("last_ts"))
+            .agg(nan_to_null(last_tick(F.col("value"), F.col("ts"))).alias("close"),
+                 F.max("ts").alias("last_ts"))
             .select("symbol", F.to_date(F.col("w.start")).alias("date"), "close", "last_ts"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -122,7 +124,8 @@ def merge_into_store(batch: DataFrame, store_path: str) -> None:
         except AnalysisException:  # first batch: no store yet
             merged_in, reads_store = batch, False
         merged = (merged_in.groupBy("symbol", "date")
-                  .agg(F.max_by(F.struct("close", "last_ts"), "last_ts").alias("b"))
+                  .agg(last_tick(F.struct("close", "last_ts"), F.col("last_ts"),
+                                 order=F.col("close")).alias("b"))
                   .select("symbol", F.col("b.close").alias("close"),
                           F.col("b.last_ts").alias("last_ts"), "date"))
         if reads_store:
@@ -142,7 +145,8 @@ def incremental_screen(spark: SparkSession, folder: str, store_path: str, params
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         partial = (batch.groupBy(F.col("user_id").alias("symbol"),
                                  F.to_date("ts").alias("date"))
-                   .agg(F.max_by(F.struct("value", "ts"), "ts").alias("b"))
+                   .agg(last_tick(F.struct("value", "ts"), F.col("ts"),
+                                  order=F.col("value")).alias("b"))
                    .select("symbol", "date", nan_to_null(F.col("b.value")).alias("close"),
                            F.col("b.ts").alias("last_ts")))
         merge_into_store(partial, store_path)

@@ -147,3 +147,13 @@ def test_repeated_bar_is_ordered_deterministically(spark):
         assert math.isclose(got[1][2], (12.0 / 10.0 - 1) * 100)
         assert math.isclose(got[3][2], (11.0 / 12.0 - 1) * 100)
         assert math.isclose(got[4][2], (13.0 / 11.0 - 1) * 100)
+
+
+def test_ticks_at_the_same_time_pick_the_same_close(spark):
+    at = dt.datetime(2024, 1, 5, 16)
+    rows = [(1, dt.datetime(2024, 1, 5, 9), 10.0), (1, at, 11.0), (1, at, 10.5), (1, at, 10.8)]
+    for order in (rows, list(reversed(rows)), rows[1:] + rows[:1]):
+        ticks = spark.createDataFrame(order, "user_id bigint, ts timestamp_ntz, value double")
+        # spread over partitions so the partial aggregates see the tie split up
+        got = bars_src.daily_bars(ticks.repartition(3)).collect()
+        assert [(r.symbol, r.close) for r in got] == [(1, 11.0)]
