@@ -258,7 +258,8 @@ def _sector_replies(spark, sf):
     sec = driver.sectors(spark, sf).withColumn(
         "batch_id", F.floor(F.col("symbol") / REPLY_BATCH).cast("bigint"))
     good = (sec.groupBy("batch_id")
-            .agg(F.to_json(F.collect_list(F.struct("symbol", "core_focus"))).alias("arr"))
+            .agg(F.to_json(F.array_sort(F.collect_list(F.struct("symbol", "core_focus"))))
+                 .alias("arr"))
             .select(F.col("batch_id").cast("string").alias("batch_key"),
                     F.concat(F.lit("Sure. Here are the labels:\n"), F.col("arr"),
                              F.lit("\nLet me know [if] you need more.")).alias("reply")))
