@@ -190,7 +190,12 @@ def classify(df: DataFrame, predict: Predictor = keyword_sector_predict,
     numeric id).  A model call costs far more than moving its record, so an
     input that arrives in fewer splits than there are task slots is spread
     first."""
-    inp = spread_input(df.select(F.col(key).alias("symbol"), F.col(text).alias("text")), "symbol")
+    raw = df.select(F.col(key).alias("symbol"), F.col(text).alias("text"))
+    inp = spread_input(raw, "symbol")
+    if inp is not raw:
+        # rows arrive from a shuffle in fetch order; sorted, a recomputed
+        # task groups the same records into the same calls
+        inp = inp.sortWithinPartitions("symbol")
     element = f"symbol {df.schema[key].dataType.simpleString()}, core_focus string"
     return parse_replies(call_model(inp, predict), element)
 
