@@ -7,7 +7,7 @@ Column names and types are the ones the Spark query returns.
 
 from __future__ import annotations
 
-from risingtide.params import DRIVER_PARAMS, MISSING_TEXT, NEWS_SEPARATOR, ScreenParams
+from risingtide.params import DRIVER_PARAMS, MISSING_TEXT, ScreenParams
 
 P = DRIVER_PARAMS
 
