@@ -21,6 +21,11 @@ from risingtide.params import MISSING_TEXT
 
 SECTION_PART = 0
 STOCK_PART = 1
+# Blocks of the document, in order: title, list of sectors, body.
+TITLE_BLOCK = 0
+CONTENTS_BLOCK = 1
+BODY_BLOCK = 2
+REPORT_TITLE = "Sector breakouts"
 
 
 def report_sections(rows: DataFrame, report_date: _dt.date) -> DataFrame:
@@ -83,3 +88,26 @@ def report_fragments(rows: DataFrame, report_date: _dt.date) -> DataFrame:
                  F.lit("<p>"), F.col("company_overview"), F.lit("</p><ul>"),
                  F.col("news_html"), F.lit("</ul>")).alias("html"))
     return sections.unionByName(items)
+
+
+def report_document(rows: DataFrame, report_date: _dt.date) -> DataFrame:
+    """ST4 + A7 + D2: the whole report as ``(block, core_focus, part,
+    symbol, html)`` fragments -- a title with the run date (one row, only
+    when there is something to report), one list item per sector, then the
+    body of ``report_fragments``.  Read in ``(block, core_focus, part,
+    symbol)`` order the fragments are the document; every fragment is
+    rendered from one sector or one stock, so no row holds the whole
+    document."""
+    symbol_type = rows.schema["symbol"].dataType
+    sections = report_sections(rows, report_date)
+    no_symbol = F.lit(None).cast(symbol_type).alias("symbol")
+    title = (sections.groupBy("report_date").agg(F.count(F.lit(1)).alias("_n"))
+             .select(F.lit(TITLE_BLOCK).alias("block"), F.lit(None).cast("string").alias("core_focus"),
+                     F.lit(SECTION_PART).alias("part"), no_symbol,
+                     F.concat(F.lit(f"<h1>{REPORT_TITLE} - "), F.col("report_date"),
+                              F.lit("</h1>")).alias("html")))
+    contents = sections.select(
+        F.lit(CONTENTS_BLOCK).alias("block"), "core_focus", F.lit(SECTION_PART).alias("part"),
+        no_symbol, F.concat(F.lit("<li>"), F.col("core_focus"), F.lit("</li>")).alias("html"))
+    body = report_fragments(rows, report_date).select(F.lit(BODY_BLOCK).alias("block"), "*")
+    return title.unionByName(contents).unionByName(body)

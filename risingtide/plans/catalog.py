@@ -342,6 +342,11 @@ def q_report_html(spark, sf):
     return report.report_fragments(_alert(spark, sf), P.end_date)
 
 
+@register("report_document")
+def q_report_document(spark, sf):
+    return report.report_document(_alert(spark, sf), P.end_date)
+
+
 @register("report_write")
 def q_report_write(spark, sf):
     import uuid

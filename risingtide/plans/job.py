@@ -32,7 +32,7 @@ def run_daily(spark: SparkSession, tables: str, out: str, params: ScreenParams)
         driver.sectors(spark, tables), driver.news_source(spark, tables), driver.sector_facts, params))
     status = sinks.run_status(spark, rows, params.end_date)
     if status.first()["status"] == "ok":
-        sinks.write_report(report.report_fragments(rows, params.end_date),
+        sinks.write_report(report.report_document(rows, params.end_date),
                            f"{out.rstrip('/')}/report", params.end_date)
     sinks.append_status(status, f"{out.rstrip('/')}/status")
     return status

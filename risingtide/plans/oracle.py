@@ -288,7 +288,7 @@ def _num(x: str) -> str:
     return f"coalesce(format('{{:,.2f}}', {x}), '{MISSING_TEXT}')"
 
 
-SQL["report_html"] = _ALERT + _ITEMS + f"""
+_BODY = f"""
 SELECT core_focus, 0 AS part, CAST(NULL AS BIGINT) AS symbol,
        '<h2>' || core_focus || '</h2><p>' || arg_min(core_focus_overview, symbol) || '</p><p>' ||
        arg_min(core_focus_future_potential_overview, symbol) || '</p>' AS html
@@ -301,6 +301,15 @@ SELECT core_focus, 1, symbol,
        '<p>Window change: ' || {_num('start_end_percent_2')} || '%</p>' ||
        '<p>' || company_overview || '</p><ul>' || news_html || '</ul>'
 FROM items"""
+SQL["report_html"] = _ALERT + _ITEMS + _BODY
+SQL["report_document"] = _ALERT + _ITEMS + f""", body AS ({_BODY})
+SELECT 0 AS block, CAST(NULL AS VARCHAR) AS core_focus, 0 AS part, CAST(NULL AS BIGINT) AS symbol,
+       '<h1>Sector breakouts - {P.end_date.isoformat()}</h1>' AS html
+FROM alert HAVING count(*) > 0
+UNION ALL
+SELECT 1, core_focus, 0, CAST(NULL AS BIGINT), '<li>' || core_focus || '</li>' FROM alert GROUP BY core_focus
+UNION ALL
+SELECT 2, core_focus, part, symbol, html FROM body"""
 # The streaming queries produce the same rows as their batch counterparts.
 SQL["stream_daily_bars"] = SQL["price_window_scan"]
 SQL["stream_daily_screen"] = SQL["momentum_screen"]

@@ -21,15 +21,19 @@ STATUS_SCHEMA = "run_date string, status string, message string, n_rows bigint"
 
 
 def write_report(fragments: DataFrame, path: str, run_date: _dt.date, fmt: str = "json") -> None:
+    order = [c for c in ("block", "core_focus", "part", "symbol") if c in fragments.columns]
     (fragments.withColumn("run_date", F.lit(run_date.isoformat()))
-     .orderBy("core_focus", "part", "symbol")
+     .orderBy(*order)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_date").format(fmt).save(path))
 
 
 def read_report(spark: SparkSession, path: str, fmt: str = "json",
-                symbol_type: str = "bigint") -> DataFrame:
-    schema = f"core_focus string, part int, symbol {symbol_type}, html string, run_date string"
+                symbol_type: str = "bigint", document: bool = False) -> DataFrame:
+    """The written fragments; ``document`` for the output of
+    ``report.report_document`` (with its ``block`` column)."""
+    schema = ("block int, " if document else "") + \
+        f"core_focus string, part int, symbol {symbol_type}, html string, run_date string"
     return spark.read.schema(schema).format(fmt).load(path)
 
 

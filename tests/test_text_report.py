@@ -147,3 +147,20 @@ def test_classify_keeps_ticker_symbols(spark):
     rows, rejects = inference.classify(docs, key="ticker", text="body")
     assert {(r.symbol, r.core_focus) for r in rows.collect()} == {("OKLO", "reactor"), ("SMR", "reactor")}
     assert rejects.count() == 0
+
+
+def test_report_document_order_and_empty(spark, tmp_path):
+    from risingtide.sources import sinks
+
+    rows = alert_frame(spark)
+    doc = report.report_document(rows, dt.date(2024, 1, 30))
+    path = str(tmp_path / "doc")
+    sinks.write_report(doc, path, dt.date(2024, 1, 30))
+    back = sinks.read_report(spark, path, document=True).orderBy("block", "core_focus", "part", "symbol")
+    keys = [(r.block, r.core_focus, r.part, r.symbol) for r in back.collect()]
+    assert keys == [(0, None, 0, None), (1, "ai", 0, None), (1, "ev", 0, None),
+                    (2, "ai", 0, None), (2, "ai", 1, 1), (2, "ai", 1, 2), (2, "ev", 0, None),
+                    (2, "ev", 1, 3)]
+    assert back.first().html == "<h1>Sector breakouts - 2024-01-30</h1>"
+    # nothing to report: no title either
+    assert report.report_document(rows.limit(0), dt.date(2024, 1, 30)).count() == 0
