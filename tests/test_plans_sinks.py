@@ -176,3 +176,12 @@ def test_cluster_conf_keeps_submitted_values(spark):
         for k in CLUSTER_CONF:
             if k not in ("spark.sql.shuffle.partitions",) and not spark.sparkContext.getConf().contains(k):
                 spark.conf.unset(k)
+
+
+def test_no_query_plans_pairs_or_row_at_a_time_python(spark):
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert bad not in plan, (name, bad)
