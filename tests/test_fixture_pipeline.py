@@ -123,3 +123,25 @@ def test_alert_report_on_ticker_tables(spark):
     assert out["OKLO"].news_source == "u1***no data"
     assert out["SMR"].news_data == "no data" and out["SMR"].marketCap == 1_000_000_000
     assert abs(out["SMR"].start_end_percent - 46.41) < 1e-9 and out["OKLO"].core_focus == "Nuclear"
+
+
+def test_alert_report_evaluates_a_lazy_sector_input_once(spark):
+    from conftest import SF_SMALL
+    from risingtide.operators import inference
+    from risingtide.params import DRIVER_PARAMS as P
+    from risingtide.sources import driver, lookups
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def predict(records):
+        calls.add(len(records))
+        return inference.keyword_sector_predict(records)
+
+    # sectors straight from the classifier, not materialised by the caller
+    docs = driver.table(spark, SF_SMALL, "documents").selectExpr("doc_id AS symbol", "text")
+    sectors, _ = inference.classify(docs, predict=predict)
+    out = alert.alert_report(driver.prices(spark, SF_SMALL, P),
+                             lookups.fundamentals_table(driver.fundamentals_raw(spark, SF_SMALL)),
+                             sectors, driver.news_source(spark, SF_SMALL), driver.sector_facts, P)
+    out.collect()
+    assert calls.value == docs.count()
