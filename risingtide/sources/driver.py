@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from risingtide.params import ScreenParams
 from risingtide.sources import bars as _bars
+from risingtide.sources import listings as _listings
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -81,8 +82,8 @@ def exchange_listing(spark: SparkSession, sf_dir: str, exchange: str) -> DataFra
 
 def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U-1: NYSE then NASDAQ, duplicates kept (UNION ALL)."""
-    return exchange_listing(spark, sf_dir, "NYSE").union(
-        exchange_listing(spark, sf_dir, "NASDAQ"))
+    return _listings.universe(exchange_listing(spark, sf_dir, "NYSE"),
+                              exchange_listing(spark, sf_dir, "NASDAQ"))
 
 
 def fundamentals_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,3 +123,15 @@ def test_json_default_for_a_value_of_another_type(spark):
     got = {r.symbol: (r.company_overview, r.marketCap)
            for r in lookups.fundamentals_from_json(raw).collect()}
     assert got == {"A": ("x", 0), "B": ("", 1234)}
+
+
+def test_listing_symbols_and_universe(spark):
+    from risingtide.sources import listings
+
+    lst = spark.createDataFrame([("NYSE", "A"), ("NYSE", "B"), ("NASDAQ", "B"), ("NASDAQ", "C"),
+                                 ("OTC", "D")], "exchange string, Code string")
+    nyse = listings.listing_symbols(lst, "NYSE")
+    nasdaq = listings.listing_symbols(lst, "NASDAQ")
+    assert sorted(r.symbol for r in listings.universe(nyse, nasdaq).collect()) == ["A", "B", "B", "C"]
+    plan = nyse._jdf.queryExecution().executedPlan().toString()
+    assert "exchange" in plan and "NYSE" in plan
