@@ -40,6 +40,26 @@ def fundamentals_from_json(raw: DataFrame, json_col: str = "body", key: str = "s
         round_half_even_long(json_with_default(j, cap_path, 0, "double")).alias("marketCap"))
 
 
+NEWS_REPLY_SCHEMA = ("struct<results: array<struct<title: string, article_url: string, "
+                     "published_utc: string>>>")
+
+
+def news_from_json(raw: DataFrame, json_col: str = "body", key: str = "symbol") -> DataFrame:
+    """S6 + P5 on raw provider replies: one row per article of
+    ``results``, ``(symbol, article_id, published, title, article_url)``.
+    A missing ``title`` or ``article_url`` key reads NULL (it becomes
+    ``no data`` in the report), a reply that does not parse gives no rows.
+    ``article_id`` is the article's position in the reply, so equal
+    publication dates keep the provider's order in the top-k."""
+    parsed = raw.select(F.col(key).alias("symbol"),
+                        F.from_json(F.col(json_col), NEWS_REPLY_SCHEMA).alias("_r"))
+    items = parsed.select("symbol", F.posexplode("_r.results").alias("article_id", "_a"))
+    return items.select(
+        "symbol", F.col("article_id").cast("bigint").alias("article_id"),
+        F.to_date(F.try_to_timestamp(F.col("_a.published_utc"))).alias("published"),
+        F.col("_a.title").alias("title"), F.col("_a.article_url").alias("article_url"))
+
+
 def fundamentals_table(raw: DataFrame) -> DataFrame:
     """S5 on a typed table ``(symbol, description, market_cap)``."""
     return raw.select(

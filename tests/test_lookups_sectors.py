@@ -135,3 +135,20 @@ def test_listing_symbols_and_universe(spark):
     assert sorted(r.symbol for r in listings.universe(nyse, nasdaq).collect()) == ["A", "B", "B", "C"]
     plan = nyse._jdf.queryExecution().executedPlan().toString()
     assert "exchange" in plan and "NYSE" in plan
+
+
+def test_news_from_json_is_tolerant(spark):
+    p = ScreenParams(end_date=dt.date(2024, 1, 30), window_days=10)
+    raw = spark.createDataFrame([
+        ("OKLO", '{"results": [{"title": "a", "article_url": "u1", "published_utc": "2024-01-29T10:00:00Z"},'
+                 ' {"title": "b", "published_utc": "2024-01-29T09:00:00Z"},'
+                 ' {"article_url": "u3", "published_utc": "2024-01-29T08:00:00Z"},'
+                 ' {"title": "d", "article_url": "u4", "published_utc": "2024-01-28T08:00:00Z"}]}'),
+        ("SMR", '{"status": "OK"}'), ("NNE", "not json")], "symbol string, body string")
+    news = lookups.news_from_json(raw)
+    assert news.count() == 4
+    top = lookups.news_top(news, p)
+    got = [(r.news_rank, r.news_data, r.news_source) for r in top.orderBy("news_rank").collect()]
+    # same day: the provider's order decides; the fourth article drops out
+    assert got == [(1, "a", "u1"), (2, "b", None), (3, None, "u3")]
+    assert enrich.news_per_symbol(top).first().news_data == "a***b***no data"
