@@ -69,6 +69,21 @@ def daily_bars(ticks: DataFrame, symbol_col: str = "user_id", ts_col: str = "ts"
             .agg(nan_to_null(last_tick(F.col(price_col), F.col(ts_col))).alias("close")))
 
 
+BAR_REPLY_SCHEMA = "array<struct<date: string, close: double>>"
+
+
+def bars_from_json(raw: DataFrame, json_col: str = "body", key: str = "symbol") -> DataFrame:
+    """S2 + S4 + P3 on raw provider replies (one JSON list of daily bars
+    per symbol): ``(symbol, date, close)``.  A reply that does not parse
+    gives no rows (the reference dropped it and went on), a date string
+    that does not parse gives a NULL date, a NaN close a NULL close."""
+    parsed = raw.select(F.col(key).alias("symbol"),
+                        F.from_json(F.col(json_col), BAR_REPLY_SCHEMA).alias("_b"))
+    return (parsed.select("symbol", F.explode("_b").alias("_x"))
+            .select("symbol", F.try_to_date(F.col("_x.date")).alias("date"),
+                    nan_to_null(F.col("_x.close")).alias("close")))
+
+
 def price_window_scan(bars: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:
     """Bars of every symbol with ``start <= date <= end``."""
     return bars.where(F.col("date").between(F.lit(start), F.lit(end)))

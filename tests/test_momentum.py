@@ -157,3 +157,13 @@ def test_ticks_at_the_same_time_pick_the_same_close(spark):
         # spread over partitions so the partial aggregates see the tie split up
         got = bars_src.daily_bars(ticks.repartition(3)).collect()
         assert [(r.symbol, r.close) for r in got] == [(1, 11.0)]
+
+
+def test_bars_from_json_drop_bad_replies(spark):
+    raw = spark.createDataFrame([
+        ("OKLO", '[{"date": "2024-01-02", "close": 10.0, "volume": 5}, {"date": "2024-01-03", "close": 11.5}]'),
+        ("SMR", "<html>rate limited</html>"),
+        ("NNE", '[{"date": "bad", "close": 3.0}]')], "symbol string, body string")
+    got = sorted((r.symbol, r.date, r.close) for r in bars_src.bars_from_json(raw).collect())
+    assert got == [("NNE", None, 3.0), ("OKLO", dt.date(2024, 1, 2), 10.0),
+                   ("OKLO", dt.date(2024, 1, 3), 11.5)]
