@@ -6,7 +6,7 @@ the report write replaces the run date's partition, so a retried run does
 not duplicate output.
 
     python -m risingtide.plans.job --tables /path/to/tables --out /shared/reports \
-        --end-date 2024-01-30
+        --end-date 2024-01-30 [--bar-store /shared/bars]
 """
 
 from __future__ import annotations
@@ -23,11 +23,19 @@ from risingtide.session import apply_cluster_conf, apply_sql_conf, materialize
 from risingtide.sources import driver, lookups, sinks
 
 
-def run_daily(spark: SparkSession, tables: str, out: str, params: ScreenParams) -> DataFrame:
-    """Run one day and return its status row."""
+def run_daily(spark: SparkSession, tables: str, out: str, params: ScreenParams,
+              bar_store: str | None = None) -> DataFrame:
+    """Run one day and return its status row.  With ``bar_store`` (the
+    date-partitioned bars the incremental stream maintains) the window's
+    bars are read from it -- a few rows per symbol and day, partition-pruned
+    -- instead of being rolled up again from the ticks."""
+    from risingtide.streaming import daily
+
     apply_sql_conf(spark)
+    prices = (daily.store_bars(spark, bar_store, params) if bar_store
+              else driver.prices(spark, tables, params))
     rows = materialize(alert.alert_report(
-        driver.prices(spark, tables, params),
+        prices,
         lookups.fundamentals_table(driver.fundamentals_raw(spark, tables)),
         driver.sectors(spark, tables), driver.news_source(spark, tables), driver.sector_facts, params))
     status = sinks.run_status(spark, rows, params.end_date)
@@ -43,13 +51,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--tables", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--end-date", default=DRIVER_PARAMS.end_date.isoformat())
+    ap.add_argument("--bar-store", default=None,
+                    help="bar store kept by the incremental stream; default: roll up the ticks")
     a = ap.parse_args(argv)
     # the job runs without the web UI (no port is opened for it)
     spark = (SparkSession.builder.appName("risingtide-daily")
              .config("spark.ui.enabled", "false").getOrCreate())
     apply_cluster_conf(spark)
     params = DRIVER_PARAMS.with_(end_date=_dt.date.fromisoformat(a.end_date))
-    run_daily(spark, a.tables, a.out, params).show(truncate=False)
+    run_daily(spark, a.tables, a.out, params, a.bar_store).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -157,8 +157,13 @@ def incremental_screen(spark: SparkSession, folder: str, store_path: str, params
     return screen_store(spark, store_path, params)
 
 
-def screen_store(spark: SparkSession, store_path: str, params: ScreenParams) -> DataFrame:
-    bars = (spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
+def store_bars(spark: SparkSession, store_path: str, params: ScreenParams) -> DataFrame:
+    """``(symbol, date, close)`` of the trailing window from the bar store;
+    the date range prunes the store's ``date`` partitions."""
+    return (spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
             .where(F.col("date").between(F.lit(params.start_date), F.lit(params.end_date)))
             .select("symbol", "date", "close"))
-    return momentum.momentum_screen(bars, params)
+
+
+def screen_store(spark: SparkSession, store_path: str, params: ScreenParams) -> DataFrame:
+    return momentum.momentum_screen(store_bars(spark, store_path, params), params)

@@ -185,3 +185,19 @@ def test_no_query_plans_pairs_or_row_at_a_time_python(spark):
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
             assert bad not in plan, (name, bad)
+
+
+def test_daily_job_from_the_bar_store_equals_the_tick_run(spark, tmp_path):
+    from risingtide.plans import job
+    from risingtide.streaming import daily
+
+    store = str(tmp_path / "store")
+    daily.incremental_screen(spark, SF_SMALL, store, P, str(tmp_path / "chk"))
+    a = job.run_daily(spark, SF_SMALL, str(tmp_path / "from_ticks"), P).first()
+    b = job.run_daily(spark, SF_SMALL, str(tmp_path / "from_store"), P, bar_store=store).first()
+    assert a.status == b.status == "ok" and a.n_rows == b.n_rows > 0
+    ra = sinks.read_report(spark, str(tmp_path / "from_ticks" / "report"), document=True)
+    rb = sinks.read_report(spark, str(tmp_path / "from_store" / "report"), document=True)
+    assert sorted(tuple(r) for r in ra.collect()) == sorted(tuple(r) for r in rb.collect())
+    plan = daily.store_bars(spark, store, P)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
