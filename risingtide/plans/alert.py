@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from risingtide.operators import enrich, momentum
 from risingtide.operators import sectors as sector_ops
 from risingtide.params import ScreenParams
-from risingtide.session import broadcast_if_small, materialize
+from risingtide.session import broadcast_hint, materialize, materialize_measured
 from risingtide.sources import lookups
 
 
@@ -41,6 +41,18 @@ def survivors(prices: DataFrame, fundamentals: DataFrame, params: ScreenParams,
     return materialize(out) if checkpoint else out
 
 
+def survivor_keys(prices: DataFrame, fundamentals: DataFrame, params: ScreenParams
+                  ) -> tuple[DataFrame, DataFrame]:
+    """``(survivors, keys)``: the materialised survivor table and its
+    ``symbol`` column, with a broadcast hint when the keys are within the
+    row and byte bounds.  The keys are measured while the survivors are
+    written, so the size check adds no job."""
+    per_symbol = momentum.screened_symbols(momentum.momentum_screen(prices, params))
+    out = lookups.cap_filter(fundamentals.join(per_symbol, "symbol"), params).dropDuplicates()
+    surv, n, size = materialize_measured(out, cols=["symbol"])
+    return surv, broadcast_hint(surv.select("symbol"), n, size)
+
+
 def report_from_lookups(screened: DataFrame, overview: DataFrame, news_top: DataFrame,
                         sectors: DataFrame, facts: DataFrame) -> DataFrame:
     """The enrichment stage on its own, from already looked-up inputs (the
@@ -70,12 +82,13 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
     sector describer); ``news`` is ``(symbol, article_id, published, title,
     article_url)``.
     """
-    surv = survivors(prices, fundamentals, params, checkpoint)
-    kept = surv.select("symbol")
     if checkpoint:
         # size-checked static broadcast: the large sector and news tables are
         # filtered map-side without being shuffled
-        kept = broadcast_if_small(kept)
+        surv, kept = survivor_keys(prices, fundamentals, params)
+    else:
+        surv = survivors(prices, fundamentals, params, checkpoint=False)
+        kept = surv.select("symbol")
     # the survivors' sector rows feed both the shared-sector count and the
     # final join: materialised (survivor-sized), the sector table is read once
     sec = sectors.join(kept, "symbol", "left_semi").select("symbol", "core_focus").distinct()
@@ -105,8 +118,7 @@ def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame,
     """
     from risingtide.operators import inference, labels
 
-    surv = survivors(prices, fundamentals, params, checkpoint=True)
-    kept = broadcast_if_small(surv.select("symbol"))
+    surv, kept = survivor_keys(prices, fundamentals, params)
     if descriptions is not None:
         text = descriptions.join(kept, "symbol", "left_semi").select(
             "symbol", F.col("description").alias("_text"))

@@ -18,7 +18,7 @@ from risingtide.operators import enrich, inference, labels, localize, momentum,
 from risingtide.operators import sectors as sector_ops
 from risingtide.params import DRIVER_PARAMS as P
 from risingtide.plans import alert
-from risingtide.session import broadcast_if_small, checkpoint_dir, materialize, spread_input
+from risingtide.session import checkpoint_dir, materialize, spread_input
 from risingtide.sources import bars, driver, lookups, records, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,11 +152,11 @@ def q_distinct_symbols(spark, sf):
 def _survivor_inputs(spark, sf):
     """(per-symbol screen, cap-passing overview, measured survivor keys), all
     from one materialised survivor table."""
-    surv = alert.survivors(driver.prices(spark, sf, P),
-                           lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), P)
+    surv, kept = alert.survivor_keys(
+        driver.prices(spark, sf, P), lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), P)
     per_symbol = surv.select("symbol", *momentum.SCREEN_COLUMNS[1:])
     overview = surv.select("symbol", "company_overview", "marketCap")
-    return per_symbol, overview, broadcast_if_small(overview.select("symbol"))
+    return per_symbol, overview, kept
 
 
 def _survivor_sectors(spark, sf):

@@ -131,11 +131,11 @@ BROADCAST_MAX_KEYS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def data_size(df):
-    """``(rows, bytes)`` of ``df`` in one aggregate job: string and binary
-    values count their byte length, fixed-width values their width, nested
-    values their JSON text, NULLs nothing.  Meant for materialised tables, where the job is a
-    read of the stored rows."""
+def _size_columns(df, cols=None):
+    """Row count and bytes of data of ``df`` (or of its ``cols``) as two
+    aggregate expressions: string and binary values count their byte
+    length, fixed-width values their width, nested values their JSON text,
+    NULLs nothing."""
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
@@ -144,6 +144,8 @@ def data_size(df):
              T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
     widths = [F.lit(0)]
     for f in df.schema.fields:
+        if cols is not None and f.name not in cols:
+            continue
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             width = F.octet_length(c)
@@ -155,11 +157,41 @@ def data_size(df):
     row_bytes = widths[0]
     for w in widths[1:]:
         row_bytes = row_bytes + w
-    r = df.agg(F.count(F.lit(1)).alias("n"),
-               F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("b")).first()
+    return (F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("b"))
+
+
+def data_size(df):
+    """``(rows, bytes)`` of ``df`` in one aggregate job (see
+    ``_size_columns``).  Meant for materialised tables, where the job is a
+    read of the stored rows."""
+    r = df.agg(*_size_columns(df)).first()
     return r["n"], r["b"]
 
 
+def materialize_measured(df, cols=None):
+    """``materialize(df)`` plus its ``(rows, bytes)`` -- of ``cols`` only,
+    if given -- observed while the checkpoint is written, so measuring
+    costs no job of its own."""
+    from pyspark.sql import Observation
+
+    obs = Observation()
+    out = materialize(df.observe(obs, *_size_columns(df, cols)))
+    r = obs.get
+    return out, r["n"], r["b"] or 0
+
+
+def broadcast_hint(df, rows: int, size: int, max_rows: int = None,
+                   max_bytes: int = None):
+    """``broadcast(df)`` when the measured ``rows``/``size`` are within the
+    bounds, else ``df`` unchanged (a shuffle join)."""
+    from pyspark.sql import functions as F
+
+    max_rows = BROADCAST_MAX_KEYS if max_rows is None else max_rows
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+
+
 def broadcast_if_small(keys, max_rows: int = BROADCAST_MAX_KEYS,
                        max_bytes: int = BROADCAST_MAX_BYTES):
     """Broadcast hint for ``keys`` only after measuring it: at most
@@ -170,10 +202,8 @@ def broadcast_if_small(keys, max_rows: int = BROADCAST_MAX_KEYS,
     as is and Spark plans a shuffle join (AQE may still switch at run
     time, from measured shuffle sizes).
     """
-    from pyspark.sql import functions as F
-
     n, size = data_size(keys)
-    return F.broadcast(keys) if n <= max_rows and size <= max_bytes else keys
+    return broadcast_hint(keys, n, size, max_rows, max_bytes)
 
 
 # A materialised per-group table (key + a few numbers) up to this many rows
@@ -190,4 +220,5 @@ def checked_broadcast(df, max_rows: int = BROADCAST_MAX_GROUPS):
     be planned as a shuffle join, which sends every row of a hot group to
     one task; the broadcast keeps the large side where it is.
     """
-    return broadcast_if_small(materialize(df), max_rows)
+    m, n, size = materialize_measured(df)
+    return broadcast_hint(m, n, size, max_rows)

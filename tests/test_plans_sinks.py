@@ -201,3 +201,18 @@ def test_daily_job_from_the_bar_store_equals_the_tick_run(spark, tmp_path):
     assert sorted(tuple(r) for r in ra.collect()) == sorted(tuple(r) for r in rb.collect())
     plan = daily.store_bars(spark, store, P)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_measured_materialize_and_survivor_keys(spark):
+    from risingtide.plans import alert
+    from risingtide.session import data_size, materialize_measured
+    from risingtide.sources import lookups
+
+    df = spark.createDataFrame([(1, "ab"), (2, None), (None, "xyz")], "k bigint, s string")
+    m, n, size = materialize_measured(df)
+    assert (n, size) == data_size(df) == (3, 21)
+    assert materialize_measured(df, cols=["k"])[1:] == (3, 16)
+    surv, kept = alert.survivor_keys(driver.prices(spark, SF_SMALL, P),
+                                     lookups.fundamentals_table(driver.fundamentals_raw(spark, SF_SMALL)), P)
+    assert "broadcast" in kept._jdf.queryExecution().analyzed().toString().lower()
+    assert kept.count() == surv.count() > 0
