@@ -6,8 +6,8 @@ ticks arriving as files, the same screen runs incrementally:
 * ``stream_daily_bars`` (SS2) rolls ticks up to daily bars with an
   event-time tumbling window and a watermark; in update mode each trigger
   emits the bars it changed, and ``foreachBatch`` writes them as the
-  partition of its batch id (replaced if the batch is replayed), so the
-  latest version of a bar is ``max_by(..., batch_id)``.
+  partition of its batch id (replaced if the batch is replayed); a bar is
+  the version with the latest tick among those emitted.
 * ``incremental_screen`` (SS1) keeps a bar store partitioned by ``date``.
   Each micro-batch merges its partial bars into the touched dates -- the
   existing rows of those dates (a read pruned to those partitions) plus the
@@ -65,9 +65,17 @@ def _in_window(ticks: DataFrame, params: ScreenParams) -> DataFrame:
 # ----------------------------------------------------------------- SS2
 
 def stream_daily_bars(spark: SparkSession, folder: str, out_path: str, params: ScreenParams,
-                      checkpoint: str, watermark: str = "1 day") -> None:
-    """Run the tick -> daily bar roll-up over all available files."""
-    ticks = _in_window(tick_stream(spark, folder), params)
+                      checkpoint: str, watermark: str = "1 day",
+                      file_glob: str = "events.parquet",
+                      max_files_per_trigger: int | None = None) -> None:
+    """Run the tick -> daily bar roll-up over all available files.  The
+    watermark bounds the state: a day's state is dropped once the day ends
+    before the watermark (latest tick time of earlier micro-batches minus
+    ``watermark``).  Spark may still aggregate a tick that arrives later
+    than that into a fresh state; ``read_stream_bars`` combines the emitted
+    versions by their last tick time, so such a partial version never
+    replaces a later close.  Ticks before the trailing window are ignored."""
+    ticks = _in_window(tick_stream(spark, folder, file_glob, max_files_per_trigger), params)
     bars = (ticks.withWatermark("ts", watermark)
             .groupBy(F.window("ts", "1 day").alias("w"), F.col("user_id").alias("symbol"))
             .agg(nan_to_null(last_tick(F.col("value"), F.col("ts"))).alias("close"),
@@ -91,10 +99,13 @@ def write_bar_batch(batch: DataFrame, batch_id: int, out_path: str) -> None:
 
 
 def read_stream_bars(spark: SparkSession, out_path: str) -> DataFrame:
-    """The latest emitted version of every bar."""
+    """Every bar, combined from its emitted versions: each version carries
+    the last tick of the ticks it has seen, so the version with the latest
+    tick (ties by price) holds the day's close -- whatever batch emitted it."""
     raw = spark.read.schema(STREAM_BARS_SCHEMA).parquet(out_path)
     return (raw.groupBy("symbol", "date")
-            .agg(F.max_by(F.struct("close", "last_ts"), "batch_id").alias("b"))
+            .agg(last_tick(F.struct("close", "last_ts"), F.col("last_ts"),
+                           order=F.col("close")).alias("b"))
             .select("symbol", "date", F.col("b.close").alias("close")))
 
 

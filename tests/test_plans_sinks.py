@@ -118,6 +118,12 @@ def test_stream_bar_batch_replay_is_written_once(spark, tmp_path):
     assert raw.count() == 3
     got = {(r.symbol, r.close) for r in daily.read_stream_bars(spark, out).collect()}
     assert got == {(1, 11.0), (2, 20.0)}
+    # a later batch with an earlier tick (a partial version) does not win
+    daily.write_bar_batch(spark.createDataFrame(
+        [(1, dt.date(2024, 1, 29), 9.0, dt.datetime(2024, 1, 29, 8))],
+        "symbol bigint, date date, close double, last_ts timestamp"), 2, out)
+    got = {(r.symbol, r.close) for r in daily.read_stream_bars(spark, out).collect()}
+    assert got == {(1, 11.0), (2, 20.0)}
 
 
 def test_news_title_is_cut_after_the_survivor_semi_join(spark):
@@ -216,3 +222,33 @@ def test_measured_materialize_and_survivor_keys(spark):
                                      lookups.fundamentals_table(driver.fundamentals_raw(spark, SF_SMALL)), P)
     assert "broadcast" in kept._jdf.queryExecution().analyzed().toString().lower()
     assert kept.count() == surv.count() > 0
+
+
+def test_tick_stream_late_tick_never_replaces_a_later_close(spark, tmp_path):
+    from risingtide.streaming import daily
+
+    t = lambda d, h: dt.datetime(2024, 1, d, h)
+    batches = [
+        [(1, t(25, 10), 1, "tick", 10.0, "{}"), (2, t(25, 11), 2, "tick", 5.0, "{}"),
+         (3, t(21, 15), 3, "tick", 7.0, "{}")],
+        [(4, t(29, 10), 1, "tick", 12.0, "{}")],                 # moves the watermark past day 21
+        [(5, t(21, 9), 3, "tick", 1.0, "{}"),                     # late and earlier than 15:00
+         (6, t(21, 10), 2, "tick", 4.0, "{}")],                   # late, first tick of its bar
+    ]
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for i, rows in enumerate(batches):
+        part = tmp_path / f"src{i}"
+        spark.createDataFrame(rows, daily.TICK_SCHEMA).coalesce(1).write.parquet(str(part))
+        data = next(part.glob("part-*.parquet")).read_bytes()
+        (flat / f"ticks-{i}.parquet").write_bytes(data)
+    out = str(tmp_path / "bars")
+    daily.stream_daily_bars(spark, str(flat), out, P, str(tmp_path / "chk"),
+                            file_glob="ticks-*.parquet", max_files_per_trigger=1)
+    got = {(r.symbol, r.date): r.close for r in daily.read_stream_bars(spark, out).collect()}
+    # Spark may or may not aggregate a tick behind the watermark; either way
+    # the earlier late tick never replaces the 15:00 close of its day
+    late = got.pop((2, dt.date(2024, 1, 21)), None)
+    assert late in (None, 4.0)
+    assert got == {(1, dt.date(2024, 1, 25)): 10.0, (2, dt.date(2024, 1, 25)): 5.0,
+                   (3, dt.date(2024, 1, 21)): 7.0, (1, dt.date(2024, 1, 29)): 12.0}
