@@ -70,7 +70,8 @@ def report_from_lookups(screened: DataFrame, overview: DataFrame, news_top: Data
     return enrich.alert_rows(rows, news_top)
 
 
-def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
+def alert_report(prices: DataFrame, fundamentals: DataFrame,
+                 sectors: DataFrame | Callable[[DataFrame], DataFrame],
                  news: DataFrame | Callable[[DataFrame], DataFrame],
                  facts_for: Callable[[DataFrame], DataFrame],
                  params: ScreenParams, checkpoint: bool = True) -> DataFrame:
@@ -78,7 +79,9 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
 
     ``fundamentals`` is ``(symbol, company_overview, marketCap)``;
     ``sectors`` is ``(symbol, core_focus)`` (e.g. the output of the
-    classifier); ``facts_for`` maps the shared sectors to their facts (the
+    classifier), or a function of the survivor keys returning those rows --
+    then a classifier runs for the survivors only, as the reference's did;
+    ``facts_for`` maps the shared sectors to their facts (the
     sector describer); ``news`` is ``(symbol, article_id, published, title,
     article_url)``.
     """
@@ -91,7 +94,8 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame, sectors: DataFrame,
         kept = surv.select("symbol")
     # the survivors' sector rows feed both the shared-sector count and the
     # final join: materialised (survivor-sized), the sector table is read once
-    sec = sectors.join(kept, "symbol", "left_semi").select("symbol", "core_focus").distinct()
+    source = sectors(kept) if callable(sectors) else sectors
+    sec = source.join(kept, "symbol", "left_semi").select("symbol", "core_focus").distinct()
     if checkpoint:
         sec = materialize(sec)
     facts = facts_for(sector_ops.shared_sectors(sec))

@@ -145,3 +145,29 @@ def test_alert_report_evaluates_a_lazy_sector_input_once(spark):
                              sectors, driver.news_source(spark, SF_SMALL), driver.sector_facts, P)
     out.collect()
     assert calls.value == docs.count()
+
+
+def test_alert_report_classifies_survivors_only_when_given_a_sector_function(spark):
+    from conftest import SF_SMALL
+    from risingtide.operators import inference
+    from risingtide.params import DRIVER_PARAMS as P
+    from risingtide.sources import driver, lookups
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def predict(records):
+        calls.add(len(records))
+        return inference.keyword_sector_predict(records)
+
+    docs = driver.table(spark, SF_SMALL, "documents").selectExpr("doc_id AS symbol", "text")
+
+    def sectors_for(keys):
+        return inference.classify(docs.join(keys, "symbol", "left_semi"), predict=predict)[0]
+
+    fund = lookups.fundamentals_table(driver.fundamentals_raw(spark, SF_SMALL))
+    out = alert.alert_report(driver.prices(spark, SF_SMALL, P), fund, sectors_for,
+                             driver.news_source(spark, SF_SMALL), driver.sector_facts, P)
+    out.collect()
+    survivors = alert.survivors(driver.prices(spark, SF_SMALL, P), fund, P, checkpoint=False)
+    with_doc = survivors.join(docs, "symbol", "left_semi").count()
+    assert 0 < calls.value == with_doc < docs.count()
