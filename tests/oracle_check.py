@@ -19,13 +19,13 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _norm(v):
+def _norm(v, exact=False):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        if math.isinf(v):
+        if math.isinf(v) or exact:
             return v
         return float(f"{v:.10g}")
     if isinstance(v, decimal.Decimal):
@@ -35,13 +35,13 @@ def _norm(v):
     if isinstance(v, _dt.date):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
-        return tuple(_norm(x) for x in v)
+        return tuple(_norm(x, exact) for x in v)
     if isinstance(v, dict):
-        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
+        return tuple(sorted((k, _norm(x, exact)) for k, x in v.items()))
     if hasattr(v, "asDict"):
-        return _norm(v.asDict())
+        return _norm(v.asDict(), exact)
     if hasattr(v, "item"):
-        return _norm(v.item())
+        return _norm(v.item(), exact)
     return v
 
 
@@ -49,7 +49,9 @@ def _key(row):
     return tuple((x is None, "" if x is None else repr(x)) for x in row)
 
 
-def compare(spark_df, con, sql: str) -> dict:
+def compare(spark_df, con, sql: str, exact: bool = False) -> dict:
+    """``exact``: floats must be bit-identical (default: equal to 10
+    significant digits)."""
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.execute(sql)
@@ -63,8 +65,8 @@ def compare(spark_df, con, sql: str) -> dict:
     order = sorted(s_cols)
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]
-    a = sorted((tuple(_norm(r[i]) for i in si) for r in s_rows), key=_key)
-    b = sorted((tuple(_norm(r[i]) for i in di) for r in d_rows), key=_key)
+    a = sorted((tuple(_norm(r[i], exact) for i in si) for r in s_rows), key=_key)
+    b = sorted((tuple(_norm(r[i], exact) for i in di) for r in d_rows), key=_key)
     res["match"] = a == b
     if not res["match"]:
         diff = [x for x in a if x not in b][:3]

@@ -26,7 +26,7 @@ def test_query_matches_oracle(spark, con, name):
     if name not in SQLS:
         assert df.count() >= 0
         return
-    res = compare(df, con, SQLS[name])
+    res = compare(df, con, SQLS[name], exact=True)
     assert res["match"], res
 
 
