@@ -131,9 +131,11 @@ def merge_into_store(batch: DataFrame, store_path: str) -> None:
         try:
             existing = (spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
                         .where(F.col("date").isin(dates)))
-            merged_in, reads_store = batch.unionByName(existing), True
-        except AnalysisException:  # first batch: no store yet
-            merged_in, reads_store = batch, False
+            # a listing on the driver, no job: an empty store needs no merge
+            reads_store = len(existing.inputFiles()) > 0
+        except AnalysisException:  # no store folder yet
+            reads_store = False
+        merged_in = batch.unionByName(existing) if reads_store else batch
         merged = (merged_in.groupBy("symbol", "date")
                   .agg(last_tick(F.struct("close", "last_ts"), F.col("last_ts"),
                                  order=F.col("close")).alias("b"))
@@ -152,6 +154,10 @@ def incremental_screen(spark: SparkSession, folder: str, store_path: str, params
     """Feed all available tick files through the bar store, then screen the
     trailing window of the store."""
     ticks = _in_window(tick_stream(spark, folder, file_glob), params)
+    # create the store if it is missing (an empty append), so micro-batches
+    # always find it
+    (spark.createDataFrame([], BAR_STORE_SCHEMA).write.mode("append")
+     .partitionBy("date").parquet(store_path))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         partial = (batch.groupBy(F.col("user_id").alias("symbol"),
