@@ -119,7 +119,8 @@ def merge_into_store(batch: DataFrame, store_path: str) -> None:
     window, since older ticks are dropped before this point -- so the read
     of the store is pruned to those partitions statically.  The merged rows
     are checkpointed before the overwrite whenever existing files were read,
-    so the job never reads the files it replaces.  The batch is persisted
+    so the job never reads the files it replaces; a store that holds no
+    files yet (the first batch) is not read at all.  The batch is persisted
     for the two passes over it (dates, merge)."""
     spark = batch.sparkSession
     checkpoint_dir(spark)
