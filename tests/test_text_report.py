@@ -164,3 +164,32 @@ def test_report_document_order_and_empty(spark, tmp_path):
     assert back.first().html == "<h1>Sector breakouts - 2024-01-30</h1>"
     # nothing to report: no title either
     assert report.report_document(rows.limit(0), dt.date(2024, 1, 30)).count() == 0
+
+
+def test_small_helpers_edge_cases(spark):
+    from risingtide.functions.text import word_count
+    from risingtide.operators import enrich
+    from risingtide.sources import bars
+
+    a = spark.createDataFrame([(1, dt.date(2024, 1, 2), 1.0)], "symbol bigint, date date, close double")
+    b = spark.createDataFrame([(2, dt.date(2024, 1, 3), 2.0, 7)],
+                              "symbol bigint, date date, close double, n_ticks bigint")
+    u = {r.symbol: r.n_ticks for r in bars.bars_union([a, b]).collect()}
+    assert u == {1: None, 2: 7}                                    # missing column -> NULL
+
+    raw = spark.createDataFrame([("2024-01-05",), ("05/01/2024",), (None,)], "date string")
+    assert [r.date for r in bars.parse_bar_dates(raw).collect()] == [dt.date(2024, 1, 5), None, None]
+
+    df = spark.createDataFrame([(None, None, 1.5)], "s string, n double, x double")
+    r = enrich.fill_missing_text(df).first()
+    assert r.s == "no data" and r.n is None                        # numbers stay typed (H4)
+
+    t = spark.createDataFrame([("  ",), ("",), (" solar  energy ",), ("a b c d",)], "t string")
+    assert [r.n for r in t.select(word_count(F.col("t")).alias("n")).collect()] == [0, 0, 2, 4]
+
+    recs = spark.createDataFrame([(0, 3, "c"), (0, 1, "a"), (1, 2, "b")],
+                                 "batch_id bigint, symbol bigint, company_overview string")
+    docs = {r.batch_id: (r.n_records, r.document) for r in inference.prompt_documents(
+        recs, ["batch_id"], ["symbol", "company_overview"], "symbol").collect()}
+    assert docs[0] == (2, '[{"symbol":1,"company_overview":"a"},{"symbol":3,"company_overview":"c"}]')
+    assert docs[1][0] == 1
