@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from risingtide.llm import quality_rules, sharding, vector_topk, warc_zip
-from risingtide.llm.common import arrow_rows, table
+from risingtide.llm import packing, quality_rules, sharding, sp_prefix, token_histogram, vector_topk, warc_zip
+from risingtide.llm.common import arrow_rows, table, tokenizer_file
 
 QUERIES: dict = {}
 
@@ -36,3 +36,24 @@ def op6_warc(spark, sf):
 @register
 def op9_topk_search(spark, sf):
     return vector_topk.topk(table(spark, sf, "embeddings"), k=5, every=50)
+
+
+@register
+def op4_token_counts(spark, sf):
+    arrow_rows(spark, 1000)
+    lengths = token_histogram.encoded_lengths(table(spark, sf, "documents"), ["lang"],
+                                              tokenizer_file("byte_bpe_50k.json"))
+    return token_histogram.histogram(lengths, ["lang"])
+
+
+@register
+def op8_packing(spark, sf):
+    arrow_rows(spark, 1000)
+    return packing.pack(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@register
+def op10_sentencepiece(spark, sf):
+    arrow_rows(spark, 1000)
+    return sp_prefix.digests(sp_prefix.encode_decode(table(spark, sf, "documents"),
+                                                     tokenizer_file("piece_bpe_32k.model")))
