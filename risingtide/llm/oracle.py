@@ -87,8 +87,30 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
 FROM y
 """
 
+JACCARD = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT r, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE [array_to_string(w[i:i+4], ' ') FOR i IN generate_series(1, len(w) - 4)] END)) AS sh FROM d),
+k AS (SELECT min(r) AS k, sh, len(sh)::BIGINT AS n FROM s GROUP BY sh),
+x AS (SELECT k, n, unnest(sh) AS g FROM k),
+e AS (
+  SELECT a.k AS a, b.k AS b FROM x a JOIN x b ON a.g = b.g AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+t AS (SELECT k AS a, k AS b FROM k WHERE n > 0 UNION SELECT t.a, e.b FROM t JOIN e ON t.b = e.a),
+id AS (SELECT k.k, min(d.doc_id) AS id FROM k JOIN s ON s.sh = k.sh JOIN d ON d.r = s.r GROUP BY k.k),
+c AS (SELECT t.a AS k, min(id.id) AS component_id FROM t JOIN id ON id.k = t.b GROUP BY t.a)
+SELECT d.doc_id, k.n AS n_shingles, CASE WHEN k.n = 0 THEN d.doc_id ELSE c.component_id END AS component_id
+FROM d JOIN s ON s.r = d.r JOIN k ON k.sh = s.sh LEFT JOIN c ON c.k = k.k
+"""
+
 SQL = {
     "op1_quality_rules": quality_rules(),
+    "op2_jaccard_join": JACCARD,
     "op6_warc": WARC,
     "op9_topk_search": TOPK,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from risingtide.llm import packing, quality_rules, sharding, sp_prefix, token_histogram, vector_topk, warc_zip
+from risingtide.llm import jaccard_join, packing, quality_rules, sharding, sp_prefix, token_histogram, vector_topk, warc_zip
 from risingtide.llm.common import arrow_rows, table, tokenizer_file
 
 QUERIES: dict = {}
@@ -57,3 +57,9 @@ def op10_sentencepiece(spark, sf):
     arrow_rows(spark, 1000)
     return sp_prefix.digests(sp_prefix.encode_decode(table(spark, sf, "documents"),
                                                      tokenizer_file("piece_bpe_32k.model")))
+
+
+@register
+def op2_jaccard_join(spark, sf):
+    arrow_rows(spark, 1000)
+    return jaccard_join.join(table(spark, sf, "documents"))
