@@ -386,7 +386,8 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, k1, k2, component_id of every row."""
+    """doc_id, n_shingles, k1, k2, root, component_id of every row; the root
+    names a row's component, which ids that stand for several texts may not."""
     sets = stored(_sets(docs), "sets")
     own = sets.filter("part is null").select("doc_id", "n_shingles", "k1", "k2")
     found = links(docs, sets)
@@ -397,12 +398,44 @@ def groups(docs: DataFrame) -> DataFrame:
         .select("k1", "k2", "d", F.coalesce("root", F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))).alias("root"))
     rooted = stored(rooted, "rooted")
     ids = rooted.groupBy("root").agg(F.min("d").alias("component_id"))
-    by_set = rooted.join(ids, "root").select("k1", "k2", "component_id", F.lit(True).alias("_in"))
+    by_set = rooted.join(ids, "root").select("k1", "k2", "root", "component_id")
     return (own.join(by_set, ["k1", "k2"], "left")
-            .select("doc_id", "n_shingles", "k1", "k2",
-                    F.when(F.col("_in"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .select("doc_id", "n_shingles", "k1", "k2", "root",
+                    F.when(F.col("root").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def join(docs: DataFrame) -> DataFrame:
     return groups(docs).select("doc_id", "n_shingles", "component_id")
 
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of each group of linked documents, that of the smallest doc_id,
+    and every document without words; with their own columns.
+
+    Only the keys of what goes are joined to the texts.  Of rows that repeat
+    the first's id and set, the least by its columns stays.
+    """
+    own = stored(groups(docs).filter("n_shingles > 0"), "groups")
+    name = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "k1", "k2")
+    first = own.groupBy("root").agg(F.min(name).alias("f")).select("root", "f.doc_id", "f.k1", "f.k2")
+    rows = own.groupBy("root", "doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    marked = stored(rows.alias("r").join(first.alias("f"), "root").select(
+        F.col("r.doc_id").alias("_id"), F.col("r.k1").alias("_a"), F.col("r.k2").alias("_b"),
+        (F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.k1") == F.col("f.k1"))
+         & (F.col("r.k2") == F.col("f.k2"))).alias("_first"), "n").filter("not _first or n > 1"), "marked")
+    n, size = data_size(marked)
+    at = docs.columns.index("text")
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.array([set_key(shingles(t)) for t in batch.column(at).to_pylist()], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys[:, 0]), pa.array(keys[:, 1])],
+                                             names=[*batch.schema.names, "_k1", "_k2"])
+
+    keyed = docs.mapInArrow(key, docs.select("*", F.lit(0).cast("long").alias("_k1"), F.lit(0).cast("long").alias("_k2")).schema)
+    same = ((F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b"))
+            & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
+    joined = stored(keyed.join(broadcast_hint(marked, n, size), same, "left").filter("_first is null or _first"), "kept")
+    repeats = (joined.filter("_first").groupBy("_id", "_k1", "_k2")
+               .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*"))
+    return joined.filter("_first is null").select(*docs.columns).unionByName(repeats)

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from risingtide.llm import jaccard_join, packing, quality_rules, sharding, sp_prefix, token_histogram, vector_topk, warc_zip
+from risingtide.llm import (
+    gru_toxicity,
+    jaccard_join,
+    nb_svm,
+    packing,
+    quality_rules,
+    sharding,
+    sp_prefix,
+    token_histogram,
+    vector_topk,
+    warc_zip,
+)
 from risingtide.llm.common import arrow_rows, table, tokenizer_file
 
 QUERIES: dict = {}
@@ -63,3 +74,15 @@ def op10_sentencepiece(spark, sf):
 def op2_jaccard_join(spark, sf):
     arrow_rows(spark, 1000)
     return jaccard_join.join(table(spark, sf, "documents"))
+
+
+@register
+def op5_quality_classifier(spark, sf):
+    arrow_rows(spark, 1000)
+    return nb_svm.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register
+def op7_toxicity(spark, sf):
+    arrow_rows(spark, 1000)
+    return gru_toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
