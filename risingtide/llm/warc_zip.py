@@ -129,7 +129,7 @@ def end_of_directory(read, size: int) -> tuple[int, int]:
     """(offset, length) of the central directory, ZIP64 or not."""
     tail_at = max(0, size - EOCD_SIZE - FULL16)
     tail = read(tail_at, size - tail_at)
-    at = tail.rfind(EOCD)
+    at = tail.rfind(EOCD, 0, max(0, len(tail) - EOCD_SIZE + len(EOCD)))  # a whole record must fit
     while at >= 0 and at + EOCD_SIZE + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(EOCD, 0, at)  # a signature inside the comment
     if at < 0:
