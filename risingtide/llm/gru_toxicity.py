@@ -206,7 +206,7 @@ class Scorer:
 
     def __init__(self, net: Network):
         self.net = net
-        self.rows = np.empty((0, 6 * HIDDEN), np.float32)
+        self.rows = np.zeros((1, 6 * HIDDEN), np.float32)
         self.known: dict[str, int] = {}
 
     def _number(self, texts_words: list[list[str]]) -> list[np.ndarray]:
