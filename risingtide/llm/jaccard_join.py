@@ -5,25 +5,31 @@ it is at most RADIUS = 1/4.  Equal sets are one point.  The join runs in these
 steps; every one is exact.
 
 1. Pivots and regions.  Documents at distance 1 from a pivot say nothing
-   about each other, so a pivot must be near: sorted from rare to common, the
-   first n - ceil(3n/4) + 1 shingles of two linked documents share one, and of
-   the documents that share such a shingle the smallest key is the pivot of
-   them all.  A document lies in the regions of all its pivots, so linked
-   documents share a region.  Rare to common is by a fixed-size count sketch
-   of all shingles, which keeps passages that many documents share from
-   making regions; any order, even a bad one, gives the same links.
-2. Distance to the pivot, for each document of each region.  Large regions
-   are dealt over several tasks, each with a copy of the pivot.  Within RADIUS
-   a document links to the pivot; links among such documents add nothing to
-   a component and are never enumerated.
+   about each other, so a pivot must be near.  Sorted from rare to common, the
+   first quarter of the shingles of two linked documents share one (of the
+   smaller document it is in the first seventh).  The documents that share
+   such a shingle, cut where sizes jump by more than a link allows, form a
+   region around the first of them, its pivot; a document lies in the regions
+   of all its pivots, so linked documents share a region.  Rare to common is
+   by a fixed-size count sketch of all shingles, which keeps passages that
+   many documents share from making regions; any order, even a bad one, gives
+   the same links.
+2. Distance to the pivot.  Counts of shingles per hash range embed the sets
+   so that distances only shrink; a bound from them settles most pairs, the
+   others are compared in full.  Large regions are dealt over several tasks,
+   each with a copy of the pivot.  Within RADIUS a document links to the
+   pivot; links among such documents add nothing to a component and are never
+   enumerated.
 3. Windows.  What lies outside the pivot's ball is joined on, with those of
    the ball that the triangle inequality lets come near: |d(x, p) - d(y, p)|
    must not exceed RADIUS.
-4. Recursion.  Such a rest takes its first document as the next pivot, and so
-   on; distances to all pivots so far bound the distances still unknown.  A
+4. Recursion.  Such a rest takes pivots of its own, documents that no earlier
+   pivot may link to, and compares them with all that the windows and the
+   embedding leave; what is in one component already needs no comparison.
+   Documents that were no pivots are joined with each other after that.  A
    rest that is too large for a task is joined in pairs of chunks.
 
-Links between sets are then contracted to components, star by star.
+Links between sets are contracted to components, star by star.
 
 Words are runs without ASCII blanks, A-Z lower-cased.  Shingles are told apart
 by 64-bit hashes and sets by 128-bit digests.
@@ -58,8 +64,10 @@ SKETCH = 1 << 20
 SEEN = 200_000
 #: Documents of a region that one task compares with the pivot.
 REGION_PART = 4000
-#: Documents of a rest that are joined in one task, all in memory.
-CHUNK = 1500
+#: Documents of a rest that are joined in one task, their embeddings in memory.
+CHUNK = 10_000
+#: Shingles per count of the embedding, about.
+PER_COUNT = 3
 _ROUGH = 1e-9  # windows are widened by more than any rounding
 
 
@@ -106,25 +114,54 @@ def linked(inter: int, na: int, nb: int) -> bool:
     return DEN * inter >= NUM * (na + nb - inter) and inter > 0
 
 
-SETS = "doc_id long, n_shingles long, k1 long, k2 long, part int, counts binary"
+def embedding(s: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles in equal ranges of hashes, 255 for more."""
+    bits = min(20, max(6, int(np.ceil(np.log2(max(1, len(s) / PER_COUNT))))))
+    return np.minimum(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    c = np.frombuffer(raw, np.uint8).astype(np.int64)
+    c[c == 255] = 1 << 40  # no bound
+    return c
+
+
+def most_common(a: np.ndarray, b: np.ndarray) -> int:
+    """No two sets of these embeddings have a larger intersection."""
+    if len(a) < len(b):
+        b = b.reshape(len(a), -1).sum(axis=1)
+    elif len(b) < len(a):
+        a = a.reshape(len(b), -1).sum(axis=1)
+    return int(np.minimum(a, b).sum())
+
+
+def least_distance(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> float:
+    top = min(most_common(a, b), na, nb)
+    return 1 - top / (na + nb - top)
+
+
+SETS = "doc_id long, n_shingles long, k1 long, k2 long, counts binary, part int"
 _PARTS = 64
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """Rows of documents (part null) and, of each task, of its share of the
-    count sketch (part 0 to 63)."""
+    """Rows of documents (part null), the first of a set in its task with the
+    set's embedding as counts, and of each task its share of the count sketch
+    (part 0 to 63)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(SKETCH, np.int64), set()
         schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()),
-                            ("k2", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+                            ("k2", pa.int64()), ("counts", pa.binary()), ("part", pa.int32())])
         for batch in batches:
-            rows, fresh = [], []
+            rows, embedded, fresh = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text)
                 key = set_key(s)
                 rows.append((len(s), *key))
-                if len(s) and key not in seen:
+                new = len(s) > 0 and key not in seen
+                embedded.append(embedding(s).tobytes() if new else None)
+                if new:
                     if len(seen) < SEEN:
                         seen.add(key)
                     fresh.append(s)
@@ -132,7 +169,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 counts += np.bincount((np.concatenate(fresh) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
             n = np.array(rows, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c) for c in n.T], pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())],
+                [batch.column(0), *[pa.array(c) for c in n.T], pa.array(embedded, pa.binary()), pa.nulls(len(n), pa.int32())],
                 schema=schema)
         if seen:
             for i, part in enumerate(np.split(counts, _PARTS)):
@@ -162,13 +199,44 @@ def _sketch(rows: DataFrame) -> np.ndarray:
     return np.minimum(out.ravel(), np.iinfo(np.int32).max).astype(np.int32)
 
 
-def first_shingles(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The rarest shingles of a set, of which linked sets share one."""
+def first_shingles(s: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, whether the set may be the smaller of a link by them): the
+    rarest shingles, one of which linked sets have in common."""
     n = len(s) - -(-NUM * len(s) // DEN) + 1
+    as_smaller = len(s) - -(-2 * NUM * len(s) // (NUM + DEN)) + 1
     rare = counts[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
-    if n < len(s):  # the n first by (count, hash); s is ascending, so a stable order does
-        return s[np.argsort(rare, kind="stable")[:n]]
-    return s
+    # By (count, hash): s is ascending, so a stable order gives it.
+    return s[np.argsort(rare, kind="stable")[:n]], np.arange(n) < as_smaller
+
+
+def open_regions(a: np.ndarray, m: np.ndarray, x: np.ndarray, carry: tuple) -> tuple[np.ndarray, np.ndarray, tuple]:
+    """(pivots, kept, carry) of rows sorted by shingle, size and key.
+
+    ``m`` is twice the size, plus 1 for a document that can only be the larger
+    one.  A region ends where the shingle does, or where the last document
+    that can be the smaller one is too small for the next.  ``carry`` is the
+    shingle, that document's size and the pivot of the rows before.
+    """
+    n, small = m >> 1, (m & 1) == 0
+    rows = np.arange(len(a))
+    run = np.maximum.accumulate(np.where(np.concatenate(([True], a[1:] != a[:-1])), rows, 0))
+    before = np.maximum.accumulate(np.where(small, rows, -1))
+    before = np.concatenate(([-1], before[:-1]))
+    has = before >= run
+    size = np.where(has, n[before], 0)
+    going_on = (run == 0) & ~has & (a == carry[0])  # rows of the run that was open
+    size = np.where(going_on, carry[1], size)
+    joins = (size > 0) & (DEN * size >= NUM * n)
+    opens = small & ~joins
+    at = np.maximum.accumulate(np.where(opens, rows, -1))
+    pivot = np.where(at >= run, x[at], carry[2])
+    kept = opens | joins
+    last = np.flatnonzero(small & (a == a[-1]))
+    if len(last):
+        carry = (a[-1], n[last[-1]], pivot[last[-1]])
+    elif a[-1] != carry[0]:
+        carry = (a[-1], 0, 0)
+    return pivot, kept, carry
 
 
 def _regions(docs: DataFrame, counts) -> DataFrame:
@@ -177,178 +245,227 @@ def _regions(docs: DataFrame, counts) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = counts.value, set()
         for batch in batches:
-            keys, parts = [], []
+            shingle, size, key_of = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text)
                 key = set_key(s)[0]
                 if len(s) and key not in seen:
                     if len(seen) < SEEN:
                         seen.add(key)
-                    parts.append(first_shingles(s, own))
-                    keys.append(np.full(len(parts[-1]), key))
-            if keys:
+                    first, small = first_shingles(s, own)
+                    shingle.append(first)
+                    size.append(2 * len(s) + ~small)
+                    key_of.append(np.full(len(first), key))
+            if key_of:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(keys))], names=["a", "x"])
+                    [pa.array(np.concatenate(shingle).view(np.int64)), pa.array(np.concatenate(size).astype(np.int32)),
+                     pa.array(np.concatenate(key_of))], names=["a", "m", "x"])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = pivot = None  # of the run that is open; rows come sorted
+        carry = (None, 0, 0)
         for batch in batches:
-            a, x = (batch.column(i).to_numpy() for i in (0, 1))
+            a, m, x = (batch.column(i).to_numpy() for i in range(3))
             if not len(a):
                 continue
-            new = np.concatenate(([a[0] != shingle], a[1:] != a[:-1]))
-            starts = np.where(new, np.arange(len(a)), -1)
-            starts = np.maximum.accumulate(starts)
-            p = np.where(starts >= 0, x[starts], 0 if pivot is None else pivot)
-            shingle, pivot = a[-1], p[-1]
-            other = p != x
-            both = np.unique(np.stack([p[other], x[other]], axis=1), axis=0)
+            pivot, kept, carry = open_regions(a, m.astype(np.int64), x, carry)
+            kept &= pivot != x
+            both = np.unique(np.stack([pivot[kept], x[kept]], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["p", "x"])
 
-    rows = texts(docs).mapInArrow(emit, "a long, x long")
-    return rows.repartition("a").sortWithinPartitions("a", "x").mapInArrow(pair, "p long, x long").distinct()
+    rows = texts(docs).mapInArrow(emit, "a long, m int, x long")
+    return rows.repartition("a").sortWithinPartitions("a", "m", "x").mapInArrow(pair, "p long, x long").distinct()
+
+
+def _dealt(pairs: DataFrame, center: list[str], member: list[str]) -> DataFrame:
+    """``pairs`` and a row for each part's center itself, with part."""
+    sizes = pairs.groupBy(*center).agg(F.expr(f"cast(ceil(count(1) / {REGION_PART}) as int)").alias("parts"))
+    members = pairs.select(*center, *member).join(sizes, center).select(
+        *center, *member, F.pmod(F.xxhash64(*member), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("other"))
+    centers = sizes.select(*center, *[F.col(c).alias(m) for c, m in zip(center, member, strict=False)],
+                           F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("other"))
+    return members.unionByName(centers)
+
+
+def _bounded(regions: DataFrame, embedded: DataFrame) -> DataFrame:
+    """p1, p2, k1, k2, n, low of each document of a region but its pivot:
+    the least distance that the embedding leaves."""
+    rows = (_dealt(regions, ["p"], ["x"]).join(embedded.withColumnRenamed("k1", "x"), "x")
+            .select("p", "part", "other", F.col("x").alias("k1"), "k2", "n", "counts"))
+
+    def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region = center = None
+        for batch in batches:
+            out = []
+            for p, part, _, k1, k2, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (p, part) != region:
+                    region, center = (p, part), (k1, k2, n, _counts(raw))
+                    continue
+                if (k1, k2) != center[:2]:
+                    out.append((*center[:2], k1, k2, n, least_distance(_counts(raw), center[3], n, center[2])))
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.float64())],
+                                             names=["p1", "p2", "k1", "k2", "n", "low"])
+
+    # A pivot sorts before the others of its part.
+    return stored(rows.repartition("p", "part").sortWithinPartitions("p", "part", "other", "k1", "k2")
+                  .mapInArrow(star, "p1 long, p2 long, k1 long, k2 long, n long, low double"), "bounded")
 
 
 def _points(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """k1, k2, n, text of one document of each set whose k1 is wanted."""
+    """k1, k2, n, text of each wanted set, from one of its documents."""
     n, size = data_size(wanted)
     reps = (sets.groupBy("k1", "k2").agg(F.min("doc_id").alias("d"))
-            .join(broadcast_hint(wanted, n, size), "k1", "left_semi"))
+            .join(broadcast_hint(wanted, n, size), ["k1", "k2"], "left_semi"))
     reps = stored(reps.select(F.col("d"), F.col("k1").alias("want1"), F.col("k2").alias("want2")), "reps")
     n, size = data_size(reps)
     rows = (texts(docs).join(broadcast_hint(reps, n, size), F.col("doc_id").eqNullSafe(F.col("d")))
             .select("want1", "want2", "text"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # an id may stand for several texts
+        seen = set()
+        for batch in batches:  # an id may stand for several texts, and a row may be repeated
             keep, n = [], []
             for i, (a, b, text) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
                 s = shingles(text)
-                if set_key(s) == (a, b):
+                if (a, b) not in seen and set_key(s) == (a, b):
+                    if len(seen) < SEEN:
+                        seen.add((a, b))
                     keep.append(i)
                     n.append(len(s))
             t = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(n, pa.int64()), t.column(2)],
                                              names=["k1", "k2", "n", "text"])
 
-    return stored(rows.mapInArrow(check, "k1 long, k2 long, n long, text string")
-                  .dropDuplicates(["k1", "k2"]), "points")
+    return stored(rows.mapInArrow(check, "k1 long, k2 long, n long, text string"), "points")
 
 
-def _to_pivots(regions: DataFrame, points: DataFrame) -> DataFrame:
-    """p, k1, k2, d, near, p1, p2 of each document of a region but its pivot."""
-    sizes = regions.groupBy("p").agg(F.expr(f"cast(ceil(count(1) / {REGION_PART}) as int)").alias("parts"))
-    members = (regions.join(sizes, "p")
-               .select("p", "x", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part")))
-    pivots = sizes.select("p", F.col("p").alias("x"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    rows = (members.unionByName(pivots).join(points, F.col("x") == F.col("k1"))
-            .select("p", "part", (F.col("k1") != F.col("p")).alias("other"), "k1", "k2", "n", "text"))
+def _compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """p1, p2, k1, k2, d, near of pairs of sets, compared in full.  The pairs
+    of one (p1, p2) are a star: its text travels once for each part."""
+    pairs = pairs.distinct()
+    wanted = stored(pairs.select("k1", "k2").union(pairs.select("p1", "p2")).distinct(), "wanted")
+    points = _points(docs, sets, wanted)
+    rows = _dealt(pairs, ["p1", "p2"], ["k1", "k2"]).join(points, ["k1", "k2"]).select(
+        "p1", "p2", "part", "other", "k1", "k2", "n", "text")
 
     def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region = center = center_key = None
+        region = center = None
         for batch in batches:
             out = []
-            for p, part, _, k1, k2, n, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (p, part) != region:
-                    region, center, center_key = (p, part), shingles(text), (k1, k2)
-                    continue
-                inter = common(shingles(text), center)
-                d = 1 - inter / (n + len(center) - inter)
-                out.append((p, k1, k2, d, linked(inter, n, len(center)), *center_key))
-            cols = list(zip(*out, strict=True)) or [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.int64(), pa.int64()]
+            for p1, p2, part, _, k1, k2, n, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (p1, p2, part) != region:
+                    region, center = (p1, p2, part), shingles(text)
+                if (k1, k2) != (p1, p2):
+                    inter = common(shingles(text), center)
+                    out.append((p1, p2, k1, k2, 1 - inter / (n + len(center) - inter), linked(inter, n, len(center))))
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            kinds = [pa.int64()] * 4 + [pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                             names=["p", "k1", "k2", "d", "near", "p1", "p2"])
+                                             names=["p1", "p2", "k1", "k2", "d", "near"])
+
+    out = (rows.repartition("p1", "p2", "part").sortWithinPartitions("p1", "p2", "part", "other", "k1", "k2")
+           .mapInArrow(star, "p1 long, p2 long, k1 long, k2 long, d double, near boolean"))
+    return stored(out.distinct(), "compared")
 
-    return stored(rows.repartition("p", "part").sortWithinPartitions("p", "part", "other", "k1", "k2")
-                  .mapInArrow(star, "p long, k1 long, k2 long, d double, near boolean, p1 long, p2 long"), "distances")
 
+def _edges(compared: DataFrame) -> DataFrame:
+    return compared.filter("near").select(F.struct(F.col("k1").alias("a"), F.col("k2").alias("b")).alias("u"),
+                                          F.struct(F.col("p1").alias("a"), F.col("p2").alias("b")).alias("v"))
 
-def _rests(distances: DataFrame) -> DataFrame:
-    """p, i, j, chunk, k1, k2, d, near: the documents of each rest, in every
-    pair of chunks i <= j that their own chunk belongs to."""
-    edge = distances.groupBy("p").agg(F.min(F.when(~F.col("near"), F.col("d"))).alias("first_out"))
-    inside = distances.join(edge.filter("first_out is not null"), "p")
+
+def _rests(members: DataFrame, compared: DataFrame, graph: DataFrame) -> DataFrame:
+    """What the pivots' balls leave: p1, p2, k1, k2, n, d, exact, near, root.
+    Regions whose documents are all in one component are done."""
+    known = members.join(compared, ["p1", "p2", "k1", "k2"], "left").select(
+        "p1", "p2", "k1", "k2", "n", F.coalesce("d", "low").alias("d"), F.col("d").isNotNull().alias("exact"),
+        F.coalesce("near", F.lit(False)).alias("near"))
+    roots = graph.select(F.col("node.a").alias("k1"), F.col("node.b").alias("k2"), "root")
+    rooted = known.join(roots, ["k1", "k2"], "left").withColumn(
+        "root", F.coalesce("root", F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))))
+    outside = rooted.filter("not near").groupBy("p1", "p2").agg(F.min("d").alias("first_out"))
     window = ~F.col("near") | (F.col("d") >= F.col("first_out") - RADIUS - _ROUGH)
-    rest = stored(inside.filter(window).select("p", "k1", "k2", "d", "near"), "rests")
-    sizes = (rest.groupBy("p").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-             .select("p", F.expr(f"cast(ceil(n / {CHUNK}) as int)").alias("chunks")))
-    rows = (rest.join(sizes, "p")
-            .withColumn("chunk", F.pmod(F.xxhash64("k1", "k2"), F.col("chunks")).cast("int"))
-            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
-    return rows.select("p", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"),
-                       "chunk", "k1", "k2", "d", "near")
-
-
-def join_rest(sets: list[np.ndarray], d: np.ndarray, near: np.ndarray, chunk: np.ndarray,
-              cross: bool) -> list[tuple[int, int]]:
-    """Links among a rest that touch a document outside the pivot's ball.
-
-    Each such document is a pivot in its turn and is compared with those that
-    come after it and with the ball's window; the table of distances to the
-    pivots so far rules out what the triangle inequality can.  In ``cross``
-    only documents of different chunks are compared.
+    rest = stored(rooted.join(outside, ["p1", "p2"]).filter(window).drop("first_out"), "rest")
+    several = (rest.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
+               .filter("size > 1 and a != b")
+               .select("p1", "p2", F.expr(f"cast(ceil(size / {CHUNK}) as int)").alias("chunks")))
+    return rest.join(several, ["p1", "p2"])
+
+
+def rest_pairs(near: np.ndarray, chunk: np.ndarray, root: np.ndarray, d: np.ndarray, exact: np.ndarray,
+               n: np.ndarray, counts: list[np.ndarray], cross: bool, last: bool) -> tuple[list[int], list[tuple[int, int]]]:
+    """(pivots, pairs): documents of a rest to be compared in full.
+
+    The documents outside the ball are taken in turn.  One that may link to an
+    earlier pivot waits, unless this is the ``last`` level; any other is a
+    pivot and is paired with all later ones and those of the ball's window
+    that it may link to.  In ``cross`` only different chunks are paired.
     """
-    sizes = np.array([len(s) for s in sets])
-    outer = np.flatnonzero(~near)
-    table = [d]
-    todo = np.ones(len(sets), bool)
-    links = []
-    for q in outer:
+    waits, todo = np.zeros(len(n), bool), np.ones(len(n), bool)
+    pivots, pairs = [], []
+    for q in np.flatnonzero(~near):
+        if waits[q] and not last:
+            continue
         todo[q] = False
-        can = todo.copy()
+        pivots.append(int(q))
+        can = todo & (root != root[q])
         if cross:
             can &= chunk != chunk[q]
-        lo, hi = np.minimum(sizes, sizes[q]), np.maximum(sizes, sizes[q])
-        can &= DEN * lo >= NUM * hi
-        for row in table:
-            can &= ~(np.abs(row - row[q]) > RADIUS + _ROUGH)  # unknown distances (nan) rule out nothing
-        dist = np.full(len(sets), np.nan)
-        dist[q] = 0
+        can &= DEN * np.minimum(n, n[q]) >= NUM * np.maximum(n, n[q])
+        can &= ~(exact & (d[q] - d > RADIUS + _ROUGH))
+        if exact[q]:
+            can &= ~(d - d[q] > RADIUS + _ROUGH)
         for x in np.flatnonzero(can):
-            inter = common(sets[x], sets[q])
-            dist[x] = 1 - inter / (sizes[x] + sizes[q] - inter)
-            if linked(inter, sizes[x], sizes[q]):
-                links.append((int(q), int(x)))
-        if np.count_nonzero(dist < 1) > 1 and len(table) < 32:
-            table.append(dist)
-    return links
-
-
-def _in_rests(rests: DataFrame, points: DataFrame) -> DataFrame:
-    rows = (rests.join(points.select("k1", "k2", "text"), ["k1", "k2"])
-            .select("p", "i", "j", "chunk", "k1", "k2", "d", "near", "text"))
-
-    def solve(key, own) -> list[tuple]:
-        keys = [(r[4], r[5]) for r in own]
-        links = join_rest([shingles(r[8]) for r in own], np.array([r[6] for r in own]),
-                          np.array([r[7] for r in own]), np.array([r[3] for r in own]), key[1] != key[2])
-        return [(*keys[a], *keys[b]) for a, b in links]
+            if least_distance(counts[x], counts[q], n[x], n[q]) <= RADIUS + _ROUGH:
+                pairs.append((int(q), int(x)))
+                waits[x] = True
+    return pivots, pairs
+
+
+def _in_rests(rests: DataFrame, embedded: DataFrame, done: DataFrame | None, last: bool) -> DataFrame:
+    """r1, r2, i, j (the rest and its chunks), p1, p2 (a pivot), k1, k2 (a
+    document it may link to, or null)."""
+    rows = (rests.withColumn("chunk", F.pmod(F.xxhash64("k1", "k2"), F.col("chunks")).cast("int"))
+            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .select(F.col("p1").alias("r1"), F.col("p2").alias("r2"), F.least("chunk", "o").alias("i"),
+                    F.greatest("chunk", "o").alias("j"), "chunk", "k1", "k2", "n", "d", "exact", "near", "root"))
+    if done is not None:
+        rows = rows.join(done.select("r1", "r2", "i", "j", F.col("p1").alias("k1"), F.col("p2").alias("k2")).distinct(),
+                         ["r1", "r2", "i", "j", "k1", "k2"], "left_anti")
+    rows = rows.join(embedded.select("k1", "k2", "counts"), ["k1", "k2"]).select(
+        "r1", "r2", "i", "j", "chunk", "k1", "k2", "n", "d", "exact", "near", F.xxhash64("root.a", "root.b").alias("root"), "counts")
+    names = ["r1", "r2", "i", "j", "p1", "p2", "k1", "k2"]
+    schema = pa.schema([(c, pa.int32() if c in "ij" else pa.int64()) for c in names])
+
+    def solve(own: list[tuple]) -> list[tuple]:
+        col = lambda c, kind: np.array([r[c] for r in own], kind)
+        pivots, pairs = rest_pairs(col(10, bool), col(4, np.int64), col(11, np.int64), col(8, float), col(9, bool),
+                                   col(7, np.int64), [_counts(r[12]) for r in own], own[0][2] != own[0][3], last)
+        found = [(*own[0][:4], *own[q][5:7], *own[x][5:7]) for q, x in pairs]
+        return found + [(*own[0][:4], *own[q][5:7], None, None) for q in set(pivots) - {q for q, _ in pairs}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(c, pa.int64()) for c in ("k1", "k2", "p1", "p2")])
-        make = lambda links: pa.RecordBatch.from_arrays(
-            [pa.array([x[i] for x in links], pa.int64()) for i in range(4)], schema=schema)
+        make = lambda found: pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in found], schema.field(i).type) for i in range(8)], schema=schema)
         key, own = None, []
         for batch in batches:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:3] != key:
+                if row[:4] != key:
                     if own:
-                        out += solve(key, own)
-                    key, own = row[:3], []
+                        out += solve(own)
+                    key, own = row[:4], []
                 own.append(row)  # a pair of chunks at most
             yield make(out)
         if own:
-            yield make(solve(key, own))
+            yield make(solve(own))
 
-    return (rows.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j", "k1", "k2")
-            .mapInArrow(run, "k1 long, k2 long, p1 long, p2 long"))
+    return stored(rows.repartition("r1", "r2", "i", "j").sortWithinPartitions("r1", "r2", "i", "j", "k1", "k2")
+                  .mapInArrow(run, ", ".join(f"{c} {'int' if c in 'ij' else 'long'}" for c in names)), "rest-pairs")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of a graph's nodes, from (u, v) rows; the root is the
-    least node.  Large stars hang a node's larger neighbours on its least one,
+    """(node, root) of the nodes that have an edge, from (u, v) rows; the root
+    is the least node of a component.  Large stars hang a node's larger neighbours on its least one,
     small stars its smaller ones, until nothing changes."""
     e = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                .distinct(), "edges")
@@ -356,6 +473,11 @@ def components(edges: DataFrame) -> DataFrame:
     def least(of: DataFrame) -> DataFrame:
         return of.groupBy("u").agg(F.min("v").alias("m"))
 
+    def mark(of: DataFrame) -> tuple:
+        h = F.xxhash64("u", "v")
+        return tuple(of.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(h % 1_000_003)).first())
+
+    before = mark(e)
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         roots = least(both).select("u", F.least("u", "m").alias("m"))
@@ -367,22 +489,33 @@ def components(edges: DataFrame) -> DataFrame:
                  .unionByName(roots.select("u", F.col("m").alias("v"))).filter("u != v")
                  .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
         small = stored(small, "small-stars")
-        if not small.exceptAll(e).take(1) and not e.exceptAll(small).take(1):
-            return small.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        e = small
-
-
-def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between sets, (k1, k2, p1, p2): of each pivot's ball those to the
-    pivot, of all else every one."""
-    spark = docs.sparkSession
-    counts = spark.sparkContext.broadcast(_sketch(sets))  # SKETCH numbers
-    regions = stored(_regions(docs, counts), "regions")
-    wanted = stored(regions.select(F.col("p").alias("k1")).union(regions.select("x")).distinct(), "wanted")
-    points = _points(docs, sets.filter("part is null"), wanted)
-    distances = _to_pivots(regions, points)
-    near = distances.filter("near").select("k1", "k2", "p1", "p2")
-    return near.unionByName(_in_rests(_rests(distances), points))
+        now = mark(small)
+        if now == before:
+            return small.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                small.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        e, before = small, now
+
+
+def graph_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, root) of the sets that link with another one."""
+    counts = docs.sparkSession.sparkContext.broadcast(_sketch(sets))  # SKETCH numbers
+    rows = sets.filter("part is null")
+    embedded = stored(rows.filter("counts is not null").groupBy("k1", "k2")
+                      .agg(F.max("n_shingles").alias("n"), F.max("counts").alias("counts")), "embedded")
+    members = _bounded(stored(_regions(docs, counts), "regions"), embedded)
+    compared = _compared(docs, rows, members.filter(F.col("low") <= RADIUS + _ROUGH).select("p1", "p2", "k1", "k2"))
+    edges = _edges(compared)
+    graph = components(edges)
+    done = None
+    for last in (False, True):
+        found = _in_rests(_rests(members, compared, graph), embedded, done, last)
+        pairs = found.filter("k1 is not null").select("p1", "p2", "k1", "k2")
+        if not pairs.take(1):
+            break
+        edges = edges.unionByName(_edges(_compared(docs, rows, pairs)))
+        graph = components(edges)
+        done = found
+    return graph
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -390,9 +523,7 @@ def groups(docs: DataFrame) -> DataFrame:
     names a row's component, which ids that stand for several texts may not."""
     sets = stored(_sets(docs), "sets")
     own = sets.filter("part is null").select("doc_id", "n_shingles", "k1", "k2")
-    found = links(docs, sets)
-    graph = components(found.select(F.struct(F.col("k1").alias("a"), F.col("k2").alias("b")).alias("u"),
-                                    F.struct(F.col("p1").alias("a"), F.col("p2").alias("b")).alias("v")))
+    graph = graph_of(docs, sets)
     least = own.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("d"))
     rooted = least.join(graph.select(F.col("node.a").alias("k1"), F.col("node.b").alias("k2"), "root"), ["k1", "k2"], "left") \
         .select("k1", "k2", "d", F.coalesce("root", F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))).alias("root"))
