@@ -11,6 +11,7 @@ from risingtide.params import NEWS_SEPARATOR
 # ``find("[")`` ... ``rfind("]")``: a greedy match across lines spans the
 # first opening bracket to the last closing one.
 JSON_ARRAY_PATTERN = r"(?s)(\[.*\])"
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def extract_json_array(reply: Column) -> Column:
@@ -21,16 +22,27 @@ def extract_json_array(reply: Column) -> Column:
 
 def parse_json_rows(reply: Column, element_ddl: str) -> Column:
     """``array<struct<...>>`` parsed from a free-text reply; NULL when
-    malformed.  Field types are enforced by the schema: a value of the wrong
-    JSON type (e.g. the string ``"true"`` for a boolean) becomes NULL."""
-    return F.from_json(extract_json_array(reply), f"array<struct<{element_ddl}>>")
+    the span from the first to the last bracket is not one JSON array.
+
+    ``from_json`` alone stops at the end of the first value and would take
+    ``[..] then [..]`` for its first array; as a field of an object the span
+    must be followed by the closing brace, so anything after the array makes
+    the whole reply malformed.  Field types are enforced by the schema: a
+    value of the wrong JSON type (e.g. the string ``"true"`` for a boolean)
+    becomes NULL.  Single quotes and NaN are not JSON."""
+    whole = F.concat(F.lit('{"x": '), extract_json_array(reply), F.lit("}"))
+    return F.from_json(whole, f"x array<struct<{element_ddl}>>", STRICT_JSON)["x"]
 
 
 def split_joined(text: Column, sep: str = NEWS_SEPARATOR) -> Column:
     """ST1 + ST2: split a ``sep``-joined string and trim each piece.  The
     separator is matched literally (``***`` is not a valid regex)."""
-    literal = "".join(f"[{ch}]" if ch in r"\^$.|?*+()[]{}" else ch for ch in sep)
-    return F.transform(F.split(text, literal), lambda x: F.trim(x))
+    return F.transform(F.split(text, literal_pattern(sep)), lambda x: F.trim(x))
+
+
+def literal_pattern(text: str) -> str:
+    """A regular expression that matches ``text`` itself."""
+    return "".join(f"[{ch}]" if ch in r"$.|?*+(){}" else "\\" + ch if ch in r"\^[]" else ch for ch in text)
 
 
 def zip_shortest(a: Column, b: Column, a_name: str = "a", b_name: str = "b") -> Column:

@@ -4,7 +4,7 @@ as Spark operators with an injected predictor.
 The reference put *every* symbol into one prompt and made one call per
 sector.  Neither scales: here records are cut into bounded batches
 (``bounded_batches``), each batch is one call, and the calls run inside
-Python workers fed by Arrow (``mapInPandas`` / ``applyInPandas``).  The
+Python workers fed by Arrow (``applyInPandas``).  The
 reply is free text; cutting out and parsing the JSON array is done JVM-side
 with built-in functions (``functions.text.parse_json_rows``), and replies
 that do not parse go to a reject frame instead of failing the job.
@@ -19,14 +19,15 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from risingtide.functions.text import parse_json_rows
-from risingtide.session import checked_broadcast, spread_input
+from risingtide.session import checked_broadcast, materialize
 
 Predictor = Callable[[list[dict]], str]
 
@@ -63,39 +64,53 @@ def describe_sectors_predict(records: list[dict]) -> str:
     return json.dumps(out, ensure_ascii=False)
 
 
+# Copies of one record are numbered in runs of so many.
+_COPY_RUN = 10_000
+
+
 def bounded_batches(df: DataFrame, key: str, max_rows: int,
-                    group_cols: list[str]) -> DataFrame:
-    """Adds ``batch_id`` so that no (group, batch) holds more than
-    ``max_rows`` rows, without a global sort and without a window over a
-    whole group.
-
-    1. per-group row counts (partial aggregate, tiny result), materialised
-       and broadcast after a size check, so no group is shuffled whole;
-    2. ``bucket = pmod(xxhash64(record), ceil(n / max_rows))`` spreads a
-       group over about ``n / max_rows`` buckets, so a hot group is split.
-       The hash covers the whole record (``key`` first), so a key value
-       repeated in many rows of a group is spread too; only identical
-       records share a bucket for certain;
-    3. ``row_number`` inside (group, bucket) -- a partition of about
-       ``max_rows`` rows -- ordered by the whole record, so a re-run gives
-       the same batches; then ``batch = (bucket, (rn - 1) div max_rows)``
-       caps every batch at exactly ``max_rows``.
+                    group_cols: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``batch_id`` and ``batch_row`` so that no (group, batch) holds
+    more than ``max_rows`` rows, without a global sort and without a window
+    over a whole group.  Which records share a batch depends on the records
+    alone, not on splits, tasks or the size of the cluster.
+
+    1. equal records are counted (partial aggregate) and numbered, so many
+       copies of one record can be told apart;
+    2. per-group row counts, materialised and broadcast after a size check
+       (without groups, one count), so no group is shuffled whole;
+    3. ``bucket = pmod(xxhash64(record, copy), ceil(n / max_rows))`` spreads
+       a group over about ``n / max_rows`` buckets, so a hot group, a key
+       repeated in many rows and copies of one record are all split;
+    4. ``row_number`` inside (group, bucket) -- a partition of about
+       ``max_rows`` rows -- ordered by the whole record; then
+       ``batch = (bucket, (rn - 1) div max_rows)`` caps every batch at
+       exactly ``max_rows``.
+
+    ``df`` is read twice (counts, then rows): pass a materialised frame when
+    it is costly to compute.
     """
     groups = list(group_cols)
-    if not groups:
-        raise ValueError("bounded_batches needs group columns; without groups use "
-                         "call_model's Arrow batches, which are bounded already")
     record = [key] + [c for c in df.columns if c != key and c not in groups]
-    counts = checked_broadcast(df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")))
-    joined = df.join(counts, groups, "inner")
+    copies = df.groupBy(*groups, *record).agg(F.count(F.lit(1)).alias("_copies"))
+    if groups:
+        counts = checked_broadcast(copies.groupBy(*groups).agg(F.sum("_copies").alias("_n"))
+                                   .withColumnsRenamed({g: f"_g_{g}" for g in groups}))
+        same = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups])
+        joined = copies.join(counts, same).drop(*[f"_g_{g}" for g in groups])
+    else:
+        joined = copies.withColumn("_n", F.lit(df.count()))
+    run = F.explode(F.expr(f"sequence(0L, _copies - 1, {_COPY_RUN}L)"))
+    copy = F.explode(F.expr(f"sequence(_run, least(_run + {_COPY_RUN}L, _copies) - 1)"))
     nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_rows))).cast("long")
-    with_bucket = joined.withColumn("_bucket", F.pmod(F.xxhash64(*record), nb))
-    w = Window.partitionBy(*groups, "_bucket").orderBy(*record)
-    return (with_bucket.withColumn("_rn", F.row_number().over(w))
-            .withColumn("batch_id", F.concat_ws(
-                ":", F.col("_bucket").cast("string"),
-                ((F.col("_rn") - 1) / F.lit(max_rows)).cast("long").cast("string")))
-            .drop("_n", "_bucket", "_rn"))
+    with_bucket = (joined.withColumn("_run", run).withColumn("_copy", copy)
+                   .withColumn("_bucket", F.pmod(F.xxhash64(*record, "_copy"), nb)))
+    w = Window.partitionBy(*groups, "_bucket").orderBy(*record, "_copy")
+    return (with_bucket.withColumn("_rn", F.row_number().over(w) - 1)
+            .withColumn("batch_id", F.concat_ws(":", F.col("_bucket").cast("string"),
+                                                F.expr(f"_rn div {max_rows}").cast("string")))
+            .withColumn("batch_row", (F.col("_rn") % max_rows).cast("int"))
+            .select(*df.columns, "batch_id", "batch_row"))
 
 
 def prompt_documents(df: DataFrame, batch_cols: list[str], record_cols: list[str],
@@ -116,107 +131,134 @@ MAX_RECORDS_PER_CALL = 100
 MODEL_ATTEMPTS = 3
 
 
+def _not_json(constant):
+    raise ValueError(f"{constant} is not JSON")
+
+
 def reply_has_array(text) -> bool:
     """Whether the span from the first ``[`` to the last ``]`` of a reply is
-    a JSON array -- the same cut-out the JVM-side parse uses."""
+    one JSON array of objects: the rule of ``functions.text.parse_json_rows``
+    (which decides what becomes a row), for the call that may be repeated."""
     if not isinstance(text, str):
         return False
     start, end = text.find("["), text.rfind("]")
     if start < 0 or end < start:
         return False
     try:
-        return isinstance(json.loads(text[start:end + 1]), list)
+        items = json.loads(text[start:end + 1], parse_constant=_not_json)
     except ValueError:
         return False
+    return isinstance(items, list) and all(isinstance(x, dict) for x in items)
 
 
-def call_model(df: DataFrame, predict: Predictor, batch_col: str | None = None,
+def call_model(df: DataFrame, predict: Predictor, key: str,
                max_records: int = MAX_RECORDS_PER_CALL,
                attempts: int = MODEL_ATTEMPTS) -> DataFrame:
     """One ``predict`` call per batch of records, inside Python workers.
 
-    Without ``batch_col`` the records of each Arrow batch of a partition are
-    cut into calls of at most ``max_records``; with it, rows are grouped by
-    that (already bounded) column and each group is one call.  A call whose
-    reply holds no JSON array, or that raises, is made again, up to
-    ``attempts`` times; the last unparsable reply is kept (it ends in the
-    reject frame of ``parse_replies``), the last error fails the task.
-    Output: ``(batch_key, n_records, reply)``.
+    Batches are those of ``bounded_batches``: the same records share a call
+    whatever the splits, ``max_records`` alone sets how many calls there are
+    (and so how far they spread).  A call whose reply holds no JSON array, or
+    that raises, is made again, up to ``attempts`` times; the last unparsable
+    reply is kept (it ends in the reject frame of ``parse_replies``), the
+    last error fails the task.  Output: ``(batch_key, n_records, reply)``,
+    lazy -- ``model_replies`` calls once and keeps the replies.
     """
     cols = df.columns
 
-    def reply(recs: list[dict], key: str) -> dict:
+    def per_batch(pdf: pd.DataFrame) -> pd.DataFrame:
+        records = pdf.sort_values("batch_row")[cols].to_dict("records")
         text = None
         for attempt in range(1, attempts + 1):
             try:
-                text = predict(recs)
+                text = predict(records)
             except Exception:
                 if attempt == attempts:
                     raise
                 continue
             if reply_has_array(text):
                 break
-        return {"batch_key": key, "n_records": len(recs), "reply": text}
+        return pd.DataFrame([{"batch_key": pdf["batch_id"].iloc[0], "n_records": len(records), "reply": text}])
 
-    if batch_col:
-        def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame([reply(pdf[cols].to_dict("records"),
-                                       str(pdf[batch_col].iloc[0]))])
-        return df.groupBy(batch_col).applyInPandas(per_group, REPLY_SCHEMA)
+    return bounded_batches(df, key, max_records).groupBy("batch_id").applyInPandas(per_batch, REPLY_SCHEMA)
 
-    def per_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            recs = pdf[cols].to_dict("records")
-            out = [reply(recs[i:i + max_records], "") for i in range(0, len(recs), max_records)]
-            if out:
-                yield pd.DataFrame(out)
 
-    return df.mapInPandas(per_partition, REPLY_SCHEMA)
+def model_replies(df: DataFrame, predict: Predictor, key: str, **kw) -> DataFrame:
+    """``call_model`` with the replies materialised: rows, rejects and counts
+    that are read from them come from the same calls."""
+    return materialize(call_model(df, predict, key, **kw))
 
 
-def parse_replies(replies: DataFrame, element_ddl: str) -> tuple[DataFrame, DataFrame]:
+def parse_replies(replies: DataFrame, element_ddl: str, key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """J1 + S4: ``(rows, rejects)`` -- parsed reply elements, one row each,
-    and the replies that held no parsable JSON array."""
+    and the replies that gave less than that, with ``reason`` and ``n_lost``
+    elements: no parsable JSON array, or (with ``key``) elements whose key is
+    missing or of another type."""
     parsed = replies.withColumn("_items", parse_json_rows(F.col("reply"), element_ddl))
-    rows = parsed.where(F.col("_items").isNotNull()).select(F.inline("_items"))
-    rejects = parsed.where(F.col("_items").isNull()).drop("_items")
+    valid = F.filter("_items", lambda x: F.lit(True) if key is None else x[key].isNotNull())
+    parsed = parsed.withColumn("_valid", valid)
+    rows = parsed.where(F.col("_items").isNotNull()).select(F.inline("_valid"))
+    n_lost = F.when(F.col("_items").isNull(), F.col("n_records") if "n_records" in replies.columns
+                    else F.lit(None).cast("int")).otherwise(F.size("_items") - F.size("_valid"))
+    rejects = (parsed.withColumn("n_lost", n_lost.cast("int"))
+               .withColumn("reason", F.when(F.col("_items").isNull(), F.lit("no JSON array of objects"))
+                           .otherwise(F.lit("element without a valid key")))
+               .where(F.col("_items").isNull() | (F.col("n_lost") > 0)).drop("_items", "_valid"))
     return rows, rejects
 
 
-def classify(df: DataFrame, predict: Predictor = keyword_sector_predict,
-             key: str = "symbol", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """U1 + S7 + J1: ``(symbol, core_focus)`` per input record, plus rejects.
-    The reply's symbol is parsed with the key's own type (ticker text or a
-    numeric id).  A model call costs far more than moving its record, so an
-    input that arrives in fewer splits than there are task slots is spread
-    first."""
+def classify(df: DataFrame, predict: Predictor | None = None, key: str = "symbol", text: str = "text",
+             **kw) -> tuple[DataFrame, DataFrame]:
+    """U1 + S7 + J1: ``(symbol, core_focus)`` per input record, plus rejects,
+    both from the same materialised replies.  The reply's symbol is parsed
+    with the key's own type (ticker text or a numeric id)."""
     raw = df.select(F.col(key).alias("symbol"), F.col(text).alias("text"))
-    inp = spread_input(raw, "symbol")
-    if inp is not raw:
-        # rows arrive from a shuffle in fetch order; sorted, a recomputed
-        # task groups the same records into the same calls
-        inp = inp.sortWithinPartitions("symbol")
     element = f"symbol {df.schema[key].dataType.simpleString()}, core_focus string"
-    return parse_replies(call_model(inp, predict), element)
+    return parse_replies(model_replies(raw, predict or keyword_sector_predict, "symbol", **kw), element, "symbol")
+
+
+def describe_sectors(shared: DataFrame, predict: Predictor | None = None, **kw) -> tuple[DataFrame, DataFrame]:
+    """U1 for the second call: facts per shared sector, bounded batches of
+    sectors per call; rows and rejects from the same materialised replies."""
+    replies = model_replies(shared.select("core_focus"), predict or describe_sectors_predict, "core_focus", **kw)
+    return parse_replies(replies, FACTS_ELEMENT, "core_focus")
 
 
-def describe_sectors(shared: DataFrame, predict: Predictor = describe_sectors_predict
-                     ) -> tuple[DataFrame, DataFrame]:
-    """U1 for the second call: facts per shared sector, one call per Arrow
-    batch of sectors."""
-    return parse_replies(call_model(shared.select("core_focus"), predict), FACTS_ELEMENT)
+def translate_per_group(df: DataFrame, group_col: str, key: str, cols: list[str], predict: Predictor,
+                        max_rows: int = 200, attempts: int = MODEL_ATTEMPTS) -> tuple[DataFrame, DataFrame]:
+    """One translation call per group (in bounded batches, so
+    a hot group is split), answered with text that is parsed like any reply:
+    ``(rows, rejects)`` with the translated ``cols`` under ``<col>_local``.
+    A reply that can't be parsed is asked for again; its last form is kept in
+    the rejects with its group and batch."""
+    names = [key, group_col, *cols]
+
+    def per_batch(pdf: pd.DataFrame) -> pd.DataFrame:
+        records = pdf.sort_values("batch_row")[names].to_dict("records")
+        text = None
+        for _ in range(attempts):
+            text = predict(records)
+            if reply_has_array(text):
+                break
+        return pd.DataFrame([{"batch_key": f"{pdf[group_col].iloc[0]}:{pdf['batch_id'].iloc[0]}",
+                              "n_records": len(records), "reply": text}])
+
+    batches = bounded_batches(df.select(*names), key, max_rows, [group_col])
+    replies = materialize(batches.groupBy(group_col, "batch_id").applyInPandas(per_batch, REPLY_SCHEMA))
+    key_type = df.schema[key].dataType.simpleString()
+    element = ", ".join([f"{key} {key_type}", f"{group_col} string", *[f"{c}_local string" for c in cols]])
+    return parse_replies(replies, element, key)
 
 
 def apply_per_group(df: DataFrame, group_col: str, key: str, fn: Callable[[pd.DataFrame], pd.DataFrame],
                     schema: str, max_rows: int = 200) -> DataFrame:
     """``fn`` on the rows of each group (e.g. translate one sector's
     rows in one call), in bounded batches so a hot group is split over
-    several calls and tasks.  ``df`` is read twice (group counts, then the
-    rows): pass a materialised frame when it is costly to compute."""
+    several calls and tasks."""
     b = bounded_batches(df, key, max_rows, [group_col])
     out_cols = [f.split()[0] for f in schema.split(",")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(pdf.drop(columns=["batch_id"]))[out_cols]
+        return fn(pdf.drop(columns=["batch_id", "batch_row"]))[out_cols]
 
     return b.groupBy(group_col, "batch_id").applyInPandas(run, schema)

@@ -46,23 +46,22 @@ def clean_bars(bars: DataFrame, params: ScreenParams | None = None) -> DataFrame
 
 def with_percent(bars: DataFrame) -> DataFrame:
     """Day-over-day percent change; NULL on a symbol's first bar.  The
-    ``lag`` appears several times in the expression; Catalyst computes one
-    window function for all of them."""
-    return bars.withColumn("percent",
-                           percent_change(F.col("close"), F.lag("close").over(_ordered())))
+    previous close is a column of its own: written into the formula, which
+    uses it three times, the plan would hold three ``lag`` functions."""
+    return (bars.withColumn("_prev", F.lag("close").over(_ordered()))
+            .withColumn("percent", percent_change(F.col("close"), F.col("_prev"))).drop("_prev"))
 
 
 def with_period_stats(bars_pct: DataFrame) -> DataFrame:
     """W2-W4 on every row of a symbol: whole-window gain, last close, last
     percent.  ``first``/``last`` keep NULLs like ``iloc[0]``/``iloc[-1]``.
-    One projection, so the plan is analysed once for all three columns."""
+    The window values are columns before the arithmetic uses them, so each
+    is computed once."""
     w = _whole()
-    first, last = F.first("close").over(w), F.last("close").over(w)
-    return bars_pct.withColumns({
-        "last_price": last,
-        "last_percent": F.last("percent").over(w),
-        "start_end_percent": period_gain(first, last),
-    })
+    return (bars_pct.withColumns({"_first": F.first("close").over(w),
+                                  "last_price": F.last("close").over(w),
+                                  "last_percent": F.last("percent").over(w)})
+            .withColumn("start_end_percent", period_gain(F.col("_first"), F.col("last_price"))).drop("_first"))
 
 
 def scored_bars(bars: DataFrame, params: ScreenParams | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from risingtide.functions.text import split_joined, zip_shortest
@@ -25,7 +25,7 @@ STOCK_PART = 1
 TITLE_BLOCK = 0
 CONTENTS_BLOCK = 1
 BODY_BLOCK = 2
-REPORT_TITLE = "Sector breakouts"
+REPORT_TITLE = "Momentum digest"
 
 
 def report_sections(rows: DataFrame, report_date: _dt.date) -> DataFrame:
@@ -43,8 +43,16 @@ def report_sections(rows: DataFrame, report_date: _dt.date) -> DataFrame:
             .withColumn("report_date", F.date_format(F.lit(report_date), "yyyy-MM-dd")))
 
 
+def escaped(c: Column) -> Column:
+    """Text as HTML content or attribute value; titles and links come from
+    web pages."""
+    for ch, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        c = F.replace(c, F.lit(ch), F.lit(entity))
+    return c
+
+
 def _news_item(p):
-    return F.concat(F.lit("<li>"), p["d"], F.lit(" (<a href='"), p["s"], F.lit("'>source</a>)</li>"))
+    return F.concat(F.lit('<li><a href="'), escaped(p["s"]), F.lit('">'), escaped(p["d"]), F.lit("</a></li>"))
 
 
 def report_items(rows: DataFrame) -> DataFrame:
@@ -75,21 +83,31 @@ def report_fragments(rows: DataFrame, report_date: _dt.date) -> DataFrame:
     sections = report_sections(rows, report_date).select(
         "core_focus", F.lit(SECTION_PART).alias("part"),
         F.lit(None).cast(symbol_type).alias("symbol"),
-        F.concat(F.lit("<h2>"), F.col("core_focus"), F.lit("</h2><p>"),
-                 F.col("core_focus_overview"), F.lit("</p><p>"),
-                 F.col("core_focus_future_potential_overview"), F.lit("</p>")).alias("html"))
+        F.concat(F.lit("<section><h2>"), escaped(F.col("core_focus")), F.lit("</h2><dl>"),
+                 _term("Stocks", F.col("n_stocks").cast("string")),
+                 _term("Why it may grow", escaped(F.col("core_focus_future_potential_overview"))),
+                 _term("What it is", escaped(F.col("core_focus_overview"))),
+                 F.lit("</dl></section>")).alias("html"))
     items = report_items(rows).select(
         "core_focus", F.lit(STOCK_PART).alias("part"), "symbol",
-        F.concat(F.lit("<h3>"), F.col("symbol").cast("string"), F.lit("</h3>"),
-                 F.lit("<p>Market cap: "), F.col("market_cap_text"), F.lit(" $</p>"),
-                 F.lit("<p>Price: "), _num(F.col("last_price")), F.lit("$</p>"),
-                 F.lit("<p>Daily change: "), _num(F.col("last_percent_2")), F.lit("%</p>"),
-                 F.lit("<p>Window change: "), _num(F.col("start_end_percent_2")), F.lit("%</p>"),
-                 F.lit("<p>"), F.col("company_overview"), F.lit("</p><ul>"),
-                 F.col("news_html"), F.lit("</ul>")).alias("html"))
+        F.concat(F.lit("<article><table><caption>"), escaped(F.col("symbol").cast("string")), F.lit("</caption>"),
+                 _cell("Gain in window, %", _num(F.col("start_end_percent_2"))),
+                 _cell("Last day, %", _num(F.col("last_percent_2"))),
+                 _cell("Last close, USD", _num(F.col("last_price"))),
+                 _cell("Market value, USD", F.col("market_cap_text")),
+                 F.lit("</table><ol>"), F.col("news_html"), F.lit("</ol><blockquote>"),
+                 escaped(F.col("company_overview")), F.lit("</blockquote></article>")).alias("html"))
     return sections.unionByName(items)
 
 
+def _term(name: str, value: Column) -> Column:
+    return F.concat(F.lit(f"<dt>{name}</dt><dd>"), value, F.lit("</dd>"))
+
+
+def _cell(name: str, value: Column) -> Column:
+    return F.concat(F.lit(f"<tr><th>{name}</th><td>"), value, F.lit("</td></tr>"))
+
+
 def report_document(rows: DataFrame, report_date: _dt.date) -> DataFrame:
     """ST4 + A7 + D2: the whole report as ``(block, core_focus, part,
     symbol, html)`` fragments -- a title with the run date (one row, only
@@ -104,10 +122,10 @@ def report_document(rows: DataFrame, report_date: _dt.date) -> DataFrame:
     title = (sections.groupBy("report_date").agg(F.count(F.lit(1)).alias("_n"))
              .select(F.lit(TITLE_BLOCK).alias("block"), F.lit(None).cast("string").alias("core_focus"),
                      F.lit(SECTION_PART).alias("part"), no_symbol,
-                     F.concat(F.lit(f"<h1>{REPORT_TITLE} - "), F.col("report_date"),
+                     F.concat(F.lit(f"<h1>{REPORT_TITLE}, "), F.col("report_date"),
                               F.lit("</h1>")).alias("html")))
     contents = sections.select(
         F.lit(CONTENTS_BLOCK).alias("block"), "core_focus", F.lit(SECTION_PART).alias("part"),
-        no_symbol, F.concat(F.lit("<li>"), F.col("core_focus"), F.lit("</li>")).alias("html"))
+        no_symbol, F.concat(F.lit("<li>"), escaped(F.col("core_focus")), F.lit("</li>")).alias("html"))
     body = report_fragments(rows, report_date).select(F.lit(BODY_BLOCK).alias("block"), "*")
     return title.unionByName(contents).unionByName(body)

@@ -9,7 +9,7 @@ any other constant.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 # Fixed values that must equal the reference job's for the same results.
@@ -37,7 +37,6 @@ class ScreenParams:
     # "none": a missing close gives a NULL change (pandas >= 3);
     # "ffill": carry the previous close forward first (pandas < 3).
     fill: str = "none"
-    extra: dict = field(default_factory=dict, compare=False)
 
     @property
     def start_date(self) -> _dt.date:

@@ -16,29 +16,28 @@ when its measured size is under the threshold; sector counts shuffle by
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from risingtide.operators import enrich, momentum
+from risingtide.operators import enrich, inference, labels, momentum
 from risingtide.operators import sectors as sector_ops
 from risingtide.params import ScreenParams
 from risingtide.session import broadcast_hint, materialize, materialize_measured
 from risingtide.sources import lookups
 
 
-def survivors(prices: DataFrame, fundamentals: DataFrame, params: ScreenParams,
-              checkpoint: bool = True) -> DataFrame:
+def survivors(prices: DataFrame, fundamentals: DataFrame, params: ScreenParams) -> DataFrame:
     """Screened symbols whose market cap passes, one row per symbol:
     ``(symbol, company_overview, marketCap, last_price, last_percent,
-    start_end_percent)``.
+    start_end_percent)``, lazy.
 
     ``fundamentals`` is keyed by symbol and the per-symbol screen is
     distinct, so the inner join equals the reference's lookup-then-merge.
     """
     per_symbol = momentum.screened_symbols(momentum.momentum_screen(prices, params))
-    out = lookups.cap_filter(fundamentals.join(per_symbol, "symbol"), params).dropDuplicates()
-    return materialize(out) if checkpoint else out
+    return lookups.cap_filter(fundamentals.join(per_symbol, "symbol"), params).dropDuplicates()
 
 
 def survivor_keys(prices: DataFrame, fundamentals: DataFrame, params: ScreenParams
@@ -47,12 +46,31 @@ def survivor_keys(prices: DataFrame, fundamentals: DataFrame, params: ScreenPara
     ``symbol`` column, with a broadcast hint when the keys are within the
     row and byte bounds.  The keys are measured while the survivors are
     written, so the size check adds no job."""
-    per_symbol = momentum.screened_symbols(momentum.momentum_screen(prices, params))
-    out = lookups.cap_filter(fundamentals.join(per_symbol, "symbol"), params).dropDuplicates()
-    surv, n, size = materialize_measured(out, cols=["symbol"])
+    surv, n, size = materialize_measured(survivors(prices, fundamentals, params), cols=["symbol"])
     return surv, broadcast_hint(surv.select("symbol"), n, size)
 
 
+@dataclass
+class Trace:
+    """Materialised frames a report run went through, for its status: which
+    guard left nothing, and what the model's replies lost."""
+
+    survivors: DataFrame | None = None
+    shared: DataFrame | None = None
+    facts: DataFrame | None = None
+    rejects: list[tuple[str, DataFrame]] = field(default_factory=list)
+
+    def empty_reason(self) -> str:
+        """Why a report has no rows: the first step that left nothing."""
+        for frame, reason in ((self.survivors, "no stock passed the screen"),
+                              (self.shared, "no sector is shared by two stocks")):
+            if frame is not None and not frame.take(1):
+                return reason
+        if self.facts is not None and not sector_ops.future_sectors(self.facts).take(1):
+            return "no shared sector has future potential"
+        return "no stock is left in a relevant sector"
+
+
 def report_from_lookups(screened: DataFrame, overview: DataFrame, news_top: DataFrame,
                         sectors: DataFrame, facts: DataFrame) -> DataFrame:
     """The enrichment stage on its own, from already looked-up inputs (the
@@ -74,7 +92,7 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame,
                  sectors: DataFrame | Callable[[DataFrame], DataFrame],
                  news: DataFrame | Callable[[DataFrame], DataFrame],
                  facts_for: Callable[[DataFrame], DataFrame],
-                 params: ScreenParams, checkpoint: bool = True) -> DataFrame:
+                 params: ScreenParams, trace: Trace | None = None) -> DataFrame:
     """One row per screened stock in a shared, future-potential sector.
 
     ``fundamentals`` is ``(symbol, company_overview, marketCap)``;
@@ -85,34 +103,43 @@ def alert_report(prices: DataFrame, fundamentals: DataFrame,
     sector describer); ``news`` is ``(symbol, article_id, published, title,
     article_url)``.
     """
-    if checkpoint:
-        # size-checked static broadcast: the large sector and news tables are
-        # filtered map-side without being shuffled
-        surv, kept = survivor_keys(prices, fundamentals, params)
-    else:
-        surv = survivors(prices, fundamentals, params, checkpoint=False)
-        kept = surv.select("symbol")
+    # size-checked static broadcast: the large sector and news tables are
+    # filtered map-side without being shuffled
+    surv, kept = survivor_keys(prices, fundamentals, params)
     # the survivors' sector rows feed both the shared-sector count and the
     # final join: materialised (survivor-sized), the sector table is read once
     source = sectors(kept) if callable(sectors) else sectors
-    sec = source.join(kept, "symbol", "left_semi").select("symbol", "core_focus").distinct()
-    if checkpoint:
-        sec = materialize(sec)
-    facts = facts_for(sector_ops.shared_sectors(sec))
+    sec = materialize(source.join(kept, "symbol", "left_semi").select("symbol", "core_focus").distinct())
+    return _report(surv, kept, sec, facts_for, news, params, trace)
+
+
+def _report(surv, kept, sec, facts_for, news, params, trace) -> DataFrame:
+    shared = sector_ops.shared_sectors(sec)
+    facts = facts_for(shared)
+    if trace is not None:
+        trace.survivors, trace.shared, trace.facts = surv, shared, facts
     news_top = lookups.news_top(news, params, symbols=kept)
-    rows = enrich.enriched_rows(sec, facts, surv)
-    return enrich.alert_rows(rows, news_top)
+    return enrich.alert_rows(enrich.enriched_rows(sec, facts, surv), news_top)
+
+
+class ModelReplyError(RuntimeError):
+    """No reply of a model step could be used although records were sent."""
 
 
 def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame,
                           news: DataFrame | Callable[[DataFrame], DataFrame],
                           params: ScreenParams, classify_predict=None, describe_predict=None,
-                          descriptions: DataFrame | None = None) -> DataFrame:
+                          descriptions: DataFrame | None = None, trace: Trace | None = None,
+                          max_records: int = inference.MAX_RECORDS_PER_CALL) -> DataFrame:
     """The reference's own flow: the sector of each survivor comes from the
     classifier (U1) over its company overview, labels are canonicalised
     (T2), shared sectors are described by a second model call (U1), then
-    the same joins as ``alert_report``.  Replies that do not parse are
-    dropped (see ``inference.parse_replies`` for the reject frame).
+    the same joins as ``alert_report``.
+
+    Every model step calls once and keeps its replies.  Replies that give
+    less than they were asked go to ``trace.rejects``; a step none of whose
+    replies can be used raises ``ModelReplyError``, so a run can't pass for
+    one without relevant stocks.
 
     ``descriptions`` ``(symbol, description)``, when given, supplies the
     company text instead of ``fundamentals.company_overview`` (missing text
@@ -120,9 +147,9 @@ def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame,
     with the size-checked survivor keys -- so a large text table is filtered
     where it is read instead of being joined whole to the fundamentals.
     """
-    from risingtide.operators import inference, labels
-
+    trace = trace if trace is not None else Trace()
     surv, kept = survivor_keys(prices, fundamentals, params)
+    trace.survivors = surv
     if descriptions is not None:
         text = descriptions.join(kept, "symbol", "left_semi").select(
             "symbol", F.col("description").alias("_text"))
@@ -130,18 +157,16 @@ def alert_report_inferred(prices: DataFrame, fundamentals: DataFrame,
             surv.join(text, "symbol", "left")
             .withColumn("company_overview", F.coalesce(F.col("_text"), F.lit("")))
             .select(*surv.columns).dropDuplicates())
-    cls_kw = {"predict": classify_predict} if classify_predict else {}
-    raw_sec, _ = inference.classify(surv, key="symbol", text="company_overview", **cls_kw)
-    # the model runs once per record: its output is materialised before the
-    # label map and the join of canonicalize both read it
-    sec = labels.canonicalize(materialize(raw_sec))
-
-    def facts_for(shared: DataFrame) -> DataFrame:
-        kw = {"predict": describe_predict} if describe_predict else {}
-        facts, _ = inference.describe_sectors(shared, **kw)
-        return facts
-
-    facts = facts_for(sector_ops.shared_sectors(sec))
-    news_top = lookups.news_top(news, params, symbols=kept)
-    rows = enrich.enriched_rows(sec, facts, surv)
-    return enrich.alert_rows(rows, news_top)
+
+    def checked(step: str, out: tuple[DataFrame, DataFrame]) -> DataFrame:
+        rows, rejects = out
+        trace.rejects.append((step, rejects))
+        if not rows.take(1) and rejects.take(1):
+            raise ModelReplyError(f"{step}: no reply of the model could be used")
+        return rows
+
+    raw_sec = checked("classify", inference.classify(surv, classify_predict, key="symbol", text="company_overview",
+                                                     max_records=max_records))
+    sec = materialize(labels.canonicalize(raw_sec))
+    return _report(surv, kept, sec, lambda shared: checked("describe", inference.describe_sectors(
+        shared, describe_predict, max_records=max_records)), news, params, trace)

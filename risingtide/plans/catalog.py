@@ -8,6 +8,7 @@ whole tables.  No query collects; the caller decides the action.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,10 @@ from pyspark.sql import types as T
 from risingtide.operators import enrich, inference, labels, localize, momentum, report
 from risingtide.operators import sectors as sector_ops
 from risingtide.params import DRIVER_PARAMS as P
-from risingtide.plans import alert
-from risingtide.session import checkpoint_dir, materialize, spread_input
-from risingtide.sources import bars, driver, lookups, records, sinks
+from risingtide.plans import alert, job
+from risingtide.session import checkpoint_dir, materialize
+from risingtide.sources import bars, driver, listings, lookups, records, sinks
+from risingtide.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,10 +62,7 @@ def q_bars_union(spark, sf):
     mid = P.start_date + _dt.timedelta(days=5)
     t = driver.ticks(spark, sf)
     first = bars.daily_bars(bars.ticks_in_window(t, P.start_date, mid))
-    t2 = bars.ticks_in_window(t, mid + _dt.timedelta(days=1), P.end_date)
-    second = (t2.groupBy(F.col("user_id").alias("symbol"), F.col("ts").cast("date").alias("date"))
-              .agg(bars.last_tick(F.col("value"), F.col("ts")).alias("close"),
-                   F.count(F.lit(1)).alias("n_ticks")))
+    second = bars.daily_bars(bars.ticks_in_window(t, mid + _dt.timedelta(days=1), P.end_date), count=True)
     return bars.bars_union([first, second])
 
 
@@ -245,39 +244,58 @@ def q_classify_batches(spark, sf):
 
 @register("prompt_batches")
 def q_prompt_batches(spark, sf):
+    """The records of each call's document.  Which batch a record is in
+    follows from a hash, so the checked result is each batch's size bound and
+    the records themselves, read back from the documents."""
     fund = lookups.cap_filter(lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)), P)
-    # symbols are unique, so an integer range of REPLY_BATCH keys bounds a batch
-    b = fund.withColumn("batch_id", F.floor(F.col("symbol") / REPLY_BATCH).cast("bigint"))
-    return inference.prompt_documents(b, ["batch_id"], ["symbol", "company_overview"], "symbol")
+    b = inference.bounded_batches(fund.select("symbol", "company_overview"), "symbol", REPLY_BATCH)
+    docs = inference.prompt_documents(b, ["batch_id"], ["symbol", "company_overview"], "symbol")
+    rec = F.inline(F.from_json("document", "array<struct<symbol: bigint, company_overview: string>>"))
+    return docs.select((F.col("n_records") <= REPLY_BATCH).alias("within_bound"), rec)
 
 
 def _sector_replies(spark, sf):
-    """Model-like replies for the sector labels: JSON arrays inside free text,
-    one per batch of customers, plus conversation turns as replies that hold
-    no array at all."""
-    sec = driver.sectors(spark, sf).withColumn(
-        "batch_id", F.floor(F.col("symbol") / REPLY_BATCH).cast("bigint"))
-    good = (sec.groupBy("batch_id")
-            .agg(F.to_json(F.array_sort(F.collect_list(F.struct("symbol", "core_focus"))))
-                 .alias("arr"))
-            .select(F.col("batch_id").cast("string").alias("batch_key"),
-                    F.concat(F.lit("Sure. Here are the labels:\n"), F.col("arr"),
-                             F.lit("\nLet me know [if] you need more.")).alias("reply")))
+    """Model-like replies for the sector labels, one per batch of customers:
+    clean ones, and by turns with text in brackets after the array, two
+    arrays, an array cut off and keys of another type; plus conversation
+    turns as replies that hold no array at all."""
+    batch = F.floor(F.col("symbol") / REPLY_BATCH).cast("bigint")
+    arr = F.concat(F.lit("["), F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("symbol", "core_focus"))),
+        lambda x: F.concat(F.lit('{"symbol":'), x["symbol"].cast("string"), F.lit(',"core_focus":"'),
+                           x["core_focus"], F.lit('"}'))), ","), F.lit("]"))
+    by_batch = driver.sectors(spark, sf).groupBy(batch.alias("batch_id")).agg(
+        F.count(F.lit(1)).cast("int").alias("n_records"), arr.alias("arr"))
+    a, kind = F.col("arr"), F.col("batch_id") % 6
+    half = F.substring(a, F.lit(1), F.expr("length(arr) div 2"))
+    reply = (F.when(kind == 0, F.concat(F.lit("Sure. Here are the labels:\n"), a, F.lit("\nAnything else?")))
+             .when(kind == 1, F.concat(a, F.lit(" Let me know [if] you need more.")))
+             .when(kind == 2, F.concat(a, F.lit(" and then "), a))
+             .when(kind == 3, F.concat(F.lit("Labels: "), half))
+             .when(kind == 4, F.concat(F.lit("Labels: "), F.replace(a, F.lit('"symbol":'), F.lit('"symbol":"no. ","id":'))))
+             .otherwise(a))
+    good = by_batch.select(F.col("batch_id").cast("string").alias("batch_key"), "n_records", reply.alias("reply"))
     noise = driver.table(spark, sf, "conversations").select(
-        F.concat_ws(":", "conv_id", "turn").alias("batch_key"), F.col("text").alias("reply"))
+        F.concat_ws(":", "conv_id", "turn").alias("batch_key"), F.lit(1).alias("n_records"), F.col("text").alias("reply"))
     return good.unionByName(noise)
 
 
 @register("extract_json_array")
 def q_extract_json_array(spark, sf):
-    rows, _ = inference.parse_replies(_sector_replies(spark, sf), inference.SECTOR_ELEMENT)
+    rows, _ = inference.parse_replies(_sector_replies(spark, sf), inference.SECTOR_ELEMENT, "symbol")
     return rows
 
 
+@register("reply_rejects")
+def q_reply_rejects(spark, sf):
+    _, rejects = inference.parse_replies(_sector_replies(spark, sf), inference.SECTOR_ELEMENT, "symbol")
+    return rejects.select("batch_key", "n_records", "reason", "n_lost")
+
+
 def _words(spark, sf):
     """Every word of every document (whole texts), punctuation stripped --
     one regex pass per text, then a split on blanks."""
-    d = spread_input(driver.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    d = driver.table(spark, sf, "documents").select("text")
     clean = F.regexp_replace(F.col("text"), r"[.,;:!?()\"]", "")
     return (d.select(F.explode(F.split(clean, r"\s+")).alias("core_focus"))
             .where(F.col("core_focus") != ""))
@@ -304,27 +322,30 @@ def _alert(spark, sf):
 
 @register("localize_report")
 def q_localize_report(spark, sf):
-    rows = _alert(spark, sf).select("symbol", "core_focus", "news_data", "news_source")
-    return localize.localize_with_map(
-        rows, {"core_focus": "core_focus_local", "news_data": "news_data_local"}, localize.HEBREW)
+    cols = ["core_focus", "core_focus_overview", "core_focus_future_potential_overview", "company_overview", "news_data"]
+    rows = _alert(spark, sf).select("symbol", "news_source", *cols)
+    return localize.localize_with_map(rows, {c: f"{c}_local" for c in cols}, localize.HEBREW)
 
 
-@register("translate_groups")
-def q_translate_groups(spark, sf):
-    import pandas as pd
+def _translator(records):
+    """Stand-in for the translation model: answers with text around a JSON
+    array, as a model does."""
+    import json
 
     table = dict(localize.HEBREW)
+    out = [{"symbol": r["symbol"], "core_focus": r["core_focus"],
+            "core_focus_local": table.get(r["core_focus"], r["core_focus"]),
+            "news_data_local": "***".join(table.get(x, x) for x in r["news_data"].split("***"))} for r in records]
+    return "Here you go:\n" + json.dumps(out, ensure_ascii=False) + "\nDone"
 
-    def translate(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf.copy()
-        out["core_focus_local"] = out["core_focus"].map(lambda x: table.get(x, x))
-        out["news_data_local"] = out["news_data"].map(lambda x: table.get(x, x))
-        return out
 
+@register("translate_groups")
+def q_translate_groups(spark, sf):
+    # the model gets its group as a column of its own, under another name
     rows = _alert(spark, sf).select("symbol", "core_focus", "news_data")
-    return inference.apply_per_group(
-        rows, "core_focus", "symbol", translate,
-        "symbol bigint, core_focus string, core_focus_local string, news_data_local string")
+    out, _ = inference.translate_per_group(rows, "core_focus", "symbol", ["news_data"], _translator)
+    names = localize.localize_with_map(out.select("symbol", "core_focus"), {"core_focus": "core_focus_local"}, localize.HEBREW)
+    return out.join(names, ["symbol", "core_focus"]).select("symbol", "core_focus", "core_focus_local", "news_data_local")
 
 
 @register("report_sections")
@@ -347,11 +368,13 @@ def q_report_document(spark, sf):
     return report.report_document(_alert(spark, sf), P.end_date)
 
 
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
 @register("report_write")
 def q_report_write(spark, sf):
-    import uuid
-
-    path = f"{checkpoint_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    path = _scratch(spark, "reports")
     sinks.write_report(report.report_fragments(_alert(spark, sf), P.end_date), path, P.end_date)
     return sinks.read_report(spark, path)
 
@@ -361,29 +384,108 @@ def q_run_status(spark, sf):
     return sinks.run_status(spark, _alert(spark, sf), P.end_date)
 
 
-# ---------------------------------------------------------------- streaming
+# ---------------------------------------------------------------- error paths of the job
 
-def _scratch(spark, name):
-    import uuid
+def _job(spark, sf, out, params=P, sectors=None, facts_for=driver.sector_facts):
+    """One run of the daily flow on the bound tables, some part replaced."""
+    return job.run_flow(spark, out, params, lambda trace: alert.alert_report(
+        driver.prices(spark, sf, params), lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)),
+        sectors if sectors is not None else driver.sectors(spark, sf), driver.news_source(spark, sf),
+        facts_for, params, trace))
 
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+@register("status_no_shared_sector")
+def q_status_no_shared_sector(spark, sf):
+    """Every stock alone in its sector."""
+    alone = driver.sectors(spark, sf).select("symbol", F.col("symbol").cast("string").alias("core_focus"))
+    out = _scratch(spark, "job")
+    _job(spark, sf, out, sectors=alone)
+    return sinks.read_status(spark, f"{out}/status")
+
+
+@register("status_no_future_sector")
+def q_status_no_future_sector(spark, sf):
+    """Shared sectors, none of them with future potential."""
+    out = _scratch(spark, "job")
+    _job(spark, sf, out, facts_for=lambda shared: driver.sector_facts(shared).withColumn(
+        "is_core_focus_future_potential", F.lit(False)))
+    return sinks.read_status(spark, f"{out}/status")
+
+
+@register("status_after_failure")
+def q_status_after_failure(spark, sf):
+    """A good run of one day, a run of the next day that fails, and a failing
+    re-run of the first day: two status rows, and no report left standing."""
+    out = _scratch(spark, "job")
+    next_day = P.with_(end_date=P.end_date + _dt.timedelta(days=1))
+    _job(spark, sf, out)
+
+    def fails(shared):
+        raise ValueError("the describer is not available")
+
+    for params in (next_day, P):
+        try:
+            _job(spark, sf, out, params=params, facts_for=fails)
+        except ValueError:
+            pass
+    left = sinks.read_report(spark, f"{out}/report", document=True).count()
+    return sinks.read_status(spark, f"{out}/status").withColumn("report_rows", F.lit(left).cast("bigint"))
+
+
+@register("model_rejects")
+def q_model_rejects(spark, sf):
+    """One call per passage; by a fixed rule of its id the model refuses, cuts
+    its array off, sends two arrays or a key of another type."""
+    items = driver.table(spark, sf, "benchmark").select(F.col("item_id").alias("symbol"), "text")
+
+    def moody(records):
+        good = inference.keyword_sector_predict(records)
+        return {1: "I cannot help with that.", 2: good[:len(good) // 2], 3: good + good,
+                4: good.replace('"symbol": ', '"symbol": "no. ", "id": ')}.get(records[0]["symbol"] % 6, good)
+
+    rows, rejects = inference.classify(items, moody, max_records=1)
+    kept = items.select("symbol").join(rows, "symbol", "left")
+    n = rejects.agg(F.coalesce(F.sum("n_lost"), F.lit(0)).cast("bigint").alias("n")).first()["n"]
+    return kept.select("symbol", F.coalesce("core_focus", F.lit("rejected")).alias("core_focus"),
+                       F.lit(n).cast("bigint").alias("records_lost"))
+
+
+# ---------------------------------------------------------------- streaming
+
+def _tick_folder(spark, sf, name):
+    """The ticks as a folder of files: (folder, function that adds the ticks
+    that arrive late, every seventh by id)."""
+    folder = f"{_scratch(spark, name)}/ticks"
+    ev = driver.table(spark, sf, "events")
+    late = F.pmod("event_id", F.lit(7)) == 0
+    ev.where(~late).write.mode("append").parquet(folder)
+    return folder, lambda: ev.where(late).write.mode("append").parquet(folder)
 
 
 @register("stream_daily_bars")
 def q_stream_daily_bars(spark, sf):
-    from risingtide.streaming import daily
-
-    base = _scratch(spark, "stream_daily_bars")
-    daily.stream_daily_bars(spark, sf, f"{base}/out", P, f"{base}/chk")
-    return daily.read_stream_bars(spark, f"{base}/out")
+    """Two runs, the second with ticks that arrive late (a watermark as long
+    as the window keeps their days open)."""
+    folder, add_late = _tick_folder(spark, sf, "stream_daily_bars")
+    base = folder.removesuffix("/ticks")
+    run = lambda: daily.stream_daily_bars(
+        spark, folder, f"{base}/store", P, f"{base}/chk", watermark=f"{P.window_days + 1} days", max_files_per_trigger=1000)
+    run()
+    add_late()
+    return run()
 
 
 @register("stream_daily_screen")
 def q_stream_daily_screen(spark, sf):
-    from risingtide.streaming import daily
-
-    base = _scratch(spark, "stream_daily_screen")
-    return daily.incremental_screen(spark, sf, f"{base}/store", P, f"{base}/chk")
+    """Two runs: late ticks are merged into the store and their symbols are
+    screened again, the others' rows kept."""
+    folder, add_late = _tick_folder(spark, sf, "stream_daily_screen")
+    base = folder.removesuffix("/ticks")
+    run = lambda: daily.incremental_screen(
+        spark, folder, f"{base}/store", P, f"{base}/chk", max_files_per_trigger=1000)
+    run()
+    add_late()
+    return run()
 
 
 # ---------------------------------------------------------------- model-driven flow
@@ -402,6 +504,73 @@ def q_alert_report_inferred(spark, sf):
 
 @register("daily_job_status")
 def q_daily_job_status(spark, sf):
-    from risingtide.plans import job
-
     return job.run_daily(spark, sf, _scratch(spark, "daily_job"), P)
+
+
+# ---------------------------------------------------------------- raw provider inputs
+
+@register("bars_from_replies")
+def q_bars_from_replies(spark, sf):
+    """Bars from JSON replies, one per symbol, made of the bound bars; every
+    fifth symbol's reply is an error page and gives no rows."""
+    bar = F.struct(F.col("date").cast("string").alias("date"), "close")
+    raw = (driver.prices(spark, sf, P).groupBy("symbol")
+           .agg(F.to_json(F.array_sort(F.collect_list(bar))).alias("body"))
+           .withColumn("body", F.when(F.pmod("symbol", F.lit(5)) == 0, F.lit("<html>too many requests</html>"))
+                       .otherwise(F.col("body"))))
+    return bars.price_window_scan(bars.bars_from_json(raw), P.start_date + _dt.timedelta(days=2), P.end_date)
+
+
+@register("news_from_replies")
+def q_news_from_replies(spark, sf):
+    """Articles from JSON replies, one per symbol, made of the bound news."""
+    article = F.struct("article_id", "title", "article_url", F.col("published").cast("string").alias("published_utc"))
+    raw = (driver.news(spark, sf).groupBy("symbol")
+           .agg(F.array_sort(F.collect_list(article)).alias("results"))
+           .select("symbol", F.to_json(F.struct("results")).alias("body")))
+    return lookups.news_top(lookups.news_from_json(raw), P)
+
+
+@register("listing_scan")
+def q_listing_scan(spark, sf):
+    """One listing table with an exchange column."""
+    listing = (driver.exchange_listing(spark, sf, "NYSE").withColumn("exchange", F.lit("NYSE"))
+               .unionByName(driver.exchange_listing(spark, sf, "NASDAQ").withColumn("exchange", F.lit("NASDAQ")))
+               .withColumnRenamed("symbol", "Code"))
+    return listings.universe(listings.listing_symbols(listing, "NYSE"), listings.listing_symbols(listing, "NASDAQ"))
+
+
+@register("good_and_bad_records")
+def q_good_and_bad_records(spark, sf):
+    """Both frames of the split: parsed records and rejects."""
+    raw = driver.table(spark, sf, "events").select(
+        "event_id", F.when(F.pmod("event_id", F.lit(9)) == 0, F.concat(F.lit("!"), "props")).otherwise(F.col("props")).alias("body"))
+    good, bad = records.split_bad_records(raw, "body", T.StructType([T.StructField("k", T.LongType())]))
+    return good.select("event_id", "k", F.lit(None).cast("string").alias("raw_record")).unionByName(
+        bad.select("event_id", F.lit(None).cast("bigint").alias("k"), "raw_record"))
+
+
+@register("canonical_sectors")
+def q_canonical_sectors(spark, sf):
+    """Labels spelled three ways, brought to one."""
+    c = driver.sectors(spark, sf)
+    spelled = (F.when(F.pmod("symbol", F.lit(5)) == 0, F.lower("core_focus"))
+               .when(F.pmod("symbol", F.lit(5)) == 1, F.concat(F.lit("  "), F.initcap("core_focus"))).otherwise(F.col("core_focus")))
+    return labels.canonicalize(c.select("symbol", spelled.alias("core_focus")))
+
+
+@register("localize_by_table")
+def q_localize_by_table(spark, sf):
+    dictionary = spark.createDataFrame(sorted(localize.HEBREW.items()), "source_text string, target_text string")
+    return localize.localize_with_table(driver.sectors(spark, sf), {"core_focus": "core_focus_local"}, dictionary)
+
+
+@register("report_from_lookups")
+def q_report_from_lookups(spark, sf):
+    """The enrichment on its own, from looked-up inputs."""
+    screened = momentum.momentum_screen(driver.prices(spark, sf, P), P)
+    fund = lookups.fundamentals_table(driver.fundamentals_raw(spark, sf))
+    overview = materialize(lookups.fundamentals_lookup(fund, momentum.screened_symbols(screened), P))
+    sec = driver.sectors(spark, sf).join(overview.select("symbol"), "symbol", "left_semi")
+    facts = driver.sector_facts(driver.sectors(spark, sf).select("core_focus").distinct())
+    return alert.report_from_lookups(screened, overview, lookups.news_top(driver.news(spark, sf), P), sec, facts)

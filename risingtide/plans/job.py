@@ -2,8 +2,8 @@
 
 Equivalent of the reference's scheduled entry point.  Retrying the whole
 job belongs to the scheduler; inside the job Spark re-runs failed tasks,
-the report write replaces the run date's partition, so a retried run does
-not duplicate output.
+the writes replace the run date's partitions, so a retried run does not
+duplicate output.
 
     python -m risingtide.plans.job --tables /path/to/tables --out /shared/reports \
         --end-date 2024-01-30 [--bar-store /shared/bars]
@@ -13,16 +13,55 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from risingtide.operators import report
 from risingtide.params import DRIVER_PARAMS, ScreenParams
 from risingtide.plans import alert
-from risingtide.session import apply_cluster_conf, apply_sql_conf, materialize
+from risingtide.session import START_CONF, apply_cluster_conf, apply_sql_conf, materialize, ship_package
 from risingtide.sources import driver, lookups, sinks
 
 
+def run_flow(spark: SparkSession, out: str, params: ScreenParams,
+             flow: Callable[[alert.Trace], DataFrame]) -> DataFrame:
+    """Run ``flow`` (a report as a function of its trace) and leave, for the
+    run date, the report, the rejected model replies and then one status row,
+    which is returned.
+
+    A report without rows is an error that names the guard; an exception is
+    recorded with its type and message and raised again.  In both cases an
+    earlier report of the same date is removed, so what stands in the folder
+    is always what the status says.
+    """
+    out, day, trace = out.rstrip("/"), params.end_date, alert.Trace()
+    try:
+        rows = materialize(flow(trace))
+        note = ""
+        if trace.rejects:
+            parts = [r.select(F.lit(step).alias("step"), "batch_key", "n_records", "reply", "n_lost", "reason")
+                     for step, r in trace.rejects]
+            both = materialize(reduce(DataFrame.unionByName, parts))
+            n = both.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_lost"), F.lit(0))).first()
+            sinks.write_rejects(both, f"{out}/rejects", day)
+            note = f", {n[0]} replies rejected, {n[1]} records lost" if n[0] else ""
+        if rows.take(1):
+            sinks.write_report(report.report_document(rows, day), f"{out}/report", day)
+        else:
+            sinks.clear_report(spark, f"{out}/report", day)
+        status = sinks.run_status(spark, rows, day, "" if rows.take(1) else trace.empty_reason(), note)
+        sinks.write_status(status, f"{out}/status")
+        return status
+    except Exception as e:
+        sinks.clear_report(spark, f"{out}/report", day)
+        message = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"[:500]
+        sinks.write_status(sinks.status_row(spark, day, "error", message), f"{out}/status")
+        raise
+
+
 def run_daily(spark: SparkSession, tables: str, out: str, params: ScreenParams,
               bar_store: str | None = None) -> DataFrame:
     """Run one day and return its status row.  With ``bar_store`` (the
@@ -32,18 +71,15 @@ def run_daily(spark: SparkSession, tables: str, out: str, params: ScreenParams,
     from risingtide.streaming import daily
 
     apply_sql_conf(spark)
-    prices = (daily.store_bars(spark, bar_store, params) if bar_store
-              else driver.prices(spark, tables, params))
-    rows = materialize(alert.alert_report(
-        prices,
-        lookups.fundamentals_table(driver.fundamentals_raw(spark, tables)),
-        driver.sectors(spark, tables), driver.news_source(spark, tables), driver.sector_facts, params))
-    status = sinks.run_status(spark, rows, params.end_date)
-    if status.first()["status"] == "ok":
-        sinks.write_report(report.report_document(rows, params.end_date),
-                           f"{out.rstrip('/')}/report", params.end_date)
-    sinks.append_status(status, f"{out.rstrip('/')}/status")
-    return status
+
+    def flow(trace: alert.Trace) -> DataFrame:
+        prices = (daily.store_bars(spark, bar_store, params) if bar_store
+                  else driver.prices(spark, tables, params))
+        return alert.alert_report(
+            prices, lookups.fundamentals_table(driver.fundamentals_raw(spark, tables)),
+            driver.sectors(spark, tables), driver.news_source(spark, tables), driver.sector_facts, params, trace)
+
+    return run_flow(spark, out, params, flow)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -55,9 +91,10 @@ def main(argv: list[str] | None = None) -> None:
                     help="bar store kept by the incremental stream; default: roll up the ticks")
     a = ap.parse_args(argv)
     # the job runs without the web UI (no port is opened for it)
-    spark = (SparkSession.builder.appName("risingtide-daily")
+    spark = (SparkSession.builder.appName("risingtide-daily").config(map=START_CONF)
              .config("spark.ui.enabled", "false").getOrCreate())
     apply_cluster_conf(spark)
+    ship_package(spark)
     params = DRIVER_PARAMS.with_(end_date=_dt.date.fromisoformat(a.end_date))
     run_daily(spark, a.tables, a.out, params, a.bar_store).show(truncate=False)
 

@@ -7,6 +7,9 @@ Column names and types are the ones the Spark query returns.
 
 from __future__ import annotations
 
+import datetime as _dt
+import re
+
 from risingtide.params import DRIVER_PARAMS, MISSING_TEXT, ScreenParams
 
 P = DRIVER_PARAMS
@@ -25,13 +28,12 @@ def bars_cte(p: ScreenParams = P, windowed: bool = True) -> str:
     where = "user_id IS NOT NULL"
     if windowed:
         hi = p.end_date.toordinal() + 1
-        import datetime as _dt
         hi_d = _dt.date.fromordinal(hi)
         where += (f" AND ts >= TIMESTAMP '{p.start_date.isoformat()} 00:00:00'"
                   f" AND ts < TIMESTAMP '{hi_d.isoformat()} 00:00:00'")
     return f"""bars AS (
   SELECT symbol, date, CASE WHEN isnan(c) THEN NULL ELSE c END AS close
-  FROM (SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, value)) AS c
+  FROM (SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, event_id)) AS c
         FROM events WHERE {where}
         GROUP BY user_id, CAST(ts AS DATE)) g)"""
 
@@ -108,15 +110,12 @@ SQL["price_window_scan"] = with_(bars_cte()) + "SELECT * FROM bars"
 SQL["price_scan_for_universe"] = with_(bars_cte()) + """SELECT * FROM bars
 WHERE symbol IN (SELECT c_custkey FROM customer WHERE c_nationkey < 15
                  UNION ALL SELECT c_custkey FROM customer WHERE c_nationkey >= 10)"""
-SQL["bars_union"] = """SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, value)) AS close,
-       CAST(NULL AS BIGINT) AS n_ticks
-FROM events WHERE user_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-20 00:00:00'
-  AND ts < TIMESTAMP '2024-01-26 00:00:00'
-GROUP BY 1, 2
-UNION ALL
-SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, value)) AS close, count(*) AS n_ticks
-FROM events WHERE ts >= TIMESTAMP '2024-01-26 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
-GROUP BY 1, 2"""
+SQL["bars_union"] = """SELECT symbol, date, CASE WHEN isnan(c) THEN NULL ELSE c END AS close,
+       CASE WHEN date >= DATE '2024-01-26' THEN n END AS n_ticks
+FROM (SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, event_id)) AS c, count(*) AS n
+      FROM events WHERE user_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-20 00:00:00'
+        AND ts < TIMESTAMP '2024-01-31 00:00:00'
+      GROUP BY 1, 2) g"""
 SQL["parse_date"] = ("SELECT event_id, TRY_CAST(substr(CAST(ts AS VARCHAR), 1, 10) AS DATE) AS date "
                      "FROM events")
 SQL["cap_filter"] = with_(FUND) + f"SELECT * FROM fund WHERE coalesce(marketCap, 0) > {P.min_market_cap}"
@@ -221,12 +220,51 @@ SELECT 'conversations', conv_id, turn,
        CASE WHEN json_valid(text) AND json_type(text) = 'OBJECT' THEN 'ok' ELSE 'rejected' END
 FROM conversations"""
 SQL["prompt_batches"] = with_(FUND) + f"""
-SELECT CAST(floor(symbol / 100) AS BIGINT) AS batch_id, count(*) AS n_records,
-       CAST(to_json(list({{'symbol': symbol, 'company_overview': company_overview}}
-                          ORDER BY symbol)) AS VARCHAR) AS document
-FROM fund WHERE coalesce(marketCap, 0) > {P.min_market_cap}
-GROUP BY 1"""
-SQL["extract_json_array"] = "SELECT c_custkey AS symbol, c_mktsegment AS core_focus FROM customer"
+SELECT TRUE AS within_bound, symbol, company_overview FROM fund WHERE coalesce(marketCap, 0) > {P.min_market_cap}"""
+# Replies around the sector labels (good, with text after the array, two
+# arrays, cut off, a key of another type) and conversation turns, built here
+# as text and parsed from that text.
+_REPLIES = r"""replies AS (
+  SELECT CAST(batch_id AS VARCHAR) AS batch_key, n AS n_records,
+         CASE batch_id % 6
+           WHEN 0 THEN 'Sure. Here are the labels:' || chr(10) || arr || chr(10) || 'Anything else?'
+           WHEN 1 THEN arr || ' Let me know [if] you need more.'
+           WHEN 2 THEN arr || ' and then ' || arr
+           WHEN 3 THEN 'Labels: ' || substr(arr, 1, CAST(length(arr) / 2 AS BIGINT))
+           WHEN 4 THEN 'Labels: ' || replace(arr, '"symbol":', '"symbol":"no. ","id":')
+           ELSE arr END AS reply
+  FROM (SELECT CAST(floor(c_custkey / 100) AS BIGINT) AS batch_id, count(*) AS n,
+               '[' || string_agg('{"symbol":' || c_custkey || ',"core_focus":"' || c_mktsegment || '"}', ','
+                                 ORDER BY c_custkey) || ']' AS arr
+        FROM customer GROUP BY 1) b
+  UNION ALL
+  SELECT conv_id || ':' || turn, 1, text FROM conversations),
+spans AS (
+  SELECT batch_key, n_records, reply,
+         CASE WHEN strpos(reply, '[') > 0
+                   AND length(reply) - strpos(reverse(reply), ']') + 1 >= strpos(reply, '[') AND strpos(reply, ']') > 0
+              THEN substr(reply, strpos(reply, '['),
+                          length(reply) - strpos(reverse(reply), ']') + 2 - strpos(reply, '[')) END AS span
+  FROM replies),
+checked AS (
+  SELECT batch_key, n_records,
+         CASE WHEN span IS NOT NULL AND json_valid(span) AND json_type(CASE WHEN json_valid(span) THEN span END) = 'ARRAY'
+              THEN span END AS arr
+  FROM spans),
+items AS (
+  SELECT batch_key, TRY_CAST(json_extract(x, '$.symbol') AS BIGINT) AS sym, json_type(json_extract(x, '$.symbol')) AS kind,
+         json_extract_string(x, '$.core_focus') AS core_focus
+  FROM (SELECT batch_key, unnest(CAST(json_extract(arr, '$[*]') AS JSON[])) AS x FROM checked WHERE arr IS NOT NULL) u)
+"""
+SQL["extract_json_array"] = "WITH " + _REPLIES + """
+SELECT sym AS symbol, core_focus FROM items WHERE kind IN ('UBIGINT', 'BIGINT')"""
+SQL["reply_rejects"] = "WITH " + _REPLIES + """
+SELECT batch_key, CAST(n_records AS INTEGER) AS n_records, 'no JSON array of objects' AS reason, CAST(n_records AS INTEGER) AS n_lost
+FROM checked WHERE arr IS NULL
+UNION ALL
+SELECT c.batch_key, CAST(c.n_records AS INTEGER), 'element without a valid key', CAST(count(*) AS INTEGER)
+FROM checked c JOIN items i ON c.batch_key = i.batch_key
+WHERE i.kind IS NULL OR i.kind NOT IN ('UBIGINT', 'BIGINT') GROUP BY 1, 2"""
 SQL["canonical_labels"] = r"""WITH words AS (
   SELECT regexp_replace(w, '[.,;:!?()"]', '', 'g') AS label
   FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS w FROM documents) t),
@@ -251,13 +289,21 @@ SELECT r.symbol, coalesce(n.news_source, '{MISSING_TEXT}') AS news_source,
        r.last_price, r.last_percent, r.start_end_percent
 FROM rows r LEFT JOIN news_agg n ON r.symbol = n.symbol)
 """
-_DICT = ("(VALUES ('AUTOMOBILE', 'רכב'), ('BUILDING', 'בנייה'), ('FURNITURE', 'ריהוט'), "
-         "('HOUSEHOLD', 'משק בית'), ('MACHINERY', 'מכונות'), ('no data', 'אין נתונים')) AS d(src, dst)")
+_WORDS = {"AUTOMOBILE": "רכב", "BUILDING": "בנייה", "FURNITURE": "ריהוט",
+          "HOUSEHOLD": "משק בית", "MACHINERY": "מכונות", "no data": "אין נתונים"}
+
+
+def _translated(col: str) -> str:
+    """Each piece of a joined value by the dictionary."""
+    case = "CASE x " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _WORDS.items()) + " ELSE x END"
+    return f"array_to_string(list_transform(string_split({col}, '***'), lambda x: {case}), '***')"
+
+
+_LOCAL = ["core_focus", "core_focus_overview", "core_focus_future_potential_overview", "company_overview", "news_data"]
 SQL["localize_report"] = _ALERT + f"""
-SELECT a.symbol, a.core_focus, a.news_data, a.news_source,
-       coalesce((SELECT dst FROM {_DICT} WHERE src = a.core_focus), a.core_focus) AS core_focus_local,
-       coalesce((SELECT dst FROM {_DICT} WHERE src = a.news_data), a.news_data) AS news_data_local
-FROM alert a"""
+SELECT symbol, news_source, {", ".join(_LOCAL)},
+       {", ".join(f"{_translated(c)} AS {c}_local" for c in _LOCAL)}
+FROM alert"""
 SQL["report_sections"] = _ALERT + f"""
 SELECT core_focus, arg_min(core_focus_overview, symbol) AS core_focus_overview,
        arg_min(is_core_focus_future_potential, symbol) AS is_core_focus_future_potential,
@@ -272,7 +318,7 @@ pairs AS (
 dedup AS (SELECT symbol, d, s, min(i) AS i FROM pairs GROUP BY symbol, d, s),
 news_html AS (
   SELECT symbol, count(*) AS n_news,
-         string_agg('<li>' || d || ' (<a href=''' || s || '''>source</a>)</li>', '' ORDER BY i) AS news_html
+         string_agg('<li><a href="' || esc(s) || '">' || esc(d) || '</a></li>', '' ORDER BY i) AS news_html
   FROM dedup GROUP BY symbol),
 items AS (
   SELECT a.symbol, a.core_focus, a.company_overview, format('{:,}', a.marketCap) AS market_cap_text,
@@ -281,30 +327,52 @@ items AS (
          CAST(coalesce(h.n_news, 0) AS INTEGER) AS n_news, coalesce(h.news_html, '') AS news_html
   FROM alert a LEFT JOIN news_html h ON a.symbol = h.symbol)
 """
-SQL["report_items"] = _ALERT + _ITEMS + "SELECT * FROM items"
 
 
 def _num(x: str) -> str:
     return f"coalesce(format('{{:,.2f}}', {x}), '{MISSING_TEXT}')"
 
 
-_BODY = f"""
+def _term(name: str, value: str) -> str:
+    return f"'<dt>{name}</dt><dd>' || {value} || '</dd>'"
+
+
+def _cell(name: str, value: str) -> str:
+    return f"'<tr><th>{name}</th><td>' || {value} || '</td></tr>'"
+
+
+def _escape(sql: str) -> str:
+    """``esc(x)`` written out: the five characters HTML gives a meaning."""
+    def one(m):
+        x = m[1]
+        for ch, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#39;")):
+            x = f"replace({x}, '{ch}', '{entity}')"
+        return x
+    return re.sub(r"esc\(((?:[^()]|\([^()]*\))*)\)", one, sql)
+
+
+_ITEMS = _escape(_ITEMS)
+SQL["report_items"] = _ALERT + _ITEMS + "SELECT * FROM items"
+_BODY = _escape(f"""
 SELECT core_focus, 0 AS part, CAST(NULL AS BIGINT) AS symbol,
-       '<h2>' || core_focus || '</h2><p>' || arg_min(core_focus_overview, symbol) || '</p><p>' ||
-       arg_min(core_focus_future_potential_overview, symbol) || '</p>' AS html
+       '<section><h2>' || esc(core_focus) || '</h2><dl>' ||
+       {_term("Stocks", "CAST(count(*) AS VARCHAR)")} ||
+       {_term("Why it may grow", "esc(arg_min(core_focus_future_potential_overview, symbol))")} ||
+       {_term("What it is", "esc(arg_min(core_focus_overview, symbol))")} || '</dl></section>' AS html
 FROM alert GROUP BY core_focus
 UNION ALL
 SELECT core_focus, 1, symbol,
-       '<h3>' || CAST(symbol AS VARCHAR) || '</h3><p>Market cap: ' || market_cap_text || ' $</p>' ||
-       '<p>Price: ' || {_num('last_price')} || '$</p>' ||
-       '<p>Daily change: ' || {_num('last_percent_2')} || '%</p>' ||
-       '<p>Window change: ' || {_num('start_end_percent_2')} || '%</p>' ||
-       '<p>' || company_overview || '</p><ul>' || news_html || '</ul>'
-FROM items"""
+       '<article><table><caption>' || CAST(symbol AS VARCHAR) || '</caption>' ||
+       {_cell("Gain in window, %", _num("start_end_percent_2"))} ||
+       {_cell("Last day, %", _num("last_percent_2"))} ||
+       {_cell("Last close, USD", _num("last_price"))} ||
+       {_cell("Market value, USD", "market_cap_text")} ||
+       '</table><ol>' || news_html || '</ol><blockquote>' || esc(company_overview) || '</blockquote></article>'
+FROM items""")
 SQL["report_html"] = _ALERT + _ITEMS + _BODY
 SQL["report_document"] = _ALERT + _ITEMS + f""", body AS ({_BODY})
 SELECT 0 AS block, CAST(NULL AS VARCHAR) AS core_focus, 0 AS part, CAST(NULL AS BIGINT) AS symbol,
-       '<h1>Sector breakouts - {P.end_date.isoformat()}</h1>' AS html
+       '<h1>Momentum digest, {P.end_date.isoformat()}</h1>' AS html
 FROM alert HAVING count(*) > 0
 UNION ALL
 SELECT 1, core_focus, 0, CAST(NULL AS BIGINT), '<li>' || core_focus || '</li>' FROM alert GROUP BY core_focus
@@ -332,10 +400,9 @@ kw_labels AS (
 SQL["classify_batches"] = with_("kw_input AS (SELECT doc_id, text FROM documents)",
                                 KEYWORD_SECTOR) + "SELECT * FROM kw_labels"
 SQL["translate_groups"] = _ALERT + f"""
-SELECT a.symbol, a.core_focus,
-       coalesce((SELECT dst FROM {_DICT} WHERE src = a.core_focus), a.core_focus) AS core_focus_local,
-       coalesce((SELECT dst FROM {_DICT} WHERE src = a.news_data), a.news_data) AS news_data_local
-FROM alert a"""
+SELECT symbol, core_focus, {_translated("core_focus")} AS core_focus_local,
+       {_translated("news_data")} AS news_data_local
+FROM alert"""
 SQL["report_write"] = f"""SELECT *, '{P.end_date.isoformat()}' AS run_date
 FROM ({SQL["report_html"]}) h"""
 SQL["run_status"] = _ALERT + f"""
@@ -380,3 +447,50 @@ SELECT r.symbol, coalesce(n.news_source, '{MISSING_TEXT}') AS news_source,
        r.core_focus_future_potential_overview, r.company_overview, r.marketCap,
        r.last_price, r.last_percent, r.start_end_percent
 FROM rows r LEFT JOIN news_agg n ON r.symbol = n.symbol"""
+
+
+# ------------------------------------------------------------------ error paths, raw inputs
+
+_DAY = f"'{P.end_date.isoformat()}'"
+SQL["status_no_shared_sector"] = with_(*SURVIVORS) + f"""
+SELECT {_DAY} AS run_date, 'error' AS status,
+       CASE WHEN count(*) = 0 THEN 'no stock passed the screen' ELSE 'no sector is shared by two stocks' END AS message,
+       CAST(0 AS BIGINT) AS n_rows FROM ov"""
+SQL["status_no_future_sector"] = with_(*SURVIVORS) + f"""
+SELECT {_DAY} AS run_date, 'error' AS status,
+       CASE WHEN (SELECT count(*) FROM ov) = 0 THEN 'no stock passed the screen'
+            WHEN count(*) = 0 THEN 'no sector is shared by two stocks'
+            ELSE 'no shared sector has future potential' END AS message,
+       CAST(0 AS BIGINT) AS n_rows FROM shared"""
+SQL["status_after_failure"] = f"""
+SELECT unnest([{_DAY}, '{(P.end_date + _dt.timedelta(days=1)).isoformat()}']) AS run_date, 'error' AS status,
+       'ValueError: the describer is not available' AS message, CAST(0 AS BIGINT) AS n_rows,
+       CAST(0 AS BIGINT) AS report_rows"""
+SQL["model_rejects"] = with_("kw_input AS (SELECT item_id AS doc_id, text FROM benchmark)", KEYWORD_SECTOR) + """
+SELECT symbol, CASE WHEN symbol % 6 IN (1, 2, 3, 4) THEN 'rejected' ELSE core_focus END AS core_focus,
+       CAST((SELECT count(*) FROM kw_input WHERE doc_id % 6 IN (1, 2, 3, 4)) AS BIGINT) AS records_lost
+FROM kw_labels"""
+SQL["bars_from_replies"] = with_(bars_cte()) + f"""
+SELECT symbol, date, close FROM bars
+WHERE symbol % 5 <> 0 AND date BETWEEN {_d(P.start_date + _dt.timedelta(days=2))} AND {_d(P.end_date)}"""
+SQL["news_from_replies"] = with_(NEWS) + f"""
+SELECT symbol, article_id, published, news_rank, news_data, news_source FROM (
+  SELECT symbol, pos - 1 AS article_id, published, title AS news_data, article_url AS news_source,
+         CAST(row_number() OVER (PARTITION BY symbol ORDER BY published DESC, pos) AS INTEGER) AS news_rank
+  FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY article_id) AS pos FROM news) n
+  WHERE published BETWEEN {_d(P.start_date)} AND {_d(P.end_date)}) r
+WHERE news_rank <= {P.news_per_symbol}"""
+SQL["listing_scan"] = SQL["universe_union"]
+SQL["good_and_bad_records"] = """
+SELECT event_id, CASE WHEN event_id % 9 <> 0 THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_id % 9 = 0 THEN '!' || props END AS raw_record
+FROM events"""
+SQL["canonical_sectors"] = r"""WITH spelled AS (
+  SELECT c_custkey AS symbol, CASE c_custkey % 5 WHEN 0 THEN lower(c_mktsegment)
+           WHEN 1 THEN '  ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) ELSE c_mktsegment END AS label FROM customer),
+per AS (SELECT label, count(*) AS n, lower(trim(label)) AS k FROM spelled GROUP BY label),
+canon AS (SELECT k, arg_min(label, (-n, label)) AS core_focus FROM per GROUP BY k)
+SELECT s.symbol, c.core_focus FROM spelled s JOIN canon c ON c.k = lower(trim(s.label))"""
+SQL["localize_by_table"] = f"""
+SELECT c_custkey AS symbol, c_mktsegment AS core_focus, {_translated("c_mktsegment")} AS core_focus_local FROM customer"""
+SQL["report_from_lookups"] = SQL["alert_report"]

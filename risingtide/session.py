@@ -9,6 +9,7 @@ session has none (tests, local runs).
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,6 +40,11 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
 }
 
+# Read when the session starts: set it at submission.  Checkpoints that no
+# plan refers to any more are then deleted, so neither ``materialize`` nor a
+# stream's merges grow the shared folder for ever.
+START_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def apply_cluster_conf(spark: SparkSession) -> None:
     """``CLUSTER_CONF`` for every key the submitter did not set (a value
@@ -59,7 +65,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for k, v in SQL_CONF.items():
+    for k, v in (SQL_CONF | START_CONF).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -104,25 +110,20 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def spread_input(df, *keys):
-    """Hash-repartition a scan by ``keys`` when it arrives in fewer splits
-    than the session has task slots; otherwise return it unchanged.
+def ship_package(spark: SparkSession) -> str:
+    """Send this package to the executors' Python workers, so that a job
+    started from any folder finds it there (``--py-files`` with the same zip
+    does it at submission).  Done once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        base = os.path.join(tempfile.mkdtemp(prefix="risingtide-ship-"), "risingtide-package")
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        _SHIPPED[sc.applicationId] = shutil.make_archive(base, "zip", root, "risingtide")
+        sc.addPyFile(_SHIPPED[sc.applicationId])
+    return _SHIPPED[sc.applicationId]
 
-    For per-row work that is expensive compared with moving the row
-    (regex passes over whole texts, model calls).  A table stored as one
-    parquet row group is read by a single task however many cores there
-    are; spreading it first lets every core work.  On a cluster a large
-    table has far more splits than slots, so nothing is added and the
-    partial aggregates after the text work still run map-side before any
-    shuffle.  Hash partitioning is deterministic, so a retried task sees
-    the same rows.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(slots, *keys) if splits < slots else df
+
+_SHIPPED: dict[str, str] = {}
 
 
 # A key-only side up to this many rows is broadcast (8-byte keys: ~16 MB).

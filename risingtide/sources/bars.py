@@ -46,27 +46,48 @@ def ticks_in_window(ticks: DataFrame, start: _dt.date, end: _dt.date,
                        & (F.col(ts_col) < _ts_literal(dtype, hi)))
 
 
-def last_tick(value: Column, ts: Column, order: Column | None = None) -> Column:
-    """``value`` of the latest tick by ``ts``; ticks with the same timestamp
-    are ordered by their price, so the pick does not depend on row order
-    and a recomputed task gives the same bar.  ``order`` is the price to
-    order by when ``value`` is a struct carrying more than the price."""
-    return F.max_by(value, F.struct(ts, value if order is None else order))
+TICK_ORDER_TYPE = "decimal(38,0)"
+_LONGS = 2**64
+
+
+def tick_order(ts: Column, tie: Column, price: Column) -> Column:
+    """One number that orders ticks by time, then by ``tie`` (a bigint):
+    microseconds times 2**64 plus the tie, as a decimal.  NULL without a
+    price, so such a tick is never a bar's last one.
+
+    A decimal lives in an aggregate's buffer in place, so ``max_by`` over it
+    is a hash aggregate on both sides of the shuffle; a struct key would
+    make Spark sort all raw ticks first.
+    """
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(18,0)")
+    key = micros * F.lit(str(_LONGS)).cast("decimal(20,0)") + tie.cast("decimal(20,0)")
+    return F.when(price.isNotNull(), key.cast(TICK_ORDER_TYPE))
+
+
+def with_tick_order(ticks: DataFrame, ts_col: str = "ts", price_col: str = "value",
+                    id_col: str = "event_id") -> DataFrame:
+    """``ticks`` with ``tick_order``: ties in time go to the largest id, in a
+    table without ids to a hash of the price.  Either way the pick does not
+    depend on row order, and a recomputed task gives the same bar."""
+    tie = F.coalesce(F.col(id_col), F.lit(0)) if id_col in ticks.columns else F.xxhash64(price_col)
+    return ticks.withColumn("tick_order", tick_order(F.col(ts_col), tie, F.col(price_col)))
 
 
 def daily_bars(ticks: DataFrame, symbol_col: str = "user_id", ts_col: str = "ts",
-               price_col: str = "value") -> DataFrame:
+               price_col: str = "value", id_col: str = "event_id",
+               count: bool = False) -> DataFrame:
     """Roll ticks up to one bar per (symbol, day): the close is the price of
-    the day's last tick (ties in time broken by price).
+    the day's last tick (see ``with_tick_order``); with ``count`` also the
+    number of ticks.
 
-    ``max_by`` is a partial aggregate, so a hot symbol is reduced map-side to
-    one row per (symbol, day, map task) before the shuffle.
+    ``max_by`` is a partial hash aggregate, so a hot symbol is reduced
+    map-side to one row per (symbol, day, map task) before the shuffle.
     """
-    return (ticks
-            .where(F.col(symbol_col).isNotNull())
+    extra = [F.count(F.lit(1)).alias("n_ticks")] if count else []
+    return (with_tick_order(ticks.where(F.col(symbol_col).isNotNull()), ts_col, price_col, id_col)
             .groupBy(F.col(symbol_col).alias("symbol"),
                      F.col(ts_col).cast("date").alias("date"))
-            .agg(nan_to_null(last_tick(F.col(price_col), F.col(ts_col))).alias("close")))
+            .agg(nan_to_null(F.max_by(F.col(price_col), F.col("tick_order"))).alias("close"), *extra))
 
 
 BAR_REPLY_SCHEMA = "array<struct<date: string, close: double>>"

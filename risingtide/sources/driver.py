@@ -59,7 +59,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("user_id", "ts", "value")
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
 
 
 def prices(spark: SparkSession, sf_dir: str, params: ScreenParams) -> DataFrame:

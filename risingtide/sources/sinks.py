@@ -4,10 +4,11 @@ The reference mailed one HTML document, or a plain-text error after the
 last failed attempt.  Here the report fragments are written as a
 ``run_date``-partitioned dataset in a shared folder, sorted by
 ``(core_focus, part, symbol)`` with a range-partitioned sort so the files,
-read in name order, are the document; a run also appends one status row.
+read in name order, are the document.  A run also leaves one status row for
+its date, written after the report, and the model replies it rejected.
 Writes use dynamic partition overwrite, so re-running a day (or a retried
 job after a lost executor) replaces that day's output instead of adding
-to it.
+to it; a run that ends in an error removes the day's earlier report.
 """
 
 from __future__ import annotations
@@ -37,16 +38,47 @@ def read_report(spark: SparkSession, path: str, fmt: str = "json",
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def run_status(spark: SparkSession, report: DataFrame, run_date: _dt.date) -> DataFrame:
-    """S9 + F9: one status row.  An empty report is an error ("no relevant
-    sectors", as the reference raised).  One count: the report is the
-    materialised per-stock table, so this reads its stored rows once."""
+def clear_report(spark: SparkSession, path: str, run_date: _dt.date) -> None:
+    """Removes the output of one run date, if there is any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/run_date={run_date.isoformat()}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def status_row(spark: SparkSession, run_date: _dt.date, status: str, message: str, n_rows: int = 0) -> DataFrame:
+    return spark.createDataFrame([(run_date.isoformat(), status, message, n_rows)], STATUS_SCHEMA)
+
+
+def run_status(spark: SparkSession, report: DataFrame, run_date: _dt.date,
+               empty_reason: str = "no relevant sectors", note: str = "") -> DataFrame:
+    """S9 + F9: one status row.  An empty report is an error that says which
+    guard left nothing (the reference raised for each).  One count: the
+    report is the materialised per-stock table, so this reads its stored
+    rows once."""
     n = report.count()
-    empty = n == 0
-    row = (run_date.isoformat(), "error" if empty else "ok",
-           "no relevant sectors" if empty else "report written", n)
-    return spark.createDataFrame([row], STATUS_SCHEMA)
+    if n == 0:
+        return status_row(spark, run_date, "error", empty_reason)
+    return status_row(spark, run_date, "ok", "report written" + note, n)
+
+
+def write_status(status: DataFrame, path: str) -> None:
+    """One row per run date: a run replaces the status of its own day only."""
+    (status.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date").format("json").save(path))
+
+
+def read_status(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STATUS_SCHEMA).format("json").load(path)
+
+
+REJECT_SCHEMA = "step string, batch_key string, n_records int, reply string, n_lost int, reason string, run_date string"
+
+
+def write_rejects(rejects: DataFrame, path: str, run_date: _dt.date) -> None:
+    """Model replies that gave less than they were asked, by run date."""
+    (rejects.withColumn("run_date", F.lit(run_date.isoformat()))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date").format("json").save(path))
 
 
-def append_status(status: DataFrame, path: str) -> None:
-    status.write.mode("append").format("json").save(path)
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REJECT_SCHEMA).format("json").load(path)

@@ -1,27 +1,31 @@
 """Incremental runs with Structured Streaming (SS1, SS2).
 
 The reference re-ran the whole job once a day over a trailing window.  With
-ticks arriving as files, the same screen runs incrementally:
+ticks arriving as files, the same screen runs incrementally around a bar
+store partitioned by ``date``, one bar per (symbol, date):
 
 * ``stream_daily_bars`` (SS2) rolls ticks up to daily bars with an
   event-time tumbling window and a watermark; in update mode each trigger
-  emits the bars it changed, and ``foreachBatch`` writes them as the
-  partition of its batch id (replaced if the batch is replayed); a bar is
-  the version with the latest tick among those emitted.
-* ``incremental_screen`` (SS1) keeps a bar store partitioned by ``date``.
-  Each micro-batch merges its partial bars into the touched dates -- the
-  existing rows of those dates (a read pruned to those partitions) plus the
-  new partials, reduced to one bar per (symbol, date) by the latest tick --
-  and overwrites only those date partitions (dynamic partition overwrite).
-  When existing rows were read, the merged frame is checkpointed (reliable
-  checkpoint in ``spark.checkpoint.dir``) before the overwrite, so the job
-  never reads the files it replaces and a lost executor recomputes from
-  the checkpoint.  The window functions of the
-  screen are not allowed on a streaming frame, so the screen itself runs on
-  the bar store.
-
-Ticks older than the trailing window are ignored (late rule).  A re-run of
-the same input gives the same store: the merge is idempotent.
+  emits the bars it changed and ``foreachBatch`` merges them into the store.
+* ``incremental_screen`` (SS1) merges each micro-batch's partial bars into
+  the store and notes the symbols it touched; a screen of the same window
+  then re-screens those symbols only and takes the others' rows from the
+  last one.  (The window functions of the screen are not allowed on a
+  streaming frame, so the screen runs on the store.)
+
+A merge reads the store's partitions of the dates in the batch, keeps for
+each (symbol, date) the bar with the latest tick (``tick_order``) and
+overwrites only those partitions (dynamic partition overwrite) with a bounded
+number of files each, so the store never needs compaction.  The merged frame
+is checkpointed (``spark.checkpoint.dir``) before it replaces files it was
+read from; with ``session.START_CONF`` these checkpoints are deleted when no
+plan needs them.  Merging the same ticks again changes nothing.
+
+The stream has no upper bound in time: a tick of a day after the run's
+``end_date`` goes to the store and waits for the run that reads that day,
+because the stream's checkpoint marks its file as consumed.  Ticks before the
+trailing window are ignored (late rule).  The window is cut where the store
+is read.
 """
 
 from __future__ import annotations
@@ -29,22 +33,26 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from risingtide.functions.numeric import nan_to_null
 from risingtide.operators import momentum
 from risingtide.params import ScreenParams
-from risingtide.session import checkpoint_dir
-from risingtide.sources.bars import last_tick
+from risingtide.session import checked_broadcast, checkpoint_dir
+from risingtide.sources.bars import TICK_ORDER_TYPE, with_tick_order
 from risingtide.sources.driver import TABLE_SCHEMAS
 
 TICK_SCHEMA = TABLE_SCHEMAS["events"]
-BAR_STORE_SCHEMA = "symbol bigint, close double, last_ts timestamp, date date"
-STREAM_BARS_SCHEMA = "symbol bigint, date date, close double, last_ts timestamp, batch_id bigint"
+PARTIAL_SCHEMA = f"symbol bigint, date date, close double, tick_order {TICK_ORDER_TYPE}"
+BAR_STORE_SCHEMA = f"symbol bigint, close double, tick_order {TICK_ORDER_TYPE}, date date"
+TOUCHED_SCHEMA = "symbol bigint, batch_id bigint"
+SCREEN_SCHEMA = ("symbol bigint, last_price double, last_percent double, start_end_percent double, "
+                 "window string, through_batch bigint")
+#: Files a merge writes per date at most.
+FILES_PER_DATE = 8
 
 
-def tick_stream(spark: SparkSession, folder: str, file_glob: str = "events.parquet",
+def tick_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """A file stream of tick parquet files; ``ts`` cast to ``timestamp``
     (watermarks reject ``timestamp_ntz``)."""
@@ -52,76 +60,40 @@ def tick_stream(spark: SparkSession, folder: str, file_glob: str = "events.parqu
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return (r.parquet(folder)
-            .select(F.col("user_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("value")))
+            .select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value"))
 
 
-def _in_window(ticks: DataFrame, params: ScreenParams) -> DataFrame:
+def _not_late(ticks: DataFrame, params: ScreenParams) -> DataFrame:
     lo = _dt.datetime.combine(params.start_date, _dt.time())
-    hi = _dt.datetime.combine(params.end_date + _dt.timedelta(days=1), _dt.time())
-    return ticks.where((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi))
-                       & F.col("user_id").isNotNull())
+    return with_tick_order(ticks.where((F.col("ts") >= F.lit(lo)) & F.col("user_id").isNotNull()))
 
 
-# ----------------------------------------------------------------- SS2
-
-def stream_daily_bars(spark: SparkSession, folder: str, out_path: str, params: ScreenParams,
-                      checkpoint: str, watermark: str = "1 day",
-                      file_glob: str = "events.parquet",
-                      max_files_per_trigger: int | None = None) -> None:
-    """Run the tick -> daily bar roll-up over all available files.  The
-    watermark bounds the state: a day's state is dropped once the day ends
-    before the watermark (latest tick time of earlier micro-batches minus
-    ``watermark``).  Spark may still aggregate a tick that arrives later
-    than that into a fresh state; ``read_stream_bars`` combines the emitted
-    versions by their last tick time, so such a partial version never
-    replaces a later close.  Ticks before the trailing window are ignored."""
-    ticks = _in_window(tick_stream(spark, folder, file_glob, max_files_per_trigger), params)
-    bars = (ticks.withWatermark("ts", watermark)
-            .groupBy(F.window("ts", "1 day").alias("w"), F.col("user_id").alias("symbol"))
-            .agg(nan_to_null(last_tick(F.col("value"), F.col("ts"))).alias("close"),
-                 F.max("ts").alias("last_ts"))
-            .select("symbol", F.to_date(F.col("w.start")).alias("date"), "close", "last_ts"))
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        write_bar_batch(batch, batch_id, out_path)
-
-    q = (bars.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+def _last_bar() -> list:
+    return [nan_to_null(F.max_by("value", "tick_order")).alias("close"), F.max("tick_order").alias("tick_order")]
 
 
-def write_bar_batch(batch: DataFrame, batch_id: int, out_path: str) -> None:
-    """One partition per micro-batch, replaced when the same batch is
-    replayed after a failure, so each batch's bars are stored once."""
-    (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(out_path))
+# ----------------------------------------------------------------- store
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-def read_stream_bars(spark: SparkSession, out_path: str) -> DataFrame:
-    """Every bar, combined from its emitted versions: each version carries
-    the last tick of the ticks it has seen, so the version with the latest
-    tick (ties by price) holds the day's close -- whatever batch emitted it."""
-    raw = spark.read.schema(STREAM_BARS_SCHEMA).parquet(out_path)
-    return (raw.groupBy("symbol", "date")
-            .agg(last_tick(F.struct("close", "last_ts"), F.col("last_ts"),
-                           order=F.col("close")).alias("b"))
-            .select("symbol", "date", F.col("b.close").alias("close")))
 
+def _stored_dates(spark: SparkSession, store_path: str, dates: list[_dt.date]) -> list[_dt.date]:
+    """Those of ``dates`` the store has a partition for: one lookup each.  A
+    failure to look, or later to read, is raised; only a folder that is not
+    there means that there is nothing to merge with."""
+    return [d for d in dates if _exists(spark, f"{store_path.rstrip('/')}/date={d.isoformat()}")]
 
-# ----------------------------------------------------------------- SS1
 
 def merge_into_store(batch: DataFrame, store_path: str) -> None:
-    """Merge partial bars ``(symbol, date, close, last_ts)`` into the store.
+    """Merge partial bars ``(symbol, date, close, tick_order)`` into the store.
 
     Only the date partitions the batch touches are read and rewritten.
-    Their dates are collected first -- at most the days of the trailing
-    window, since older ticks are dropped before this point -- so the read
-    of the store is pruned to those partitions statically.  The merged rows
-    are checkpointed before the overwrite whenever existing files were read,
-    so the job never reads the files it replaces; a store that holds no
-    files yet (the first batch) is not read at all.  The batch is persisted
-    for the two passes over it (dates, merge)."""
+    Their dates are collected first -- the distinct days of one micro-batch
+    -- so the read of the store is pruned to those partitions statically.
+    The batch is persisted for the two passes over it (dates, merge).
+    """
     spark = batch.sparkSession
     checkpoint_dir(spark)
     batch = batch.persist()
@@ -129,58 +101,124 @@ def merge_into_store(batch: DataFrame, store_path: str) -> None:
         dates = [r["date"] for r in batch.select("date").distinct().collect()]
         if not dates:
             return
-        try:
-            existing = (spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
-                        .where(F.col("date").isin(dates)))
-            # a listing on the driver, no job: an empty store needs no merge
-            reads_store = len(existing.inputFiles()) > 0
-        except AnalysisException:  # no store folder yet
-            reads_store = False
-        merged_in = batch.unionByName(existing) if reads_store else batch
-        merged = (merged_in.groupBy("symbol", "date")
-                  .agg(last_tick(F.struct("close", "last_ts"), F.col("last_ts"),
-                                 order=F.col("close")).alias("b"))
-                  .select("symbol", F.col("b.close").alias("close"),
-                          F.col("b.last_ts").alias("last_ts"), "date"))
-        if reads_store:
+        stored = _stored_dates(spark, store_path, dates)
+        rows = batch
+        if stored:
+            rows = batch.unionByName(spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
+                                     .where(F.col("date").isin(stored)))
+        merged = (rows.groupBy("symbol", "date")
+                  .agg(F.max_by("close", "tick_order").alias("close"), F.max("tick_order").alias("tick_order"))
+                  .select("symbol", "close", "tick_order", "date"))
+        if stored:
             merged = merged.checkpoint(eager=True)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (merged.repartition("date", F.pmod(F.xxhash64("symbol"), F.lit(FILES_PER_DATE)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("date").parquet(store_path))
     finally:
         batch.unpersist()
 
 
-def incremental_screen(spark: SparkSession, folder: str, store_path: str, params: ScreenParams,
-                       checkpoint: str, file_glob: str = "events.parquet") -> DataFrame:
-    """Feed all available tick files through the bar store, then screen the
-    trailing window of the store."""
-    ticks = _in_window(tick_stream(spark, folder, file_glob), params)
-    # create the store if it is missing (an empty append), so micro-batches
-    # always find it
+def store_bars(spark: SparkSession, store_path: str, params: ScreenParams) -> DataFrame:
+    """``(symbol, date, close)`` of the trailing window from the bar store;
+    the date range prunes the store's ``date`` partitions."""
+    return (spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
+            .where(F.col("date").between(F.lit(params.start_date), F.lit(params.end_date)))
+            .select("symbol", "date", "close"))
+
+
+# ----------------------------------------------------------------- SS2
+
+def stream_daily_bars(spark: SparkSession, folder: str, store_path: str, params: ScreenParams,
+                      checkpoint: str, watermark: str = "1 day",
+                      file_glob: str = "*.parquet",
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Roll all available ticks up into the bar store and return the window's
+    bars.  The watermark bounds the state: a day's state is dropped once the
+    day ends before the watermark (latest tick time of earlier micro-batches
+    minus ``watermark``).  Spark may still aggregate a tick that arrives later
+    than that into a fresh state; the merge compares bars by their last tick,
+    so such a partial bar never replaces a later close."""
+    ticks = _not_late(tick_stream(spark, folder, file_glob, max_files_per_trigger), params)
+    bars = (ticks.withWatermark("ts", watermark)
+            .groupBy(F.window("ts", "1 day").alias("w"), F.col("user_id").alias("symbol"))
+            .agg(*_last_bar())
+            .select("symbol", F.to_date(F.col("w.start")).alias("date"), "close", "tick_order"))
+    _create(spark, store_path)
+    q = (bars.writeStream.outputMode("update")
+         .foreachBatch(lambda batch, _: merge_into_store(batch, store_path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return store_bars(spark, store_path, params)
+
+
+def _create(spark: SparkSession, store_path: str) -> None:
+    """An empty store, if there is none: a stream without ticks leaves one."""
     (spark.createDataFrame([], BAR_STORE_SCHEMA).write.mode("append")
      .partitionBy("date").parquet(store_path))
 
+
+# ----------------------------------------------------------------- SS1
+
+def incremental_screen(spark: SparkSession, folder: str, store_path: str, params: ScreenParams,
+                       checkpoint: str, file_glob: str = "*.parquet",
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Feed all available tick files through the bar store, then screen the
+    trailing window.  ``max_files_per_trigger`` bounds a micro-batch, so a
+    backlog is worked off in several."""
+    ticks = _not_late(tick_stream(spark, folder, file_glob, max_files_per_trigger), params)
+    _create(spark, store_path)
+    touched_path = f"{store_path.rstrip('/')}-touched"
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        partial = (batch.groupBy(F.col("user_id").alias("symbol"),
-                                 F.to_date("ts").alias("date"))
-                   .agg(last_tick(F.struct("value", "ts"), F.col("ts"),
-                                  order=F.col("value")).alias("b"))
-                   .select("symbol", "date", nan_to_null(F.col("b.value")).alias("close"),
-                           F.col("b.ts").alias("last_ts")))
-        merge_into_store(partial, store_path)
+        partial = (batch.groupBy(F.col("user_id").alias("symbol"), F.to_date("ts").alias("date"))
+                   .agg(*_last_bar()).select("symbol", "date", "close", "tick_order").persist())
+        try:
+            merge_into_store(partial, store_path)
+            (partial.select("symbol").distinct().withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(touched_path))
+        finally:
+            partial.unpersist()
 
     q = (ticks.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return screen_store(spark, store_path, params)
-
-
-def store_bars(spark: SparkSession, store_path: str, params: ScreenParams) -> DataFrame:
-    """``(symbol, date, close)`` of the trailing window from the bar store;
-    the date range prunes the store's ``date`` partitions."""
-    return (spark.read.schema(BAR_STORE_SCHEMA).parquet(store_path)
-            .where(F.col("date").between(F.lit(params.start_date), F.lit(params.end_date)))
-            .select("symbol", "date", "close"))
+    return screen_touched(spark, store_path, params)
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def screen_touched(spark: SparkSession, store_path: str, params: ScreenParams) -> DataFrame:
+    """The screen of the trailing window: the rows of the last screen of the
+    same window and thresholds for symbols without new ticks, and the screen
+    of the touched symbols' bars.  A window that has not been screened yet is
+    screened whole.  The result is kept for the next run."""
+    base = store_path.rstrip("/")
+    window = "_".join(str(x) for x in (params.start_date, params.end_date, params.up_day_percent, params.min_up_days,
+                                       params.min_period_gain, params.fill))
+    touched = _read_or_empty(spark, f"{base}-touched", TOUCHED_SCHEMA)
+    now = touched.agg(F.max("batch_id")).first()[0]
+    now = -1 if now is None else now
+    kept = _read_or_empty(spark, f"{base}-screens", SCREEN_SCHEMA).where(F.col("window") == window)
+    through = kept.agg(F.max("through_batch")).first()[0]  # a marker row without a symbol holds it
+    if through is None or through > now:
+        fresh = screen_store(spark, store_path, params)
+    else:
+        new = checked_broadcast(touched.where(F.col("batch_id") > through).select("symbol").distinct())
+        bars = store_bars(spark, store_path, params)
+        again = momentum.momentum_screen(bars.join(new, "symbol", "left_semi"), params)
+        old = kept.where((F.col("through_batch") == through) & F.col("symbol").isNotNull())
+        fresh = old.join(new, "symbol", "left_anti").select(*momentum.SCREEN_COLUMNS).unionByName(again)
+    marker = spark.createDataFrame([(None, None, None, None)],
+                                   "symbol bigint, last_price double, last_percent double, start_end_percent double")
+    checkpoint_dir(spark)
+    result = fresh.checkpoint(eager=True)
+    (result.unionByName(marker).withColumns({"window": F.lit(window), "through_batch": F.lit(now).cast("bigint")})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("window", "through_batch").parquet(f"{base}-screens"))
+    return result
 
 
 def screen_store(spark: SparkSession, store_path: str, params: ScreenParams) -> DataFrame:

@@ -58,7 +58,7 @@ def test_inferred_flow_calls_the_model_once_per_survivor(spark):
                                       classify_predict=predict, descriptions=docs)
     out.collect()
     out.count()
-    n = alert.survivors(driver.prices(spark, SF_SMALL, P), fund, P, checkpoint=False).count()
+    n = alert.survivors(driver.prices(spark, SF_SMALL, P), fund, P).count()
     assert n > 0 and calls.value == n
 
 
@@ -168,6 +168,6 @@ def test_alert_report_classifies_survivors_only_when_given_a_sector_function(spa
     out = alert.alert_report(driver.prices(spark, SF_SMALL, P), fund, sectors_for,
                              driver.news_source(spark, SF_SMALL), driver.sector_facts, P)
     out.collect()
-    survivors = alert.survivors(driver.prices(spark, SF_SMALL, P), fund, P, checkpoint=False)
+    survivors = alert.survivors(driver.prices(spark, SF_SMALL, P), fund, P)
     with_doc = survivors.join(docs, "symbol", "left_semi").count()
     assert 0 < calls.value == with_doc < docs.count()

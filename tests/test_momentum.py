@@ -151,12 +151,45 @@ def test_repeated_bar_is_ordered_deterministically(spark):
 
 def test_ticks_at_the_same_time_pick_the_same_close(spark):
     at = dt.datetime(2024, 1, 5, 16)
-    rows = [(1, dt.datetime(2024, 1, 5, 9), 10.0), (1, at, 11.0), (1, at, 10.5), (1, at, 10.8)]
+    rows = [(4, 1, dt.datetime(2024, 1, 5, 9), 10.0), (-3, 1, at, 11.0), (7, 1, at, 10.5), (2, 1, at, 10.8),
+            (9, 1, at, None)]
+    without_id = set()
     for order in (rows, list(reversed(rows)), rows[1:] + rows[:1]):
-        ticks = spark.createDataFrame(order, "user_id bigint, ts timestamp_ntz, value double")
+        ticks = spark.createDataFrame(order, "event_id bigint, user_id bigint, ts timestamp_ntz, value double")
         # spread over partitions so the partial aggregates see the tie split up
         got = bars_src.daily_bars(ticks.repartition(3)).collect()
-        assert [(r.symbol, r.close) for r in got] == [(1, 11.0)]
+        assert [(r.symbol, r.close) for r in got] == [(1, 10.5)]  # the largest id that has a price
+        without_id |= {r.close for r in bars_src.daily_bars(ticks.drop("event_id").repartition(3)).collect()}
+    assert len(without_id) == 1 and without_id <= {11.0, 10.5, 10.8}
+
+
+def test_tick_order_at_the_ends_of_its_range(spark):
+    """Late years, early years and the largest ids keep their order."""
+    big = 2**63 - 1
+    rows = [(dt.datetime(1900, 1, 1), big), (dt.datetime(1970, 1, 1), -big), (dt.datetime(1970, 1, 1), big),
+            (dt.datetime(1970, 1, 1, 0, 0, 0, 1), -big), (dt.datetime(9999, 12, 31), -big), (dt.datetime(9999, 12, 31), big)]
+    df = spark.createDataFrame([(t, i, 1.0) for t, i in rows], "ts timestamp_ntz, event_id bigint, value double")
+    keys = [r.tick_order for r in bars_src.with_tick_order(df).collect()]
+    assert None not in keys and keys == sorted(set(keys))
+
+
+def test_tick_rollup_is_a_hash_aggregate(spark):
+    """No sort of raw ticks, in the roll-up or in a merge of bars."""
+    from conftest import SF_SMALL
+    from risingtide.sources import driver
+    from risingtide.streaming import daily
+
+    plans = [driver.prices(spark, SF_SMALL, P), bars_src.daily_bars(driver.ticks(spark, SF_SMALL), count=True)]
+    ticks = bars_src.with_tick_order(driver.ticks(spark, SF_SMALL))
+    plans.append(ticks.groupBy("user_id").agg(*daily._last_bar()))
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan and "Sort [" not in plan
+
+
+def test_window_functions_are_computed_once(spark):
+    plan = momentum.momentum_screen(frame(spark, series(1, [1.0, 2.0])), P)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lag(") == 1 and plan.count("first(close") <= 2 and plan.count("last(") <= 4
 
 
 def test_bars_from_json_drop_bad_replies(spark):

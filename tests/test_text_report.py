@@ -19,6 +19,81 @@ def test_extract_json_array(spark):
     assert one(spark, text.parse_json_rows(F.col("x"), "a int"), "[{bad json}]") is None
 
 
+REPLIES = {  # reply -> parsed keys, or None for a reject
+    'Sure [{"symbol": 1, "core_focus": "ai"}] bye': [1],
+    '[{"symbol": 1, "core_focus": "a"}] then [{"symbol": 2, "core_focus": "b"}]': None,
+    '[{"symbol": 1, "core_focus": "a"}] as you asked [if]': None,
+    '[{"symbol": 1, "core_': None, "no array": None, "": None, "]0[": None, "[]": [], "[1, 2]": None,
+    "[{'symbol': 1, 'core_focus': 'a'}]": None, '[{"symbol": NaN, "core_focus": "a"}]': None,
+    '[{"symbol": 1, "core_focus": "a"},]': None, '[{"symbol": 1}]': [1],
+    '[{"symbol": "x", "core_focus": "a"}, {"symbol": 2, "core_focus": "b"}]': [None, 2],
+    '[{"symbol": 1, "core_focus": "a [b] c"}]': [1]}
+
+
+def test_one_rule_for_parsing_and_asking_again(spark):
+    df = spark.createDataFrame([(r, 3) for r in REPLIES], "reply string, n_records int")
+    parsed = df.select("reply", text.parse_json_rows(F.col("reply"), inference.SECTOR_ELEMENT).alias("v")).collect()
+    assert {r.reply: None if r.v is None else [x.symbol for x in r.v] for r in parsed} == REPLIES
+    assert {r: inference.reply_has_array(r) for r in REPLIES} == {r: v is not None for r, v in REPLIES.items()}
+    assert not inference.reply_has_array(None)
+    rows, rejects = inference.parse_replies(df, inference.SECTOR_ELEMENT, "symbol")
+    assert sorted(r.symbol for r in rows.collect()) == sorted(x for v in REPLIES.values() for x in v or [] if x is not None)
+    got = {r.reply: (r.n_lost, r.reason) for r in rejects.collect()}
+    assert got == {r: (3, "no JSON array of objects") if v is None else (1, "element without a valid key")
+                   for r, v in REPLIES.items() if v is None or None in v}
+
+
+def test_calls_do_not_depend_on_splits(spark):
+    docs = spark.createDataFrame([(i % 40, f"text {i % 40}") for i in range(120)], "symbol bigint, text string")
+
+    def echo(records):
+        return repr([(r["symbol"], r["text"]) for r in records])
+
+    out = [sorted(tuple(r) for r in inference.call_model(d, echo, "symbol", max_records=7).collect())
+           for d in (docs.coalesce(1), docs.repartition(5), docs.repartition(3, "text"))]
+    assert out[0] == out[1] == out[2]
+    assert max(n for _, n, _ in out[0]) <= 7 and sum(n for _, n, _ in out[0]) == 120
+
+
+def test_copies_of_one_record_are_split(spark):
+    same = spark.createDataFrame([("g", 1, "same")] * 300, "g string, symbol bigint, text string")
+    for groups in ([], ["g"]):
+        b = inference.bounded_batches(same, "symbol", 10, groups)
+        sizes = [r["count"] for r in b.groupBy("batch_id").count().collect()]
+        assert sum(sizes) == 300 and max(sizes) <= 10
+        assert len({r.batch_id.split(":")[0] for r in b.collect()}) > 10
+
+
+def test_rows_and_rejects_come_from_the_same_calls(spark):
+    docs = spark.createDataFrame([(i, "alpha beta beta") for i in range(20)], "symbol bigint, text string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def moody(records):
+        calls.add(1)
+        return "no" if records[0]["symbol"] % 3 == 0 else inference.keyword_sector_predict(records)
+
+    rows, rejects = inference.classify(docs, moody, max_records=1)
+    for _ in range(2):
+        n_rows, lost = rows.count(), rejects.agg(F.sum("n_lost")).first()[0]
+        assert n_rows + lost == 20 and lost == 7
+    assert calls.value == 13 + 7 * inference.MODEL_ATTEMPTS
+
+
+def test_translation_replies_are_parsed_and_asked_again(spark):
+    rows = spark.createDataFrame([(i, "g" if i < 6 else "h", f"n{i}") for i in range(8)], "symbol bigint, core_focus string, news_data string")
+
+    def translate(records):
+        if any(r["core_focus"] == "h" for r in records):
+            return "sorry"
+        import json
+        return "ok " + json.dumps([{"symbol": r["symbol"], "core_focus": r["core_focus"], "news_data_local": r["news_data"].upper()}
+                                   for r in records])
+
+    out, rejects = inference.translate_per_group(rows, "core_focus", "symbol", ["news_data"], translate, max_rows=4)
+    assert sorted((r.symbol, r.news_data_local) for r in out.collect()) == [(i, f"N{i}") for i in range(6)]
+    assert sum(r.n_lost for r in rejects.collect()) == 2
+
+
 def test_split_and_zip(spark):
     assert one(spark, text.split_joined(F.col("x")), " a *** b***c ") == ["a", "b", "c"]
     z = one(spark, text.zip_shortest(F.split(F.col("x"), ","), F.split(F.lit("1,2"), ","),
@@ -49,6 +124,9 @@ def test_localize(spark):
     assert out[0].a_l == localize.HEBREW["MACHINERY"] and out[0].b_l == localize.HEBREW["no data"]
     assert out[1].a_l == "OTHER" and out[1].b_l == "x"
     d = spark.createDataFrame(list(localize.HEBREW.items()), "source_text string, target_text string")
+    joined = spark.createDataFrame([("no data***title*x***MACHINERY",), (None,)], "a string")
+    got = [r.a_l for r in localize.localize_with_map(joined, {"a": "a_l"}, localize.HEBREW).collect()]
+    assert got == [f"{localize.HEBREW['no data']}***title*x***{localize.HEBREW['MACHINERY']}", None]
     out2 = localize.localize_with_table(df, {"a": "a_l"}, d).orderBy("a").collect()
     assert [r.a_l for r in out2] == [localize.HEBREW["MACHINERY"], "OTHER"]
 
@@ -71,9 +149,12 @@ def test_report(spark):
     assert sec["ai"].report_date == "2024-01-30"
     items = {r.symbol: r for r in report.report_items(rows).collect()}
     assert items[2].market_cap_text == "1,234,567" and items[2].n_news == 2
-    assert items[2].news_html.count("<li>") == 2 and "t2 (<a href='u2'>" in items[2].news_html
+    assert items[2].news_html.count("<li>") == 2 and '<a href="u2">t2</a>' in items[2].news_html
     assert items[2].last_percent_2 == 6.13
     frags = report.report_fragments(rows, dt.date(2024, 1, 30)).orderBy("core_focus", "part", "symbol")
+    odd = rows.where("symbol = 3").withColumn("news_data", F.lit("<b>\"A\" & 'B'</b>")).withColumn("core_focus", F.lit("R&D"))
+    html = "".join(r.html for r in report.report_document(odd, dt.date(2024, 1, 30)).collect())
+    assert "&lt;b&gt;&quot;A&quot; &amp; &#39;B&#39;&lt;/b&gt;" in html and "<h2>R&amp;D</h2>" in html and "<b>" not in html
     parts = [(r.core_focus, r.part, r.symbol) for r in frags.collect()]
     assert parts == [("ai", 0, None), ("ai", 1, 1), ("ai", 1, 2), ("ev", 0, None), ("ev", 1, 3)]
 
@@ -134,10 +215,11 @@ def test_model_call_is_retried_until_the_reply_parses(spark):
         tries.add(1)
         return "no array here"
 
-    replies = inference.call_model(docs.select("symbol", "text").coalesce(1), never, max_records=10)
-    assert replies.count() == 3 and tries.value == 3 * inference.MODEL_ATTEMPTS
+    replies = inference.model_replies(docs.select("symbol", "text"), never, "symbol", max_records=10)
+    n = replies.count()
+    assert n >= 3 and tries.value == n * inference.MODEL_ATTEMPTS
     rows, rejects = inference.parse_replies(replies, inference.SECTOR_ELEMENT)
-    assert rows.count() == 0 and rejects.count() == 3
+    assert rows.count() == 0 and rejects.count() == n
     assert inference.reply_has_array('x [{"a": 1}] y') and not inference.reply_has_array("[oops")
 
 
@@ -161,7 +243,7 @@ def test_report_document_order_and_empty(spark, tmp_path):
     assert keys == [(0, None, 0, None), (1, "ai", 0, None), (1, "ev", 0, None),
                     (2, "ai", 0, None), (2, "ai", 1, 1), (2, "ai", 1, 2), (2, "ev", 0, None),
                     (2, "ev", 1, 3)]
-    assert back.first().html == "<h1>Sector breakouts - 2024-01-30</h1>"
+    assert back.first().html == "<h1>Momentum digest, 2024-01-30</h1>"
     # nothing to report: no title either
     assert report.report_document(rows.limit(0), dt.date(2024, 1, 30)).count() == 0
 
