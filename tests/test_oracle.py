@@ -36,3 +36,27 @@ def test_entry(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns[:3] == ["symbol", "news_source", "news_data"]
+
+
+def test_other_queries_without_the_optional_subpackage(tmp_path):
+    """The contract imports without the corpus operators, and an error inside
+    them is not hidden."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(f"{root}/risingtide", tmp_path / "risingtide", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.oracle_sql()), len(e.queries()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+
+    def run():
+        return subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+
+    done = run()
+    assert done.stdout.split() == ["True", str(len(catalog.QUERIES))], done.stderr
+    (tmp_path / "risingtide" / "llm").mkdir()
+    (tmp_path / "risingtide" / "llm" / "__init__.py").write_text("import no_such_library\n")
+    assert "no_such_library" in run().stderr
