@@ -132,7 +132,7 @@ BROADCAST_MAX_KEYS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def _size_columns(df, cols=None):
+def size_columns(df, cols=None):
     """Row count and bytes of data of ``df`` (or of its ``cols``) as two
     aggregate expressions: string and binary values count their byte
     length, fixed-width values their width, nested values their JSON text,
@@ -164,9 +164,9 @@ def _size_columns(df, cols=None):
 
 def data_size(df):
     """``(rows, bytes)`` of ``df`` in one aggregate job (see
-    ``_size_columns``).  Meant for materialised tables, where the job is a
+    ``size_columns``).  Meant for materialised tables, where the job is a
     read of the stored rows."""
-    r = df.agg(*_size_columns(df)).first()
+    r = df.agg(*size_columns(df)).first()
     return r["n"], r["b"]
 
 
@@ -177,7 +177,7 @@ def materialize_measured(df, cols=None):
     from pyspark.sql import Observation
 
     obs = Observation()
-    out = materialize(df.observe(obs, *_size_columns(df, cols)))
+    out = materialize(df.observe(obs, *size_columns(df, cols)))
     r = obs.get
     return out, r["n"], r["b"] or 0
 

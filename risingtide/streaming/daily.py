@@ -31,6 +31,7 @@ is read.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ PARTIAL_SCHEMA = f"symbol bigint, date date, close double, tick_order {TICK_ORDE
 BAR_STORE_SCHEMA = f"symbol bigint, close double, tick_order {TICK_ORDER_TYPE}, date date"
 TOUCHED_SCHEMA = "symbol bigint, batch_id bigint"
 SCREEN_SCHEMA = ("symbol bigint, last_price double, last_percent double, start_end_percent double, "
-                 "window string, through_batch bigint")
+                 "window string, run bigint")
 #: Files a merge writes per date at most.
 FILES_PER_DATE = 8
 
@@ -198,28 +199,50 @@ def screen_touched(spark: SparkSession, store_path: str, params: ScreenParams) -
     base = store_path.rstrip("/")
     window = "_".join(str(x) for x in (params.start_date, params.end_date, params.up_day_percent, params.min_up_days,
                                        params.min_period_gain, params.fill))
+    seen = set(_partitions(spark, f"{base}-touched"))  # batches since the kept screen
     touched = _read_or_empty(spark, f"{base}-touched", TOUCHED_SCHEMA)
-    now = touched.agg(F.max("batch_id")).first()[0]
-    now = -1 if now is None else now
     kept = _read_or_empty(spark, f"{base}-screens", SCREEN_SCHEMA).where(F.col("window") == window)
-    through = kept.agg(F.max("through_batch")).first()[0]  # a marker row without a symbol holds it
-    if through is None or through > now:
+    run = kept.agg(F.max("run")).first()[0]  # a marker row without a symbol holds it
+    if run is None:
+        run = 0
         fresh = screen_store(spark, store_path, params)
     else:
-        new = checked_broadcast(touched.where(F.col("batch_id") > through).select("symbol").distinct())
+        new = checked_broadcast(touched.select("symbol").distinct())
         bars = store_bars(spark, store_path, params)
         again = momentum.momentum_screen(bars.join(new, "symbol", "left_semi"), params)
-        old = kept.where((F.col("through_batch") == through) & F.col("symbol").isNotNull())
+        old = kept.where((F.col("run") == run) & F.col("symbol").isNotNull())
         fresh = old.join(new, "symbol", "left_anti").select(*momentum.SCREEN_COLUMNS).unionByName(again)
     marker = spark.createDataFrame([(None, None, None, None)],
                                    "symbol bigint, last_price double, last_percent double, start_end_percent double")
     checkpoint_dir(spark)
     result = fresh.checkpoint(eager=True)
-    (result.unionByName(marker).withColumns({"window": F.lit(window), "through_batch": F.lit(now).cast("bigint")})
+    (result.unionByName(marker).withColumns({"window": F.lit(window), "run": F.lit(run + 1).cast("bigint")})
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("window", "through_batch").parquet(f"{base}-screens"))
+     .partitionBy("window", "run").parquet(f"{base}-screens"))
+    # One screen is kept, and the batches it has not seen.  In this order a
+    # run that stops half-way leaves too much, never a screen without the
+    # batches that changed since.
+    _delete(spark, f"{base}-screens", lambda name: name != f"window={window}")
+    _delete(spark, f"{base}-screens/window={window}", lambda name: name != f"run={run + 1}")
+    _delete(spark, f"{base}-touched", seen.__contains__)
     return result
 
 
+def _partitions(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the partition folders of ``folder``."""
+    if not _exists(spark, folder):
+        return []
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [x.getPath().getName() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    return [n for n in names if "=" in n]
+
+
+def _delete(spark: SparkSession, folder: str, unwanted: Callable[[str], bool]) -> None:
+    """Removes the partitions of ``folder`` with unwanted names."""
+    for name in filter(unwanted, _partitions(spark, folder)):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def screen_store(spark: SparkSession, store_path: str, params: ScreenParams) -> DataFrame:
     return momentum.momentum_screen(store_bars(spark, store_path, params), params)

@@ -136,9 +136,14 @@ def test_only_touched_symbols_are_screened_again(spark, tmp_path):
     assert sorted(r.symbol for r in b.collect()) == [1] * 3 + [3] * 3 + [4] * 3
     whole = original(daily.store_bars(spark, str(tmp_path / "s"), P), P)
     assert sorted(tuple(r) for r in b.collect()) == sorted(tuple(r) for r in whole.collect())
-    # another window is screened whole
+    # what the kept screen has seen is not kept any longer
+    assert not list((tmp_path / "s-touched").glob("batch_id=*"))
+    assert len(list((tmp_path / "s-screens").glob("window=*/run=*"))) == 1
+    # another window is screened whole, and so is the first one after that
     later = P.with_(end_date=dt.date(2024, 1, 31))
     assert daily.screen_touched(spark, str(tmp_path / "s"), later).count() == 9
+    assert len(list((tmp_path / "s-screens").glob("window=*"))) == 1
+    assert daily.incremental_screen(*args).count() == 9
 
 
 def test_a_store_that_cannot_be_read_is_an_error(spark, tmp_path):
