@@ -6,10 +6,10 @@ import atexit
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from risingtide.session import checkpoint_dir
+from risingtide.session import size_columns, broadcast_hint, checkpoint_dir
 
 _CLEANED: set[str] = set()
 
@@ -49,6 +49,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, name: str, *aggs) -> tuple[DataFrame, dict]:
+    """``stored(df)`` and the named aggregates of its rows, observed while
+    they are written."""
+    seen = Observation()
+    out = stored(df.observe(seen, *aggs), name)
+    return out, seen.get
+
+
+def stored_broadcast(df: DataFrame, name: str) -> DataFrame:
+    """``stored(df)``, with a broadcast hint if its rows and bytes, measured
+    while they are written, are within the session's bounds."""
+    n, size = size_columns(df)
+    out, seen = stored_with(df, name, n, size)
+    return broadcast_hint(out, seen["n"], seen["b"] or 0)
+
+
 def arrow_rows(spark: SparkSession, rows: int) -> None:
     """Bound the records of an Arrow batch: a batch of whole texts must fit
     in a worker's memory whatever their length."""

@@ -52,8 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from risingtide.llm.common import stored, texts
-from risingtide.session import broadcast_hint, data_size
+from risingtide.llm.common import stored, stored_broadcast, stored_with, texts
 
 WORDS = 5
 #: Linked at an intersection of at least NUM / DEN of the union.
@@ -64,10 +63,10 @@ SKETCH = 1 << 20
 SEEN = 200_000
 #: Documents of a region that one task compares with the pivot.
 REGION_PART = 4000
-#: Documents of a rest that are joined in one task, their embeddings in memory.
-CHUNK = 10_000
+#: Documents, and shingles of documents, of a rest that are joined in one task, their embeddings in memory.
+CHUNK, CHUNK_SHINGLES = 10_000, 8_000_000
 #: Shingles per count of the embedding, about.
-PER_COUNT = 3
+PER_COUNT = 1
 _ROUGH = 1e-9  # windows are widened by more than any rounding
 
 
@@ -313,12 +312,9 @@ def _bounded(regions: DataFrame, embedded: DataFrame) -> DataFrame:
 
 def _points(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
     """k1, k2, n, text of each wanted set, from one of its documents."""
-    n, size = data_size(wanted)
-    reps = (sets.groupBy("k1", "k2").agg(F.min("doc_id").alias("d"))
-            .join(broadcast_hint(wanted, n, size), ["k1", "k2"], "left_semi"))
-    reps = stored(reps.select(F.col("d"), F.col("k1").alias("want1"), F.col("k2").alias("want2")), "reps")
-    n, size = data_size(reps)
-    rows = (texts(docs).join(broadcast_hint(reps, n, size), F.col("doc_id").eqNullSafe(F.col("d")))
+    reps = (sets.join(wanted, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.min("doc_id").alias("d"))
+            .select(F.col("d"), F.col("k1").alias("want1"), F.col("k2").alias("want2")))
+    rows = (texts(docs).join(stored_broadcast(reps, "reps"), F.col("doc_id").eqNullSafe(F.col("d")))
             .select("want1", "want2", "text"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,8 +338,8 @@ def _points(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
 def _compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """p1, p2, k1, k2, d, near of pairs of sets, compared in full.  The pairs
     of one (p1, p2) are a star: its text travels once for each part."""
-    pairs = pairs.distinct()
-    wanted = stored(pairs.select("k1", "k2").union(pairs.select("p1", "p2")).distinct(), "wanted")
+    pairs = stored(pairs.distinct(), "pairs")
+    wanted = stored_broadcast(pairs.select("k1", "k2").union(pairs.select("p1", "p2")).distinct(), "wanted")
     points = _points(docs, sets, wanted)
     rows = _dealt(pairs, ["p1", "p2"], ["k1", "k2"]).join(points, ["k1", "k2"]).select(
         "p1", "p2", "part", "other", "k1", "k2", "n", "text")
@@ -373,26 +369,59 @@ def _edges(compared: DataFrame) -> DataFrame:
                                           F.struct(F.col("p1").alias("a"), F.col("p2").alias("b")).alias("v"))
 
 
-def _rests(members: DataFrame, compared: DataFrame, graph: DataFrame) -> DataFrame:
-    """What the pivots' balls leave: p1, p2, k1, k2, n, d, exact, near, root.
-    Regions whose documents are all in one component are done."""
+def _rests(members: DataFrame, compared: DataFrame) -> DataFrame:
+    """What the pivots' balls leave: p1, p2, k1, k2, n, d, exact, near, chunks."""
     known = members.join(compared, ["p1", "p2", "k1", "k2"], "left").select(
         "p1", "p2", "k1", "k2", "n", F.coalesce("d", "low").alias("d"), F.col("d").isNotNull().alias("exact"),
         F.coalesce("near", F.lit(False)).alias("near"))
-    roots = graph.select(F.col("node.a").alias("k1"), F.col("node.b").alias("k2"), "root")
-    rooted = known.join(roots, ["k1", "k2"], "left").withColumn(
-        "root", F.coalesce("root", F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))))
-    outside = rooted.filter("not near").groupBy("p1", "p2").agg(F.min("d").alias("first_out"))
+    known = stored(known, "known")
+    outside = known.filter("not near").groupBy("p1", "p2").agg(F.min("d").alias("first_out"))
     window = ~F.col("near") | (F.col("d") >= F.col("first_out") - RADIUS - _ROUGH)
-    rest = stored(rooted.join(outside, ["p1", "p2"]).filter(window).drop("first_out"), "rest")
-    several = (rest.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
-               .filter("size > 1 and a != b")
-               .select("p1", "p2", F.expr(f"cast(ceil(size / {CHUNK}) as int)").alias("chunks")))
-    return rest.join(several, ["p1", "p2"])
+    rest = stored(known.join(outside, ["p1", "p2"]).filter(window).drop("first_out"), "rest")
+    several = (rest.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")).filter("size > 1")
+               .select("p1", "p2", F.expr(f"cast(ceil(greatest(size / {CHUNK}, shingles / {CHUNK_SHINGLES})) as int)")
+                       .alias("chunks")))
+    return stored(rest.join(several, ["p1", "p2"]), "rests")
+
+
+class Embedded:
+    """Embeddings of the documents of a rest, a matrix for each length."""
+
+    def __init__(self, raw: list[bytes], n: np.ndarray):
+        self.raw, self.n = raw, n
+        self.length = np.array([len(r) for r in raw])
+        self.rows = {k: np.flatnonzero(self.length == k) for k in set(self.length.tolist())}
+        self.matrix = {k: np.frombuffer(b"".join(raw[i] for i in rows), np.uint8).reshape(len(rows), k)
+                       for k, rows in self.rows.items()}
+        self.full = np.array([b"\xff" in r for r in raw])
+
+    def may_link(self, q: int, can: np.ndarray) -> np.ndarray:
+        """Of the documents in ``can``, those whose embedding leaves a link
+        with q possible.  Sizes within a link's ratio give lengths that are
+        equal or twice each other."""
+        k, found = int(self.length[q]), []
+        own = np.frombuffer(self.raw[q], np.uint8)
+        for other in (k // 2, k, 2 * k):
+            if other not in self.rows:
+                continue
+            mask = can[self.rows[other]]
+            if not mask.any():
+                continue
+            rows, m, c = self.rows[other][mask], self.matrix[other][mask], own
+            if other > k:
+                m = m.reshape(len(m), k, 2).sum(axis=2, dtype=np.uint16)
+            elif other < k:
+                c = c.reshape(other, 2).sum(axis=1, dtype=np.uint16)
+            top = np.minimum(m, c).sum(axis=1, dtype=np.int64)
+            least = np.minimum(self.n[rows], self.n[q])
+            top = np.where(self.full[rows] & self.full[q], least, np.minimum(top, least))
+            d = 1 - top / (self.n[rows] + self.n[q] - top)
+            found.append(rows[d <= RADIUS + _ROUGH])
+        return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
 def rest_pairs(near: np.ndarray, chunk: np.ndarray, root: np.ndarray, d: np.ndarray, exact: np.ndarray,
-               n: np.ndarray, counts: list[np.ndarray], cross: bool, last: bool) -> tuple[list[int], list[tuple[int, int]]]:
+               n: np.ndarray, raw: list[bytes], cross: bool, last: bool) -> tuple[list[int], list[tuple[int, int]]]:
     """(pivots, pairs): documents of a rest to be compared in full.
 
     The documents outside the ball are taken in turn.  One that may link to an
@@ -400,6 +429,7 @@ def rest_pairs(near: np.ndarray, chunk: np.ndarray, root: np.ndarray, d: np.ndar
     pivot and is paired with all later ones and those of the ball's window
     that it may link to.  In ``cross`` only different chunks are paired.
     """
+    embedded = Embedded(raw, n)
     waits, todo = np.zeros(len(n), bool), np.ones(len(n), bool)
     pivots, pairs = [], []
     for q in np.flatnonzero(~near):
@@ -414,17 +444,22 @@ def rest_pairs(near: np.ndarray, chunk: np.ndarray, root: np.ndarray, d: np.ndar
         can &= ~(exact & (d[q] - d > RADIUS + _ROUGH))
         if exact[q]:
             can &= ~(d - d[q] > RADIUS + _ROUGH)
-        for x in np.flatnonzero(can):
-            if least_distance(counts[x], counts[q], n[x], n[q]) <= RADIUS + _ROUGH:
-                pairs.append((int(q), int(x)))
-                waits[x] = True
+        for x in embedded.may_link(q, can):
+            pairs.append((int(q), int(x)))
+            waits[x] = True
     return pivots, pairs
 
 
-def _in_rests(rests: DataFrame, embedded: DataFrame, done: DataFrame | None, last: bool) -> DataFrame:
+def _in_rests(rests: DataFrame, roots: DataFrame, embedded: DataFrame, done: DataFrame | None, last: bool) -> DataFrame:
     """r1, r2, i, j (the rest and its chunks), p1, p2 (a pivot), k1, k2 (a
-    document it may link to, or null)."""
-    rows = (rests.withColumn("chunk", F.pmod(F.xxhash64("k1", "k2"), F.col("chunks")).cast("int"))
+    document it may link to, or null).  Rests whose documents all have one
+    root are done."""
+    own = F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))
+    root = F.coalesce("root", own)
+    rooted = (rests.join(roots.select(F.col("node.a").alias("k1"), F.col("node.b").alias("k2"), "root"), ["k1", "k2"], "left")
+              .withColumn("root", F.xxhash64(root["a"], root["b"])))
+    open_rests = rooted.groupBy("p1", "p2").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b")
+    rows = (rooted.join(open_rests, ["p1", "p2"], "left_semi").withColumn("chunk", F.pmod(F.xxhash64("k1", "k2"), F.col("chunks")).cast("int"))
             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select(F.col("p1").alias("r1"), F.col("p2").alias("r2"), F.least("chunk", "o").alias("i"),
                     F.greatest("chunk", "o").alias("j"), "chunk", "k1", "k2", "n", "d", "exact", "near", "root"))
@@ -432,14 +467,14 @@ def _in_rests(rests: DataFrame, embedded: DataFrame, done: DataFrame | None, las
         rows = rows.join(done.select("r1", "r2", "i", "j", F.col("p1").alias("k1"), F.col("p2").alias("k2")).distinct(),
                          ["r1", "r2", "i", "j", "k1", "k2"], "left_anti")
     rows = rows.join(embedded.select("k1", "k2", "counts"), ["k1", "k2"]).select(
-        "r1", "r2", "i", "j", "chunk", "k1", "k2", "n", "d", "exact", "near", F.xxhash64("root.a", "root.b").alias("root"), "counts")
+        "r1", "r2", "i", "j", "chunk", "k1", "k2", "n", "d", "exact", "near", "root", "counts")
     names = ["r1", "r2", "i", "j", "p1", "p2", "k1", "k2"]
     schema = pa.schema([(c, pa.int32() if c in "ij" else pa.int64()) for c in names])
 
     def solve(own: list[tuple]) -> list[tuple]:
         col = lambda c, kind: np.array([r[c] for r in own], kind)
         pivots, pairs = rest_pairs(col(10, bool), col(4, np.int64), col(11, np.int64), col(8, float), col(9, bool),
-                                   col(7, np.int64), [_counts(r[12]) for r in own], own[0][2] != own[0][3], last)
+                                   col(7, np.int64), [r[12] for r in own], own[0][2] != own[0][3], last)
         found = [(*own[0][:4], *own[q][5:7], *own[x][5:7]) for q, x in pairs]
         return found + [(*own[0][:4], *own[q][5:7], None, None) for q in set(pivots) - {q for q, _ in pairs}]
 
@@ -463,37 +498,37 @@ def _in_rests(rests: DataFrame, embedded: DataFrame, done: DataFrame | None, las
                   .mapInArrow(run, ", ".join(f"{c} {'int' if c in 'ij' else 'long'}" for c in names)), "rest-pairs")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) of the nodes that have an edge, from (u, v) rows; the root
-    is the least node of a component.  Large stars hang a node's larger neighbours on its least one,
-    small stars its smaller ones, until nothing changes."""
-    e = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-               .distinct(), "edges")
-
-    def least(of: DataFrame) -> DataFrame:
-        return of.groupBy("u").agg(F.min("v").alias("m"))
+    is the least node of a component.  Large stars hang a node's larger
+    neighbours on its least one, small stars its smaller ones, until nothing
+    changes.  After a given number of ``rounds`` nodes of one root are
+    connected, but a component may still have several."""
+    h = F.xxhash64("u", "v")
+    mark = [F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h % 1_000_003).alias("s")]
+    e, before = stored_with(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                            .distinct(), "edges", *mark)
+    while before["n"]:
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # (v, m) for the larger neighbours v of each u, and (u, m) for u itself.
+        large = stored(both.join(least, "u").select(F.greatest("u", "v").alias("u"), F.col("m").alias("v"))
+                       .filter("u != v").distinct(), "large-stars")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                                               F.col("m").alias("v")).distinct())
+        e, now = stored_with(small, "small-stars", *mark)
+        rounds = rounds and rounds - 1
+        if now == before or rounds == 0:
+            break
+        before = now
+    roots = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+    return roots.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+                             .join(roots, "node", "left_anti"))
 
-    def mark(of: DataFrame) -> tuple:
-        h = F.xxhash64("u", "v")
-        return tuple(of.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(h % 1_000_003)).first())
 
-    before = mark(e)
-    while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        roots = least(both).select("u", F.least("u", "m").alias("m"))
-        large = (both.filter("v > u").join(roots, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(e.join(roots, "u").filter("v = m").select("u", F.col("m").alias("v"))).distinct())
-        large = stored(large, "large-stars")
-        roots = least(large)
-        small = (large.join(roots, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(roots.select("u", F.col("m").alias("v"))).filter("u != v")
-                 .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        small = stored(small, "small-stars")
-        now = mark(small)
-        if now == before:
-            return small.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                small.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        e, before = small, now
+#: Rounds of contraction between two levels of a join.
+ROUNDS = 2
 
 
 def graph_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -504,18 +539,14 @@ def graph_of(docs: DataFrame, sets: DataFrame) -> DataFrame:
                       .agg(F.max("n_shingles").alias("n"), F.max("counts").alias("counts")), "embedded")
     members = _bounded(stored(_regions(docs, counts), "regions"), embedded)
     compared = _compared(docs, rows, members.filter(F.col("low") <= RADIUS + _ROUGH).select("p1", "p2", "k1", "k2"))
-    edges = _edges(compared)
-    graph = components(edges)
-    done = None
+    edges, rests, done = _edges(compared), _rests(members, compared), None
     for last in (False, True):
-        found = _in_rests(_rests(members, compared, graph), embedded, done, last)
+        found = _in_rests(rests, stored(components(edges, ROUNDS), "roots"), embedded, done, last)
         pairs = found.filter("k1 is not null").select("p1", "p2", "k1", "k2")
         if not pairs.take(1):
             break
-        edges = edges.unionByName(_edges(_compared(docs, rows, pairs)))
-        graph = components(edges)
-        done = found
-    return graph
+        edges, done = edges.unionByName(_edges(_compared(docs, rows, pairs))), found
+    return components(edges)
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -550,11 +581,10 @@ def keep_first(docs: DataFrame) -> DataFrame:
     name = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "k1", "k2")
     first = own.groupBy("root").agg(F.min(name).alias("f")).select("root", "f.doc_id", "f.k1", "f.k2")
     rows = own.groupBy("root", "doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
-    marked = stored(rows.alias("r").join(first.alias("f"), "root").select(
+    marked = stored_broadcast(rows.alias("r").join(first.alias("f"), "root").select(
         F.col("r.doc_id").alias("_id"), F.col("r.k1").alias("_a"), F.col("r.k2").alias("_b"),
         (F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.k1") == F.col("f.k1"))
          & (F.col("r.k2") == F.col("f.k2"))).alias("_first"), "n").filter("not _first or n > 1"), "marked")
-    n, size = data_size(marked)
     at = docs.columns.index("text")
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -566,7 +596,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     keyed = docs.mapInArrow(key, docs.select("*", F.lit(0).cast("long").alias("_k1"), F.lit(0).cast("long").alias("_k2")).schema)
     same = ((F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b"))
             & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    joined = stored(keyed.join(broadcast_hint(marked, n, size), same, "left").filter("_first is null or _first"), "kept")
+    joined = stored(keyed.join(marked, same, "left").filter("_first is null or _first"), "kept")
     repeats = (joined.filter("_first").groupBy("_id", "_k1", "_k2")
                .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*"))
     return joined.filter("_first is null").select(*docs.columns).unionByName(repeats)
