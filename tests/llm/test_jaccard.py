@@ -171,3 +171,33 @@ def test_open_regions_over_batches():
         kept = np.concatenate(kept)
         assert (kept == whole[1]).all()
         assert (np.concatenate(pivots)[kept] == whole[0][kept]).all()
+
+
+def test_rest_pairs_against_all_pairs():
+    """No pair that may link is missed, in one level or two."""
+    r = np.random.default_rng(5)
+    base = r.integers(0, 2**64, 400, dtype=np.uint64)
+    sets = []
+    for _ in range(60):
+        own = base[r.random(400) < r.choice([0.8, 0.95])][:r.integers(200, 400)]
+        sets.append(np.unique(np.concatenate([own, r.integers(0, 2**64, r.integers(0, 120), dtype=np.uint64)])))
+    n = np.array([len(s) for s in sets])
+    raw = [jj.embedding(s).tobytes() for s in sets]
+    near = np.arange(60) < 10
+    root, chunk = np.arange(60), np.zeros(60, int)
+    d, exact = np.zeros(60), np.zeros(60, bool)
+    links = {(i, j) for i in range(60) for j in range(i)
+             if jj.linked(jj.common(sets[i], sets[j]), n[i], n[j]) and not (near[i] and near[j])}
+    assert links
+    _, pairs = jj.rest_pairs(near, chunk, root, d, exact, n, raw, False, True)
+    assert links <= {(max(p), min(p)) for p in pairs}
+    for i, j in pairs:
+        assert jj.least_distance(jj._counts(raw[i]), jj._counts(raw[j]), n[i], n[j]) <= jj.RADIUS + 1e-6
+    pivots, first = jj.rest_pairs(near, chunk, root, d, exact, n, raw, False, False)
+    left = np.array([i for i in range(60) if i not in set(pivots)])
+    _, second = jj.rest_pairs(near[left], chunk[left], root[left], d[left], exact[left], n[left], [raw[i] for i in left], False, True)
+    both = {(max(p), min(p)) for p in first} | {(max(left[a], left[b]), min(left[a], left[b])) for a, b in second}
+    assert links <= both
+    full = [jj.embedding(np.arange(n, dtype=np.uint64)).tobytes() for n in (1000, 1100)]  # one range holds them all
+    two = jj.Embedded(full, np.array([1000, 1100]))
+    assert two.may_link(0, np.array([False, True])).tolist() == [1]
