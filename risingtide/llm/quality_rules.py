@@ -41,8 +41,8 @@ MEASURES = {"symbols": (100, False), "dup_lines": (100, False), "repeats": (50,
             "chars": (1000, True), "distinct": (150, True)}
 #: Fixed by the contract: what separates words, and what counts as a symbol.
 WORD_GAPS = r"[\x20\x09-\x0D]+"
-WORD_GAP_CHARS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+NOT_A_GAP = r"[^\x20\x09-\x0D]"
+SYMBOLS = r"[#*$%&|<>]"
 
 
 def words_of(text: Column) -> Column:
@@ -83,16 +83,15 @@ def with_measures(docs: DataFrame) -> DataFrame:
     """``docs`` and n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, n_lines, n_distinct (each under a ``_q_`` name)."""
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    squeezed = F.translate(body, WORD_GAP_CHARS, "")
-    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, WORD_GAP_CHARS, "")) > 0)
+    lines = F.filter(F.split(body, "\n"), lambda x: F.rlike(x, F.lit(NOT_A_GAP)))
     base = (docs.withColumn("_q_words", words_of(F.col("text").cast("string")))
             .withColumn("_q_lines", lines)
-            .withColumn("_q_word_chars", F.length(squeezed).cast("long"))
-            .withColumn("_q_n_symbols", (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long")))
+            .withColumn("_q_n_symbols", (F.length(body) - F.length(F.regexp_replace(body, SYMBOLS, ""))).cast("long")))
     hashes = _window_hashes(F.col("_q_words"))
     repeats = _bound(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
     return (base
             .withColumn("_q_n_words", F.size("_q_words").cast("long"))
+            .withColumn("_q_word_chars", F.length(F.array_join("_q_words", "")).cast("long"))
             .withColumn("_q_n_lines", F.size("_q_lines").cast("long"))
             .withColumn("_q_n_dup_lines", (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"))
             .withColumn("_q_n_distinct", F.size(F.array_distinct("_q_words")).cast("long"))
