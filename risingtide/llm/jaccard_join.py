@@ -582,21 +582,22 @@ def keep_first(docs: DataFrame) -> DataFrame:
     first = own.groupBy("root").agg(F.min(name).alias("f")).select("root", "f.doc_id", "f.k1", "f.k2")
     rows = own.groupBy("root", "doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
     marked = stored_broadcast(rows.alias("r").join(first.alias("f"), "root").select(
-        F.col("r.doc_id").alias("_id"), F.col("r.k1").alias("_a"), F.col("r.k2").alias("_b"),
+        F.col("r.doc_id").alias("_jaccard_id"), F.col("r.k1").alias("_jaccard_a"), F.col("r.k2").alias("_jaccard_b"),
         (F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.k1") == F.col("f.k1"))
-         & (F.col("r.k2") == F.col("f.k2"))).alias("_first"), "n").filter("not _first or n > 1"), "marked")
+         & (F.col("r.k2") == F.col("f.k2"))).alias("_jaccard_first"), "n").filter("not _jaccard_first or n > 1").drop("n"), "marked")
     at = docs.columns.index("text")
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.array([set_key(shingles(t)) for t in batch.column(at).to_pylist()], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys[:, 0]), pa.array(keys[:, 1])],
-                                             names=[*batch.schema.names, "_k1", "_k2"])
-
-    keyed = docs.mapInArrow(key, docs.select("*", F.lit(0).cast("long").alias("_k1"), F.lit(0).cast("long").alias("_k2")).schema)
-    same = ((F.col("_k1") == F.col("_a")) & (F.col("_k2") == F.col("_b"))
-            & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    joined = stored(keyed.join(marked, same, "left").filter("_first is null or _first"), "kept")
-    repeats = (joined.filter("_first").groupBy("_id", "_k1", "_k2")
+                                             names=[*batch.schema.names, "_jaccard_k1", "_jaccard_k2"])
+
+    long = F.lit(0).cast("long")
+    keyed = docs.mapInArrow(key, docs.select("*", long.alias("_jaccard_k1"), long.alias("_jaccard_k2")).schema)
+    same = ((F.col("_jaccard_k1") == F.col("_jaccard_a")) & (F.col("_jaccard_k2") == F.col("_jaccard_b"))
+            & F.col("doc_id").cast("long").eqNullSafe(F.col("_jaccard_id")))
+    joined = stored(keyed.join(marked, same, "left").filter("_jaccard_first is null or _jaccard_first"), "kept")
+    repeats = (joined.filter("_jaccard_first").groupBy("_jaccard_id", "_jaccard_k1", "_jaccard_k2")
                .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*"))
-    return joined.filter("_first is null").select(*docs.columns).unionByName(repeats)
+    return joined.filter("_jaccard_first is null").select(*docs.columns).unionByName(repeats)
