@@ -2,7 +2,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import Row
 
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -30,5 +29,3 @@ def crc(ids):
 def rows_of(df):
     return [r.asDict() for r in df.collect()]
 
-
-__all__ = ["Row", "crc", "rows_of"]
