@@ -56,12 +56,11 @@ def integer_vectors(table: DataFrame) -> DataFrame:
 
 def segment_bounds(dim: int) -> list[np.ndarray]:
     """Start positions of the segments at each resolution, coarse to fine,
-    down to segments of about four components."""
-    levels, parts = [], 1
-    while parts <= max(1, dim // 4):
-        levels.append(np.unique(np.arange(parts) * dim // parts))
-        parts *= 4
-    return levels
+    down to segments of about two components."""
+    counts = [max(1, dim // 2)]
+    while counts[-1] > 1:
+        counts.append(max(1, counts[-1] // 4))
+    return [np.unique(np.arange(parts) * dim // parts) for parts in reversed(counts)]
 
 
 def segment_statistics(m: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,23 +99,33 @@ def search_block(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
         if levels:
             bound = q_stats[0][rows] @ c_stats[0].T
             best = np.argpartition(-bound, few - 1, axis=1)[:, :few]
-            kth = score(np.repeat(rows, few), best.ravel()).reshape(len(rows), few).min(axis=1)
-            if few <= k:
-                kth[:] = np.iinfo(np.int64).min
+            kth = np.full(len(rows), np.iinfo(np.int64).min)
+            if few > k:
+                kth = score(np.repeat(rows, few), best.ravel()).reshape(len(rows), few).min(axis=1)
             slack = 1 + 1e-9 * np.abs(bound).max(initial=0)
-            qi, vi = np.nonzero(bound >= (kth - slack)[:, None])
+            alive = bound >= (kth - slack)[:, None]
             for fine_q, fine_c in zip(q_stats[1:], c_stats[1:], strict=True):
-                keep = []
-                for s in range(0, len(qi), 1 << 18):
-                    a, b = qi[s:s + (1 << 18)], vi[s:s + (1 << 18)]
-                    bound = np.einsum("ij,ij->i", fine_q[rows[a]], fine_c[b])
-                    keep.append(bound >= kth[a] - slack)
-                keep = np.concatenate(keep) if keep else np.zeros(0, bool)
-                qi, vi = qi[keep], vi[keep]
+                left = np.flatnonzero(alive.any(axis=0))  # vectors that some query still wants
+                bound = fine_q[rows] @ fine_c[left].T
+                if few > k:  # the best by the finer bound lift the k-th exact score
+                    best = np.argpartition(-bound, min(few, len(left)) - 1, axis=1)[:, :few]
+                    if len(left) >= few:
+                        exact = score(np.repeat(rows, few), left[best].ravel()).reshape(len(rows), few).min(axis=1)
+                        kth = np.maximum(kth, exact)
+                alive[:, left] &= bound >= (kth - slack)[:, None]
         else:
-            qi, vi = np.repeat(np.arange(len(rows)), len(vectors)), np.tile(np.arange(len(vectors)), len(rows))
-        scores = np.concatenate([score(rows[qi[s:s + (1 << 18)]], vi[s:s + (1 << 18)])
-                                 for s in range(0, len(qi), 1 << 18)] or [np.zeros(0, np.int64)])
+            alive, kth = np.ones((len(rows), len(vectors)), bool), np.full(len(rows), np.iinfo(np.int64).min)
+        # Exact products of the survivors, in one matrix product over the
+        # vectors that any query of the step still wants.
+        left = np.flatnonzero(alive.any(axis=0))
+        alive = alive[:, left]
+        exact = exact_q[rows] @ exact_v[left].T if safe else q[rows] @ vectors[left].T
+        if few > k and len(left) > k:
+            own = np.where(alive, exact, -np.inf if safe else np.iinfo(np.int64).min + 1)
+            kth = np.maximum(kth, -np.partition(-own, k, axis=1)[:, k].astype(np.int64))
+        qi, vi = np.nonzero(alive & (exact >= kth[:, None]))
+        scores = exact[qi, vi].astype(np.int64)
+        vi = left[vi]
         order = np.lexsort((-scores, qi))
         qi, vi, scores = qi[order], vi[order], scores[order]
         cut = np.searchsorted(qi, np.arange(len(rows) + 1))
