@@ -15,7 +15,7 @@ from risingtide.llm.common import arrow_rows, stored, table, tokenizer_file
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return nb_svm.keep(docs, table(spark, sf_dir, "labels"))
 
 
@@ -26,13 +26,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays."""
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return jaccard_join.keep_first(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents, packed into sequences."""
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
 
 

@@ -60,7 +60,7 @@ NUM, DEN = 75, 100
 RADIUS = 1 - NUM / DEN
 SKETCH = 1 << 20
 #: Sets whose shingles a task remembers not to emit again.
-SEEN = 200_000
+SEEN = 100_000
 #: Documents of a region that one task compares with the pivot.
 REGION_PART = 4000
 #: Documents, and shingles of documents, of a rest that are joined in one task, their embeddings in memory.

@@ -40,7 +40,7 @@ def op3_sharding(spark, sf):
 
 @register
 def op6_warc(spark, sf):
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return warc_zip.round_trip(spark, table(spark, sf, "pages"))
 
 
@@ -51,7 +51,7 @@ def op9_topk_search(spark, sf):
 
 @register
 def op4_token_counts(spark, sf):
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     lengths = token_histogram.encoded_lengths(table(spark, sf, "documents"), ["lang"],
                                               tokenizer_file("byte_bpe_50k.json"))
     return token_histogram.histogram(lengths, ["lang"])
@@ -59,30 +59,30 @@ def op4_token_counts(spark, sf):
 
 @register
 def op8_packing(spark, sf):
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return packing.pack(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
 @register
 def op10_sentencepiece(spark, sf):
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return sp_prefix.digests(sp_prefix.encode_decode(table(spark, sf, "documents"),
                                                      tokenizer_file("piece_bpe_32k.model")))
 
 
 @register
 def op2_jaccard_join(spark, sf):
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return jaccard_join.join(table(spark, sf, "documents"))
 
 
 @register
 def op5_quality_classifier(spark, sf):
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return nb_svm.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
 @register
 def op7_toxicity(spark, sf):
-    arrow_rows(spark, 1000)
+    arrow_rows(spark, 500)
     return gru_toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
