@@ -251,3 +251,17 @@ def test_bounds_are_never_below_the_product():
         if last is not None:
             assert bound.mean() <= last  # finer is closer
         last = bound.mean()
+
+
+@pytest.mark.parametrize("size", [3, 500, 2**27])
+def test_block_search_on_ties_and_large_components(size):
+    """Small values give many ties, large ones products beyond a double's digits."""
+    r = np.random.default_rng(size)
+    c = r.integers(-size, size, (300, 24))
+    c[50:90] = c[7]
+    ids = r.permutation(1000)[:300]
+    out = vector_topk.search_block(ids[::10], c[::10], ids, c, 5)
+    for row, i in enumerate(ids[::10]):
+        best = sorted((-int(c[10 * row] @ c[j]), int(ids[j])) for j in range(300) if ids[j] != i)[:5]
+        got = out[out.query_id == i]
+        assert sorted(zip(-got.score, got.vec_id, strict=True)) == best
