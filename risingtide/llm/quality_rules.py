@@ -10,6 +10,8 @@ by adding counts.  A document is rejected when it fails the base rules or a
 measure lies outside the fences of its own group: a median plus or minus
 SPREADS times the larger of the group's interquartile range and a least
 spread.  Fences follow the group; a share of every group is not cut off.
+Where most documents of a group share one value, as they do of symbols and of
+repeated lines and words, the range is 0 and the least spread decides.
 
 Documents join the fences of their group on language and source.  The fences
 are one row per group; below a measured size they are broadcast, beyond it
@@ -37,8 +39,8 @@ SUB = 4
 #: Fences lie SPREADS spreads from the median.
 SPREADS = 4
 #: measure -> (least spread in thousandths, lower fence too)
-MEASURES = {"symbols": (100, False), "dup_lines": (100, False), "repeats": (50, False),
-            "chars": (1000, True), "distinct": (150, True)}
+MEASURES = {"symbols": (25, False), "dup_lines": (100, False), "repeats": (50, False),
+            "chars": (1000, True), "distinct": (50, True)}
 #: Fixed by the contract: what separates words, and what counts as a symbol.
 WORD_GAPS = r"[\x20\x09-\x0D]+"
 NOT_A_GAP = r"[^\x20\x09-\x0D]"

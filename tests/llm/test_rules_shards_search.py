@@ -79,6 +79,22 @@ def test_adaptive_fences_follow_the_group(spark):
     assert {r["doc_id"] for r in rows_of(quality_rules.keep(docs))} == set(kept)
 
 
+def test_fences_follow_the_spread_of_the_group(spark):
+    """A share of distinct words that one source spreads over is off in
+    another, and a few symbols are where there are none."""
+    def doc(i, fresh, sign=""):
+        words = ["and" if k % 2 and k // 2 < 40 - fresh else f"w{i}x{k}" for k in range(40)]
+        return " ".join(w + sign * (k % 5 == 0) for k, w in enumerate(words))
+
+    rows = [(i, doc(i, 39 + i % 2), "en", "even") for i in range(40)]
+    rows += [(100 + i, doc(i, 20 + i % 20), "en", "wide") for i in range(40)]
+    rows += [(900, doc(900, 24), "en", "even"), (901, doc(901, 24), "en", "wide"), (902, doc(902, 40, "#"), "en", "even")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = rows_of(quality_rules.judge(docs))
+    assert not any(r["base_failed"] for r in out)
+    assert {r["doc_id"] for r in out if not r["kept"]} == {900, 902}
+
+
 def test_bins_are_close_and_ordered(spark):
     x = [*range(2000), 10**6, 10**9, 2**40]
     df = spark.createDataFrame([(v,) for v in x], "x long").withColumn("b", quality_rules.bin_of(F.col("x")))
