@@ -3,7 +3,11 @@
 A text is read in overlapping windows of WINDOW words, STRIDE apart, all of
 them, to its end.  A word enters as two vectors: one of its own (hashed) and
 the mean of those of its character trigrams, so a word form never seen still
-looks like its relatives.  One gated recurrent layer runs over a window in
+looks like its relatives.  A run without blanks of more than LONG_RUN
+characters, such as prose in a script that sets none, is read as several
+words: it is cut behind inner punctuation, and what is still longer into
+pieces of PIECE characters that share two with the next, so each of its
+trigrams enters once.  One gated recurrent layer runs over a window in
 each direction, attention pools its states, and a linear unit gives the
 window's logit; a document's logit is its highest window's, turned into a
 score by a logistic curve fitted on documents kept aside.
@@ -29,6 +33,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -57,19 +62,35 @@ CALIBRATE_EVERY = 5
 #: Words whose gate inputs a task keeps, 200 bytes each.
 CACHED_WORDS = 250_000
 PUNCTUATION = string.punctuation
+LONG_RUN, PIECE = 64, 8
+#: Where long runs are cut: also general and CJK punctuation and marks of no width.
+BREAKS = "[!-/:-@\\[-`{-~\\u00a1-\\u00bf\\u0e2f\\u0e5a\\u0e5b\\u2000-\\u206f\\u3000-\\u303f\\ufe30-\\ufe4f\\ufeff\\uff01-\\uff0f]"
+_PARTS = re.compile(f"{BREAKS}+|{BREAKS.replace('[', '[^', 1)}+{BREAKS}*")
 #: Windows that are run through the network at once.
 WINDOWS_AT_ONCE = 4096
 
 
+def pieces_of(run: str) -> Iterator[str]:
+    """The words that a long run without blanks is read as."""
+    for part in _PARTS.findall(run):
+        if len(part) <= LONG_RUN:
+            yield part
+        else:
+            yield from (part[s:s + PIECE] for s in range(0, len(part) - 2, PIECE - 2))
+
+
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    words = (text or "").lower().split()
+    if len(max(words, key=len, default="")) <= LONG_RUN:
+        return words
+    return list(chain.from_iterable(pieces_of(w) if len(w) > LONG_RUN else (w,) for w in words))
 
 
 def inputs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word buckets, trigram buckets of all words in a row, trigrams per
     word).  Punctuation around a word is left off; a word's trigrams include
     marks for its two ends."""
-    cores = [(w.strip(PUNCTUATION) or w)[:64] for w in words]
+    cores = [w.strip(PUNCTUATION) or w for w in words]
     ids = np.fromiter((xxhash.xxh3_64_intdigest(c) % WORD_BUCKETS for c in cores), np.int64, len(cores))
     # Words hold no blanks, so a blank can separate them.
     code = np.frombuffer(("<" + "> <".join(cores) + ">").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -330,7 +351,11 @@ def fit(documents: list[str], label: np.ndarray, steps: int = STEPS) -> Network:
 def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Network:
     """The network; the driver gets the texts of the bounded sample only."""
     sample = labelled(docs, labels, "toxic", learn, TRAIN_ROWS)
-    size = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
+    runs = F.split(F.coalesce("text", F.lit("")), r"\s+")
+    # At least as many words as the network sees: runs, and the pieces of long ones.
+    pieces = lambda w: F.size(F.split(w, BREAKS + "+")) + F.ceil(F.length(w) / (PIECE - 2))
+    size = F.size(runs) + F.aggregate(F.filter(runs, lambda w: F.length(w) > LONG_RUN), F.lit(0).cast("long"),
+                                      lambda n, w: n + pieces(w))
     # Both limits keep TRAIN_POSITIVES + TRAIN_NEGATIVES short texts.
     got = []
     for label, n in ((1, TRAIN_POSITIVES), (0, TRAIN_NEGATIVES)):

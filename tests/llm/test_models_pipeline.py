@@ -115,6 +115,31 @@ def test_word_inputs():
     assert grams[:4].tolist() == grams[4:8].tolist()
 
 
+@pytest.mark.parametrize("run", ["".join(chr(0x4E00 + i % 5000) for i in range(997)), "x" * 50_000, "!" * 500, "a,b" * 300,
+                                 "\u200b".join(f"word{i}" for i in range(200)), "_".join("abcdefghij" * (i % 9) for i in range(99))])
+def test_runs_without_blanks_are_read_whole(run):
+    words = gru_toxicity.words_of(f"before {run} after")
+    assert words[0] == "before" and words[-1] == "after" and max(map(len, words)) <= 64
+    whole = words[1]
+    for a, b in zip(words[1:-1], words[2:-1], strict=False):  # no gap; two pieces of a part share two characters
+        whole += b[2 * (len(a) == gru_toxicity.PIECE and a[-2:] == b[:2]):]
+    assert whole == run
+    assert gru_toxicity.words_of("y" * 64) == ["y" * 64]
+
+
+@pytest.mark.parametrize("joint", ["", "_", "\u200b"])
+def test_toxic_passage_deep_in_a_text_without_blanks(joint):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("bcdfgh") + r.choice("aei") for _ in range(r.randrange(1, 4)))
+    bad = lambda w: [*w[:len(w) // 2], *["zonkzurk"] * 4, *w[len(w) // 2:]]
+    train = [[word() for _ in range(r.randrange(20, 120))] for _ in range(450)]
+    train = [" ".join(bad(w) if i % 3 == 0 else w) for i, w in enumerate(train)]
+    net = gru_toxicity.fit(train, np.arange(450) % 3 == 0, steps=60)
+    clean = [[word() for _ in range(600)] for _ in range(20)]
+    score = lambda docs: gru_toxicity.Scorer(net)([joint.join(w) for w in docs])
+    assert (score(map(bad, clean)) > score(clean)).mean() >= 0.9
+
+
 def test_scorer_does_not_depend_on_the_batch(monkeypatch):
     net = gru_toxicity.Network.fresh(5)
     r = random.Random(1)
