@@ -11,6 +11,7 @@ from risingtide.llm import (
     sharding,
     sp_prefix,
     token_histogram,
+    variant_words,
     vector_topk,
     warc_zip,
 )
@@ -86,3 +87,9 @@ def op5_quality_classifier(spark, sf):
 def op7_toxicity(spark, sf):
     arrow_rows(spark, 500)
     return gru_toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register
+def op11_spelling_variants(spark, sf):
+    arrow_rows(spark, 500)
+    return variant_words.variants(table(spark, sf, "documents"), damage_every=199)
