@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from risingtide.llm import (
+    conversation_repair,
     gru_toxicity,
     jaccard_join,
     nb_svm,
@@ -93,3 +94,9 @@ def op7_toxicity(spark, sf):
 def op11_spelling_variants(spark, sf):
     arrow_rows(spark, 500)
     return variant_words.variants(table(spark, sf, "documents"), damage_every=199)
+
+
+@register
+def op12_conversation_repair(spark, sf):
+    arrow_rows(spark, 500)
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf, "conversations")))
