@@ -8,6 +8,7 @@ from risingtide.llm import (
     jaccard_join,
     nb_svm,
     packing,
+    pivot_permutation,
     quality_rules,
     sharding,
     sp_prefix,
@@ -100,3 +101,8 @@ def op11_spelling_variants(spark, sf):
 def op12_conversation_repair(spark, sf):
     arrow_rows(spark, 500)
     return conversation_repair.repair(conversation_repair.damaged(table(spark, sf, "conversations")))
+
+
+@register
+def op13_embedding_dedup(spark, sf):
+    return pivot_permutation.near_duplicates(table(spark, sf, "embeddings"))
