@@ -5,9 +5,9 @@ Vectors link when their labels are equal and their cosine is at least
 
 1. Equal vectors of a label are one point with a count, so copies cost
    nothing further.
-2. Reference points.  The points whose digests are lowest are the pivots:
-   PIVOTS_PER_ROOT times the square root of the number of points, at most
-   MAX_PIVOTS, a bounded sample of any table.
+2. Reference points.  The points whose digests are lowest are the pivots, but
+   none that links to an earlier one: PIVOTS_PER_ROOT times the square root of
+   the number of points, at most MAX_PIVOTS and MAX_NUMBERS, a bounded sample.
 3. Description.  A point is described by its NEAREST pivots in order of
    nearness; the other pivots are not kept.
 4. Inverted pivot lists.  A point is posted to the lists of its described
@@ -23,8 +23,9 @@ Vectors link when their labels are equal and their cosine is at least
 Links are summed by point, and connections are contracted to components.
 
 The index is approximate by its nature: a link is found if its two points
-share SHARED of their NEAREST pivots.  ``recall`` measures that against all
-pairs; the README has the figures.  No link below the threshold is given.
+share SHARED of their NEAREST pivots.  A test measures that against all pairs,
+just above the threshold; the README has the figures.  No link below the
+threshold is given.
 
 Defined results: a vector that is null, empty, zero, or holds a null or
 non-finite component links with nothing, nor does one without a label, and is
@@ -51,6 +52,10 @@ from risingtide.llm.jaccard_join import components
 THRESHOLD = 0.93
 #: Pivots: so many times the square root of the points, and at most so many.
 PIVOTS_PER_ROOT, MAX_PIVOTS = 2, 32_768
+#: Components of all pivots, at most.
+MAX_NUMBERS = 4_000_000
+#: Points looked at for each pivot wanted.
+SPARE = 2
 #: Pivots that describe a point, and how many of them two points must share.
 NEAREST, SHARED = 8, 2
 #: Points of a list that a task holds on each side.
@@ -98,14 +103,30 @@ def _points(table: DataFrame) -> DataFrame:
     return table.select("vec_id", "label", "embedding").mapInArrow(run, POINT.format(id=fields[0], label=fields[1]))
 
 
-def pivots_of(points: DataFrame, count: int) -> dict[int, np.ndarray]:
-    """dim -> unit vectors of the ``count`` points whose digests are lowest."""
-    got = points.select("dim", "k1", "k2", "v").orderBy(F.xxhash64("k1", "k2"), "k1", "k2").limit(count).collect()
+def apart(units: np.ndarray, threshold: float, count: int) -> np.ndarray:
+    """The first ``count`` rows that do not link to an earlier one taken."""
+    taken: list[int] = []
+    free = np.ones(len(units), bool)
+    for i in range(len(units)):
+        if free[i]:
+            taken.append(i)
+            if len(taken) == count:
+                break
+            free[i + 1:] &= units[i + 1:] @ units[i] < threshold
+    return units[taken]
+
+
+def pivots_of(points: DataFrame, count: int, threshold: float) -> dict[int, np.ndarray]:
+    """dim -> unit vectors of points whose digests are lowest, ``count`` at
+    most of each.  A point that links to an earlier pivot is none: members of a
+    large group would otherwise each see other pivots of the group as nearest
+    and share few."""
+    got = points.select("dim", "k1", "k2", "v").orderBy(F.xxhash64("k1", "k2"), "k1", "k2").limit(SPARE * count).collect()
     out: dict[int, list] = {}
     for r in got:
         v = scaled(np.frombuffer(r["v"]))
         out.setdefault(r["dim"], []).append(v / np.linalg.norm(v))
-    return {d: np.array(vs) for d, vs in out.items()}
+    return {d: apart(np.array(vs), threshold, count) for d, vs in out.items()}
 
 
 def describe(unit: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
@@ -267,9 +288,9 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, nearest: int
     rows = stored(_points(table), "vectors")
     points, seen = stored_with(rows.filter("v is not null").groupBy("k1", "k2").agg(
         F.first("dim").alias("dim"), F.first("label").alias("label"), F.count(F.lit(1)).alias("copies"),
-        F.first("v").alias("v"), F.min("vec_id").alias("least")), "points", F.count(F.lit(1)).alias("n"))
-    count = min(MAX_PIVOTS, int(np.ceil(per_root * np.sqrt(seen["n"]))))
-    pivots = spark.sparkContext.broadcast(pivots_of(points, count) if count else {})  # MAX_PIVOTS vectors at most
+        F.first("v").alias("v"), F.min("vec_id").alias("least")), "points", F.count(F.lit(1)).alias("n"), F.max("dim").alias("dim"))
+    count = min(MAX_PIVOTS, MAX_NUMBERS // (seen["dim"] or 1), int(np.ceil(per_root * np.sqrt(seen["n"]))))
+    pivots = spark.sparkContext.broadcast(pivots_of(points, max(1, count), threshold) if seen["n"] else {})  # SPARE * MAX_NUMBERS numbers at most
     described = stored(_described(points, pivots, nearest), "described")
     found = stored(_in_lists(described, shared, chunk, threshold), "links")
     links = found.groupBy("k1", "k2").agg(F.sum("links").alias("links"))
