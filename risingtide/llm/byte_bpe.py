@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,20 +26,37 @@ def byte_alphabet() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def encoding(path: str) -> tiktoken.Encoding:
-    """The vocabulary of a tokenizers JSON file.  Ids are merge ranks; the
-    strings of special tokens are ordinary text."""
+def encoding(path: str) -> tuple[tiktoken.Encoding, dict[str, int]]:
+    """The vocabulary of a tokenizers JSON file, whose ids are merge ranks,
+    and its added tokens, which stand for themselves wherever a text holds
+    their strings."""
     with open(path, encoding="utf-8") as f:
         j = json.load(f)
-    special = {x["id"] for x in j["added_tokens"]}
+    added = {x["content"]: x["id"] for x in j["added_tokens"]}
     byte = byte_alphabet()
-    ranks = {bytes(byte[c] for c in w): i for w, i in j["model"]["vocab"].items() if i not in special}
-    return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {bytes(byte[c] for c in w): i for w, i in j["model"]["vocab"].items() if i not in added.values()}
+    return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), added
+
+
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """text -> ids, as the tokenizers library gives them without a post-processor."""
+    own, added = encoding(path)
+    ordinary = own.encode_ordinary
+    if not added:
+        return ordinary
+    borders = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def encode(text: str) -> list[int]:
+        if not any(a in text for a in added):
+            return ordinary(text)
+        return [i for part in borders.split(text) for i in ([added[part]] if part in added else ordinary(part))]
+
+    return encode
 
 
 def document_ids(path: str, texts: Iterator[str | None]) -> Iterator[np.ndarray]:
     """Little-endian unsigned 32-bit ids of each text, END last."""
-    encode = encoding(path).encode_ordinary
+    encode = encoder(path)
     for text in texts:
         yield np.array([*encode(text or ""), END], dtype="<u4")
 
@@ -49,7 +67,7 @@ def crc(ids: np.ndarray) -> int:
 
 def count_ids(batches: Iterator[pa.RecordBatch], path: str, text: int) -> Iterator[pa.RecordBatch]:
     """The batches with column ``text`` replaced by n_tokens (without END)."""
-    encode = encoding(path).encode_ordinary
+    encode = encoder(path)
     for batch in batches:
         n = pa.array([len(encode(x or "")) for x in batch.column(text).to_pylist()], pa.int64())
         yield pa.RecordBatch.from_arrays([n if i == text else c for i, c in enumerate(batch.columns)],

@@ -78,6 +78,19 @@ def texts(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
 
 
+def as_row(docs: DataFrame, *cols: str) -> DataFrame:
+    """All columns of ``docs``, whatever their names and types, in the one
+    column ``row``, beside a copy of ``cols``: an operator's own columns then
+    can't meet them."""
+    name = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return docs.select(F.struct(*[name(c) for c in docs.columns]).alias("row"), *[F.col(c) for c in cols])
+
+
+def from_row(rows: DataFrame) -> DataFrame:
+    """The columns that ``as_row`` has put away."""
+    return rows.select("row.*")
+
+
 def tokenizer_file(name: str) -> str:
     """Place of a public vocabulary file: $TOKENIZER_DIR/name if that is set,
     else where the ``public_tokenizers`` module has it."""
@@ -91,15 +104,19 @@ def tokenizer_file(name: str) -> str:
 
 class BoundedCache(dict):
     """word -> value, filled by ``make`` on a miss.  Holds at most ``limit``
-    words; after as many misses beyond that it starts anew, so it follows
-    the text it is fed and memory stays bounded."""
+    words of at most ``longest`` characters or bytes, so its bytes are bounded
+    too; after as many misses beyond that it starts anew, so it follows the
+    text it is fed.  Longer words, as in scripts without blanks, seldom come
+    again and are made each time."""
 
-    def __init__(self, make, limit: int):
+    def __init__(self, make, limit: int, longest: int = 64):
         super().__init__()
-        self.make, self.limit, self.spare = make, limit, limit
+        self.make, self.limit, self.longest, self.spare = make, limit, longest, limit
 
     def __missing__(self, word):
         value = self.make(word)
+        if not isinstance(word, int) and len(word) > self.longest:
+            return value
         if len(self) < self.limit:
             self[word] = value
         else:

@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from risingtide.llm.common import stored, stored_broadcast, stored_with, texts
+from risingtide.llm.common import as_row, from_row, stored, stored_broadcast, stored_with, texts
 
 WORDS = 5
 #: Linked at an intersection of at least NUM / DEN of the union.
@@ -575,29 +575,28 @@ def keep_first(docs: DataFrame) -> DataFrame:
     and every document without words; with their own columns.
 
     Only the keys of what goes are joined to the texts.  Of rows that repeat
-    the first's id and set, the least by its columns stays.
+    the first's id and set, the one whose JSON text is least stays.
     """
     own = stored(groups(docs).filter("n_shingles > 0"), "groups")
     name = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "k1", "k2")
     first = own.groupBy("root").agg(F.min(name).alias("f")).select("root", "f.doc_id", "f.k1", "f.k2")
     rows = own.groupBy("root", "doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
     marked = stored_broadcast(rows.alias("r").join(first.alias("f"), "root").select(
-        F.col("r.doc_id").alias("_jaccard_id"), F.col("r.k1").alias("_jaccard_a"), F.col("r.k2").alias("_jaccard_b"),
+        F.col("r.doc_id").alias("id"), F.col("r.k1").alias("a"), F.col("r.k2").alias("b"),
         (F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.k1") == F.col("f.k1"))
-         & (F.col("r.k2") == F.col("f.k2"))).alias("_jaccard_first"), "n").filter("not _jaccard_first or n > 1").drop("n"), "marked")
-    at = docs.columns.index("text")
+         & (F.col("r.k2") == F.col("f.k2"))).alias("first"), "n").filter("not first or n > 1").drop("n"), "marked")
+    rows = as_row(docs)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.array([set_key(shingles(t)) for t in batch.column(at).to_pylist()], np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys[:, 0]), pa.array(keys[:, 1])],
-                                             names=[*batch.schema.names, "_jaccard_k1", "_jaccard_k2"])
+            texts_of = batch.column(0).field("text").cast(pa.string()).to_pylist()
+            keys = np.array([set_key(shingles(t)) for t in texts_of], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1])],
+                                             names=["row", "k1", "k2"])
 
     long = F.lit(0).cast("long")
-    keyed = docs.mapInArrow(key, docs.select("*", long.alias("_jaccard_k1"), long.alias("_jaccard_k2")).schema)
-    same = ((F.col("_jaccard_k1") == F.col("_jaccard_a")) & (F.col("_jaccard_k2") == F.col("_jaccard_b"))
-            & F.col("doc_id").cast("long").eqNullSafe(F.col("_jaccard_id")))
-    joined = stored(keyed.join(marked, same, "left").filter("_jaccard_first is null or _jaccard_first"), "kept")
-    repeats = (joined.filter("_jaccard_first").groupBy("_jaccard_id", "_jaccard_k1", "_jaccard_k2")
-               .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*"))
-    return joined.filter("_jaccard_first is null").select(*docs.columns).unionByName(repeats)
+    keyed = rows.mapInArrow(key, rows.select("row", long.alias("k1"), long.alias("k2")).schema)
+    same = (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("id"))
+    joined = stored(keyed.join(marked, same, "left").filter("first is null or first"), "kept")
+    repeats = joined.filter("first").groupBy("id", "k1", "k2").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return from_row(joined.filter("first is null").select("row").unionByName(repeats.select("row")))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from risingtide.llm.common import BoundedCache, texts
+from risingtide.llm.common import BoundedCache, as_row, from_row, texts
 
 #: Labelled documents the model is fitted on, at most.
 TRAIN_ROWS = 6000
@@ -45,12 +45,35 @@ CACHED_WORDS = 200_000
 _RUNS = re.compile(r"(.)\1+")
 
 
+#: Runs of more bytes than this without blanks are read as several words.
+LONG_RUN, PIECE = 64, 8
+_PARTS = re.compile(r"[^\W_]+(?:[\W_]+|$)|[\W_]+")
+
+
 def shape(word: str) -> str:
     """THE!! -> X!, Ende, -> Xx, and 24be -> 9x."""
-    signs = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64])
+    signs = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word)
     return _RUNS.sub(r"\1", signs)
 
 
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a whole text.  A run of more than LONG_RUN bytes is cut
+    behind its punctuation, and what is still longer into pieces of PIECE
+    characters, so that a script without blanks has words that texts share."""
+    words = (text or "").encode().split()
+    if len(max(words, key=len, default=b"")) <= LONG_RUN:
+        return words
+    out = []
+    for w in words:
+        if len(w) <= LONG_RUN:
+            out.append(w)
+            continue
+        for part in _PARTS.findall(w.decode()):
+            cut = [part] if len(part) <= PIECE * 2 else [part[s:s + PIECE] for s in range(0, len(part), PIECE)]
+            out += [c.encode() for c in cut]
+    return out
+
+
 def _code(word: bytes) -> int:
     """Hash of the word in the upper 44 bits, of its shape in the lower 20."""
     own = xxhash.xxh3_64_intdigest(word.lower())
@@ -64,7 +87,7 @@ class Features:
         self.codes = BoundedCache(_code, CACHED_WORDS)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().split()
+        words = words_of(text)
         if not words:
             return np.zeros(0, np.int64)
         codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words)).view(np.uint64)
@@ -76,9 +99,7 @@ class Features:
             two = (one[:-1] ^ b) * a + shapes[1:] * b
             three = (two[:-1] ^ a) * b + shapes[2:] * a
             grams = np.concatenate([(codes >> np.uint64(20)) * a, one, two, three])
-        seen = np.zeros(BUCKETS, bool)
-        seen[(grams >> np.uint64(64 - 19)).astype(np.int64)] = True
-        return np.flatnonzero(seen)
+        return np.unique((grams >> np.uint64(64 - 19)).astype(np.int64))
 
 
 def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, size: int,
@@ -190,7 +211,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     """The model; features are taken by the executors, the driver gets those
-    of TRAIN_ROWS documents."""
+    of TRAIN_ROWS ids.  An id that stands for several texts teaches by one of
+    them, the one whose features sort first."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
@@ -201,37 +223,38 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
                 names=["doc_id", "label", "features"])
 
     got = (labelled(docs, labels, "quality", learn, TRAIN_ROWS)
-           .mapInArrow(take, "doc_id long, label int, features binary").collect())
+           .mapInArrow(take, "doc_id long, label int, features binary")
+           .groupBy("doc_id", "label").agg(F.min("features").alias("features")).collect())
     got.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["features"])))
     order = np.random.default_rng(7).permutation(len(got))
     rows = [np.frombuffer(got[i]["features"], np.int32) for i in order]
     return fit(rows, np.array([got[i]["label"] for i in order]))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``_score``, from column text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 * BUCKETS numbers
-    at = docs.columns.index("text")
-    schema = docs.select("*", F.lit(0.0).alias("_score")).schema
+def scored(rows: DataFrame, model: Model, text) -> DataFrame:
+    """``rows`` with ``score``; ``text`` takes the texts from a batch."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # 2 * BUCKETS numbers
+    schema = rows.select("*", F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, features = shared.value, Features()
         for batch in batches:
-            score = pa.array([own.score(features(t)) for t in batch.column(at).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, "_score"])
+            score = pa.array([own.score(features(t)) for t in text(batch).to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     model = train(docs, labels, ~held_out(F.col("doc_id"), parts, part))
-    return scored(texts(docs), model).select(
-        "doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= threshold).cast("int").alias("predicted"))
+    return scored(texts(docs), model, lambda batch: batch.column(1)).select(
+        "doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` not rejected, with their own columns."""
     model = train(docs, labels, ~held_out(F.col("doc_id"), parts, part))
-    return scored(docs, model).filter(F.col("_score") >= threshold).select(*docs.columns)
+    scores = scored(as_row(docs), model, lambda batch: batch.column(0).field("text").cast(pa.string()))
+    return from_row(scores.filter(F.col("score") >= threshold))

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from risingtide.llm.common import stored
+from risingtide.llm.common import as_row, from_row, stored
 from risingtide.session import broadcast_hint, data_size
 
 WINDOW = 5
@@ -186,4 +186,5 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns."""
-    return _verdicts(stored(_measured(docs), "measured")).filter("_kept").select(*docs.columns)
+    rows = as_row(docs, "text", "lang", "source")
+    return from_row(_verdicts(stored(_measured(rows).drop("text"), "measured")).filter("_kept"))

@@ -17,17 +17,24 @@ of bounded size, each pair of blocks one task; the partial results of a query
 are merged by a ranking.  Equal vectors of a block are searched once and keep
 their k + 1 smallest ids (more can't enter a result that excludes one id).
 
+Integer vectors travel as doubles, which hold every component exactly.  As
+long as no product of two of a block's vectors can reach 2**53, scores are
+sums of doubles and exact; wider vectors, which no real embedding comes near,
+are scored one by one in Python's unbounded integers.
+
 Defined results: a vector that is null, or holds a null or non-finite
 component, takes no part; nor does a row without an id.  Rows that repeat id
 and vector count once.  Vectors are compared with those of their own length.
-Integer components are limited to +-2**31 (no real embedding comes near), so
-that a product of 2**10 of them fits a double's range and int64 sums do not
-wrap for the sizes in use.  Ties go to the smaller id.  Other columns are
-ignored.
+A score that no long holds is given as the nearest long, and such scores tie.
+Ties go to the smaller id.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
+import sys
+from operator import mul
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -43,15 +50,19 @@ QUERY_STEP = 128
 
 
 def integer_vectors(table: DataFrame) -> DataFrame:
-    """vec_id long, v array<long>: the rows that take part."""
+    """vec_id long, v array<double> of integers: the different rows that take
+    part."""
     e = F.col("embedding")
     good = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    limit = F.lit(float(2**31))
-    v = F.transform(e, lambda x: F.greatest(-limit, F.least(limit, F.floor(x.cast("double") * SCALE).cast("double")))
-                    .cast("long"))
+    most = F.lit(sys.float_info.max)
+
+    def scaled(x):  # beyond 2**52 a double is an integer, and a long may not hold it
+        y = F.greatest(-most, F.least(most, x.cast("double") * SCALE))
+        return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)
+
     return (table.select(F.col("vec_id").cast("long").alias("vec_id"), e)
             .filter(F.col("vec_id").isNotNull() & e.isNotNull() & good)
-            .select("vec_id", v.alias("v")))
+            .select("vec_id", F.transform(e, scaled).alias("v")).distinct())
 
 
 def segment_bounds(dim: int) -> list[np.ndarray]:
@@ -72,8 +83,38 @@ def segment_statistics(m: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
     return mean * np.sqrt(sizes), np.sqrt(np.maximum(var, 0)) * np.sqrt(sizes)
 
 
+def is_wide(m: np.ndarray) -> np.ndarray:
+    """Rows with a component so large that sums of products may pass 2**53."""
+    return np.abs(m).max(axis=1, initial=0) >= np.sqrt(2.0**53 / max(1, m.shape[1]))
+
+
+def search_wide(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
+    """``search_block`` for any components, by unbounded integers."""
+    low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    numbers = [([int(x) for x in v], int(i)) for v, i in zip(c.tolist(), c_ids, strict=True)]
+    found = []
+    for own, v in zip(q_ids.tolist(), q.tolist(), strict=True):
+        v = [int(x) for x in v]
+        best = heapq.nsmallest(k, {(-min(max(sum(map(mul, v, w)), low), high), i) for w, i in numbers if i != own})
+        found += [(own, i, -s) for s, i in best]
+    return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+
+
+def search(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
+    """At least the top k of the rows of ``c`` for each row of ``q``."""
+    wide_q, wide_c = is_wide(q), is_wide(c)
+    parts = [search_block(q_ids[~wide_q], q[~wide_q], c_ids[~wide_c], c[~wide_c], k)]
+    if wide_q.any():
+        parts.append(search_wide(q_ids[wide_q], q[wide_q], c_ids, c, k))
+    if wide_c.any():
+        parts.append(search_wide(q_ids[~wide_q], q[~wide_q], c_ids[wide_c], c[wide_c], k))
+    return pd.concat([p for p in parts if len(p)] or parts[:1])
+
+
 def search_block(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
-    """Exact top k of the rows of ``c`` for each row of ``q`` (int64)."""
+    """Exact top k of the rows of ``c`` for each row of ``q``, none wide."""
+    if not len(q) or not len(c):
+        return pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "vec_id", "score")})
     order = np.lexsort((c_ids, *c.T[::-1]))  # equal vectors side by side, ids ascending
     c, c_ids = c[order], c_ids[order]
     fresh = np.ones(len(c), bool)
@@ -85,14 +126,10 @@ def search_block(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
     c_stats = [np.hstack(segment_statistics(vectors, s)) for s in levels]
     q_stats = [np.hstack(segment_statistics(q, s)) for s in levels]
     found = []
-    exact_q, exact_v = q.astype(np.float64), vectors.astype(np.float64)
-    safe = c.shape[1] * float(np.abs(exact_q).max(initial=0)) * float(np.abs(exact_v).max(initial=0)) < 2**53
     few = min(k + 1, len(vectors))  # the query's own vector may be among them
 
     def score(qi, vi):
-        if safe:
-            return np.einsum("ij,ij->i", exact_q[qi], exact_v[vi]).astype(np.int64)
-        return np.einsum("ij,ij->i", q[qi], vectors[vi])
+        return np.einsum("ij,ij->i", q[qi], vectors[vi]).astype(np.int64)
 
     for at in range(0, len(q), QUERY_STEP):
         rows = np.arange(at, min(at + QUERY_STEP, len(q)))
@@ -119,9 +156,9 @@ def search_block(q_ids, q, c_ids, c, k: int) -> pd.DataFrame:
         # vectors that any query of the step still wants.
         left = np.flatnonzero(alive.any(axis=0))
         alive = alive[:, left]
-        exact = exact_q[rows] @ exact_v[left].T if safe else q[rows] @ vectors[left].T
+        exact = q[rows] @ vectors[left].T
         if few > k and len(left) > k:
-            own = np.where(alive, exact, -np.inf if safe else np.iinfo(np.int64).min + 1)
+            own = np.where(alive, exact, -(2.0**53))
             kth = np.maximum(kth, -np.partition(-own, k, axis=1)[:, k].astype(np.int64))
         qi, vi = np.nonzero(alive & (exact >= kth[:, None]))
         scores = exact[qi, vi].astype(np.int64)
@@ -149,18 +186,19 @@ def topk(table: DataFrame, k: int, every: int, query_block: int = QUERY_BLOCK,
     is_query = F.col("vec_id") % every == 0
     n, nq = vectors.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
     qb, cb = max(1, -(-nq // query_block)), max(1, -(-n // candidate_block))
-    by_id = lambda blocks: F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    queries = (vectors.filter(is_query).distinct().withColumn("qb", by_id(qb))
+    # By id and vector: rows that share an id are dealt out too.
+    by_row = lambda blocks: F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")
+    queries = (vectors.filter(is_query).withColumn("qb", by_row(qb))
                .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
-    candidates = (vectors.withColumn("cb", by_id(cb))
+    candidates = (vectors.withColumn("cb", by_row(cb))
                   .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
     key = ["qb", "cb", F.size("v").alias("dim")]
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
-        dense = lambda t: np.array(t["v"].tolist(), dtype=np.int64).reshape(len(t), -1)
-        return search_block(left["vec_id"].to_numpy(), dense(left), right["vec_id"].to_numpy(), dense(right), k)
+        dense = lambda t: np.array(t["v"].tolist(), dtype=np.float64).reshape(len(t), -1)
+        return search(left["vec_id"].to_numpy(), dense(left), right["vec_id"].to_numpy(), dense(right), k)
 
     parts = (queries.groupBy(*key).cogroup(candidates.groupBy(*key))
              .applyInPandas(block, "query_id long, vec_id long, score long").distinct())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm.conftest import DOC_SCHEMA, rows_of
 from risingtide.llm import gru_toxicity, jaccard_join, nb_svm, quality_rules
-from risingtide.llm.common import table
+from risingtide.llm.common import BoundedCache, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -197,6 +197,54 @@ def test_stages_in_order(spark):
         docs = spark.createDataFrame(out.collect(), out.schema)
 
 
+def test_stages_give_back_any_columns(spark):
+    """Columns under the names the stages use themselves, with a dot, with
+    blanks and backticks, and of a type that can't be ordered."""
+    names = ["_kept", "_base_failed", "_q_n_words", "_q_words", "_lang", "_source", "_hi_chars", "_m_chars", "_score", "score", "row",
+             "_row", "first", "id", "a", "b", "k1", "k2", "_jaccard_first", "_jaccard_k1", "n", "root", "a.b", "row.text", "x y", "q`q"]
+    docs = table(spark, SF, "documents").select("*", *[F.lit(f"own {c}").alias(c) for c in names],
+                                                F.create_map(F.lit("k"), F.col("doc_id")).alias("map"),
+                                                F.array(F.struct(F.col("lang").alias("l"))).alias("nested"))
+    docs = docs.unionByName(docs.limit(60))  # repeated rows
+    plain = {r["doc_id"]: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r == plain[r["doc_id"]] for r in rows), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_classifier_reads_runs_without_blanks_whole():
+    """What stands deep inside a run without blanks is among its features."""
+    take = nb_svm.Features()
+    base = "字" * 30_000
+    assert not np.array_equal(take(base), take(base[:20_000] + "坏词坏词!" + base[20_000:]))
+    assert not np.array_equal(take("x" * 64), take("x" * 64 + "ABC123!!"))
+    assert nb_svm.shape("x" * 64 + "ABC123!!") == "xX9!"
+    assert b"".join(nb_svm.words_of("a,b" * 999)) == b"a,b" * 999
+
+
+def test_classifier_learns_bounded_rows(spark):
+    """An id of many rows sends one vector of features to the driver."""
+    docs = spark.createDataFrame([(1, f"word{i % 700} of text {i}") for i in range(3000)] + [(i, "plain text") for i in range(2, 40)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    seen = []
+    fit, nb_svm.fit = nb_svm.fit, lambda rows, label: seen.append(len(rows)) or fit(rows, label)
+    try:
+        assert nb_svm.classify(docs, labels).count() == 3038
+    finally:
+        nb_svm.fit = fit
+    assert seen[0] <= 39
+
+
+def test_caches_are_bounded_in_bytes():
+    cache = BoundedCache(len, 100)
+    assert [cache["x" * n] for n in (3, 64, 65, 10_000)] == [3, 64, 65, 10_000]
+    assert len(cache) == 2
+
+
 def test_stages_on_edge_rows(spark, edge_docs, no_docs):
     for docs in (edge_docs, no_docs, spark.createDataFrame([(0, None, None, None, None)], DOC_SCHEMA)):
         for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -255,6 +255,22 @@ def test_topk_against_brute_force(spark):
     assert vector_topk.topk(df.limit(0), 5, 50).collect() == []
 
 
+def test_topk_of_wide_components(spark):
+    """Components far beyond any embedding's, scored exactly as long as a long
+    holds the score; rows that repeat one id with many vectors."""
+    rows = [(0, [1.0, 0.0]), (1, [9e6, 0.0]), (2, [1e7, 0.0]), (3, [1e9, -3.0]), (4, [-1e9, 1.0]), (50, [1e9, 2.5]), (6, [0.25, 1.0])]
+    rows += [(7, [float(i), 0.5]) for i in range(200)] + [(100, [1e300, 0.0]), (8, [-1e300, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    own = {(i, tuple(int(np.floor(256 * x)) if abs(x) < 1e15 else int(x * 256) for x in v)) for i, v in rows}
+    want = set()
+    for i in (0, 50, 100):
+        v = next(v for j, v in own if j == i)
+        best = sorted({(-min(max(sum(a * b for a, b in zip(v, w, strict=True)), -2**63), 2**63 - 1), j) for j, w in own if j != i})[:5]
+        want |= {(i, r, j, -s) for r, (s, j) in enumerate(best, 1)}
+    for blocks in ({}, {"query_block": 1, "candidate_block": 16}):
+        assert {tuple(x.values()) for x in rows_of(vector_topk.topk(df, 5, 50, **blocks))} == want
+
+
 def test_bounds_are_never_below_the_product():
     r = np.random.default_rng(4)
     a, b = r.integers(-500, 500, (40, 33)), r.integers(-500, 500, (40, 33))
@@ -276,7 +292,7 @@ def test_block_search_on_ties_and_large_components(size):
     c = r.integers(-size, size, (300, 24))
     c[50:90] = c[7]
     ids = r.permutation(1000)[:300]
-    out = vector_topk.search_block(ids[::10], c[::10], ids, c, 5)
+    out = vector_topk.search(ids[::10], c[::10].astype(float), ids, c.astype(float), 5)
     for row, i in enumerate(ids[::10]):
         best = sorted((-int(c[10 * row] @ c[j]), int(ids[j])) for j in range(300) if ids[j] != i)[:5]
         got = out[out.query_id == i]

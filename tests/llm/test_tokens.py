@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from llm.conftest import crc, rows_of
 from risingtide.llm import packing, sp_prefix, token_histogram
+from risingtide.llm.byte_bpe import document_ids
 from risingtide.llm.common import table, tokenizer_file
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,6 @@ BPE, SP = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.mod
 
 def library_ids(texts):
     t = Tokenizer.from_file(BPE)
-    t.encode_special_tokens = True
     return [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -185,3 +185,12 @@ def test_prefix_table_without_cuts():
     enc, sp = sp_prefix.encoder(SP), sentencepiece.SentencePieceProcessor(model_file=SP)
     text = "thequickbrownfox" * 5000
     assert enc.encode(text) == sp.encode(text)
+
+
+def test_added_token_in_a_text():
+    """Its string stands for its id wherever a text holds it, as in the
+    library."""
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", " <|endoftext|>\n", "<|endoftext", "x" * 9 + "<|endoftext|>" * 3]
+    got = [ids.tolist() for ids in document_ids(BPE, texts)]
+    assert got == [[*ids, 0] for ids in library_ids(texts)]
+    assert got[0] == [64, 220, 50256, 275, 0]
