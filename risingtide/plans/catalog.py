@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from risingtide.operators import enrich, inference, labels, localize, momentum, report
+from risingtide.operators import enrich, inference, labels, localize, momentum, report, signals
 from risingtide.operators import sectors as sector_ops
 from risingtide.params import DRIVER_PARAMS as P
 from risingtide.plans import alert, job
@@ -146,6 +146,28 @@ def q_distinct_symbols(spark, sf):
     return momentum.momentum_screen(driver.prices(spark, sf, P), P).select("symbol").distinct()
 
 
+# ---------------------------------------------------------------- further signals
+
+def _history(spark, sf):
+    """Daily bars with tick counts over all of the tick table."""
+    return bars.daily_bars(driver.ticks(spark, sf), count=True)
+
+
+@register("volume_spike")
+def q_volume_spike(spark, sf):
+    return signals.volume_spike(_history(spark, sf))
+
+
+@register("volatility")
+def q_volatility(spark, sf):
+    return signals.volatility(_history(spark, sf))
+
+
+@register("relative_strength")
+def q_relative_strength(spark, sf):
+    return signals.relative_strength(_history(spark, sf), P)
+
+
 # ---------------------------------------------------------------- sectors / joins
 
 def _survivor_inputs(spark, sf):
@@ -306,6 +328,11 @@ def q_canonical_labels(spark, sf):
     return labels.canonical_label_map(_words(spark, sf))
 
 
+@register("fuzzy_labels")
+def q_fuzzy_labels(spark, sf):
+    return labels.fuzzy_label_map(_words(spark, sf))
+
+
 @register("label_quality")
 def q_label_quality(spark, sf):
     c = driver.table(spark, sf, "conversations").select("conv_id", "turn", "text")

@@ -274,6 +274,27 @@ per_label AS (
   FROM words WHERE label <> '' GROUP BY label),
 canon AS (SELECT k, arg_min(label, (-label_count, label)) AS canonical_label FROM per_label GROUP BY k)
 SELECT p.label, c.canonical_label, p.label_count FROM per_label p JOIN canon c ON p.k = c.k"""
+SQL["fuzzy_labels"] = r"""WITH RECURSIVE words AS (
+  SELECT regexp_replace(w, '[.,;:!?()"]', '', 'g') AS label
+  FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS w FROM documents) t),
+per_label AS (
+  SELECT label, count(*) AS label_count,
+         lower(regexp_replace(regexp_replace(trim(label), '\s*-\s*', '-', 'g'), '\s+', ' ', 'g')) AS k
+  FROM words WHERE label <> '' GROUP BY label),
+keys AS (SELECT DISTINCT k FROM per_label),
+rests AS (
+  SELECT k, i, k[:i - 1] || k[i + 1:] AS rest
+  FROM (SELECT k, unnest(range(1, length(k) + 1)) AS i FROM keys WHERE length(k) >= 12)),
+near AS (
+  SELECT a.k AS u, b.k AS v FROM rests a JOIN rests b ON a.i = b.i AND a.rest = b.rest AND a.k <> b.k
+  UNION SELECT r.k, keys.k FROM rests r JOIN keys ON keys.k = r.rest AND length(keys.k) >= 12
+  UNION SELECT keys.k, r.k FROM rests r JOIN keys ON keys.k = r.rest AND length(keys.k) >= 12),
+near1 AS (SELECT u, v FROM near WHERE levenshtein(u, v) <= 1 OR length(u) <> strlen(u) OR length(v) <> strlen(v)),
+reach AS (SELECT k AS u, k AS v FROM keys UNION SELECT reach.u, near1.v FROM reach JOIN near1 ON reach.v = near1.u),
+root AS (SELECT u AS k, min(v) AS root FROM reach GROUP BY u),
+canon AS (SELECT root, arg_min(label, (-label_count, label)) AS canonical_label
+          FROM per_label JOIN root USING (k) GROUP BY root)
+SELECT label, canonical_label, label_count FROM per_label JOIN root USING (k) JOIN canon USING (root)"""
 SQL["label_quality"] = r"""SELECT conv_id, turn, n_words, n_words <= 3 AS within_limit
 FROM (SELECT conv_id, turn,
              CAST(CASE WHEN trim(text) = '' THEN 0
@@ -494,3 +515,36 @@ SELECT s.symbol, c.core_focus FROM spelled s JOIN canon c ON c.k = lower(trim(s.
 SQL["localize_by_table"] = f"""
 SELECT c_custkey AS symbol, c_mktsegment AS core_focus, {_translated("c_mktsegment")} AS core_focus_local FROM customer"""
 SQL["report_from_lookups"] = SQL["alert_report"]
+
+# ------------------------------------------------------------------ further signals
+
+_HISTORY = """bars AS (
+  SELECT symbol, date, CASE WHEN isnan(c) THEN NULL ELSE c END AS close, n AS n_ticks
+  FROM (SELECT user_id AS symbol, CAST(ts AS DATE) AS date, max_by(value, (ts, event_id)) AS c, count(*) AS n
+        FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2) g)"""
+SQL["volume_spike"] = with_(_HISTORY) + """SELECT symbol, date, n_ticks, avg_ticks, n_ticks / nullif(avg_ticks, 0) AS volume_ratio,
+       coalesce(n_ticks / nullif(avg_ticks, 0) >= 2, false) AS is_spike
+FROM (SELECT *, avg(n_ticks) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS avg_ticks
+      FROM bars) t"""
+SQL["volatility"] = with_(_HISTORY, scored_cte()) + """, frames AS (
+  SELECT symbol, date, percent, list_filter(list(percent) OVER (PARTITION BY symbol ORDER BY date
+           ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), lambda x: x IS NOT NULL AND isfinite(x)) AS f
+  FROM pct),
+means AS (SELECT *, len(f)::INT AS n_returns, list_reduce(list_prepend(0.0::DOUBLE, f), lambda a, x: a + x) / len(f) AS m FROM frames)
+SELECT symbol, date, percent, n_returns,
+       CASE WHEN n_returns > 1 THEN
+         sqrt(list_reduce(list_prepend(0.0::DOUBLE, f), lambda a, x: a + (x - m) * (x - m)) / (n_returns - 1)) END AS volatility
+FROM means"""
+SQL["relative_strength"] = with_(_HISTORY) + f"""
+, ends AS (SELECT {_d(P.end_date)} - (5 * k)::INT AS window_end FROM range(4) r(k)),
+member AS (SELECT window_end, symbol, date, close FROM ends JOIN bars ON date BETWEEN window_end - {P.window_days} AND window_end),
+gains AS (
+  SELECT window_end, symbol, CASE WHEN o IS NULL OR c IS NULL THEN NULL WHEN o <> 0 THEN (c - o) / o * 100
+           ELSE {_inf_by_sign("c - o")} END AS g
+  FROM (SELECT DISTINCT window_end, symbol, first_value(close) OVER w AS o, last_value(close) OVER w AS c FROM member
+        WINDOW w AS (PARTITION BY window_end, symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) t),
+means AS (
+  SELECT window_end, sum(floor(g * 1000000)::BIGINT)::DOUBLE / count(*) / 1000000 AS universe_mean
+  FROM gains WHERE abs(g) < 1e12 GROUP BY window_end)
+SELECT window_end, symbol, g AS start_end_percent, universe_mean, g - universe_mean AS relative_strength
+FROM gains LEFT JOIN means USING (window_end)"""
