@@ -4,8 +4,8 @@ as Spark operators with an injected predictor.
 The reference put *every* symbol into one prompt and made one call per
 sector.  Neither scales: here records are cut into bounded batches
 (``bounded_batches``), each batch is one call, and the calls run inside
-Python workers fed by Arrow (``applyInPandas``).  The
-reply is free text; cutting out and parsing the JSON array is done JVM-side
+Python workers fed by Arrow, in an iterator over a partition's sorted rows
+(``mapInPandas``).  The reply is free text; cutting out and parsing the JSON array is done JVM-side
 with built-in functions (``functions.text.parse_json_rows``), and replies
 that do not parse go to a reject frame instead of failing the job.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from risingtide.functions.text import parse_json_rows
-from risingtide.session import checked_broadcast, materialize
+from risingtide.session import broadcast_hint, checked_broadcast, materialize, materialize_measured
 
 Predictor = Callable[[list[dict]], str]
 
@@ -64,65 +64,115 @@ def describe_sectors_predict(records: list[dict]) -> str:
     return json.dumps(out, ensure_ascii=False)
 
 
-# Copies of one record are numbered in runs of so many.
-_COPY_RUN = 10_000
+def _dealt(df: DataFrame, key: str, max_rows: int, groups: list[str]) -> DataFrame:
+    """``df`` with ``_bucket`` and the record's 128-bit digest ``_d1``,
+    ``_d2``.  Buckets hold about ``max_rows`` rows.  Which bucket a record is
+    in depends on the records alone, not on splits, tasks or the size of the
+    cluster, and no text has been moved yet:
 
+    1. rows are counted by group (no text is read), and by digest, which finds
+       the records that have more copies than a batch holds;
+    2. ``bucket = pmod(digest, ceil(n / max_rows))`` spreads a group over
+       buckets, and so a hot group or a key repeated in many rows;
+    3. a record of too many copies is reduced to one row and a count (a partial
+       aggregate) and dealt out again, one bucket for every ``max_rows``
+       copies.
 
-def bounded_batches(df: DataFrame, key: str, max_rows: int,
-                    group_cols: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Adds ``batch_id`` and ``batch_row`` so that no (group, batch) holds
-    more than ``max_rows`` rows, without a global sort and without a window
-    over a whole group.  Which records share a batch depends on the records
-    alone, not on splits, tasks or the size of the cluster.
-
-    1. equal records are counted (partial aggregate) and numbered, so many
-       copies of one record can be told apart;
-    2. per-group row counts, materialised and broadcast after a size check
-       (without groups, one count), so no group is shuffled whole;
-    3. ``bucket = pmod(xxhash64(record, copy), ceil(n / max_rows))`` spreads
-       a group over about ``n / max_rows`` buckets, so a hot group, a key
-       repeated in many rows and copies of one record are all split;
-    4. ``row_number`` inside (group, bucket) -- a partition of about
-       ``max_rows`` rows -- ordered by the whole record; then
-       ``batch = (bucket, (rn - 1) div max_rows)`` caps every batch at
-       exactly ``max_rows``.
-
-    ``df`` is read twice (counts, then rows): pass a materialised frame when
-    it is costly to compute.
+    ``df`` is read up to three times: pass a materialised frame when it is
+    costly to compute.
     """
-    groups = list(group_cols)
     record = [key] + [c for c in df.columns if c != key and c not in groups]
-    copies = df.groupBy(*groups, *record).agg(F.count(F.lit(1)).alias("_copies"))
+    rows = df.withColumns({"_d1": F.xxhash64(*record), "_d2": F.xxhash64(F.lit(1), *record)})
+    heavy, n_heavy, size = materialize_measured(
+        rows.groupBy(*groups, "_d1", "_d2").agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > max_rows)
+        .select(*[F.col(g).alias(f"_h_{g}") for g in groups], F.col("_d1").alias("_h1"), F.col("_d2").alias("_h2")))
+    digest = ["_d1", "_d2"]
+    if n_heavy:
+        same = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"_h_{g}")) for g in groups]
+                      + [(F.col("_d1") == F.col("_h1")) & (F.col("_d2") == F.col("_h2"))])
+        heavy = broadcast_hint(heavy, n_heavy, size)
+        once = rows.join(heavy, same, "left_semi").groupBy(*groups, *record, *digest).agg(F.count(F.lit(1)).alias("_copies"))
+        part = F.explode(F.expr(f"sequence(0L, _copies - 1, {max_rows}L)"))
+        copy = F.explode(F.expr(f"sequence(_part, least(_part + {max_rows}L, _copies) - 1)"))
+        copies = (once.withColumn("_part", part).withColumn("_copy", copy)
+                  .withColumn("_bucket", -1 - F.pmod(F.xxhash64(*digest, "_part"), F.lit(2**62)))
+                  .select(*df.columns, *digest, "_bucket"))
+        rows = rows.join(heavy, same, "left_anti")
     if groups:
-        counts = checked_broadcast(copies.groupBy(*groups).agg(F.sum("_copies").alias("_n"))
+        counts = checked_broadcast(df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
                                    .withColumnsRenamed({g: f"_g_{g}" for g in groups}))
-        same = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups])
-        joined = copies.join(counts, same).drop(*[f"_g_{g}" for g in groups])
+        rows = rows.join(counts, reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]))
+        n = F.col("_n")
     else:
-        joined = copies.withColumn("_n", F.lit(df.count()))
-    run = F.explode(F.expr(f"sequence(0L, _copies - 1, {_COPY_RUN}L)"))
-    copy = F.explode(F.expr(f"sequence(_run, least(_run + {_COPY_RUN}L, _copies) - 1)"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_rows))).cast("long")
-    with_bucket = (joined.withColumn("_run", run).withColumn("_copy", copy)
-                   .withColumn("_bucket", F.pmod(F.xxhash64(*record, "_copy"), nb)))
-    w = Window.partitionBy(*groups, "_bucket").orderBy(*record, "_copy")
-    return (with_bucket.withColumn("_rn", F.row_number().over(w) - 1)
+        n = F.lit(df.count())
+    buckets = F.greatest(F.lit(1), F.ceil(n / F.lit(max_rows))).cast("long")
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*digest), buckets)).select(*df.columns, *digest, "_bucket")
+    return rows.unionByName(copies) if n_heavy else rows
+
+
+def bounded_batches(df: DataFrame, key: str, max_rows: int,
+                    group_cols: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``batch_bucket``, ``batch_id`` and ``batch_row`` so that no
+    (group, batch) holds more than ``max_rows`` rows, without a global sort
+    and without a window over a whole group (see ``_dealt``).  Rows are
+    numbered inside a bucket by key and digest; ``batch = (bucket, number div
+    max_rows)`` caps every batch at exactly ``max_rows``.
+
+    Texts are shuffled once, by bucket; grouping the result by
+    ``batch_bucket`` and ``batch_id`` needs no further Exchange.
+    """
+    groups = list(group_cols)
+    w = Window.partitionBy(*groups, "_bucket").orderBy(key, "_d1", "_d2")
+    return (_dealt(df, key, max_rows, groups).withColumn("_rn", F.row_number().over(w) - 1)
             .withColumn("batch_id", F.concat_ws(":", F.col("_bucket").cast("string"),
                                                 F.expr(f"_rn div {max_rows}").cast("string")))
             .withColumn("batch_row", (F.col("_rn") % max_rows).cast("int"))
-            .select(*df.columns, "batch_id", "batch_row"))
+            .select(*df.columns, F.col("_bucket").alias("batch_bucket"), "batch_id", "batch_row"))
+
+
+def _called(df: DataFrame, key: str, max_records: int, groups: list[str], answer: Callable[[list[dict]], str]) -> DataFrame:
+    """One ``answer`` per batch, cut inside the partition: the rows of a bucket
+    come as a sorted stream of Arrow batches, and an iterator holds one batch
+    of records at a time.  Texts are shuffled once, by bucket."""
+    cols, at = df.columns, [*groups, "_bucket"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, number, records = None, 0, []
+
+        def reply() -> dict:
+            return {"batch_key": f"{place}:{number}", "n_records": len(records), "reply": answer(records)}
+
+        for pdf in frames:
+            out = []
+            for here, record in zip(pdf["_place"], pdf[cols].to_dict("records"), strict=True):
+                if here != place or len(records) == max_records:
+                    if records:
+                        out.append(reply())
+                    number = number + 1 if here == place else 0
+                    place, records = here, []
+                records.append(record)
+            yield pd.DataFrame(out, columns=["batch_key", "n_records", "reply"])
+        if records:
+            yield pd.DataFrame([reply()])
+
+    # A group's name is told apart from the others' and from a NULL.
+    place = F.concat_ws(":", *([F.to_json(F.struct(*groups))] if groups else []), F.col("_bucket").cast("string"))
+    dealt = _dealt(df, key, max_records, groups).withColumn("_place", place)
+    return dealt.repartition(*at).sortWithinPartitions(*at, key, "_d1", "_d2").mapInPandas(run, REPLY_SCHEMA)
 
 
 def prompt_documents(df: DataFrame, batch_cols: list[str], record_cols: list[str],
                      order_col: str) -> DataFrame:
     """One JSON document per batch -- the records of the batch as a JSON
     array ordered by ``order_col``.  Batches are bounded upstream, so each
-    collected list is bounded."""
+    collected list is bounded.  Grouped by the batch's bucket too, if the
+    frame has it, the rows stay where ``bounded_batches`` has put them."""
+    bucket = [c for c in ("batch_bucket",) if c in df.columns and c not in batch_cols]
     # array_sort orders structs by their first field
     rec = F.struct(*[F.col(c) for c in [order_col] + [c for c in record_cols if c != order_col]])
-    return (df.groupBy(*batch_cols)
+    return (df.groupBy(*bucket, *batch_cols)
             .agg(F.count(F.lit(1)).alias("n_records"),
-                 F.to_json(F.array_sort(F.collect_list(rec))).alias("document")))
+                 F.to_json(F.array_sort(F.collect_list(rec))).alias("document")).drop(*bucket))
 
 
 MAX_RECORDS_PER_CALL = 100
@@ -164,10 +214,8 @@ def call_model(df: DataFrame, predict: Predictor, key: str,
     last error fails the task.  Output: ``(batch_key, n_records, reply)``,
     lazy -- ``model_replies`` calls once and keeps the replies.
     """
-    cols = df.columns
 
-    def per_batch(pdf: pd.DataFrame) -> pd.DataFrame:
-        records = pdf.sort_values("batch_row")[cols].to_dict("records")
+    def answer(records: list[dict]) -> str | None:
         text = None
         for attempt in range(1, attempts + 1):
             try:
@@ -178,9 +226,9 @@ def call_model(df: DataFrame, predict: Predictor, key: str,
                 continue
             if reply_has_array(text):
                 break
-        return pd.DataFrame([{"batch_key": pdf["batch_id"].iloc[0], "n_records": len(records), "reply": text}])
+        return text
 
-    return bounded_batches(df, key, max_records).groupBy("batch_id").applyInPandas(per_batch, REPLY_SCHEMA)
+    return _called(df, key, max_records, [], answer)
 
 
 def model_replies(df: DataFrame, predict: Predictor, key: str, **kw) -> DataFrame:
@@ -233,18 +281,15 @@ def translate_per_group(df: DataFrame, group_col: str, key: str, cols: list[str]
     the rejects with its group and batch."""
     names = [key, group_col, *cols]
 
-    def per_batch(pdf: pd.DataFrame) -> pd.DataFrame:
-        records = pdf.sort_values("batch_row")[names].to_dict("records")
+    def answer(records: list[dict]) -> str | None:
         text = None
         for _ in range(attempts):
             text = predict(records)
             if reply_has_array(text):
                 break
-        return pd.DataFrame([{"batch_key": f"{pdf[group_col].iloc[0]}:{pdf['batch_id'].iloc[0]}",
-                              "n_records": len(records), "reply": text}])
+        return text
 
-    batches = bounded_batches(df.select(*names), key, max_rows, [group_col])
-    replies = materialize(batches.groupBy(group_col, "batch_id").applyInPandas(per_batch, REPLY_SCHEMA))
+    replies = materialize(_called(df.select(*names), key, max_rows, [group_col], answer))
     key_type = df.schema[key].dataType.simpleString()
     element = ", ".join([f"{key} {key_type}", f"{group_col} string", *[f"{c}_local string" for c in cols]])
     return parse_replies(replies, element, key)
@@ -259,6 +304,6 @@ def apply_per_group(df: DataFrame, group_col: str, key: str, fn: Callable[[pd.Da
     out_cols = [f.split()[0] for f in schema.split(",")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(pdf.drop(columns=["batch_id", "batch_row"]))[out_cols]
+        return fn(pdf.drop(columns=["batch_bucket", "batch_id", "batch_row"]))[out_cols]
 
-    return b.groupBy(group_col, "batch_id").applyInPandas(run, schema)
+    return b.groupBy(group_col, "batch_bucket", "batch_id").applyInPandas(run, schema)

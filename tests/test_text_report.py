@@ -1,4 +1,7 @@
 import datetime as dt
+import json
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -275,3 +278,38 @@ def test_small_helpers_edge_cases(spark):
         recs, ["batch_id"], ["symbol", "company_overview"], "symbol").collect()}
     assert docs[0] == (2, '[{"symbol":1,"company_overview":"a"},{"symbol":3,"company_overview":"c"}]')
     assert docs[1][0] == 1
+
+
+def test_texts_are_shuffled_once(spark):
+    """Of all Exchanges of a call's plan, and of a prompt document's, one holds
+    the texts."""
+    df = spark.createDataFrame([(i, f"text {i}", "g") for i in range(500)], "symbol long, text string, g string")
+    frames = [inference.call_model(df, inference.keyword_sector_predict, "symbol"),
+              inference.prompt_documents(inference.bounded_batches(df, "symbol", 10, ["g"]), ["g", "batch_id"], ["symbol", "text"], "symbol"),
+              inference.apply_per_group(df, "g", "symbol", lambda pdf: pdf, "symbol long, text string, g string", 10)]
+    for out in frames:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, plan
+        assert "SinglePartition" not in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_calls_depend_on_the_records_alone(spark, parts):
+    """Copies of a record beyond a call's size are calls of their own; the
+    others' calls hold the same records however the input is split."""
+    rows = [(i, f"text {i % 40}") for i in range(300)] + [(7, "copy")] * 95 + [(8, None)] * 3 + [(None, "no key")] * 25
+    df = spark.createDataFrame(rows, "symbol long, text string").repartition(parts)
+
+    def echo(records):
+        return json.dumps([{"symbol": None if r["symbol"] != r["symbol"] else r["symbol"], "text": r["text"]} for r in records])
+
+    replies = inference.call_model(df, echo, "symbol", max_records=10).collect()
+    calls = sorted(sorted((x["symbol"], x["text"]) for x in json.loads(r.reply)) if all(
+        x["symbol"] is not None and x["text"] is not None for x in json.loads(r.reply)) else [] for r in replies)
+    assert sum(r.n_records for r in replies) == len(rows) and max(r.n_records for r in replies) <= 10
+    assert len({r.batch_key for r in replies}) == len(replies)
+    assert sum(c == [(7, "copy")] * 10 for c in calls) == 9
+    again = inference.call_model(df.repartition(3), echo, "symbol", max_records=10).collect()
+    assert sorted((r.batch_key, r.n_records) for r in again) == sorted((r.batch_key, r.n_records) for r in replies)
+    batches = inference.bounded_batches(df, "symbol", 10).groupBy("batch_bucket", "batch_id").count().collect()
+    assert sum(r["count"] for r in batches) == len(rows) and max(r["count"] for r in batches) <= 10
