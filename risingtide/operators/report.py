@@ -129,3 +129,16 @@ def report_document(rows: DataFrame, report_date: _dt.date) -> DataFrame:
         no_symbol, F.concat(F.lit("<li>"), escaped(F.col("core_focus")), F.lit("</li>")).alias("html"))
     body = report_fragments(rows, report_date).select(F.lit(BODY_BLOCK).alias("block"), "*")
     return title.unionByName(contents).unionByName(body)
+
+
+def html_document(document: DataFrame) -> DataFrame:
+    """``report_document`` with the markup around its blocks as rows of their
+    own: read in order it is a whole HTML document.  A report without rows
+    stays without any."""
+    title = document.where(F.col("block") == TITLE_BLOCK)
+    frame = F.array(*[F.struct(F.lit(block).alias("block"), F.lit(html).alias("html")) for block, html in (
+        (TITLE_BLOCK - 1, '<!DOCTYPE html><html><head><meta charset="utf-8"></head><body>'),
+        (CONTENTS_BLOCK, "<ul>"), (BODY_BLOCK, "</ul><main>"), (BODY_BLOCK + 1, "</main></body></html>"))])
+    markup = (title.select(F.explode(frame).alias("f"), "part", "symbol")
+              .select("f.block", F.lit(None).cast("string").alias("core_focus"), "part", "symbol", "f.html"))
+    return document.unionByName(markup)

@@ -20,8 +20,8 @@ from risingtide.operators import sectors as sector_ops
 from risingtide.params import DRIVER_PARAMS as P
 from risingtide.plans import alert, job
 from risingtide.session import checkpoint_dir, materialize
-from risingtide.sources import bars, driver, listings, lookups, records, sinks
-from risingtide.streaming import daily
+from risingtide.sources import bars, driver, listings, lookups, records, replies, sinks, store
+from risingtide.streaming import daily, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -406,6 +406,14 @@ def q_report_write(spark, sf):
     return sinks.read_report(spark, path)
 
 
+@register("html_document")
+def q_html_document(spark, sf):
+    """The document as HTML part files with a manifest, read back by it."""
+    path = _scratch(spark, "documents")
+    sinks.write_document(report.html_document(report.report_document(_alert(spark, sf), P.end_date)), path, P.end_date)
+    return sinks.read_document(spark, path, P.end_date)
+
+
 @register("run_status")
 def q_run_status(spark, sf):
     return sinks.run_status(spark, _alert(spark, sf), P.end_date)
@@ -515,6 +523,18 @@ def q_stream_daily_screen(spark, sf):
     return run()
 
 
+@register("stateful_screen")
+def q_stateful_screen(spark, sf):
+    """Two runs, the second with late ticks, the bars in the stream's state."""
+    folder, add_late = _tick_folder(spark, sf, "stateful_screen")
+    base = folder.removesuffix("/ticks")
+    run = lambda: stateful.stateful_screen(
+        spark, folder, f"{base}/screens", P, f"{base}/chk", watermark=f"{P.window_days + 1} days", max_files_per_trigger=1000)
+    run()
+    add_late()
+    return run()
+
+
 # ---------------------------------------------------------------- model-driven flow
 
 @register("alert_report_inferred")
@@ -548,6 +568,39 @@ def q_bars_from_replies(spark, sf):
     return bars.price_window_scan(bars.bars_from_json(raw), P.start_date + _dt.timedelta(days=2), P.end_date)
 
 
+@register("bars_from_archive")
+def q_bars_from_archive(spark, sf):
+    """Bars of the listed symbols from an archive of reply files, made of the
+    bound history by symbol and month; every fifth symbol's are error pages,
+    which become rejects, and every seventh's hold a bar without a date."""
+    path = f"{_scratch(spark, 'replies')}/archive"
+    bar = F.struct(F.col("date").cast("string").alias("date"), "close")
+    undated = F.when(F.pmod("symbol", F.lit(7)) == 0, F.array(F.struct(F.lit("no date").alias("date"), F.lit(1.0).alias("close"))))
+    raw = (_history(spark, sf).groupBy("symbol", F.date_format("date", "yyyy-MM").alias("month"))
+           .agg(F.array_sort(F.collect_list(bar)).alias("b"))
+           .withColumn("b", F.concat("b", F.coalesce(undated, F.array_except("b", "b"))))
+           .select("symbol", "month", F.when(F.pmod("symbol", F.lit(5)) == 0, F.lit("<html>too many requests</html>"))
+                   .otherwise(F.to_json("b")).alias("body")))
+    replies.archive(raw, path)
+    good, rejects = replies.bars_and_rejects(spark, path, P.start_date + _dt.timedelta(days=2), P.end_date,
+                                             driver.exchange_listing(spark, sf, "NYSE"))
+    none = F.lit(None)
+    return good.withColumn("reason", none.cast("string")).unionByName(
+        rejects.select("symbol", none.cast("date").alias("date"), none.cast("double").alias("close"), "reason"))
+
+
+@register("screen_from_store")
+def q_screen_from_store(spark, sf):
+    """The screen on a bar store bucketed by symbol, filled by two merges."""
+    name = f"bars_{uuid.uuid4().hex}"
+    store.create(spark, name, f"{_scratch(spark, 'bar_store')}/bars", buckets=8)
+    ticks = bars.with_tick_order(driver.ticks(spark, sf).where("user_id is not null"))
+    late = F.pmod("event_id", F.lit(7)) == 0
+    for part in (ticks.where(~late), ticks.where(late)):
+        store.merge(bars.partial_daily_bars(part), name)
+    return momentum.momentum_screen(store.bars(spark, name, P.start_date, P.end_date), P)
+
+
 @register("news_from_replies")
 def q_news_from_replies(spark, sf):
     """Articles from JSON replies, one per symbol, made of the bound news."""

@@ -402,6 +402,12 @@ SELECT 2, core_focus, part, symbol, html FROM body"""
 # The streaming queries produce the same rows as their batch counterparts.
 SQL["stream_daily_bars"] = SQL["price_window_scan"]
 SQL["stream_daily_screen"] = SQL["momentum_screen"]
+SQL["stateful_screen"] = SQL["momentum_screen"]
+SQL["screen_from_store"] = SQL["momentum_screen"]
+SQL["html_document"] = f"""WITH doc AS ({SQL["report_document"]})
+SELECT html FROM doc
+UNION ALL SELECT unnest(['<!DOCTYPE html><html><head><meta charset="utf-8"></head><body>', '<ul>', '</ul><main>',
+                         '</main></body></html>']) FROM doc WHERE block = 0"""
 
 # ------------------------------------------------------------------ inference, sinks, status
 
@@ -548,3 +554,11 @@ means AS (
   FROM gains WHERE abs(g) < 1e12 GROUP BY window_end)
 SELECT window_end, symbol, g AS start_end_percent, universe_mean, g - universe_mean AS relative_strength
 FROM gains LEFT JOIN means USING (window_end)"""
+SQL["bars_from_archive"] = with_(bars_cte(windowed=False)) + f""", listed AS (
+  SELECT * FROM bars WHERE symbol IN (SELECT c_custkey FROM customer WHERE c_nationkey < 15))
+SELECT symbol, date, close, NULL AS reason FROM listed
+WHERE symbol % 5 <> 0 AND date BETWEEN {_d(P.start_date + _dt.timedelta(days=2))} AND {_d(P.end_date)}
+UNION ALL
+SELECT DISTINCT symbol, NULL::DATE, NULL::DOUBLE, CASE WHEN symbol % 5 = 0 THEN 'no list of bars' ELSE 'no date' END
+FROM listed WHERE (symbol % 5 = 0 OR symbol % 7 = 0) AND date_trunc('month', date) BETWEEN
+  date_trunc('month', {_d(P.start_date + _dt.timedelta(days=2))}) AND date_trunc('month', {_d(P.end_date)})"""

@@ -90,6 +90,14 @@ def daily_bars(ticks: DataFrame, symbol_col: str = "user_id", ts_col: str = "ts"
             .agg(nan_to_null(F.max_by(F.col(price_col), F.col("tick_order"))).alias("close"), *extra))
 
 
+def partial_daily_bars(ordered: DataFrame, symbol_col: str = "user_id", ts_col: str = "ts",
+                       price_col: str = "value") -> DataFrame:
+    """``(symbol, date, close, tick_order)`` of ticks that have their order:
+    bars that a store can merge with those of other ticks."""
+    return (ordered.groupBy(F.col(symbol_col).alias("symbol"), F.col(ts_col).cast("date").alias("date"))
+            .agg(nan_to_null(F.max_by(price_col, "tick_order")).alias("close"), F.max("tick_order").alias("tick_order")))
+
+
 BAR_REPLY_SCHEMA = "array<struct<date: string, close: double>>"
 
 
