@@ -421,12 +421,12 @@ def q_run_status(spark, sf):
 
 # ---------------------------------------------------------------- error paths of the job
 
-def _job(spark, sf, out, params=P, sectors=None, facts_for=driver.sector_facts):
+def _job(spark, sf, out, params=P, sectors=None, facts_for=driver.sector_facts, attempts=1):
     """One run of the daily flow on the bound tables, some part replaced."""
     return job.run_flow(spark, out, params, lambda trace: alert.alert_report(
         driver.prices(spark, sf, params), lookups.fundamentals_table(driver.fundamentals_raw(spark, sf)),
         sectors if sectors is not None else driver.sectors(spark, sf), driver.news_source(spark, sf),
-        facts_for, params, trace))
+        facts_for, params, trace), attempts)
 
 
 @register("status_no_shared_sector")
@@ -467,6 +467,24 @@ def q_status_after_failure(spark, sf):
     return sinks.read_status(spark, f"{out}/status").withColumn("report_rows", F.lit(left).cast("bigint"))
 
 
+@register("status_after_attempts")
+def q_status_after_attempts(spark, sf):
+    """A run whose describer fails twice, first by an error and then by
+    finding no sector with potential, and answers at the third attempt."""
+    out, calls = _scratch(spark, "job"), []
+
+    def describe(shared):
+        calls.append(1)
+        if len(calls) == 1:
+            raise ValueError("the describer is not available")
+        facts = driver.sector_facts(shared)
+        return facts if len(calls) > 2 else facts.withColumn("is_core_focus_future_potential", F.lit(False))
+
+    _job(spark, sf, out, facts_for=describe, attempts=job.JOB_ATTEMPTS)
+    left = sinks.read_report(spark, f"{out}/report", document=True).where("part = 1").count()
+    return sinks.read_status(spark, f"{out}/status").withColumn("stocks", F.lit(left).cast("bigint"))
+
+
 @register("model_rejects")
 def q_model_rejects(spark, sf):
     """One call per passage; by a fixed rule of its id the model refuses, cuts

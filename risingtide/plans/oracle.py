@@ -493,6 +493,8 @@ SQL["status_after_failure"] = f"""
 SELECT unnest([{_DAY}, '{(P.end_date + _dt.timedelta(days=1)).isoformat()}']) AS run_date, 'error' AS status,
        'ValueError: the describer is not available' AS message, CAST(0 AS BIGINT) AS n_rows,
        CAST(0 AS BIGINT) AS report_rows"""
+SQL["status_after_attempts"] = _ALERT + f"""
+SELECT {_DAY} AS run_date, 'ok' AS status, 'report written, attempt 3' AS message, count(*) AS n_rows, count(*) AS stocks FROM alert"""
 SQL["model_rejects"] = with_("kw_input AS (SELECT item_id AS doc_id, text FROM benchmark)", KEYWORD_SECTOR) + """
 SELECT symbol, CASE WHEN symbol % 6 IN (1, 2, 3, 4) THEN 'rejected' ELSE core_focus END AS core_focus,
        CAST((SELECT count(*) FROM kw_input WHERE doc_id % 6 IN (1, 2, 3, 4)) AS BIGINT) AS records_lost

@@ -15,8 +15,8 @@ store partitioned by ``date``, one bar per (symbol, date):
 
 A merge reads the store's partitions of the dates in the batch, keeps for
 each (symbol, date) the bar with the latest tick (``tick_order``) and
-overwrites only those partitions (dynamic partition overwrite) with a bounded
-number of files each, so the store never needs compaction.  The merged frame
+overwrites only those partitions (dynamic partition overwrite) with as many
+files as their rows need, so the store never needs compaction.  The merged frame
 is checkpointed (``spark.checkpoint.dir``) before it replaces files it was
 read from; with ``session.START_CONF`` these checkpoints are deleted when no
 plan needs them.  Merging the same ticks again changes nothing.
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from risingtide.functions.numeric import nan_to_null
 from risingtide.operators import momentum
 from risingtide.params import ScreenParams
-from risingtide.session import checked_broadcast, checkpoint_dir
+from risingtide.session import checked_broadcast, checkpoint_dir, materialize_measured
 from risingtide.sources.bars import TICK_ORDER_TYPE, with_tick_order
 from risingtide.sources.driver import TABLE_SCHEMAS
 
@@ -49,8 +49,9 @@ BAR_STORE_SCHEMA = f"symbol bigint, close double, tick_order {TICK_ORDER_TYPE},
 TOUCHED_SCHEMA = "symbol bigint, batch_id bigint"
 SCREEN_SCHEMA = ("symbol bigint, last_price double, last_percent double, start_end_percent double, "
                  "window string, run bigint")
-#: Files a merge writes per date at most.
-FILES_PER_DATE = 8
+#: Bars of a file, about: a merge writes a date into as many files as its
+#: rows need.
+BARS_PER_FILE = 2_000_000
 
 
 def tick_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
@@ -110,9 +111,11 @@ def merge_into_store(batch: DataFrame, store_path: str) -> None:
         merged = (rows.groupBy("symbol", "date")
                   .agg(F.max_by("close", "tick_order").alias("close"), F.max("tick_order").alias("tick_order"))
                   .select("symbol", "close", "tick_order", "date"))
-        if stored:
-            merged = merged.checkpoint(eager=True)
-        (merged.repartition("date", F.pmod(F.xxhash64("symbol"), F.lit(FILES_PER_DATE)))
+        merged, n, _ = materialize_measured(merged, [])
+        files = max(1, -(-n // (len(dates) * BARS_PER_FILE)))
+        # A number of partitions keeps AQE from joining a large date's parts.
+        parts = [len(dates) * files] if files > 1 else []
+        (merged.repartition(*parts, "date", F.pmod(F.xxhash64("symbol"), F.lit(files)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("date").parquet(store_path))
     finally:

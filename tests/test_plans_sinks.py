@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import pytest
+
 from conftest import SF_SMALL
 from risingtide.params import DRIVER_PARAMS as P
-from risingtide.plans import catalog
+from risingtide.plans import catalog, job
 from risingtide.sources import driver, sinks
+from risingtide.streaming import daily
 
 
 def executed(df):
@@ -214,7 +217,7 @@ def test_merge_into_store_touches_only_batch_dates(spark, tmp_path):
     got = sorted((r.symbol, r.date, r.close) for r in spark.read.schema(daily.BAR_STORE_SCHEMA).parquet(store).collect())
     assert got == [(1, d1, 10.0), (1, d2, 12.0), (1, d3, 13.0), (2, d2, 5.0)]
     assert untouched == {p.name: p.read_bytes() for p in (tmp_path / "store" / "date=2024-01-20").glob("*.parquet")}
-    assert len(list((tmp_path / "store" / "date=2024-01-21").glob("*.parquet"))) <= daily.FILES_PER_DATE
+    assert len(list((tmp_path / "store" / "date=2024-01-21").glob("*.parquet"))) == 1
 
 
 def test_cluster_conf_keeps_submitted_values(spark):
@@ -370,3 +373,41 @@ def test_package_reaches_workers_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 200" in done.stdout, done.stderr[-2000:]
+
+
+def test_attempts_of_a_flow(spark):
+    """The first attempt with rows counts; the last one's rows or error stand;
+    an error that another attempt can't mend is raised at once."""
+    some, none = spark.range(3), spark.range(0)
+
+    def flow(*answers):
+        left = iter(answers)
+
+        def one(trace):
+            answer = next(left)
+            if isinstance(answer, Exception):
+                raise answer
+            return answer
+        return one
+
+    def number(*answers, attempts=5):
+        rows, _, attempt = job.attempted(flow(*answers), attempts)
+        return rows.count(), attempt
+
+    assert number(some) == (3, 1)
+    assert number(ValueError("a"), none, some, ValueError("b")) == (3, 3)
+    assert number(none, none, attempts=2) == (0, 2)
+    with pytest.raises(ValueError, match="last"):
+        number(none, ValueError("last"), attempts=2)
+    with pytest.raises(KeyError):
+        number(KeyError("config"), some)
+
+
+def test_store_files_follow_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(daily, "BARS_PER_FILE", 25)
+    rows = spark.range(200).selectExpr("id as symbol", "date'2024-01-05' as date", "1.0d as close", "cast(id as decimal(38,0)) as tick_order")
+    for _ in range(2):
+        daily.merge_into_store(rows, str(tmp_path / "store"))
+    files = list((tmp_path / "store" / "date=2024-01-05").glob("*.parquet"))
+    assert 1 < len(files) <= 8
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 200
