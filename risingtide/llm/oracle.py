@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from risingtide.llm.quality_rules import MAX_REPEAT_PERCENT, MEASURES, MIN_WORDS, SPREADS, SUB
+from risingtide.llm.quality_rules import MAX_REPEAT_PERCENT, MEASURES, MIN_GROUP, MIN_WORDS, SUB
 
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -12,8 +12,7 @@ def quality_rules() -> str:
             f" + (v >> (floor(log2(v))::BIGINT - {SUB})) END")
     floor_of = (f"CASE WHEN bin < {2**(SUB + 1)} THEN bin ELSE (bin - (bin // {2**SUB} - 1) * {2**SUB})"
                 f" << (bin // {2**SUB} - 1) END")
-    least = "CASE measure " + " ".join(f"WHEN '{k}' THEN {v[0]}" for k, v in MEASURES.items()) + " END"
-    low = "measure IN (" + ", ".join(f"'{k}'" for k, v in MEASURES.items() if v[1]) + ")"
+    rules = ", ".join(f"('{k}', {r.least}, {r.upper or 'NULL'}, {r.lower or 'NULL'}, {r.ranges})" for k, r in MEASURES.items())
     return f"""
 WITH d AS (
   SELECT doc_id, lang, source, row_number() OVER () AS r, coalesce(text, '') AS t,
@@ -41,17 +40,40 @@ v AS (
                  word_chars * 1000 // n_words, n_distinct * 1000 // n_words]) AS v
   FROM m WHERE n_words > 0),
 s AS (SELECT lang, source, measure, {bins} AS bin, count(*) AS n FROM v GROUP BY ALL),
+rule(measure, least, up, down, ranges) AS (VALUES {rules}),
+merged AS (
+  SELECT 0 AS level, lang, source, measure, bin, n FROM s
+  UNION ALL SELECT 1, lang, NULL, measure, bin, sum(n) FROM s GROUP BY lang, measure, bin
+  UNION ALL SELECT 2, NULL, NULL, measure, bin, sum(n) FROM s GROUP BY measure, bin),
 c AS (
-  SELECT lang, source, measure, {floor_of} AS x, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bin) AS seen,
-         sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM s),
+  SELECT level, lang, source, measure, bin, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bin) AS seen,
+         sum(n) OVER (PARTITION BY level, lang, source, measure) AS total FROM merged),
 q AS (
-  SELECT lang, source, measure, min(x) FILTER (seen * 4 >= total) AS q1, min(x) FILTER (seen * 4 >= total * 2) AS q2,
-         min(x) FILTER (seen * 4 >= total * 3) AS q3 FROM c GROUP BY ALL),
+  SELECT level, lang, source, measure, max(total) AS total, min(bin) FILTER (seen * 100 >= total) AS b1,
+         min(bin) FILTER (seen * 4 >= total) AS b25, min(bin) FILTER (seen * 2 >= total) AS b50,
+         min(bin) FILTER (seen * 4 >= total * 3) AS b75, min(bin) FILTER (seen * 100 >= total * 99) AS b99
+  FROM c GROUP BY ALL),
+p AS (
+  SELECT *, {floor_of.replace("bin", "b1")} AS q1, {floor_of.replace("bin", "b25")} AS q25, {floor_of.replace("bin", "b50")} AS q50,
+         {floor_of.replace("bin", "(b50 + 1)")} - 1 AS t50, {floor_of.replace("bin", "(b75 + 1)")} - 1 AS t75,
+         {floor_of.replace("bin", "(b99 + 1)")} - 1 AS t99
+  FROM q),
+lv AS (
+  SELECT level, lang, source, measure, total,
+         t50 + greatest((t99 - t50) * up // 100, ranges * (t75 - q25), least) AS hi,
+         q50 - greatest((q50 - q1) * down // 100, ranges * (t75 - q25), least) AS lo, up, down
+  FROM p JOIN rule USING (measure)),
+wide AS (
+  SELECT l.lang, measure, CASE WHEN l.total >= {MIN_GROUP} THEN l.hi ELSE a.hi END AS hi,
+         CASE WHEN l.total >= {MIN_GROUP} THEN l.lo ELSE a.lo END AS lo
+  FROM lv l JOIN lv a USING (measure) WHERE l.level = 1 AND a.level = 2),
 f AS (
-  SELECT lang, source, measure, q2 + {SPREADS} * greatest(q3 - q1, {least}) AS hi,
-         CASE WHEN {low} THEN q2 - {SPREADS} * greatest(q3 - q1, {least}) END AS lo FROM q),
+  SELECT o.lang, o.source, o.measure,
+         CASE WHEN up IS NOT NULL THEN CASE WHEN o.total >= {MIN_GROUP} THEN o.hi ELSE wide.hi END END AS hi,
+         CASE WHEN down IS NOT NULL THEN CASE WHEN o.total >= {MIN_GROUP} THEN o.lo ELSE wide.lo END END AS lo
+  FROM lv o JOIN wide ON wide.measure = o.measure AND wide.lang IS NOT DISTINCT FROM o.lang WHERE o.level = 0),
 ok AS (
-  SELECT v.r, bool_and(v.v <= f.hi AND (f.lo IS NULL OR v.v >= f.lo)) AS inside
+  SELECT v.r, bool_and((f.hi IS NULL OR v.v <= f.hi) AND (f.lo IS NULL OR v.v >= f.lo)) AS inside
   FROM v JOIN f ON v.measure = f.measure AND v.lang IS NOT DISTINCT FROM f.lang AND v.source IS NOT DISTINCT FROM f.source
   GROUP BY v.r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

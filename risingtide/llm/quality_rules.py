@@ -5,13 +5,20 @@ word, repeated lines per line, words in repeated 5-word windows per word,
 characters per word and distinct words per word.  For each language and
 source a mergeable quantile sketch of each measure is kept: counts per
 logarithmic bin with 2**SUB bins for each doubling, so any quantile is known
-to a relative error of 2**-SUB and sketches of two parts of the corpus merge
-by adding counts.  A document is rejected when it fails the base rules or a
-measure lies outside the fences of its own group: a median plus or minus
-SPREADS times the larger of the group's interquartile range and a least
-spread.  Fences follow the group; a share of every group is not cut off.
-Where most documents of a group share one value, as they do of symbols and of
-repeated lines and words, the range is 0 and the least spread decides.
+to a relative error of 2**-SUB, and the sketches of all sources merge into
+that of a language, and those of all languages into one, by adding counts.
+
+A document is rejected when it fails the base rules or a measure lies outside
+the fences of its group.  A fence stands at the median plus or minus the
+largest of: a share of the way to the tail (the 99th or 1st percentile), a
+multiple of the interquartile range, and a least distance.  Where a group has
+junk, the tail reaches into it and the share decides; where it has none, the
+interquartile range keeps fences off an ordinary spread, and the least
+distance those of measures that are 0 nearly everywhere.  So fences follow the
+group, and no share of every group is cut off.
+
+A group of fewer than MIN_GROUP documents, which would be its own median, takes
+its language's fences, and a language of fewer those of all documents.
 
 Documents join the fences of their group on language and source.  The fences
 are one row per group; below a measured size they are broadcast, beyond it
@@ -26,21 +33,36 @@ ignored by ``judge`` and passed on by ``keep``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from risingtide.llm.common import as_row, from_row, stored
-from risingtide.session import broadcast_hint, data_size
+from risingtide.llm.common import as_row, from_row, stored, stored_broadcast
 
 WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Bins of a doubling: 2**SUB.
 SUB = 4
-#: Fences lie SPREADS spreads from the median.
-SPREADS = 4
-#: measure -> (least spread in thousandths, lower fence too)
-MEASURES = {"symbols": (25, False), "dup_lines": (100, False), "repeats": (50, False),
-            "chars": (1000, True), "distinct": (50, True)}
+#: Documents below which a group's own quantiles say too little.
+MIN_GROUP = 30
+
+
+class Fence(NamedTuple):
+    """Least distance from the median in thousandths, percent of the way to
+    the upper and to the lower tail (no fence without), and multiples of the
+    interquartile range."""
+
+    least: int
+    upper: int | None
+    lower: int | None
+    ranges: int
+
+
+MEASURES = {"symbols": Fence(25, 10, None, 0), "dup_lines": Fence(250, 100, None, 0), "repeats": Fence(200, 25, None, 0),
+            "chars": Fence(300, 75, 150, 6), "distinct": Fence(100, None, 75, 3)}
+#: The percentiles that fences are made of.
+PERCENTILES = (1, 25, 50, 75, 99)
 #: Fixed by the contract: what separates words, and what counts as a symbol.
 WORD_GAPS = r"[\x20\x09-\x0D]+"
 NOT_A_GAP = r"[^\x20\x09-\x0D]"
@@ -132,39 +154,58 @@ def sketches(measured: DataFrame) -> DataFrame:
             .groupBy("lang", "source", "v.measure", "v.bin").agg(F.count(F.lit(1)).alias("n")))
 
 
-def fences(sketch: DataFrame) -> DataFrame:
-    """lang, source, and a lower and an upper fence for each measure."""
-    from pyspark.sql import Window
-
-    group = Window.partitionBy("lang", "source", "measure")
-    at = (sketch.withColumn("seen", F.sum("n").over(group.orderBy("bin")))
+def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """by..., n, and a lower and an upper fence for each measure that has it,
+    of the sketches merged by the columns ``by``."""
+    merged = sketch.groupBy(*by, "measure", "bin").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*by, "measure")
+    at = (merged.withColumn("seen", F.sum("n").over(group.orderBy("bin")))
           .withColumn("total", F.sum("n").over(group)))
-    quantile = lambda quarter: F.min(F.when(F.col("seen") * 4 >= F.col("total") * quarter,
-                                            bin_floor(F.col("bin"))))
-    q = at.groupBy("lang", "source", "measure").agg(*[quantile(i).alias(f"q{i}") for i in (1, 2, 3)])
-    aggs = []
-    for k, (least, lower) in MEASURES.items():
-        spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
-        aggs.append(F.max(F.when(F.col("measure") == k, F.col("q2") + SPREADS * spread)).alias(f"_hi_{k}"))
-        if lower:
-            aggs.append(F.max(F.when(F.col("measure") == k, F.col("q2") - SPREADS * spread)).alias(f"_lo_{k}"))
-    return q.groupBy("lang", "source").agg(*aggs)
+    q = at.groupBy(*by, "measure").agg(F.max("total").alias("total"), *[
+        F.min(F.when(F.col("seen") * 100 >= F.col("total") * k, F.col("bin"))).alias(f"b{k}") for k in PERCENTILES])
+    # A percentile lies between its bin's least and greatest integer.
+    q = q.withColumns({f"q{k}": bin_floor(F.col(f"b{k}")) for k in PERCENTILES}
+                      | {f"t{k}": bin_floor(F.col(f"b{k}") + 1) - 1 for k in PERCENTILES})
+    aggs = [F.max("total").alias("n")]
+    for k, rule in MEASURES.items():
+        common = [F.lit(rule.least).cast("long"), rule.ranges * (F.col("t75") - F.col("q25"))]
+        own = F.col("measure") == k
+        if rule.upper is not None:
+            reach = F.greatest(F.expr(f"(t99 - t50) * {rule.upper} div 100"), *common)
+            aggs.append(F.max(F.when(own, F.col("t50") + reach)).alias(f"hi_{k}"))
+        if rule.lower is not None:
+            reach = F.greatest(F.expr(f"(q50 - q1) * {rule.lower} div 100"), *common)
+            aggs.append(F.max(F.when(own, F.col("q50") - reach)).alias(f"lo_{k}"))
+    return q.groupBy(*by).agg(*aggs)
+
+
+LIMITS = [f"{side}_{k}" for k, rule in MEASURES.items() for side, has in (("hi", rule.upper), ("lo", rule.lower)) if has is not None]
+
+
+def limits_of(sketch: DataFrame) -> DataFrame:
+    """lang, source, and the fences that hold for the group.  The driver takes
+    the fences of all documents, one row."""
+    every = fences(sketch, []).first()
+    wide = {c: F.lit(every[c] if every else None).cast("long") for c in LIMITS}
+    by_lang = fences(sketch, ["lang"])
+    enough = F.col("n") >= MIN_GROUP
+    by_lang = by_lang.select(F.col("lang").alias("of_lang"), *[F.when(enough, F.col(c)).otherwise(wide[c]).alias(f"wide_{c}") for c in LIMITS])
+    own = fences(sketch, ["lang", "source"]).join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")))
+    return own.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
+                      *[F.when(enough, F.col(c)).otherwise(F.col(f"wide_{c}")).alias(f"_{c}") for c in LIMITS])
 
 
 def _verdicts(measured: DataFrame) -> DataFrame:
     """``measured`` joined with its groups' fences, and _base_failed, _kept."""
-    limits = stored(fences(sketches(measured)), "fences")
-    n, size = data_size(limits)
-    limits = broadcast_hint(limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-                                          *[c for c in limits.columns if c.startswith("_")]), n, size)
+    limits = stored_broadcast(limits_of(stored(sketches(measured), "sketches")), "fences")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     failed = ((F.col("_q_n_words") < MIN_WORDS)
               | (100 * F.col("_q_n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_q_n_words")))
     inside = F.lit(True)
-    for k, (_, lower) in MEASURES.items():
-        inside = inside & (F.col(f"_m_{k}") <= F.col(f"_hi_{k}"))
-        if lower:
-            inside = inside & (F.col(f"_m_{k}") >= F.col(f"_lo_{k}"))
+    for c in LIMITS:
+        side, k = c.split("_", 1)
+        value = F.col(f"_m_{k}")
+        inside = inside & (value <= F.col(f"_{c}") if side == "hi" else value >= F.col(f"_{c}"))
     return (measured.join(limits, same, "left").withColumn("_base_failed", failed)
             .withColumn("_kept", ~failed & F.coalesce(inside, F.lit(True))))
 

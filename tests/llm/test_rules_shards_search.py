@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from llm.conftest import rows_of
@@ -95,6 +96,38 @@ def test_fences_follow_the_spread_of_the_group(spark):
     assert {r["doc_id"] for r in out if not r["kept"]} == {900, 902}
 
 
+def test_small_groups_take_wider_fences(spark):
+    """Junk in a source of few documents, or of a language of few, is judged
+    by the language or by all documents; a group that junk fills a quarter of
+    still finds it."""
+    def doc(i, junk=False):
+        return " ".join(f"w{i}x{k}" + "#*$" * junk for k in range(40))
+
+    rows = [(i, doc(i), "en", "big") for i in range(90)] + [(500 + i, doc(500 + i, i % 4 == 0), "en", "mixed") for i in range(80)]
+    rows += [(900, doc(900, True), "en", "rare"), (901, doc(901), "en", "rare"), (902, doc(902, True), "xx", None), (903, doc(903), "xx", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    gone = {r["doc_id"] for r in rows_of(quality_rules.judge(docs)) if not r["kept"]}
+    assert gone == {900, 902} | {500 + i for i in range(0, 80, 4)}
+
+
+def test_groups_decide_and_good_documents_stay(spark):
+    """On the labelled documents the groups' own quantiles, not the least
+    distances, set the fences of most groups, and labels agree."""
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    sketch = quality_rules.sketches(quality_rules._measured(docs.select("doc_id", "text", "lang", "source")))
+    own = quality_rules.fences(sketch, ["lang"]).collect()
+    middle = {(r["lang"], r["measure"]): r["q50"] for r in sketch.groupBy("lang", "measure", "bin").agg(F.sum("n").alias("n")).withColumn(
+        "half", F.sum("n").over(Window.partitionBy("lang", "measure")) / 2).withColumn(
+        "seen", F.sum("n").over(Window.partitionBy("lang", "measure").orderBy("bin"))).where("seen >= half").groupBy("lang", "measure").agg(
+        F.min(quality_rules.bin_floor(F.col("bin"))).alias("q50")).collect()}
+    for measure in ("symbols", "chars"):
+        wider = [r[f"hi_{measure}"] - middle[r["lang"], measure] > quality_rules.MEASURES[measure].least for r in own]
+        assert sum(wider) > len(wider) / 2, measure
+    judged = quality_rules.judge(docs).where("not base_failed").join(labels, "doc_id")
+    kept = {r["quality"]: r["share"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[1] >= 0.99 and kept[0] <= 0.1
+
+
 def test_bins_are_close_and_ordered(spark):
     x = [*range(2000), 10**6, 10**9, 2**40]
     df = spark.createDataFrame([(v,) for v in x], "x long").withColumn("b", quality_rules.bin_of(F.col("x")))
