@@ -69,12 +69,19 @@ def scaled(v: np.ndarray) -> np.ndarray:
     return np.ldexp(v, -np.frexp(np.abs(v).max())[1])
 
 
+def numbers(raw: bytes, dim: int) -> np.ndarray:
+    """The doubles of a vector of single or double precision."""
+    return np.frombuffer(raw, "<f4" if len(raw) == 4 * dim else "<f8").astype(np.float64)
+
+
 POINT = "vec_id {id}, k1 long, k2 long, dim int, label {label}, v binary"
 
 
 def _points(table: DataFrame) -> DataFrame:
     """vec_id, k1, k2, dim, label, v of every row: the digest of label and
-    vector, and the vector's doubles, null for vectors that take no part."""
+    vector, and the vector as it is, in single or double precision, null for
+    vectors that take no part."""
+    single = "float>" in table.schema["embedding"].dataType.simpleString()
     fields = [table.schema[c].dataType.simpleString() for c in ("vec_id", "label")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +98,7 @@ def _points(table: DataFrame) -> DataFrame:
                     dims.append(None)
                     vectors.append(None)
                     continue
-                raw = v.astype("<f8").tobytes()
+                raw = v.astype("<f4" if single else "<f8").tobytes()
                 keys.append(np.frombuffer(xxhash.xxh3_128_digest(f"{label}:".encode() + raw), "<i8").tolist())
                 dims.append(len(v))
                 vectors.append(raw)
@@ -124,7 +131,7 @@ def pivots_of(points: DataFrame, count: int, threshold: float) -> dict[int, np.n
     got = points.select("dim", "k1", "k2", "v").orderBy(F.xxhash64("k1", "k2"), "k1", "k2").limit(SPARE * count).collect()
     out: dict[int, list] = {}
     for r in got:
-        v = scaled(np.frombuffer(r["v"]))
+        v = scaled(numbers(r["v"], r["dim"]))
         out.setdefault(r["dim"], []).append(v / np.linalg.norm(v))
     return {d: apart(np.array(vs), threshold, count) for d, vs in out.items()}
 
@@ -155,7 +162,7 @@ def _described(points: DataFrame, pivots, nearest: int) -> DataFrame:
                 rows = np.flatnonzero(dims == dim)
                 for at in range(0, len(rows), 4096):
                     some = rows[at:at + 4096]
-                    v = np.array([scaled(np.frombuffer(raw[i])) for i in some])
+                    v = np.array([scaled(numbers(raw[i], dim)) for i in some])
                     v /= np.linalg.norm(v, axis=1, keepdims=True)
                     for i, d in zip(some, describe(v, own[dim], nearest).tolist(), strict=True):
                         near[i] = d
@@ -246,7 +253,7 @@ def _in_lists(described: DataFrame, shared: int, chunk: int, threshold: float) -
 
     def solve(own: list[tuple]) -> tuple:
         pivot, lo, hi = own[0][2:5]
-        v = np.array([scaled(np.frombuffer(r[10])) for r in own])
+        v = np.array([scaled(numbers(r[10], r[0])) for r in own])
         norm = np.linalg.norm(v, axis=1)
         near = np.array([r[9] for r in own], np.int32).reshape(len(own), -1)
         need = min(shared, near.shape[1])
