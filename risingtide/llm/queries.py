@@ -57,7 +57,8 @@ def op4_token_counts(spark, sf):
     arrow_rows(spark, 500)
     lengths = token_histogram.encoded_lengths(table(spark, sf, "documents"), ["lang"],
                                               tokenizer_file("byte_bpe_50k.json"))
-    return token_histogram.histogram(lengths, ["lang"])
+    return token_histogram.answers(token_histogram.histogram(lengths, ["lang"]), ["lang"],
+                                   limits=[128, 512, 1024, 2048, 4096, 8192], shares=[0.5, 0.9, 0.99])
 
 
 @register

@@ -59,10 +59,10 @@ def histogram(lengths: DataFrame, by: list[str]) -> DataFrame:
                     "truncated_total"))
 
 
-def _next_longer(hist: DataFrame, by: list[str], limits: DataFrame) -> DataFrame:
-    """For each limit (column ``limit``) and group, the shortest length of at
-    least the limit, found by a sort of both lists together."""
-    marks = hist.select(*by).distinct().join(F.broadcast(limits.select("limit")))
+def _next_longer(hist: DataFrame, by: list[str], limits: list[int]) -> DataFrame:
+    """For each limit and group, the shortest length of at least the limit,
+    found by a sort of both lists together."""
+    marks = hist.select(*by).distinct().withColumn("limit", F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits])))
     rows = (hist.withColumn("limit", F.lit(None).cast("long"))
             .unionByName(marks.withColumn("n_tokens", F.col("limit")), allowMissingColumns=True))
     ahead = (Window.partitionBy(*by).orderBy("n_tokens", F.col("limit").isNull())
@@ -78,8 +78,7 @@ def _next_longer(hist: DataFrame, by: list[str], limits: DataFrame) -> DataFrame
 def at_limits(hist: DataFrame, by: list[str], limits: list[int]) -> DataFrame:
     """by..., limit, docs_longer_or_equal, truncated_total for each given
     context limit (a short list of the caller's), from the suffix sums alone."""
-    lim = hist.sparkSession.createDataFrame([(int(x),) for x in limits], "limit long")
-    out = _next_longer(hist, by, lim)
+    out = _next_longer(hist, by, limits)
     return out.select(
         *by, "limit", F.coalesce(F.col("_next.docs_from"), F.lit(0).cast("long")).alias("docs_longer_or_equal"),
         F.when(F.col("_next").isNull(), F.col("_tokens"))
@@ -92,3 +91,21 @@ def quantile(hist: DataFrame, by: list[str], q: float) -> DataFrame:
     docs: Column = F.col("docs_below") + F.col("docs_from")
     return (hist.filter(F.col("docs_below") + F.col("n_docs") >= F.lit(q) * docs)
             .groupBy(*by).agg(F.min("n_tokens").alias("n_tokens")))
+
+
+def answers(hist: DataFrame, by: list[str], limits: list[int], shares: list[float]) -> DataFrame:
+    """The histogram (kind ``length``) with the answers it gives as rows of
+    the same columns: for each context limit (kind ``limit``, the limit as
+    n_tokens) and each share of the documents (kind ``quantile``)."""
+    null = F.lit(None).cast("long")
+    cols = ["n_docs", "docs_from", "tokens_from", "docs_below", "tokens_below", "truncated_total"]
+    out = hist.select(*by, F.lit("length").alias("kind"), F.lit(None).cast("double").alias("share"), "n_tokens", *cols)
+    at = at_limits(hist, by, limits).select(
+        *by, F.lit("limit").alias("kind"), F.lit(None).cast("double").alias("share"), F.col("limit").alias("n_tokens"), null.alias("n_docs"),
+        F.col("docs_longer_or_equal").alias("docs_from"), null.alias("tokens_from"), null.alias("docs_below"), null.alias("tokens_below"),
+        "truncated_total")
+    out = out.unionByName(at)
+    for q in shares:
+        out = out.unionByName(quantile(hist, by, q).select(
+            *by, F.lit("quantile").alias("kind"), F.lit(q).alias("share"), "n_tokens", *[null.alias(c) for c in cols]))
+    return out

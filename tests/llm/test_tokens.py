@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm.conftest import crc, rows_of
-from risingtide.llm import packing, sp_prefix, token_histogram
+from risingtide.llm import packing, queries, sp_prefix, token_histogram
 from risingtide.llm.byte_bpe import document_ids
 from risingtide.llm.common import table, tokenizer_file
 
@@ -141,6 +141,25 @@ def test_histogram_against_counts(spark, edge_docs, no_docs):
         assert r["n_tokens"] == next(n for n in own if sum(x <= n for x in own) >= 0.5 * len(own))
     empty = token_histogram.encoded_lengths(no_docs, ["lang"], BPE)
     assert token_histogram.histogram(empty, ["lang"]).collect() == []
+    assert token_histogram.answers(token_histogram.histogram(empty, ["lang"]), ["lang"], [5], [0.5]).collect() == []
+
+
+def test_query_answers_limits_and_quantiles(spark):
+    lengths = defaultdict(list)
+    rows = table(spark, SF, "documents").collect()
+    for r, ids in zip(rows, library_ids([r["text"] or "" for r in rows]), strict=True):
+        lengths[r["lang"]].append(len(ids))
+    out = rows_of(queries.QUERIES["op4_token_counts"](spark, SF))
+    kinds = Counter((r["kind"], r["lang"]) for r in out)
+    for lang, own in lengths.items():
+        assert (kinds["length", lang], kinds["limit", lang], kinds["quantile", lang]) == (len(set(own)), 6, 3)
+    for r in out:
+        own = sorted(lengths[r["lang"]])
+        if r["kind"] == "limit":
+            assert r["truncated_total"] == sum(min(n, r["n_tokens"]) for n in own)
+            assert r["docs_from"] == sum(n >= r["n_tokens"] for n in own)
+        elif r["kind"] == "quantile":
+            assert r["n_tokens"] == next(n for n in own if sum(x <= n for x in own) >= r["share"] * len(own))
 
 
 def test_sentencepiece_against_library(spark, edge_docs, no_docs):
