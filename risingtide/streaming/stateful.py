@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from risingtide.operators import momentum
 from risingtide.params import ScreenParams
 from risingtide.session import checked_broadcast, checkpoint_dir
-from risingtide.streaming.daily import _exists, tick_stream
+from risingtide.streaming.daily import _delete, _exists, _partitions, tick_stream
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PARTIAL = "symbol bigint, ts timestamp, day date, micros bigint, tie bigint, close double"
@@ -132,14 +132,32 @@ def stateful_screen(spark: SparkSession, folder: str, result_path: str, params:
         q.awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    compact(spark, result_path)
     return current_screen(spark, result_path)
 
 
+def _newest(spark: SparkSession, result_path: str) -> DataFrame:
+    rows = spark.read.schema(RESULT).parquet(result_path)
+    newest = checked_broadcast(rows.groupBy("symbol").agg(F.max("batch").alias("newest")))
+    return rows.join(newest, "symbol").where(F.col("batch") == F.col("newest")).drop("newest")
+
+
+def compact(spark: SparkSession, result_path: str) -> None:
+    """Brings every symbol's newest rows into the last batch's folder and
+    removes the others, so the result follows the symbols and not the number of
+    triggers.  Stopped half-way it leaves rows that newer ones outrank."""
+    batches = sorted(int(n.split("=")[1]) for n in _partitions(spark, result_path))
+    if len(batches) < 2:
+        return
+    last = batches[-1]
+    kept = _newest(spark, result_path).where("last_price is not null").checkpoint(eager=True)
+    (kept.withColumn("batch", F.lit(last).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch").parquet(result_path))
+    _delete(spark, result_path, lambda name: name != f"batch={last}")
+
+
 def current_screen(spark: SparkSession, result_path: str) -> DataFrame:
     """The screen rows of every symbol's newest batch."""
     if not _exists(spark, result_path):
         return spark.createDataFrame([], RESULT).select(*momentum.SCREEN_COLUMNS)
-    rows = spark.read.schema(RESULT).parquet(result_path)
-    newest = checked_broadcast(rows.groupBy("symbol").agg(F.max("batch").alias("newest")))
-    return (rows.join(newest, "symbol").where((F.col("batch") == F.col("newest")) & F.col("last_price").isNotNull())
-            .select(*momentum.SCREEN_COLUMNS))
+    return _newest(spark, result_path).where(F.col("last_price").isNotNull()).select(*momentum.SCREEN_COLUMNS)

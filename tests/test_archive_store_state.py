@@ -209,6 +209,7 @@ def test_stateful_screen_with_late_files_and_restarts(spark, tmp_path):
     want = screen_rows(catalog.QUERIES["momentum_screen"](spark, SF))
     assert want and run() == want
     assert run() == want  # nothing new
+    assert len([x for x in os.listdir(f"{base}/screens") if x.startswith("batch=")]) == 1  # whatever the triggers were
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
