@@ -36,8 +36,9 @@ operator.  Every text is read whole and every word takes part.
 Defined results: null, empty and blank texts give no words; a null doc_id
 stands for an empty text in the damage's checksum; repeated rows count again;
 of near words that occur equally often the smallest in code-point order is the
-form.  Very long words have as many grams as code points and no special
-treatment.  An empty table gives no rows; other columns are ignored.
+form.  Very long words have as many grams as code points; the parts of them
+that an edit may touch are halved until they are short.  An empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,6 +65,8 @@ PRUNE = 100
 DICTIONARY = 100_000
 #: Words of a list that one task merges.
 LIST_PART = 20_000
+#: Touched parts of at most so many code points are compared by remainders.
+SHORT = 64
 #: Words or grams that a task counts before it hands them on.
 COUNTED = 200_000
 
@@ -164,9 +167,9 @@ def affected(grams: list[tuple[int, int]], size: int, role: int) -> int:
     return max(most, sum(e == size for _, e in grams)) if role == SHORTER else most
 
 
-def merged_lists(word: str, frequent: dict[str, int]) -> Iterator[tuple[int, int, int]]:
-    """(list, role, cut): the lists of the word that are merged.  The edit may
-    touch word[cut:], or word[:-cut] if cut is not positive."""
+def merged_lists(word: str, frequent: dict[str, int]) -> Iterator[tuple[int, int, int, int]]:
+    """(list, role, lo, hi): the lists of the word that are merged.  In a list
+    an edit may touch word[lo:hi] alone."""
     size = len(word)
     cache: dict[int, list[tuple[int, int]]] = {}
     for role in (SAME, SHORTER, LONGER):
@@ -181,9 +184,9 @@ def merged_lists(word: str, frequent: dict[str, int]) -> Iterator[tuple[int, int
         first += [g for g in ordered[len(first):] if g[1] == first[-1][1]]
         kind = "=" if role == SAME else "~"
         for end in {e for *_, e in first if e < size}:
-            yield _list(f"{kind}<{band}:{word[:end]}"), role, end
+            yield _list(f"{kind}<{band}:{word[:end]}"), role, end, size
         for start in {p for *_, p, _ in first if p or role == SHORTER}:
-            yield _list(f"{kind}>{band}:{word[start:]}"), role, -start
+            yield _list(f"{kind}>{band}:{word[start:]}"), role, 0, start
 
 
 def _list(name: str) -> int:
@@ -202,14 +205,10 @@ def near(a: str, b: str) -> bool:
     return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i:] == b[i + 1:]
 
 
-def touched(word: str, cut: int) -> str:
-    return word[cut:] if cut > 0 else word[:-cut]
-
-
-def remainders(word: str, role: int, cut: int) -> Iterator[tuple[int, str]]:
+def remainders(word: str, role: int, lo: int, hi: int) -> Iterator[tuple[int, str]]:
     """What remains of the touched part when one code point is left out: two
     near words have such a remainder in common."""
-    part = touched(word, cut)
+    part = word[lo:hi]
     if role == SHORTER:
         yield -1, part
     else:
@@ -217,50 +216,71 @@ def remainders(word: str, role: int, cut: int) -> Iterator[tuple[int, str]]:
             yield (i if role == SAME else -1), part[:i] + part[i + 1:]
 
 
+def halves(word: str, role: int, lo: int, hi: int) -> Iterator[tuple[str, int, int]]:
+    """(what an edit leaves alone, lo, hi): an edit touches one half of a part
+    and leaves the other, of which all words of a list have the same length."""
+    size = hi - lo - (role == LONGER)
+    first = size // 2
+    yield "<" + word[lo:lo + first], lo + first, hi
+    yield ">" + word[hi - size + first:hi], lo, hi - size + first
+
+
 def list_pairs(rows: list[tuple]) -> Iterator[tuple]:
     """(a, n_a, b, n_b), a < b, of the near words of one list's rows
-    (word, n, role, cut)."""
-    by_rest = defaultdict(list)
-    for row in rows:
-        for key in set(remainders(row[0], row[2], row[3])):
-            by_rest[key].append(row)
-    found = set()
-    for same in by_rest.values():
-        # Alike but for one code point at one place, or one that may be
-        # anywhere beside the word without it: as many words as the alphabet
-        # and the places allow.
-        shorter = [r for r in same if r[2] == SHORTER]
-        others = [r for r in same if r[2] != SHORTER]
-        pairs = ((x, y) for x in shorter for y in others) if shorter else (
-            (x, y) for i, x in enumerate(others) for y in others[:i] if x[2] == SAME)
-        for x, y in pairs:
-            x, y = (x, y) if x[0] < y[0] else (y, x)
-            if (x[0], y[0]) not in found and near(x[0], y[0]):
-                found.add((x[0], y[0]))
-                yield x[0], x[1], y[0], y[1]
-
-
-ROW = "list long, word string, n long, role int, cut int"
+    (word, n, role, lo, hi).  Long parts, of which the remainders would be as
+    many as they are long, are halved first."""
+    found, todo = set(), [rows]
+    while todo:
+        own, by_rest = todo.pop(), defaultdict(list)
+        if max(hi - lo for *_, lo, hi in own) > SHORT:
+            for word, n, role, lo, hi in own:
+                for kept, *part in halves(word, role, lo, hi):
+                    by_rest[kept].append((word, n, role, *part))
+            todo += [same for same in by_rest.values() if len(same) > 1]
+            continue
+        for row in own:
+            for key in set(remainders(row[0], *row[2:])):
+                by_rest[key].append(row)
+        for same in by_rest.values():
+            # Alike but for one code point at one place, or one that may be
+            # anywhere beside the word without it: as many words as the
+            # alphabet and the places allow.
+            shorter = [r for r in same if r[2] == SHORTER]
+            others = [r for r in same if r[2] != SHORTER]
+            pairs = ((x, y) for x in shorter for y in others) if shorter else (
+                (x, y) for i, x in enumerate(others) for y in others[:i] if x[2] == SAME)
+            for x, y in pairs:
+                x, y = (x, y) if x[0] < y[0] else (y, x)
+                if (x[0], y[0]) not in found and near(x[0], y[0]):
+                    found.add((x[0], y[0]))
+                    yield x[0], x[1], y[0], y[1]
+
+
+ROW = "list long, word string, n long, role int, lo int, hi int"
 
 
 def near_pairs(words: DataFrame, frequent: dict[str, int], list_part: int = LIST_PART) -> DataFrame:
     """a, n_a, b, n_b: the pairs of near words, a < b, each once."""
     shared = words.sparkSession.sparkContext.broadcast(frequent)  # Q_MAX - Q_MIN times DICTIONARY grams at most
-    schema = pa.schema([("list", pa.int64()), ("word", pa.string()), ("n", pa.int64()), ("role", pa.int32()), ("cut", pa.int32())])
+    schema = pa.schema([("list", pa.int64()), ("word", pa.string()), ("n", pa.int64()), ("role", pa.int32()),
+                        ("lo", pa.int32()), ("hi", pa.int32())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.slice(at, 1000)
-                out = [(k, w, n, role, cut) for w, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
-                       for k, role, cut in merged_lists(w, own)]
+                out = [(k, w, n, *place) for w, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
+                       for k, *place in merged_lists(w, own)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out = [(_list(f"{row[0]}:{i}:{rest}"), *row[1:]) for i, rest in set(remainders(row[1], row[3], row[4]))]
+                if row[5] - row[4] > SHORT:
+                    out = [(_list(f"{row[0]}:{kept}"), *row[1:4], *part) for kept, *part in halves(row[1], *row[3:])]
+                else:
+                    out = [(_list(f"{row[0]}:{i}:{rest}"), *row[1:]) for i, rest in set(remainders(row[1], *row[3:]))]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)],
                                                      schema=schema)

@@ -63,7 +63,7 @@ def spelled(spark):
     """Words one, two and three edits apart, of many counts, with accents,
     repeated letters, prefixes and very long ones."""
     rnd = random.Random(5)
-    stems = ["banana", "anbana", "aaaaaa", "aaaaaaa", "abcdefgh", "émigré", "emigre", "interestingly", "x" * 300, "Straßenbahn"]
+    stems = ["q" * 90 + "banana" * 20, "banana", "anbana", "aaaaaa", "aaaaaaa", "abcdefgh", "émigré", "emigre", "interestingly", "x" * 300, "Straßenbahn"]
     words = set(stems)
     for w in stems:
         for _ in range(12):
@@ -102,6 +102,19 @@ def test_frequent_grams_are_bounded(spark):
     assert max(per_length.values()) <= 10
 
 
+def test_very_long_words_of_one_list():
+    """Words of 40,000 code points that differ in one, at any place, and one
+    that differs in two: pairs without as many remainders as code points."""
+    base = "ab" * 20_000
+    same = [base, *(base[:i] + "x" + base[i + 1:] for i in (0, 19_999, 20_000, 39_999)), "x" + base[1:-1] + "x"]
+    rows = [(w, 7, variant_words.SAME, 0, len(w)) for w in same]
+    got = {(a, b) for a, _, b, _ in variant_words.list_pairs(rows)}
+    assert got == {(a, b) for a in same for b in same if a < b and variant_words.near(a, b)} and len(got) == 6
+    longer = [base[:i] + c + base[i:] for i, c in ((0, "y"), (7, "a"), (20_000, "y"), (40_000, "b"))]
+    rows = [(base, 7, variant_words.SHORTER, 0, len(base))] + [(w, 5, variant_words.LONGER, 0, len(w)) for w in [*longer, "y" + base[:-1] + "y"]]
+    assert {b if a == base else a for a, _, b, _ in variant_words.list_pairs(rows)} == set(longer)
+
+
 def test_affected_bound_covers_every_edit():
     """No edit changes more grams of a word than its bound."""
     rnd = random.Random(2)
