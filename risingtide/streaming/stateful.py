@@ -6,12 +6,17 @@ the stream: a trigger updates the bars of the symbols it has ticks of and
 hands on those symbols' bars, and the screen of the batch runs on them, by the
 same operators.  No store of bars is read or rewritten.
 
-The state of a symbol is one entry per day: the close and the last tick's
-order.  A tick older than a day's last one changes nothing, so late files and
-replays are harmless.  An event-time timer per symbol drops the days that have
-left the trailing window behind the watermark, so state is bounded by
-``window_days`` + the watermark's delay per symbol, and a symbol without ticks
-ends up without state.
+The state of a symbol holds for each day the close and the last tick's order.
+A tick older than a day's last one changes nothing, so late files and replays
+are harmless.  An event-time timer per symbol drops the days that have left the
+trailing window behind the watermark, so state is bounded by ``window_days`` +
+the watermark's delay per symbol, and a symbol without ticks ends up without
+state.
+
+Every call on the state is a message between the Python worker and the JVM, and
+so is every frame or batch of rows handed over.  A symbol's days are therefore
+one value (``LastBarRows``): a trigger reads it, writes it if a close changed
+and hands the bars on as one row, whatever the number of ticks and days.
 
 Ticks are reduced to partial bars inside each map task (``mapInPandas``)
 before they are shuffled to their symbol's state, so a hot symbol sends a few
@@ -24,7 +29,7 @@ import datetime as _dt
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -35,7 +40,8 @@ from risingtide.streaming.daily import _delete, _exists, _partitions, tick_strea
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PARTIAL = "symbol bigint, ts timestamp, day date, micros bigint, tie bigint, close double"
-HELD = "symbol bigint, date date, close double"
+DAYS = "days array<int>, micros array<bigint>, ties array<bigint>, closes array<double>"
+HELD = "symbol bigint, days array<int>, closes array<double>"
 RESULT = ("symbol bigint, last_price double, last_percent double, start_end_percent double, batch bigint")
 
 
@@ -48,7 +54,8 @@ def partial_bars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class LastBars(StatefulProcessor):
-    """State of a symbol: day -> (micros, tie, close) of its last tick."""
+    """State of a symbol: day -> (micros, tie, close) of its last tick; for
+    ``transformWithStateInPandas``, an entry of a map state per day."""
 
     def __init__(self, window_days: int):
         self.window_days = window_days
@@ -58,34 +65,76 @@ class LastBars(StatefulProcessor):
         self.days = handle.getMapState("days", "day int", "micros bigint, tie bigint, close double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        changed = False
-        for pdf in rows:
-            for day, micros, tie, close in zip(pdf["day"], pdf["micros"], pdf["tie"], pdf["close"], strict=True):
-                at = (_number(day),)
-                held = self.days.getValue(at) if self.days.containsKey(at) else None
-                if held is None or (int(micros), int(tie)) > (held[0], held[1]):
-                    self.days.updateValue(at, (int(micros), int(tie), float(close)))
-                    changed = True
-                    if held is None:
-                        self.handle.registerTimer(_millis(at[0] + self.window_days + 1))
+        held = {k[0]: v for k, v in self.days.iterator()}
+        old = set(held)
+        changed = _take(held, ((_number(day), int(micros), int(tie), float(close)) for pdf in rows for day, micros, tie, close
+                               in zip(pdf["day"], pdf["micros"], pdf["tie"], pdf["close"], strict=True)))
+        for day in changed:
+            self.days.updateValue((day,), held[day])
+            if day not in old:
+                self.handle.registerTimer(self._expiry(day))
         if changed:
-            yield self._bars(key)
+            yield pd.DataFrame({"symbol": [key[0]] * len(held), "date": [_EPOCH + _dt.timedelta(days=d) for d in held],
+                                "close": [v[2] for v in held.values()]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        gone = expiredTimerInfo.getExpiryTimeInMs() // 86_400_000 - self.window_days - 1
-        for (day,) in [k for k in self.days.keys() if k[0] <= gone]:
+        for (day,) in [k for k in self.days.keys() if self._expiry(k[0]) <= expiredTimerInfo.getExpiryTimeInMs()]:
             self.days.removeKey((day,))
         return iter([])
 
-    def _bars(self, key) -> pd.DataFrame:
-        days = [(k[0], v[2]) for k, v in self.days.iterator()]
-        return pd.DataFrame({"symbol": [key[0]] * len(days), "date": [_EPOCH + _dt.timedelta(days=d) for d, _ in days],
-                             "close": [c for _, c in days]})
+    def _expiry(self, day: int) -> int:
+        return _millis(day + self.window_days + 1)
 
     def close(self) -> None:
         pass
 
 
+class LastBarRows(LastBars):
+    """The same for ``transformWithState``: a symbol's days are one value, its
+    bars one row, and its timer that of its earliest day.  Spark refuses to
+    start it on a checkpoint of the other."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.days = handle.getValueState("days", DAYS)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self._held()
+        first = min(held, default=None)
+        if _take(held, ((r["day"], r["micros"], r["tie"], r["close"]) for r in rows)):
+            self._keep(held, first)
+            yield Row(symbol=key[0], days=list(held), closes=[v[2] for v in held.values()])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        self._keep({d: v for d, v in self._held().items() if self._expiry(d) > now})
+        return iter([])
+
+    def _held(self) -> dict[int, tuple[int, int, float]]:
+        value = self.days.get()
+        return {} if value is None else {d: v for d, *v in zip(*value, strict=True)}
+
+    def _keep(self, held: dict, timed: int | None = None) -> None:
+        """``timed``: the earliest day before, which has its timer."""
+        if not held:
+            return self.days.clear()
+        self.days.update((list(held), *map(list, zip(*held.values(), strict=True))))
+        if min(held) != timed:
+            self.handle.registerTimer(self._expiry(min(held)))
+
+
+def _take(held: dict, ticks: Iterator[tuple]) -> list[int]:
+    """Puts the ticks ``(day, micros, tie, close)`` that are newer than their
+    day's last one into ``held``; the days that changed."""
+    changed = {}
+    for day, micros, tie, close in ticks:
+        last = held.get(day)
+        if last is None or (micros, tie) > (last[0], last[1]):
+            held[day] = (micros, tie, close)
+            changed[day] = True
+    return list(changed)
+
+
 _EPOCH = _dt.date(1970, 1, 1)
 
 
@@ -112,9 +161,11 @@ def stateful_screen(spark: SparkSession, folder: str, result_path: str, params:
              .where((F.col("ts") >= F.lit(lo)) & F.col("user_id").isNotNull())
              .select(F.col("user_id").alias("symbol"), "ts", F.to_date("ts").alias("day"), F.unix_micros("ts").alias("micros"),
                      F.coalesce("event_id", F.lit(0)).cast("bigint").alias("tie"), F.col("value").alias("close"))
-             .mapInPandas(partial_bars, PARTIAL))
+             .mapInPandas(partial_bars, PARTIAL).withColumn("day", F.unix_date("day")))
     held = (ticks.withWatermark("ts", watermark).groupBy("symbol")
-            .transformWithStateInPandas(LastBars(params.window_days), HELD, "Update", "EventTime"))
+            .transformWithState(LastBarRows(params.window_days), HELD, "Update", "EventTime")
+            .select("symbol", F.explode(F.arrays_zip("days", "closes")).alias("bar"))
+            .select("symbol", F.date_from_unix_date("bar.days").alias("date"), F.col("bar.closes").alias("close")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         bars = batch.checkpoint(eager=True)

@@ -259,3 +259,62 @@ def test_ticks_are_reduced_before_the_shuffle():
                         columns=["symbol", "ts", "day", "micros", "tie", "close"])
     out = pd.concat(stateful.partial_bars(iter([rows])))
     assert out[["micros", "tie", "close"]].values.tolist() == [[2, 3, 3.0]]
+
+
+class Value:
+    """The parts of a value state that the processor uses; the calls are kept."""
+
+    def __init__(self):
+        self.held, self.calls = None, []
+
+    def get(self):
+        self.calls.append("get")
+        return self.held
+
+    def update(self, value):
+        self.calls.append("update")
+        self.held = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.held = None
+
+
+class ValueHandle:
+    def __init__(self):
+        self.value, self.timers = Value(), []
+
+    def getValueState(self, *_):
+        return self.value
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_a_symbol_costs_as_many_state_calls_whatever_its_days_and_ticks():
+    handle, processor = ValueHandle(), stateful.LastBarRows(window_days=10)
+    processor.init(handle)
+
+    def feed(*rows):
+        handle.value.calls.clear()
+        handle.timers.clear()
+        out = list(processor.handleInputRows((7,), iter([dict(zip(("day", "micros", "tie", "close"), r, strict=True)) for r in rows]), None))
+        return [dict(zip(r["days"], r["closes"], strict=True)) for r in out], handle.value.calls, handle.timers
+
+    ticks = [(day, day * 100 + m, t, day + m / 10 + t / 100) for day in range(50, 59) for m in range(5) for t in (2, 1)]
+    bars = {day: day + 4 / 10 + 2 / 100 for day in range(50, 59)}
+    timer = (50 + 11) * 86_400_000
+    assert feed(*ticks) == ([bars], ["get", "update"], [timer])
+    assert feed(*ticks) == ([], ["get"], [])  # a replay
+    assert feed((51, 5104, 3, 1.0), (60, 1, 1, 2.0)) == ([bars | {51: 1.0, 60: 2.0}], ["get", "update"], [])
+    assert feed((49, 4900, 1, 3.0)) == ([bars | {51: 1.0, 60: 2.0, 49: 3.0}], ["get", "update"], [timer - 86_400_000])
+
+    class At:
+        def __init__(self, ms):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: ms
+
+    handle.timers.clear()
+    assert list(processor.handleExpiredTimer((7,), At(timer), At(timer - 86_400_000))) == []
+    assert sorted(handle.value.held[0]) == [*range(51, 59), 60] and handle.timers == [timer + 86_400_000]
+    processor.handleExpiredTimer((7,), At(0), At((60 + 11) * 86_400_000))
+    assert handle.value.held is None
